@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from vesselflow.llm import quality, url_filter
+from vesselflow.llm import html_text, jaccard, licenses, mixing, packing, quality, url_filter
 
 
 def queries():
     return {
+        "op1_mix_sources": mixing.op1_mix_sources,
+        "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_quality_rules": quality.op5_quality_rules,
+        "op7_license_scan": licenses.op7_license_scan,
+        "op8_html_text": html_text.op8_html_text,
+        "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
         "op10_url_filter": url_filter.op10_url_filter,
     }
 
