@@ -49,3 +49,19 @@ def n_words(text: Column | str) -> Column:
 def count_chars(text: Column, kind: str) -> Column:
     """How many characters of `text` are in the regular-expression class `kind`."""
     return F.length(F.regexp_replace(text, f"[^{kind}]+", "")).cast("long")
+
+
+#: Bits of the maps of `maybe_in`: 2**18 longs at most, whatever the input.
+MAP_BITS = 24
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """`rows` without most of those whose key is not in `wanted`: a bitmap of fixed size is broadcast.
+
+    It spares the rows that a join would shuffle for nothing; the join itself must follow.
+    """
+    slot = F.pmod(F.xxhash64(*key), F.lit(1 << MAP_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
+    words = wanted.select(F.shiftright(slot, 6).alias("_m"), bit.alias("_b")).groupBy("_m").agg(F.bit_or("_b").alias("_b"))
+    got = rows.withColumn("_m", F.shiftright(slot, 6)).join(F.broadcast(words), "_m")
+    return got.where(F.col("_b").bitwiseAND(bit) != 0).drop("_m", "_b")

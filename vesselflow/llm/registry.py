@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from vesselflow.llm import html_text, jaccard, licenses, mixing, packing, quality, url_filter
+from vesselflow.llm import html_text, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_dedup, url_filter
 
 
 def queries():
     return {
         "op1_mix_sources": mixing.op1_mix_sources,
+        "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_quality_rules": quality.op5_quality_rules,
         "op7_license_scan": licenses.op7_license_scan,
