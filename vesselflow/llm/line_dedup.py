@@ -145,5 +145,6 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without repeated lines; those left without a word go."""
-    return dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """The documents without repeated lines, n_chars as it is then; those left without a word go."""
+    left = dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vesselflow.llm import html_text, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_dedup, url_filter
+from vesselflow.llm import html_text, image_match, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_dedup, url_filter
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_quality_rules": quality.op5_quality_rules,
+        "op6_image_copies": image_match.op6_image_copies,
         "op7_license_scan": licenses.op7_license_scan,
         "op8_html_text": html_text.op8_html_text,
         "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
