@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from vesselflow.llm import html_text, image_match, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_dedup, url_filter
 
 
@@ -17,6 +18,7 @@ def queries():
         "op8_html_text": html_text.op8_html_text,
         "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
         "op10_url_filter": url_filter.op10_url_filter,
+        "pipeline": corpus_pipeline.run,
     }
 
 
