@@ -272,7 +272,7 @@ def _(t):
     return geofence.map_centre(t.areas).select(F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
-@add("geofence_envelopes", "SELECT round(xmin - 0.15, 6) AS xmin, round(ymin - 0.15, 6) AS ymin, round(xmax + 0.15, 6) AS xmax, round(ymax + 0.15, 6) AS ymax FROM (SELECT xmin, ymin, xmax, ymax FROM area UNION ALL SELECT xmin, ymin, xmax, ymax FROM gate)")
+@add("geofence_envelopes", "SELECT round(CAST(xmin AS DOUBLE) - 0.15e0, 6) AS xmin, round(CAST(ymin AS DOUBLE) - 0.15e0, 6) AS ymin, round(CAST(xmax AS DOUBLE) + 0.15e0, 6) AS xmax, round(CAST(ymax AS DOUBLE) + 0.15e0, 6) AS ymax FROM (SELECT xmin, ymin, xmax, ymax FROM area UNION ALL SELECT xmin, ymin, xmax, ymax FROM gate)")
 def _(t):
     return geofence.envelopes(t.areas, t.gates).select(*(F.round(c, 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")))
 

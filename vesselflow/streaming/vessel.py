@@ -97,7 +97,8 @@ def vessel_stream(labelled: DataFrame, roles: dict[str, str], lateness: str = LA
     """Tagged outputs (`what`: fix, event, session) of a stream of labelled fixes (ts: timestamp).
 
     roles: port by flow role, as many as there are ports. A vessel's state is a few fixes, its memberships, its cargo
-    and its open sessions; it is forgotten after ttl_days without a fix.
+    and its open sessions; it is forgotten once the
+    watermark is ttl_days past its last fix.
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -111,7 +112,8 @@ def vessel_stream(labelled: DataFrame, roles: dict[str, str], lateness: str = LA
             r["ts"] = r["ts"].to_pydatetime()
         out = list(step(rows, held, roles))
         state.update((pickle.dumps(held),))
-        state.setTimeoutDuration(ttl_days * 86_400_000)
+        last = max(int(r["ts"].replace(tzinfo=dt.UTC).timestamp() * 1000) for r in rows)
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + ttl_days * 86_400_000)
         if out:
             frame = pd.DataFrame(out).reindex(columns=NAMES)
             for c in ("duration_s", "dwt"):
@@ -120,7 +122,7 @@ def vessel_stream(labelled: DataFrame, roles: dict[str, str], lateness: str = LA
             yield frame.astype({"laden": "boolean", "is_open": "boolean"})
 
     timed = labelled.select(*INPUT).where("vessel_uid IS NOT NULL").withWatermark("ts", lateness)
-    return timed.groupBy("vessel_uid").applyInPandasWithState(run, OUT, "held binary", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return timed.groupBy("vessel_uid").applyInPandasWithState(run, OUT, "held binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def sink(path: str, after: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
