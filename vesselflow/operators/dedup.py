@@ -93,17 +93,18 @@ def dedup(fixes: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """The labelled fixes that are kept. Fixes without vessel_uid are all kept."""
     columns = fixes.columns
     timed = fixes.withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    known = timed.where("vessel_uid IS NOT NULL").repartition("vessel_uid").sortWithinPartitions("vessel_uid", order)
+    # Fixes without a vessel are dealt out by their own number, so that they don't meet in one task.
+    dealt = timed.repartition(F.coalesce("vessel_uid", F.xxhash64(order).cast("string"))).sortWithinPartitions("vessel_uid", order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vessel, track = None, Track()
         for pdf in batches:
             keep = np.zeros(len(pdf), dtype=bool)
             values = [[None if _missing(x) else x for x in pdf[c].tolist()] for c in NEEDS]
-            for i, (uid, fix) in enumerate(zip(pdf["vessel_uid"], zip(*values, strict=True), strict=True)):
+            for i, (uid, fix) in enumerate(zip([None if _missing(x) else x for x in pdf["vessel_uid"]], zip(*values, strict=True), strict=True)):
                 if uid != vessel:
                     vessel, track = uid, Track()
-                keep[i] = track.keeps(fix)
+                keep[i] = uid is None or track.keeps(fix)
             yield pdf.loc[keep, columns]
 
-    return known.mapInPandas(run, fixes.schema).unionByName(fixes.where("vessel_uid IS NULL"))
+    return dealt.mapInPandas(run, fixes.schema)

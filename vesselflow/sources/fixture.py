@@ -5,6 +5,7 @@ The expressions are closed forms that any SQL engine evaluates to the same bits.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from vesselflow.functions.geo import rectangle
@@ -25,13 +26,23 @@ AREAS = [
 GATES = [("G0w", "L0", "west", 2.5, -2, 3.7, 2), ("G0e", "L0", "east", 5.3, -2, 6, 2), ("G1w", "L1", "west", 5.7, -2, 6.2, 2), ("G1e", "L1", "east", 8.3, -2, 9.1, 2)]
 
 
+_RINGS = pa.list_(pa.list_(pa.list_(pa.float64())))
+
+
+def _local(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small constant table: through Arrow it is a local relation of known size, and no Python runs to read it."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    columns = [pa.array([r[i] for r in rows], _RINGS if n == "rings" else pa.string()) for i, n in enumerate(names)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names), schema)
+
+
 def areas(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(a, f"Name {a}", k, s, g, None, [rectangle(*box)], r) for a, k, s, g, r, *box in AREAS], AREA)
+    return _local(spark, AREA, [(a, f"Name {a}", k, s, g, None, [rectangle(*box)], r) for a, k, s, g, r, *box in AREAS])
 
 
 def gates(spark: SparkSession) -> DataFrame:
     of = {a: (k, g) for a, k, _, g, *_ in AREAS}
-    return spark.createDataFrame([(g, a, f"Name {g}", of[a][0], f"gate_{side}", of[a][1], None, [rectangle(*box)]) for g, a, side, *box in GATES], GATE)
+    return _local(spark, GATE, [(g, a, f"Name {g}", of[a][0], f"gate_{side}", of[a][1], None, [rectangle(*box)]) for g, a, side, *box in GATES])
 
 
 def fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
