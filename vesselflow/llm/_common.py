@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +28,36 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write to a new table in the shared folder and read it back: lineage is cut, sizes are known to the planner."""
+#: Paths of the tables staged within each open `scratch`.
+_open: list[list[str]] = []
+
+
+def stage(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write to a new table in the shared folder and read it back: lineage is cut, sizes are known to the planner.
+
+    Within a `scratch` the table goes when that ends, unless it is kept.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    if _open and not keep:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is staged inside when it ends; results must be staged with keep=True before that."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _open.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def words(text: Column | str) -> Column:
     """Array of the text's words; null and blank texts have none."""
     col = F.btrim(F.col(text) if isinstance(text, str) else text, F.lit(" \t\n\x0b\x0c\r"))

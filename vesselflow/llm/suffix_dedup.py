@@ -31,7 +31,7 @@ GRAM = 32
 SEGMENT = 1 << 20
 OFFSETS = 64
 SHARDS = 4
-BATCH = 200_000
+BATCH = 50_000
 HOT = 20_000
 BASE = 0x9E3779B97F4A7C55 | 1
 _tables: dict[str, np.ndarray] = {}
@@ -109,48 +109,67 @@ def all_runs(docs: DataFrame, length: int) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(scan, "h long, digest long, doc_id long, lo long, hi long, place long")
 
 
-def shard_bwt(sym: np.ndarray, nxt: np.ndarray, prev: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of a shard's rotations (places `at`), by `length` symbols at least, and the symbol before each."""
+def symbol_ranks(sym: np.ndarray, nxt: np.ndarray, width: int) -> np.ndarray:
+    """Rank of the `width` symbols from each place on."""
     key, step = sym.astype(np.int64), nxt
-    for _ in range(6):
+    for k in range(1, width):
         key = key * 257 + sym[step]
         step = nxt[step]
-    inside = np.full(len(sym), 0, dtype=np.int64)
-    done = 7
-    while True:
-        _, inside[at] = np.unique(key[at], return_inverse=True)
-        if done >= length:
-            break
-        key = inside * (len(sym) + 1) + inside[step]
+        if k == 5:
+            key = np.unique(key, return_inverse=True)[1]
+    return np.unique(key, return_inverse=True)[1]
+
+
+def shard_order(ranks: np.ndarray, width: int, nxt: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Places `at` of a shard, in the order of their rotations by `length` symbols at least. ranks: of `width` symbols."""
+    step = nxt
+    for _ in range(width - 1):
+        step = nxt[step]
+    own, done = np.zeros(len(ranks), dtype=np.int64), width
+    own[at] = ranks[at]
+    while done < length:
+        own[at] = np.unique(own[at] * len(ranks) + own[step[at]], return_inverse=True)[1]
         step, done = step[step], done * 2
-    order = at[np.argsort(inside[at], kind="stable")]
-    return order, sym[prev[order]]
+    return at[np.argsort(own[at], kind="stable")]
 
 
 def repeated_starts(strings: list[bytes], length: int = LENGTH, shards: int = SHARDS) -> list[np.ndarray]:
-    """For each string, which of its starts have `length` bytes that start elsewhere among the strings too."""
+    """For each string, which of its starts have `length` bytes that start elsewhere among the strings too.
+
+    A symbol of the transforms is a piece of several bytes, each place being followed by the piece before it, so that a
+    pass orders by that many bytes; pieces are as long as their ranks fit 16 bits, which sort by radix.
+    """
     sizes = np.array([len(s) + 1 for s in strings])
     ends = np.cumsum(sizes)
     first = ends - sizes
     n = int(ends[-1])
-    sym = np.zeros(n, dtype=np.uint16)
+    sym = np.zeros(n, dtype=np.int64)
     body = np.ones(n, dtype=bool)
     body[ends - 1] = False  # each string ends with the least symbol and goes round
-    sym[body] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.uint16) + 1
+    sym[body] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + 1
     nxt = np.arange(1, n + 1)
     nxt[ends - 1] = first
     prev = np.arange(-1, n - 1)
     prev[first] = ends - 1
+    for width in (w for w in (8, 5, 4, 2, 1) if length % w == 0):
+        ranks = symbol_ranks(sym, nxt, width)
+        if ranks.max() < 1 << 16:
+            break
+    ranks16 = ranks.astype(np.uint16)
+    back = prev
+    for _ in range(width - 1):
+        back = prev[back]
     shards = min(shards, len(strings))
     shard = np.repeat(np.arange(len(strings)) % shards, sizes)
-    parts = [shard_bwt(sym, nxt, prev, np.flatnonzero(shard == s), length) for s in range(shards)]
+    orders = [shard_order(ranks, width, nxt, np.flatnonzero(shard == s), length) for s in range(shards)]
+    transforms = [ranks16[back[order]] for order in orders]
 
-    z = np.repeat(np.arange(shards, dtype=np.uint8), [len(order) for order, _ in parts])
+    z = np.repeat(np.arange(shards, dtype=np.uint8), [len(order) for order in orders])
     block, n_blocks = np.zeros(n, dtype=np.int32), 1
     c = np.empty(n, dtype=np.uint16)
-    for _ in range(length):
-        for s, (_, bwt) in enumerate(parts):
-            c[z == s] = bwt
+    for _ in range(length // width):
+        for s, transform in enumerate(transforms):
+            c[z == s] = transform
         move = np.argsort(c, kind="stable")
         z, c_new, old = z[move], c[move], block[move]
         new = np.empty(n, dtype=bool)
@@ -161,7 +180,7 @@ def repeated_starts(strings: list[bytes], length: int = LENGTH, shards: int = SH
             break
         n_blocks = int(block[-1]) + 1
     place = np.empty(n, dtype=np.int64)
-    for s, (order, _) in enumerate(parts):
+    for s, order in enumerate(orders):
         place[z == s] = order
     often = np.empty(n, dtype=bool)
     often[place] = np.bincount(block)[block] > 1
@@ -289,8 +308,9 @@ def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     other only through another doc_id, and of rows with one doc_id but different texts none is cleaned reliably. A row
     without doc_id takes no part and keeps all.
     """
-    ranges = repeated_ranges(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    ranges = C.stage(ranges)
+    with C.scratch(docs.sparkSession):
+        ranges = repeated_ranges(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+        ranges = C.stage(ranges, keep=True)
     mine = docs.select("doc_id", "text")
     out = mine.join(ranges, "doc_id", "left")
 
