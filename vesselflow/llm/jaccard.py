@@ -33,7 +33,7 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C55 | 1
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[32, *range(9, 14)]] = True
-COUNTERS = 64
+COUNTERS = 256
 SEEDS = 6
 LIST_BLOCK = 2048
 #: Bits of the map of candidates that the second scan reads: a fixed 1 MB, whatever the input.
@@ -340,9 +340,16 @@ def other_pairs(members: DataFrame, sketches: DataFrame, rule: Rule) -> DataFram
 def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text; other columns are ignored).
 
+    The result is a table in the shared folder; what it was made from is deleted.
+
     Texts without words (null, empty, blank) have the empty set, are linked with nothing and are their own component.
     Rows of one doc_id count as one document with several texts. A null doc_id is in no component (null).
     """
+    with C.scratch(docs.sparkSession):
+        return C.stage(_similar_documents(docs, rule), keep=True)
+
+
+def _similar_documents(docs: DataFrame, rule: Rule) -> DataFrame:
     described = C.stage(describe(docs, rule))
     class_of = described.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     class_of = C.stage(class_of)

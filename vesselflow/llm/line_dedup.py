@@ -118,12 +118,13 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int =
     Null and empty texts have no lines. Rows without a doc_id take no part. Two rows with the same doc_id hold lines at
     the same places: equal lines there are not earlier than each other and stay.
     """
-    lines = C.stage(distinct_lines(docs, min_words, near_words))
-    near = C.stage(near_lines(docs, lines, min_words, near_words))
-    verdict = lines.select("h1", "h2", "first").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
-    own = _lines(docs, min_words).select("doc_id", "line", *_digests())
-    hits = own.join(verdict, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "line") != F.col("first")))
-    return hits.select("doc_id", "line", "h1")
+    with C.scratch(docs.sparkSession):
+        lines = C.stage(distinct_lines(docs, min_words, near_words))
+        near = C.stage(near_lines(docs, lines, min_words, near_words))
+        verdict = lines.select("h1", "h2", "first").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+        own = _lines(docs, min_words).select("doc_id", "line", *_digests())
+        hits = own.join(verdict, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "line") != F.col("first")))
+        return C.stage(hits.select("doc_id", "line", "h1"), keep=True)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:

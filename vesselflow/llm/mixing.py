@@ -104,8 +104,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST,
     """doc_id, size, source_size, target, taken for every row of `docs` (doc_id, text, source; other columns are ignored).
 
     A document without words has size 0 and takes 0 words; a null source is a source of its own; equal rows are
-    separate documents. An empty table gives an empty result.
+    separate documents. An empty table gives an empty result. The result is a table in the shared folder.
     """
+    with C.scratch(docs.sparkSession):
+        return C.stage(_mix(docs, weights, most, seed, block), keep=True)
+
+
+def _mix(docs: DataFrame, weights: Sequence[float], most: float, seed: int, block: int) -> DataFrame:
     sizes = C.stage(docs.select("doc_id", "source", C.n_words("text").alias("size")))
     per = source_targets(sizes, weights, most)
     known = sizes.withColumn("_s", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).drop("source").join(

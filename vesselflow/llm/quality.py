@@ -152,6 +152,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep. The cutoffs come from narrow signals; the verdicts are taken beside the text."""
     kept = docs.columns
-    narrow = C.stage(signals(docs).drop("text", "source", "n_chars"))
-    cutoffs = C.stage(certified_cutoffs(narrow, C.table(spark, sf_dir, "labels")))
+    with C.scratch(spark):
+        narrow = C.stage(signals(docs).drop("text", "source", "n_chars"))
+        cutoffs = C.stage(certified_cutoffs(narrow, C.table(spark, sf_dir, "labels")), keep=True)
     return judge(signals(docs), cutoffs).where("kept").select(*kept)

@@ -89,11 +89,14 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     out = pages.drop("host", "path", "rule", "verdict")
     out = out.select("*", F.inline(F.array(F.struct(host.alias("host"), path.alias("path")))))
     rule, kind = rule_columns(F.col("host"), F.col("path"), rules)
-    # A page that a rule decides needs no look at the list: its key is empty, and empty keys have no block.
-    key = F.when(rule.isNull(), canonical(F.col("host"), F.col("path"))).otherwise(F.lit(""))
+    # A page that a rule decides, or without a host, needs no look at the list. Its key is no URL but a space and the
+    # page's number, so that these pages don't meet in one task of the last join.
+    listable = rule.isNull() & (F.col("host") != "")
+    out = out.withColumn("_n", F.monotonically_increasing_id())
+    key = F.when(listable, canonical(F.col("host"), F.col("path"))).otherwise(F.concat(F.lit(" "), F.col("_n").cast("string")))
     out = out.select("*", F.inline(F.array(F.struct(rule.alias("rule"), kind.alias("_kind"), key.alias("_key")))))
 
-    asked = out.select(F.col("_key").alias("key")).where("key <> ''").distinct()
+    asked = out.where(F.col("rule").isNull() & (F.col("host") != "")).select(F.col("_key").alias("key")).distinct()
     h = F.xxhash64(F.lit(1), F.col("key"))
     asked = asked.select("key", F.pmod(F.xxhash64("key"), F.lit(n_blocks)).alias("block"), *(_bits(h, i).alias(f"m{i}") for i in range(4)))
     passes = F.lit(True)
@@ -104,7 +107,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     out = out.join(hits, "_key", "left")
     found = F.coalesce(F.col("_hit"), F.lit(False))
     verdict = F.coalesce(F.col("_kind"), F.when(found, F.lit("block")).otherwise(F.lit("allow")))
-    return out.withColumn("verdict", verdict).drop("_key", "_hit", "_kind")
+    return out.withColumn("verdict", verdict).drop("_key", "_hit", "_kind", "_n")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
