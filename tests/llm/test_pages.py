@@ -80,6 +80,30 @@ def test_image_copies_are_found(spark):
     assert image_match.find_copies(images.limit(0), queries).collect() == []
 
 
+def _edits(picture, rng):
+    picture = picture.astype(float)
+    noisy = picture + rng.normal(0, 6, picture.shape)
+    blurred = image_match._box(picture, 1)
+    coarse = np.round(picture / 16) * 16
+    smaller = image_match._resize(picture, 0.85)
+    return [np.clip(np.rint(x), 0, 255).astype(np.uint8) for x in (noisy, blurred, coarse, smaller, image_match.edited(picture))]
+
+
+def test_all_near_descriptors_match(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    pictures = [image_match.rendered(rng.integers(0, 255, 2500).astype(np.uint8).tobytes()) for _ in range(12)]
+    frame = lambda rows: spark.createDataFrame([(i, bytearray(image_match.to_pgm(x))) for i, x in rows], "id long, image binary")
+    known = image_match.corners(frame(enumerate(pictures)))
+    asked = image_match.corners(frame((100 * i + k, x) for i, p in enumerate(pictures) for k, x in enumerate(_edits(p, rng))))
+    monkeypatch.setattr(image_match, "QUERY_BLOCK", 900)  # several blocks
+    a, b = asked.collect(), known.collect()
+    bits = lambda rows: np.unpackbits(np.array([(r.d0, r.d1) for r in rows], dtype=np.int64).view(np.uint8).reshape(len(rows), -1), axis=1).astype(int)
+    apart = np.abs(bits(a)[:, None] - bits(b)[None]).sum(2)
+    want = {(a[i].id, a[i].kp, b[j].id, b[j].kp) for i, j in zip(*np.nonzero(apart <= image_match.MAX_BITS))}
+    got = [(r.q_id, r.q_kp, r.id, r.kp) for r in image_match.descriptor_matches(known, asked).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 1000
+
+
 def test_pipeline_runs_and_obeys_its_contract(spark):
     import corpus_pipeline
     from vesselflow.llm import _common as C

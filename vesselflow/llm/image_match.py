@@ -1,15 +1,17 @@
 """Edited copies of pictures by local descriptors, Hamming tables and geometric consensus.
 
 A picture is a binary PGM (P5, 8 bit). Corners are found at several scales, each is turned to the direction of its
-patch's centroid, and 128 comparisons of smoothed pixels give its descriptor. Descriptors meet in eight tables keyed
-by 28 of their bits; of those that meet, the ones within `MAX_BITS` of each other are matches. A match fixes how the query
+patch's centroid, and 128 comparisons of smoothed pixels give its descriptor. Descriptors within `MAX_BITS` of each other
+are matches: all of them are found, by tables of seven disjoint chunks probed up to two bits away. A match fixes how the query
 lies on the picture (turn, scale, shift); matches vote for overlapping cells of these, and a pair is reported when
 enough corners of the query agree on one cell. Equal pictures are found by digest first and stand for each other.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,13 @@ TESTS = 128
 MAX_BITS = 20
 MIN_AGREE = 6
 CELL = 6.0
+#: Two descriptors at most MAX_BITS apart are at most MAX_BITS // 7 = PROBED apart in one of seven disjoint chunks.
+CHUNKS = (18, 18, 18, 18, 18, 19, 19)
+PROBED = MAX_BITS // len(CHUNKS)
+_starts = [sum(CHUNKS[:i]) for i in range(len(CHUNKS))]
+#: Asked corners in one block (their probe tables take about 5 kB each), and candidates compared at once.
+QUERY_BLOCK = 1 << 15
+CANDIDATES = 1 << 20
 
 _rng = np.random.default_rng(20240601)
 _points = np.clip(_rng.normal(0, 3.2, (TESTS, 2, 2)), -RADIUS + 2, RADIUS - 2)
@@ -114,11 +123,89 @@ def corners(images: DataFrame) -> DataFrame:
     return tagged.mapInArrow(run, "id long, kp int, x double, y double, scale double, turn int, d0 long, d1 long, tag long")
 
 
-def _tables(rows: DataFrame) -> DataFrame:
-    """A row for each of eight tables: the key is 14 bits of either half, each table's overlapping those of the next."""
-    some = lambda c, i: F.call_function("shiftrightunsigned", F.col(c), F.lit(7 * i)).bitwiseAND(F.lit(0x3FFF))
-    keys = [F.xxhash64(F.lit(i), some("d0", i), some("d1", i)) for i in range(8)]
-    return rows.withColumn("key", F.explode(F.array(*keys)))
+def _chunks(d0: np.ndarray, d1: np.ndarray) -> list[np.ndarray]:
+    """The descriptors cut into disjoint chunks of bits."""
+    lo, hi, out = d0.view(np.uint64), d1.view(np.uint64), []
+    for at, bits in zip(_starts, CHUNKS, strict=True):
+        part = hi >> np.uint64(at - 64) if at >= 64 else lo >> np.uint64(at)
+        if at < 64 < at + bits:
+            part = part | (hi << np.uint64(64 - at))
+        out.append((part & np.uint64((1 << bits) - 1)).astype(np.int64))
+    return out
+
+
+def probe_tables(d0: np.ndarray, d1: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per chunk (starts by value, rows): the rows whose chunk is at most PROBED bits away from each value."""
+    out = []
+    for chunk, bits in zip(_chunks(d0, d1), CHUNKS, strict=True):
+        flips = [sum(1 << b for b in some) for k in range(PROBED + 1) for some in itertools.combinations(range(bits), k)]
+        near = (chunk[:, None] ^ np.array(flips)).astype(np.int32).ravel()
+        rows = (np.argsort(near, kind="stable") // len(flips)).astype(np.int32)
+        out.append((np.concatenate([[0], np.bincount(near, minlength=1 << bits).cumsum()]), rows))
+    return out
+
+
+def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All (row of d, row of q) at most MAX_BITS apart, each once; the tables are those of q."""
+    found = [np.zeros(0, np.int64)]
+    u0, u1, v0, v1 = (x.view(np.uint64) for x in (d0, d1, q0, q1))  # bits of a negative number are those of its absolute value
+    for chunk, (starts, rows) in zip(_chunks(d0, d1), tables, strict=True):
+        first, n = starts[chunk], starts[chunk + 1] - starts[chunk]
+        ends = n.cumsum()
+        # Slices of a bounded number of candidates, whatever the tables hold; one descriptor meets each q once at most.
+        lo = 0
+        while lo < len(n):
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, done + CANDIDATES, "right")))
+            m = n[lo:hi]
+            a = np.repeat(np.arange(lo, hi), m)
+            b = rows[np.arange(m.sum()) + np.repeat(first[lo:hi] - (ends[lo:hi] - m - done), m)]
+            apart = np.bitwise_count(u0[a] ^ v0[b]) + np.bitwise_count(u1[a] ^ v1[b])
+            near = apart <= MAX_BITS
+            found.append(a[near] * len(q0) + b[near])
+            lo = hi
+    pairs = np.unique(np.concatenate(found))
+    return pairs // max(1, len(q0)), pairs % max(1, len(q0))
+
+
+#: Probe tables of the query block that this process works on, by its name.
+_ready: dict[str, list] = {}
+
+
+def descriptor_matches(known: DataFrame, asked: DataFrame) -> DataFrame:
+    """The columns of both sides (asked ones with q_) of all corners at most MAX_BITS apart; staged.
+
+    The asked corners go to the executors in blocks of about QUERY_BLOCK, one pass over the known ones for each. Nothing is
+    shuffled, so that common descriptors crowd no task.
+    """
+    spark = asked.sparkSession
+    n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    if n_blocks > 1:
+        known = C.stage(known)
+    dealt = asked.withColumn("_block", F.pmod(F.xxhash64("id", "kp"), F.lit(n_blocks)))
+    fields = [f for f in asked.schema if f.name != "tag"]
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in known.schema] + [f"q_{f.name} {f.dataType.simpleString()}" for f in fields])
+    out = None
+    for k in range(n_blocks):
+        block = dealt.where(F.col("_block") == k).select(*(f.name for f in fields)).toArrow().combine_chunks()
+        sent, name = spark.sparkContext.broadcast({c: block[c].to_numpy() for c in block.column_names}), uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
+            q = sent.value
+            for batch in batches:
+                if name not in _ready:
+                    _ready.clear()
+                    _ready[name] = probe_tables(q["d0"], q["d1"])
+                d0, d1 = (batch.column(c).to_numpy() for c in ("d0", "d1"))
+                a, b = within_bits(d0, d1, _ready[name], q["d0"], q["d1"])
+                if len(a):
+                    got = [*batch.take(pa.array(a)).columns, *(pa.array(v[b]) for v in q.values())]
+                    yield pa.RecordBatch.from_arrays(got, [*batch.schema.names, *(f"q_{c}" for c in q)])
+
+        met = C.stage(known.mapInArrow(run, schema))
+        out = met if out is None else out.unionByName(met)
+        sent.destroy()
+    return out
 
 
 def find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
@@ -135,17 +222,11 @@ def find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
 def _find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
     digest = images.where("image IS NOT NULL").select("id", F.sha2("image", 256).alias("sha"), F.xxhash64("image").alias("tag"))
     classes = C.stage(digest.groupBy("sha").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"), F.first("tag").alias("tag")))
-    asked = C.stage(_tables(corners(queries)))
+    asked = C.stage(corners(queries))
     # Pictures are never shuffled: copies go by a bitmap before the corners are sought, the rest of them by the join after.
     firsts = C.maybe_in(images.where("image IS NOT NULL").withColumn("tag", F.xxhash64("image")), classes, "id", "tag")
-    # Written before the join: the optimizer would move the join below the bitmap and shuffle every corner.
-    known = C.stage(C.maybe_in(_tables(corners(firsts)), asked.select("key").distinct(), "key"))
-    known = known.join(classes.select("id", "tag"), ["id", "tag"], "left_semi")
-
-    a = asked.select(*(F.col(c).alias(f"q_{c}") for c in ("id", "kp", "x", "y", "scale", "turn", "d0", "d1")), "key")
-    met = a.join(known, "key")
-    apart = F.bit_count(F.col("q_d0").bitwiseXOR(F.col("d0"))) + F.bit_count(F.col("q_d1").bitwiseXOR(F.col("d1")))
-    matches = met.where(apart <= MAX_BITS).select("q_id", "q_kp", "id", "kp", "q_x", "q_y", "x", "y", "q_scale", "scale", "q_turn", "turn").distinct()
+    met = descriptor_matches(corners(firsts), asked).join(classes.select("id", "tag"), ["id", "tag"], "left_semi")
+    matches = met.select("q_id", "q_kp", "id", "kp", "q_x", "q_y", "x", "y", "q_scale", "scale", "q_turn", "turn").distinct()
     # Where the query's origin lies on the picture if the match is right.
     grow = F.col("q_scale") / F.col("scale")
     turn = F.pmod(F.col("turn") - F.col("q_turn"), F.lit(TURNS))
