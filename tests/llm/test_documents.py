@@ -93,6 +93,22 @@ def test_line_dedup(documents, texts):
         assert text[doc] == (t if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (doc, i) not in want))
 
 
+def test_query_and_stage_drop_short_lines(spark, documents, texts, tmp_path):
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute_lines(texts, least=1, near=5)
+    got = {(r.doc_id, int(x)) for r in line_dedup.op2_line_dedup(spark, str(tmp_path)).collect() for x in r.dropped.split(",") if x}
+    assert got == want and want - brute_lines(texts)
+    left = {r.doc_id: r.text for r in line_dedup.line_dedup_stage(spark, documents, str(tmp_path)).collect()}
+    kept = {doc: "\n".join(x for i, x in enumerate((t or "").split("\n")) if (doc, i) not in want) for doc, t in texts}
+    assert left == {doc: t for doc, t in kept.items() if words(t)}
+
+
+def test_short_lines(spark):
+    rows = ["Les.", "All rights reserved.", "a b c d e", "Les.\nLes. x", " All rights  reserved.", "a b c d f", "a b c g", "a b c d"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {(r.doc_id, r.line) for r in line_dedup.dropped_lines(docs, **line_dedup.EVERY).collect()} == {(3, 0), (4, 0), (5, 0)}
+
+
 def test_one_word_edits(spark):
     base = [f"w{i}" for i in range(12)]
     rows = [base, base[:5] + base[6:], base[:3] + ["new"] + base[3:], base[:11] + ["z"], ["z"] + base, base[:4] + ["q", "q"] + base[6:]]

@@ -19,6 +19,8 @@ from vesselflow.llm import _common as C
 
 MIN_WORDS = 5
 NEAR_WORDS = 10
+#: The query and the pipeline compare every line that has a word, and look for near ones from five words on.
+EVERY = {"min_words": 1, "near_words": 5}
 BLOCK = 32
 
 
@@ -139,7 +141,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = N
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_dropped, dropped (line numbers from 0, ascending, joined by commas) of every document."""
     docs = C.table(spark, sf_dir, "documents")
-    gone = dropped_lines(docs).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("gone"))
+    gone = dropped_lines(docs, **EVERY).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("gone"))
     n = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
     gone = gone.select("doc_id", F.size("gone").cast("long").alias("n"), F.array_join(F.transform("gone", lambda x: x.cast("string")), ",").alias("d"))
     return n.join(gone, "doc_id", "left").select("doc_id", "n_lines", F.coalesce("n", F.lit(0)).alias("n_dropped"), F.coalesce("d", F.lit("")).alias("dropped"))
@@ -147,5 +149,5 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without repeated lines, n_chars as it is then; those left without a word go."""
-    left = dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    left = dedup_lines(docs, **EVERY).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
