@@ -29,6 +29,24 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<p>a</p><![foo bar]><p>rest", "a\n\nrest"),
+        ("<p>a</p><![ x]><p>rest", "a\n\nrest"),
+        ("<p>a<![endif]--><p>between<![if !IE]><p>rest", "a\n\nbetween\n\nrest"),
+        ("<p>a</p><![CDATA[ x ]]><p>rest", "a\n\nrest"),
+        ("<p>a</p><![ unfinished", "a"),
+        ("<html><head><title>T</title><meta charset=x><body><p>text", "text"),
+        ("<head><title>T</title><style>p{}</style><p>text", "text"),
+        ("<head><title>T</title>bare text", "bare text"),
+        ("<head><title>T<body><p>text", "text"),
+    ],
+)
+def test_malformed_declarations_and_open_heads(html, want):
+    assert html_text.main_text(html) == want
+
+
 def test_extract_keeps_other_columns(spark):
     rows = spark.createDataFrame([(1, "u", PAGE, "old"), (2, None, None, "old")], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.url, r.text, r.n_chars) for r in html_text.extract(rows).collect()}

@@ -40,6 +40,8 @@ NEVER_WORDS = frozenset(
 )
 #: Elements whose start closes an open one of the same group.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: What may stand in a head; any other element, or text, ends it.
+HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 SIGMA = 1.5
 _KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(5)]
 
@@ -65,7 +67,24 @@ class _Lines(HTMLParser):
             return
         self.lines.append([[], 1, 0, region, not never])
 
+    def parse_html_declaration(self, i: int) -> int:
+        """As in browsers, `<![` is a comment up to the next `>`, or to the end of the page (which is fed whole)."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
+    def _leave_head(self, tag: str) -> None:
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] == "head":
+                del self.stack[k:]
+                self._cut()
+            elif tag != "body":
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD:
+            self._leave_head(tag)
         if tag == "br":
             self.handle_data(" ")
         if tag in BLOCK or tag in NEVER:
@@ -119,6 +138,8 @@ class _Lines(HTMLParser):
             self._cut()
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._leave_head("")
         line = self.lines[-1]
         line[0].append(data)
         line[2] += len(data.strip()) if self.links else 0
@@ -144,11 +165,8 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = _Lines()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:  # a malformed declaration ends the page
-        pass
+    parser.feed(html)
+    parser.close()
     lines = [(" ".join("".join(parts).split()), tags, linked, region, ok) for parts, tags, linked, region, ok in parser.lines]
     lines = [x for x in lines if x[0]]
     if not any(ok for *_, ok in lines):
