@@ -45,6 +45,18 @@ def test_mix_reaches_targets(documents, texts):
     assert sorted(mixing.mix(documents.repartition(2)).collect()) == sorted(rows)
 
 
+def test_mix_stage_counts_each_row(spark):
+    # By weights 1 and 2, half of the six documents of a are wanted, those of b twice each.
+    rows = [(i, f"a{k} " * 10, "a") for k, i in enumerate([None, None, 7, 7, 1, 2])] + [(i, f"b{k} " * 10, "b") for k, i in enumerate([None, 7, 1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix_stage(spark, docs, "")
+    got = collections.Counter(tuple(r) for r in out.collect())
+    assert out.columns == docs.columns and set(got) <= set(rows)
+    assert all(got[r] == 2 for r in rows if r[2] == "b")
+    taken = [got[r] for r in rows if r[2] == "a"]
+    assert sum(taken) == 3 and max(taken) == 1
+
+
 def test_mix_of_nothing(nothing):
     assert mixing.mix(nothing).collect() == []
 

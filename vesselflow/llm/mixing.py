@@ -100,25 +100,26 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: f
     return C.stage(per.withColumn("target", target).drop("_w"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, seed: int = 7, block: int = BLOCK) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, seed: int = 7, block: int = BLOCK, key: str | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of `docs` (doc_id, text, source; other columns are ignored).
 
     A document without words has size 0 and takes 0 words; a null source is a source of its own; equal rows are
     separate documents. An empty table gives an empty result. The result is a table in the shared folder.
+    A `key` names a column of `docs` that is carried through as the last one.
     """
     with C.scratch(docs.sparkSession):
-        return C.stage(_mix(docs, weights, most, seed, block), keep=True)
+        return C.stage(_mix(docs, weights, most, seed, block, [key] if key else []), keep=True)
 
 
-def _mix(docs: DataFrame, weights: Sequence[float], most: float, seed: int, block: int) -> DataFrame:
-    sizes = C.stage(docs.select("doc_id", "source", C.n_words("text").alias("size")))
+def _mix(docs: DataFrame, weights: Sequence[float], most: float, seed: int, block: int, carried: list[str]) -> DataFrame:
+    sizes = C.stage(docs.select("doc_id", "source", C.n_words("text").alias("size"), *carried))
     per = source_targets(sizes, weights, most)
     known = sizes.withColumn("_s", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).drop("source").join(
         per.withColumn("_s", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).drop("source"), "_s"
     )
     m = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     units = known.select(
-        *("doc_id", "size", "source_size", "target", "_rank"),
+        *("doc_id", "size", "source_size", "target", "_rank", *carried),
         F.floor(m).alias("_whole"),
         (m - F.floor(m)).alias("p"),
         F.ceil(F.col("n_docs") / block).alias("_blocks"),
@@ -141,7 +142,7 @@ def _mix(docs: DataFrame, weights: Sequence[float], most: float, seed: int, bloc
     for more in done[1:]:
         out = out.unionByName(more)
     taken = (F.col("size") * (F.col("_whole") + F.round("p"))).cast("long")
-    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), *carried)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +151,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the mix, each as often as it is taken (documents without words are not taken)."""
-    copies = mix(docs).where("taken > 0").select(F.col("doc_id").alias("_d"), (F.col("taken") / F.col("size")).cast("int").alias("_n"))
-    copies = copies.dropDuplicates(["_d"])
-    repeated = docs.join(copies, docs["doc_id"] == copies["_d"])
-    return repeated.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    # The row key is written, so that both readings of the rows agree on it; ids may be null or repeated.
+    rows = C.stage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    copies = mix(rows, key="_row").where("taken > 0").select("_row", (F.col("taken") / F.col("size")).cast("int").alias("_n"))
+    return rows.join(copies, "_row").withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
