@@ -328,24 +328,71 @@ def brute_components(rows, rule):
     return {d: (len(sets[d]), find(d)) for d in ids}
 
 
-@pytest.mark.parametrize("rule", [jaccard.Rule(3, 90, 100), jaccard.Rule(5, 80, 100)])
+@pytest.mark.parametrize("rule", [jaccard.Rule(3, 90, 100), jaccard.Rule(5, 80, 100, part=1)])
 def test_jaccard_components(documents, texts, rule):
     want = brute_components(texts, rule)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_documents(documents, rule).collect()}
     assert got == want and sum(c != d for d, (_, c) in want.items()) > 10
 
 
+def test_jaccard_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Copies of one text with words of their own, not all similar to the first one; a passage that all of them share; small sets."""
+    rng = np.random.default_rng(8)
+    base, common = [f"b{i}" for i in range(70)], " ".join(f"c{i}" for i in range(30))
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for at in rng.integers(0, 70, int(rng.integers(0, 5))):
+            own[at] = f"own{rng.integers(0, 40)}"
+        rows.append((i, " ".join(own)))
+    rows += [(200 + i, f"{common} " + " ".join(f"x{i}y{k}" for k in range(int(rng.integers(1, 60))))) for i in range(60)]
+    rows += [(300 + i, " ".join(f"s{k}" for k in range(int(rng.integers(8, 16))))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", 16)
+    rule = jaccard.Rule(3, 80, 100, part=20)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs, rule).collect()}
+    assert got == brute_components(rows, rule)
+
+
 @pytest.mark.parametrize("rule", [jaccard.Rule(3, 90, 100), jaccard.Rule(5, 80, 100)])
-def test_similar_sets_share_an_entry(rule):
+def test_similar_sets_share_an_entry_with_room(rule):
     rng = np.random.default_rng(2)
     for _ in range(600):
-        n = int(rng.integers(1, rng.choice([12, 40, 300])))
+        n = int(rng.integers(1, rng.choice([12, 24, 300])))
         m = int(rng.integers(rule.least(n), rule.most(n) + 1))
         both = rule.overlap(n, m)
-        if 0 < both <= min(n, m):
-            base = rng.integers(1, 2**63, n + m - both).astype(np.uint64)
-            a, b = np.unique(base[:n]), np.unique(base[n - both :])
-            assert set(rule.keys(a).tolist()) & set(rule.keys(b).tolist())
+        if 0 < both <= min(n, m) < n + m - both:
+            a, b = rng.permutation(n), rng.permutation(m)  # shared shingles are the first `both` numbers
+            order = rng.permutation(n + m)
+            a, b = sorted(a, key=lambda x: order[x]), sorted((x if x < both else n + x - both for x in b), key=lambda x: order[x])
+            i, j = next((a.index(x), b.index(x)) for x in a if x in b)
+            assert i < rule.prefix(n) and j < rule.prefix(m) and min(n - i, m - j) >= both
+            assert abs(rule.class_of(n) - rule.class_of(m)) <= 1
+            for boundary in (jaccard.MOST_LIGHT, max(n, m)):
+                if max(n, m) <= min(boundary, jaccard.MOST_LIGHT):
+                    assert both in rule.subset_sizes(n, boundary) and both in rule.subset_sizes(m, boundary)
+
+
+def test_boundary_is_the_one_of_least_cost():
+    rule = jaccard.Rule(3, 90, 100)
+    assert jaccard.choose_boundary({n: (100, 100.0 * 2) for n in range(1, 25)}, rule) < 15
+    assert jaccard.choose_boundary({n: (100, 100.0 * 10**6) for n in range(1, 25)}, rule) == jaccard.MOST_LIGHT
+    assert jaccard.choose_boundary({}, rule) == 0
+
+
+def test_words_that_defeat_polynomial_hashes(spark):
+    """Thue-Morse words collide under every polynomial modulo 2**64."""
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(1, morse), (2, morse.translate(str.maketrans("ab", "ba"))), (3, morse.upper())]
+    got = {r.doc_id: r.component_id for r in jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_words_of_long_texts(monkeypatch):
+    text = "Ab \t" + "x" * 50 + "  é\u2003y\x0b" * 30 + "end"
+    want = jaccard.word_hashes(text).tolist()
+    monkeypatch.setattr(jaccard, "CHUNK", 7)
+    assert jaccard.word_hashes(text).tolist() == want and len(want) == len(words(text))
 
 
 def test_jaccard_of_chains_and_repeated_ids(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -20,16 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or, where unset, a local temporary folder (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; where unset, a temporary folder if Spark runs in this process."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='vesselflow-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
-#: Paths of the tables staged within each open `scratch`.
-_open: list[list[str]] = []
+class _Scratches(threading.local):
+    """Paths of the tables staged within each open `scratch` of a thread."""
+
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_scratches = _Scratches()
 
 
 def stage(df: DataFrame, keep: bool = False) -> DataFrame:
@@ -39,23 +48,33 @@ def stage(df: DataFrame, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
-    if _open and not keep:
-        _open[-1].append(path)
+    if _scratches.open and not keep:
+        _scratches.open[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
 
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Deletes what is staged inside when it ends; results must be staged with keep=True before that."""
-    _open.append([])
+    _scratches.open.append([])
     try:
         yield
     finally:
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for name in _open.pop():
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        for name in _scratches.open.pop():
+            _delete(spark, name)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop(staged: DataFrame) -> None:
+    """Delete a table that `stage` has returned and that nothing will read again, before its `scratch` ends."""
+    _delete(staged.sparkSession, staged._staged)
 
 
 def words(text: Column | str) -> Column:
@@ -75,16 +94,27 @@ def count_chars(text: Column, kind: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{kind}]+", "")).cast("long")
 
 
-#: Bits of the maps of `maybe_in`: 2**18 longs at most, whatever the input.
-MAP_BITS = 24
+#: A map has this many bits for each key, as a power of two, up to the largest map (16 MB); more keys get no map.
+BITS_PER_KEY = 16
+MOST_BITS = 1 << 27
+
+
+def map_bits(n: int) -> int | None:
+    """Bits of a map of n keys, or None where the largest map would be so full that it keeps most other keys."""
+    bits = 1 << max(12, (n * BITS_PER_KEY - 1).bit_length())
+    return min(bits, MOST_BITS) if n * 4 <= MOST_BITS else None
 
 
 def maybe_in(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
-    """`rows` without most of those whose key is not in `wanted`: a bitmap of fixed size is broadcast.
+    """`rows` without most of those whose key is not in `wanted`: a bitmap of bounded size is broadcast.
 
-    It spares the rows that a join would shuffle for nothing; the join itself must follow.
+    It spares the rows that a join would shuffle for nothing; the join itself must follow. `wanted` is read twice, so it
+    should be a staged table. Beyond 2**25 keys the bitmap would keep nearly all rows, so they go on unfiltered.
     """
-    slot = F.pmod(F.xxhash64(*key), F.lit(1 << MAP_BITS))
+    bits = map_bits(wanted.count())
+    if bits is None:
+        return rows
+    slot = F.pmod(F.xxhash64(*key), F.lit(bits))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
     words = wanted.select(F.shiftright(slot, 6).alias("_m"), bit.alias("_b")).groupBy("_m").agg(F.bit_or("_b").alias("_b"))
     got = rows.withColumn("_m", F.shiftright(slot, 6)).join(F.broadcast(words), "_m")

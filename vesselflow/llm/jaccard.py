@@ -1,43 +1,51 @@
-"""N-gram Jaccard join, size-aware: subsets of small sets, inverted lists of large ones.
+"""N-gram Jaccard join, size-aware: subsets of small (light) sets, inverted lists of large (heavy) ones.
 
 Documents are sets of word shingles. Equal sets are found by a 128-bit digest and stand for each other from then on. A
-set of at most `boundary` shingles lists its fixed-size subsets: two such sets of the needed overlap c share a subset
-of exactly c shingles. The boundary is where, by size, the subsets outnumber what the other way costs. There, sets of a
-size class are cut by a hash of the shingle into more parts than two similar sets can have differing shingles (plus
-some for parts left empty), so that at least one part with shingles in it is equal; each part is an entry of an
-inverted list, and the lists are scanned. A list's members are first checked against the least of them only; members
-that this leaves in different components are checked among each other behind a sketch whose distance never exceeds the
-number of differing shingles. Every link is verified on the sets themselves, so no link is lost or made up.
-
-Sizes: about a fifth of a shingle's count in list entries per set at 0.9. A list of any length is streamed through its
-task in sorted order; the checks among members of long lists are split into blocks.
+first pass counts all shingles in a table of fixed size; by these counts, rare before common, every set is ordered the
+same way. Two similar sets then share a shingle among the first n - least(n) + 1 of each (n: its size, least(n): the
+least size of a similar one), so these are the entries of the inverted lists, one list for a shingle. What many
+documents share stands last in the order and hardly ever in a list. A pair is a candidate where the places of the
+shared shingle leave room for the overlap that similarity needs.
+
+A light set lists its fixed-size subsets instead: two light sets that need an overlap of c share a subset of exactly c
+shingles. The boundary between light and heavy is the one of least cost, from the number of small sets of each size and
+the measured lengths of the lists that they would scan. Light sets that may be similar to heavy ones are in both.
+
+A list's members are first compared with its first member of about their size only; members that this leaves in
+different components are compared among each other, in blocks. Candidates pass a sketch whose distance never exceeds
+the number of differing shingles, and every link is verified on the sets of 64-bit shingle hashes: no link is lost, and
+none is made up but by equal hashes of different shingles of two documents. Lists of shingles that the counts
+show to be very common are split by a hash of the document, so that no list is one task.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vesselflow.llm import _common as C
 from vesselflow.llm.components import components
 
 U = np.uint64
-BASE = 0x9E3779B97F4A7C55 | 1
-SPACES = np.zeros(256, dtype=bool)
-SPACES[[32, *range(9, 14)]] = True
-COUNTERS = 256
-SEEDS = 6
+#: Counters of the shingle counts: a fixed 2 MB, whatever the input. Any counts give an order that is right.
+SLOTS = 1 << 18
+#: Sets of more shingles are heavy, whatever the costs.
+MOST_LIGHT = 24
+COUNTERS = 128
 LIST_BLOCK = 2048
-#: Bits of the map of candidates that the second scan reads: a fixed 1 MB, whatever the input.
-MAP_BITS = 23
+#: Bytes of a text that are split into words at once, and documents that are handled at once.
+CHUNK = 1 << 20
+DOCS = 500
+#: Words whose hashes a process remembers.
+REMEMBERED = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -47,34 +55,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-@functools.lru_cache(maxsize=1)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    up, down = np.full(n, BASE, dtype=U), np.full(n, pow(BASE, -1, 1 << 64), dtype=U)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+class _WordHashes(dict):
+    """64-bit hash of a word; those of short words are remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word, seed=0x5EED)
+        if len(word) <= 32:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = h
+        return h
+
+
+_hashes = _WordHashes()
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word of the text, A-Z lower-cased; long texts are read in pieces at word ends."""
-    data = np.frombuffer(text.encode("utf-8", "replace").lower(), dtype=np.uint8)
-    word = np.empty(len(data) + 2, dtype=np.int8)
-    word[0] = word[-1] = 0
-    word[1:-1] = ~SPACES[data]
-    edge = np.diff(word)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    out, at = np.empty(len(starts), dtype=U), 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + (1 << 17), "right")))
-        lo, hi = starts[at], ends[to - 1]
-        up, down = _powers(max(17, int(hi - lo).bit_length()))
-        sums = np.empty(hi - lo + 1, dtype=U)
-        sums[0] = 0
-        np.cumsum((data[lo:hi].astype(U) + U(1)) * up[: hi - lo], out=sums[1:])
-        s, e = starts[at:to] - lo, ends[at:to] - lo
-        out[at:to] = mix((sums[e] - sums[s]) * down[s])
+    """A 64-bit hash of each word of the text, A-Z lower-cased; long texts are split in pieces that end between words."""
+    data, out, at = text.encode("utf-8", "replace").lower(), [], 0
+    while at < len(data):
+        to = at + CHUNK
+        while to < len(data) and not data[to : to + 1].isspace():
+            to += 1
+        some = data[at:to].split()
+        out.append(np.fromiter(map(_hashes.__getitem__, some), dtype=U, count=len(some)))
         at = to
-    return out
+    return out[0] if len(out) == 1 else np.concatenate([np.empty(0, dtype=U), *out])
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -90,99 +96,75 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique(x)
 
 
+@functools.lru_cache(maxsize=256)
+def _choices(n: int, c: int) -> np.ndarray:
+    """Places of all subsets of c of n."""
+    return np.array(list(itertools.combinations(range(n), c)), dtype=np.int64).reshape(-1, c)
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Similar: den * intersection >= num * union, of sets of k-word shingles."""
+    """Similar: den * intersection >= num * union, of sets of k-word shingles. Lists are split into parts of about `part` documents."""
 
     k: int = 3
     num: int = 90
     den: int = 100
+    part: int = 20_000
 
-    def overlap(self, n: int, m: int) -> int:
+    def overlap(self, n, m):
         """Least intersection of similar sets of n and m shingles."""
         return -(-self.num * (n + m) // (self.num + self.den))
 
+    def overlap_column(self, n: Column, m: Column) -> Column:
+        return F.ceil(self.num * (n + m) / (self.num + self.den))
+
     def least(self, n: int) -> int:
         return -(-self.num * n // self.den)
 
     def most(self, n: int) -> int:
         return self.den * n // self.num
 
-    def drops(self, n: int, boundary: int) -> list[int]:
-        """Sizes of the subsets that a set of n lists to meet all similar sets up to the boundary."""
+    def prefix(self, n: int) -> int:
+        """Shingles of a set of n among whose first ones two similar sets, in one order, share one."""
+        return n - self.least(n) + 1
+
+    def alone(self, n: int) -> bool:
+        """Whether only equal sets are similar to one of n shingles."""
+        return self.least(n) == n == self.most(n)
+
+    def subset_sizes(self, n: int, boundary: int) -> list[int]:
+        """Sizes of the subsets that a set of n lists to meet all similar, not equal sets up to the boundary."""
         sizes = {self.overlap(n, m) for m in range(self.least(n), min(self.most(n), boundary) + 1)}
-        return sorted(c for c in sizes if c <= n)
+        return sorted(c for c in sizes if c < n or (c == n and self.most(n) > n))
+
+    def n_subsets(self, n: int, boundary: int) -> int:
+        return sum(len(_choices(n, c)) for c in self.subset_sizes(n, boundary))
 
     @functools.cached_property
     def starts(self) -> list[int]:
-        """First sizes of the size classes, growing by half."""
+        """First sizes of the size classes, growing by half; similar sets are in one class or in neighbours."""
         out = [1]
         while out[-1] < 1 << 40:
             out.append(max(out[-1] + 1, out[-1] * 3 // 2))
         return out
 
-    def of_class(self, k: int) -> tuple[int, int]:
-        """(parts, parts that may be empty) of the sets whose smaller one is in class k."""
-        n = self.starts[k + 1] - 1
-        differ = max(n + m - 2 * self.overlap(n, m) for m in (n, self.most(n)))
-        differ = max(differ, 0) + 1
-        parts = differ + 1
-        for _ in range(4):
-            empty = parts * math.exp(-self.starts[k] / parts)
-            spare = math.ceil(empty + 3 * math.sqrt(empty)) if empty > 0.05 else 1
-            parts = differ + 1 + spare
-        return parts, spare
-
-    @functools.cached_property
-    def boundary(self) -> int:
-        """Largest size up to which listing subsets costs no more than list entries and scanning the set for a candidate."""
-        n = 0
-        while n < 64:
-            subsets = sum(math.comb(n + 1, c) for c in self.drops(n + 1, n + 1))
-            if subsets > 2 * self.of_class(self.class_of(n + 1))[0] + n + 1:
-                break
-            n += 1
-        return n
-
     def class_of(self, n: int) -> int:
         return int(np.searchsorted(self.starts, n, "right")) - 1
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        """Entries of the set in subset and list tables."""
-        n, out = len(s), []
-        if not n:
-            return np.empty(0, dtype=U)
-        x, v = self.boundary, mix(s + U(0x1234567))
-        if n <= x:
-            total = int(v.sum(dtype=U))
-            for c in self.drops(n, x):
-                for gone in itertools.combinations(v.tolist(), n - c):
-                    out.append(np.array([(total - sum(gone)) % (1 << 64) ^ (c << 56)], dtype=U))
-        classes = set()
-        if self.most(n) > x:
-            classes.add(self.class_of(n))
-        if n > x:
-            classes.update(range(self.class_of(self.least(n)), self.class_of(n) + 1))
-        for k in classes:
-            parts, spare = self.of_class(k)
-            for seed in range(SEEDS):
-                part = (mix(s + U((k * SEEDS + seed + 1) * 0xD6E8FEB86659FD93 % (1 << 64))) % U(parts)).astype(np.int64)
-                count = np.bincount(part, minlength=parts)
-                if n < 1 << 20:
-                    low = np.bincount(part, weights=(v & U(0xFFFFFFFF)).astype(float), minlength=parts).astype(U)
-                    high = np.bincount(part, weights=(v >> U(32)).astype(float), minlength=parts).astype(U)
-                    sums = low + (high << U(32))
-                else:
-                    sums = np.zeros(parts, dtype=U)
-                    np.add.at(sums, part, v)
-                key = mix(sums + mix(np.arange(parts, dtype=U) + U((k * SEEDS + seed + 1) << 32)))
-                full = count > 0
-                # Similar sets agree in more parts than may be empty; sets with more empty ones are dealt anew.
-                if parts - full.sum() <= spare or seed == SEEDS - 1:
-                    out.append(key if seed == SEEDS - 1 else key[full])
-                    break
-                out.append(key[full])
-        return mix(np.concatenate(out)) if out else np.empty(0, dtype=U)
+
+def choose_boundary(measured: dict[int, tuple[int, float]], rule: Rule) -> int:
+    """The boundary of least cost. measured: size -> (number of sets, length of the lists that these would scan)."""
+
+    def cost(x: int) -> float:
+        out = 0.0
+        for n, (docs, scan) in measured.items():
+            if n <= x:
+                out += docs * rule.n_subsets(n, x)
+            if n > x or rule.most(n) > x:
+                out += scan
+        return out
+
+    return min(range(MOST_LIGHT + 1), key=cost)
 
 
 def _texts(batch: pa.RecordBatch):
@@ -193,111 +175,272 @@ def _long(x) -> pa.Array:
     return pa.array(np.asarray(x, dtype=U).view(np.int64), pa.int64())
 
 
+def _lists(sets: list[np.ndarray | None]) -> pa.Array:
+    """A list column; None is null."""
+    ends = np.cumsum([0, *(0 if s is None else len(s) for s in sets)])
+    offsets = pa.array([int(e) for e in ends], pa.int32(), mask=np.array([*(s is None for s in sets), False]))
+    return pa.ListArray.from_arrays(offsets, _long(np.concatenate([np.empty(0, dtype=U), *(s for s in sets if s is not None)])))
+
+
+def _sketch(s: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((s & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS), 255).astype(np.uint8).tobytes()
+
+
+def _slots(s: np.ndarray) -> np.ndarray:
+    return (s >> U(40)).astype(np.int64) & (SLOTS - 1)
+
+
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n, s1, s2 (digest of the set) and keys of every row."""
+    """Rows with slot null: doc_id, n, s1, s2 (digest of the set), sketch, small (a small set's shingles). Others: slot, count of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, dtype=np.int64)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch, rows = whole.slice(at, 500), []
-                for doc, text in _texts(batch):
-                    s = shingles(text, rule.k)
-                    keys = rule.keys(s) if doc is not None else s[:0]
-                    rows.append((doc, len(s), int(mix(s).sum(dtype=U)), int(mix(s * U(3) + U(1)).sum(dtype=U)), keys))
-                ends = np.cumsum([0, *(len(r[4]) for r in rows)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _long(np.concatenate([r[4] for r in rows]) if rows else []))
-                ids = pa.array([r[0] for r in rows], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows], pa.int64()), _long([r[2] for r in rows]), _long([r[3] for r in rows]), lists], ["doc_id", "n", "s1", "s2", "keys"])
+            for at in range(0, whole.num_rows, DOCS):
+                rows = [(doc, shingles(text, rule.k)) for doc, text in _texts(whole.slice(at, DOCS))]
+                sets = [s for _, s in rows]
+                counts += np.bincount(_slots(np.concatenate(sets)), minlength=SLOTS)
+                none = pa.nulls(len(rows), pa.int64())
+                s1, s2 = _long([int(mix(s).sum(dtype=U)) for s in sets]), _long([int(mix(s * U(3) + U(1)).sum(dtype=U)) for s in sets])
+                small = _lists([s if doc is not None and 0 < len(s) <= MOST_LIGHT else None for doc, s in rows])
+                ids, n = pa.array([d for d, _ in rows], pa.int64()), pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, ids, n, s1, s2, pa.array(map(_sketch, sets), pa.binary()), small], names)
+        slot = np.flatnonzero(counts)
+        none = pa.nulls(len(slot), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot]), none, none, none, none, pa.nulls(len(slot), pa.binary()), pa.nulls(len(slot), pa.list_(pa.int64()))], names)
+
+    names = ["slot", "count", "doc_id", "n", "s1", "s2", "sketch", "small"]
+    return docs.select("doc_id", "text").mapInArrow(run, "slot long, count long, doc_id long, n long, s1 long, s2 long, sketch binary, small array<long>")
+
+
+def shingle_counts(described: DataFrame) -> np.ndarray:
+    """Count by slot; SLOTS numbers, whatever the input."""
+    got = described.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("count").alias("count")).toPandas()
+    out = np.zeros(SLOTS, dtype=np.int64)
+    out[got["slot"].to_numpy(dtype=np.int64)] = got["count"].to_numpy()
+    return out
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, keys array<long>")
 
+def beyond_chance(counts: np.ndarray) -> np.ndarray:
+    """What a slot's count exceeds the middle one by, 1 at least: about the length of the list of a common shingle in it."""
+    return np.maximum(1, counts - int(np.median(counts)))
 
-def shared_lists(described: DataFrame, rule: Rule) -> DataFrame:
-    """key, id, pivot: the members of all lists of two documents or more, with the list's least id."""
+
+def measure(small: DataFrame, counts, rule: Rule) -> dict[int, tuple[int, float]]:
+    """size -> (number of small sets, sum of the lengths of the lists that they scan)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = first = None  # the list that goes on from the batch before, and whether its first member is out
-        out = False
+        length = beyond_chance(counts.value)
+        docs, scan = np.zeros(MOST_LIGHT + 1, dtype=np.int64), np.zeros(MOST_LIGHT + 1)
         for batch in batches:
-            key, id_ = (batch.column(i).to_numpy() for i in (0, 1))
-            if not len(key):
-                continue
-            new = np.empty(len(key), dtype=bool)
-            new[0] = key[0] != last_key
-            new[1:] = key[1:] != key[:-1]
-            at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-            pivot = np.where(at >= 0, id_[at], first if first is not None else 0)
-            other = id_ != pivot
-            # The first member of a list is sent as soon as a second one is seen.
-            seconds = np.flatnonzero(other)
-            lists, where = np.unique(at[seconds], return_index=True)
-            heads = [w for a, w in zip(lists, where, strict=True) if a >= 0 or not out]
-            rows = np.concatenate([seconds, seconds[heads]]) if len(seconds) else seconds
-            ids = np.concatenate([id_[seconds], pivot[seconds[heads]]]) if len(seconds) else seconds
-            if len(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(ids), pa.array(pivot[rows])], ["key", "id", "pivot"])
-            carried = at[-1] < 0
-            out = bool(len(lists) and lists[-1] == at[-1]) or (carried and out)
-            last_key, first = key[-1], pivot[-1]
-
-    spark = described.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = described.where(F.col("doc_id").isNotNull()).select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    return entries.repartition(parts, "key").sortWithinPartitions("key", "id").mapInArrow(run, "key long, id long, pivot long")
+            for s in batch.column(0):
+                own = np.sort(length[_slots(s.values.to_numpy().view(U))])
+                docs[len(own)] += 1
+                scan[len(own)] += own[: rule.prefix(len(own))].sum()
+        n = np.flatnonzero(docs)
+        yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(docs[n]), pa.array(scan[n])], ["n", "docs", "scan"])
 
+    found = small.select("small").mapInArrow(run, "n long, docs long, scan double").groupBy("n").agg(F.sum("docs"), F.sum("scan")).collect()
+    return {n: (docs, scan) for n, docs, scan in found}
+
+
+ENTRY = "key long, part long, cls int, id long, n long, at long"
+
+
+def _entries(key: np.ndarray, length: np.ndarray, doc: int, n: int, at: np.ndarray, rule: Rule) -> tuple[np.ndarray, ...]:
+    parts = 1 + length // rule.part
+    part = np.where(parts > 1, int(mix(np.array([doc], dtype=np.int64).view(U))[0] >> U(1)) % parts, -1)
+    return key.view(np.int64), part, np.full(len(key), rule.class_of(n), dtype=np.int32), np.full(len(key), doc), np.full(len(key), n), at
 
-def candidate_map(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over hashes of the ids, as bytes; other ids may share a bit."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(1 << MAP_BITS))
-    word = ids.select(F.shiftright(slot, 5).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(32)).cast("int")).alias("b"))
-    got = word.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
-    out = np.zeros(1 << (MAP_BITS - 5), dtype=np.uint32)
-    out[got["w"].to_numpy()] = got["b"].to_numpy()
-    return out
+
+def heavy_entries(docs: DataFrame, reps: DataFrame, counts, boundary: int, rule: Rule) -> DataFrame:
+    """Entries of the inverted lists: key, part (-1: the list is whole), cls, id, n, at (place of the shingle in the set's order)."""
+    known = Bitmap.of(reps, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, out, total = counts.value, [], 0
+        length = beyond_chance(count)
+        for whole in batches:
+            for doc, text in _texts(known.filter(whole)):
+                s = shingles(text, rule.k) if doc is not None else ()
+                n = len(s)
+                if not n or rule.alone(n) or rule.most(n) <= boundary:
+                    continue
+                slot, p = _slots(s), rule.prefix(n)
+                order = np.lexsort((s, count[slot]))[:p]
+                out.append(_entries(s[order], length[slot[order]], doc, n, np.arange(p), rule))
+                total += p
+                if total > 50_000:
+                    yield _batch(out)
+                    out, total = [], 0
+        if out:
+            yield _batch(out)
+
+    return known.slot(docs.select("doc_id", "text"), "doc_id").mapInArrow(run, ENTRY)
+
+
+def light_entries(small: DataFrame, counts, boundary: int, rule: Rule) -> DataFrame:
+    """Entries of the subsets of small sets, like those of the lists; subsets have no place (0), and keys of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length, out, total = beyond_chance(counts.value), [], 0
+        for batch in batches:
+            for doc, s in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = s.values.to_numpy().view(U)
+                n, own, v = len(s), length[_slots(s)], mix(s + U(0x1234567))
+                for c in rule.subset_sizes(n, boundary):
+                    some = _choices(n, c)
+                    key = mix(v[some].sum(axis=1, dtype=U) ^ U(c << 56))
+                    out.append(_entries(key, own[some].min(axis=1), doc, n, np.zeros(len(some), dtype=np.int64), rule))
+                    total += len(some)
+                if total > 50_000:
+                    yield _batch(out)
+                    out, total = [], 0
+        if out:
+            yield _batch(out)
+
+    return small.where(F.col("n") <= boundary).select("doc_id", "small").mapInArrow(run, ENTRY)
+
+
+def _batch(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], ["key", "part", "cls", "id", "n", "at"])
+
+
+def shared_lists(entries: DataFrame) -> DataFrame:
+    """The entries of lists of two and more (or of parts of lists), each with its head: the first member of its size class.
+
+    A head has the head of the class before, where that is the next smaller one. Lists are streamed in sorted order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sent = None, False  # head of the last list's last class, and whether it has been sent
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch] if held is None else [held, batch])
+            cols = [table.column(i).to_numpy() for i in range(6)]
+            key, part, cls, id_, n, at = cols
+            new_list = np.ones(len(key), dtype=bool)
+            new_list[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+            new_class = new_list.copy()
+            new_class[1:] |= cls[1:] != cls[:-1]
+            place = np.arange(len(key))
+            head = np.maximum.accumulate(np.where(new_class, place, 0))
+            last = head[-1]
+            shared = ~new_list | (part >= 0)
+            shared[:-1] |= ~new_list[1:]
+            before = np.concatenate([[0], head[:-1]])
+            step = new_class & ~new_list
+            step[1:] &= cls[1:] == cls[before[1:]] + 1
+            to = np.where(step, before, head)
+            go = shared.copy()
+            if held is not None:
+                go[0] &= not sent
+            some = np.flatnonzero(go)
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*(c[some] for c in cols), id_[to[some]], n[to[some]], at[to[some]])], [*batch.schema.names, "h_id", "h_n", "h_at"])
+            sent = bool(shared[last]) or (held is not None and last == 0 and sent)
+            held = pa.RecordBatch.from_arrays([pa.array(c[last : last + 1]) for c in cols], schema=batch.schema)
+
+    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return entries.repartition(parts, "key", "part").sortWithinPartitions("key", "part", "cls", "id").mapInArrow(run, f"{ENTRY}, h_id long, h_n long, h_at long")
+
+
+class Bitmap:
+    """A bitmap over hashes of ids, on every executor; other ids may share a bit. Too many ids for one get none (see map_bits)."""
+
+    def __init__(self, words, bits: int | None) -> None:
+        self.words, self.bits = words, bits
+
+    @classmethod
+    def of(cls, ids: DataFrame, name: str) -> Bitmap:
+        """ids is read twice: a staged table."""
+        bits = C.map_bits(ids.count())
+        if bits is None:
+            return cls(None, None)
+        slot = F.pmod(F.xxhash64(name), F.lit(bits))
+        word = ids.select(F.shiftright(slot, 5).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(32)).cast("int")).alias("b"))
+        got = word.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+        out = np.zeros(bits >> 5, dtype=np.uint32)
+        out[got["w"].to_numpy(dtype=np.int64)] = got["b"].to_numpy(dtype=np.int64)
+        return cls(ids.sparkSession.sparkContext.broadcast(out), bits)
+
+    def slot(self, rows: DataFrame, name: str) -> DataFrame:
+        """rows with the slot of the id as the last column."""
+        return rows.withColumn("_slot", F.pmod(F.xxhash64(name), F.lit(self.bits or 1)).cast("int"))
+
+    def filter(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows of a batch, with the slot as the last column, whose id may be in the map."""
+        if self.bits is None:
+            return batch
+        slot = batch.column(batch.num_columns - 1).to_numpy()
+        return batch.take(pa.array(np.flatnonzero((self.words.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1)))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
-    """id, n, s (array of hashes), sketch of the documents in `ids`: their texts are read again, no text is shuffled."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(candidate_map(ids))
+    """id, s (array of hashes) of the documents in `ids` (staged): their texts are read again, no text is shuffled."""
+    known = Bitmap.of(ids, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            slot = whole.column(2).to_numpy()
-            keep = np.flatnonzero((bits.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1)
-            for at in range(0, len(keep), 500):
-                some = whole.take(pa.array(keep[at : at + 500]))
-                rows = [(doc, shingles(text, rule.k)) for doc, text in _texts(some) if doc is not None]
+            some = known.filter(whole)
+            for at in range(0, some.num_rows, DOCS):
+                rows = [(doc, shingles(text, rule.k)) for doc, text in _texts(some.slice(at, DOCS)) if doc is not None]
                 rows = [(doc, s) for doc, s in rows if len(s)]
-                if not rows:
-                    continue
-                ends = np.cumsum([0, *(len(s) for _, s in rows)])
-                sets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _long(np.concatenate([s for _, s in rows])))
-                sketch = [np.minimum(np.bincount((s % U(COUNTERS)).astype(np.int64), minlength=COUNTERS), 255).astype(np.uint8).tobytes() for _, s in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()), sets, pa.array(sketch, pa.binary())], ["id", "n", "s", "sketch"])
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), _lists([s for _, s in rows])], ["id", "s"])
 
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MAP_BITS)).cast("int")
-    found = docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(run, "id long, n long, s array<long>, sketch binary")
+    found = known.slot(docs.select("doc_id", "text"), "doc_id").mapInArrow(run, "id long, s array<long>")
     return C.stage(found.join(ids, "id", "left_semi"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+def _sketches_allow(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule) -> np.ndarray:
+    """Whether sets of n and m shingles with these sketches may be similar. Counters hold 255 at most, which hides differences only."""
+    differ = np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int64)
+    return differ <= n + m - 2 * rule.overlap(n, m)
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sketches (id, n, sketch) allow a link; staged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, COUNTERS) for c in ("x", "y"))
+                some = pa.array(np.flatnonzero(_sketches_allow(n, m, x, y, rule)))
+                yield batch.select(["a", "b"]).take(some)
+
+    x = sketches.select(F.col("id").alias("a"), "n", F.col("sketch").alias("x"))
+    y = sketches.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    met = pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
+    return C.stage(met.distinct())
+
+
+def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sets are similar; staged. Only the sets of documents in pairs are made."""
+    ids = C.stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    sets = sets_of(docs, ids, rule)
     a, b = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(a, "a").join(b, "b").where(rule.den * both >= rule.num * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
+    out = C.stage(pairs.join(a, "a").join(b, "b").where(rule.den * both >= rule.num * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct())
+    C.drop(sets)
+    return out
 
 
 def other_pairs(members: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) of one list, of different components, whose sketches allow a link. members: key, id, component."""
-    tests = members.groupBy("key").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", "c")
-    open_ = members.join(tests, "key")
-    # A list of more than LIST_BLOCK members is split: every two of its blocks meet once.
+    """Pairs (a, b) of one list, of different components, that may be linked. members: key, part, id, n, at, component.
+
+    Whole lists of two have been settled by their head. A list of more than LIST_BLOCK members is split: every two of
+    its blocks meet once.
+    """
+    tests = members.groupBy("key").agg(F.count("*").alias("c"), F.max("part").alias("p"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    open_ = members.join(tests.where("lo <> hi AND (c > 2 OR p >= 0)").select("key", "c"), "key")
     n_blocks = F.ceil(F.col("c") / LIST_BLOCK)
     own = F.pmod(F.xxhash64("id"), n_blocks)
     open_ = open_.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)))
-    open_ = open_.select("key", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "id", "component")
-    open_ = open_.join(sketches, "id")
+    open_ = open_.select("key", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "id", "n", "at", "component")
+    open_ = open_.join(sketches, ["id", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -318,22 +461,21 @@ def other_pairs(members: DataFrame, sketches: DataFrame, rule: Rule) -> DataFram
         if sum(b.num_rows for b in held) < 2:
             return
         t = pa.Table.from_batches(held)
-        x, y, own, id_, comp, n = (t.column(c).to_numpy() for c in ("x", "y", "own", "id", "component", "n"))
-        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, COUNTERS).astype(np.int16)
+        x, y, own, id_, at, comp, n = (t.column(c).to_numpy() for c in ("x", "y", "own", "id", "at", "component", "n"))
+        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, COUNTERS)
         for i in range(1, len(id_)):
-            near = np.abs(sk[:i] - sk[i]).sum(axis=1, dtype=np.int64)
-            total = n[:i] + n[i]
-            least = -(-rule.num * total // (rule.num + rule.den))
-            ok = (near <= total - 2 * least) & (least <= np.minimum(n[:i], n[i])) & (comp[:i] != comp[i])
+            need = rule.overlap(n[:i], n[i])
+            ok = (np.minimum(n[:i] - at[:i], n[i] - at[i]) >= need) & (comp[:i] != comp[i])
             if x[0] != y[0]:
                 ok &= own[:i] != own[i]
             j = np.flatnonzero(ok)
+            j = j[_sketches_allow(n[j], n[i], sk[j], sk[i], rule)] if len(j) else j
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(id_[j], id_[i])), pa.array(np.minimum(id_[j], id_[i]))], ["a", "b"])
 
     spark = members.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = open_.select("key", "x", "y", "own", "id", "component", "n", "sketch").repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    dealt = open_.select("key", "x", "y", "own", "id", "at", "component", "n", "sketch").repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -350,28 +492,44 @@ def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def _similar_documents(docs: DataFrame, rule: Rule) -> DataFrame:
-    described = C.stage(describe(docs, rule))
-    class_of = described.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    class_of = C.stage(class_of)
-    known = described.select("doc_id", "n", "s1", "s2").where("n > 0 AND doc_id IS NOT NULL").join(class_of, ["n", "s1", "s2"]).select(F.col("doc_id").alias("id"), "rep").distinct()
-    known = C.stage(known)
+    spark = docs.sparkSession
+    everything = C.stage(describe(docs, rule))
+    counts = spark.sparkContext.broadcast(shingle_counts(everything))
+    described = everything.where("slot IS NULL")
+    known = described.where("n > 0 AND doc_id IS NOT NULL")
+    class_of = C.stage(known.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")))
+    mine = known.select("doc_id", "n", "s1", "s2").join(class_of, ["n", "s1", "s2"]).select(F.col("doc_id").alias("id"), "rep").distinct()
 
     # A document stands for its set by the set's least document; one with several texts stands for itself and links them.
-    same = known.groupBy("id").agg(F.count("*").alias("c"), F.min("rep").alias("rep"))
-    several = C.stage(known.join(same.where("c > 1").select("id"), "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    same = same.select("id", F.when(F.col("c") > 1, F.col("id")).otherwise(F.col("rep")).alias("rep"))
-
-    lists = C.stage(shared_lists(described, rule))
-    first = lists.groupBy("id").agg(F.min("pivot").alias("pivot")).join(same, "id").select("pivot", F.col("rep").alias("a"))
-    first = first.join(same.select(F.col("id").alias("pivot"), F.col("rep").alias("b")), "pivot").where("a <> b")
-    first = C.stage(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    members = C.stage(lists.join(same, "id").select("key", F.col("rep").alias("id")).distinct())
-    sets = sets_of(docs, members.select("id").distinct(), rule)
-
-    links = C.stage(verified(first, sets, rule).unionByName(several))
-    labelled = members.join(components(links), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    rest = C.stage(other_pairs(labelled, sets.select("id", "n", "sketch"), rule).join(first, ["a", "b"], "left_anti"))
-    final = components(links.unionByName(verified(rest, sets, rule)))
+    same = C.stage(mine.groupBy("id").agg(F.collect_set("rep").alias("reps")))
+    several = same.where(F.size("reps") > 1).select(F.col("id").alias("a"), F.explode("reps").alias("b")).where("a <> b")
+    several = C.stage(several.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    same = same.select("id", F.when(F.size("reps") > 1, F.col("id")).otherwise(F.get("reps", F.lit(0))).alias("rep"))
+    reps = C.stage(same.select(F.col("rep").alias("doc_id")).unionByName(class_of.select(F.col("rep").alias("doc_id"))).distinct())
+
+    small = known.where("small IS NOT NULL").join(reps, "doc_id", "left_semi").select("doc_id", "n", "small")
+    boundary = choose_boundary(measure(small, counts, rule), rule)
+    entries = heavy_entries(docs, reps, counts, boundary, rule).unionByName(light_entries(small, counts, boundary, rule))
+    lists = C.stage(shared_lists(entries))
+
+    # Some ids are not their sets' least ones, where the bitmap of those is full; they have the same lists.
+    members = lists.join(reps, lists["id"] == reps["doc_id"], "left_semi")
+    room = F.least(F.col("n") - F.col("at"), F.col("h_n") - F.col("h_at"))
+    fits = rule.overlap_column(F.col("n"), F.col("h_n")) <= room
+    first = lists.where("id <> h_id").where(fits).select(F.col("id").alias("a"), F.col("h_id").alias("b")).distinct()
+    # The parts of a list meet by their heads.
+    heads = lists.where("part >= 0").groupBy("key", "cls", "part").agg(F.min("id").alias("id"))
+    heads = heads.join(heads.groupBy("key", "cls").agg(F.min("id").alias("b")), ["key", "cls"]).where("id <> b").select(F.col("id").alias("a"), "b")
+    first = first.unionByName(heads)
+    first = first.join(same.select(F.col("id").alias("a"), F.col("rep").alias("ra")), "a").join(same.select(F.col("id").alias("b"), F.col("rep").alias("rb")), "b")
+    first = C.stage(first.where("ra <> rb").select(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).distinct())
+    sketches = C.stage(described.where("n > 0").select(F.col("doc_id").alias("id"), "n", "sketch").join(reps, F.col("id") == reps["doc_id"], "left_semi").distinct())
+
+    links = C.stage(verified(likely(first, sketches, rule), docs, rule).unionByName(several))
+    labelled = members.join(components(links), "id", "left").select("key", "part", "id", "n", "at", F.coalesce("component", "id").alias("component"))
+    rest = C.stage(other_pairs(labelled, sketches, rule).join(first, ["a", "b"], "left_anti"))
+    C.drop(lists)
+    final = components(links.unionByName(verified(rest, docs, rule)))
     out = described.select("doc_id", F.col("n").alias("n_shingles"), "s1", "s2").join(class_of.withColumnRenamed("n", "n_shingles"), ["n_shingles", "s1", "s2"], "left")
     out = out.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "rep", "doc_id"))
