@@ -47,6 +47,66 @@ def test_malformed_declarations_and_open_heads(html, want):
     assert html_text.main_text(html) == want
 
 
+LONG = "A sentence of the story that goes on for quite some time, as stories do. " * 4
+PLAIN = f"""<body><div id="x1"><a href="/">Home</a> <a href="/b">Blog</a> <i>v</i></div><div id="x2"><p>{LONG}<p>{LONG}<p>End.</div>
+<div id="x3"><span>1</span><span>2</span><b>Top</b></div><div id="x4"><i>By</i> <i>us</i></div></body>"""
+LINKS = f"<article><p>{LONG}<p>{LONG}<p>{LONG}<div>{''.join(f'<a href=/{i}>more {i}</a> ' for i in range(20))}</div><p>End.</article>"
+SHORT = f"<article><p>{LONG}<p>{LONG}<div><b>Short</b> <i>line</i></div><p>{LONG}<p>{LONG}</article>"
+
+
+def test_the_threshold_decides():
+    story = LONG.strip()
+    anything = lambda values: min(values) - 1
+    assert html_text.main_text(PLAIN) == f"{story}\n\n{story}\n\nEnd."
+    assert "12Top" in html_text.main_text(PLAIN, threshold=anything)
+    assert html_text.main_text(LINKS) == f"{story}\n\n{story}\n\n{story}\n\nEnd."
+    assert html_text.main_text(SHORT) == f"{story}\n\n{story}\n\nShort line\n\n{story}\n\n{story}"
+    assert "Short" not in html_text.main_text(SHORT, sigma=0.01)  # smoothing keeps a short block between long ones
+
+
+def test_words_of_classes():
+    text = lambda name: html_text.main_text(f'<article><p>{LONG}<div class="{name}"><p>{LONG}x</div></article>').endswith("x")
+    assert all(map(text, ("share-price", "story", "commentary", "adventure box")))
+    assert not any(map(text, ("ad", "box ad-slot", "site-footer", "reader_comments", "Cookie-Notice", "sidebar2")))
+
+
+def test_pages_of_the_table_against_a_second_implementation():
+    import html as entities
+    import re
+
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    for page in pages:
+        article = re.search("<article>(.*)</article>", page, re.S)[1]
+        blocks = [entities.unescape(re.sub("<[^>]*>", "", x.replace("<br>", " "))) for x in re.split("</?(?:p|h1)>", article)]
+        assert html_text.main_text(page) == "\n\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
+    assert len(pages) >= 200
+
+
+@pytest.mark.parametrize("part", ["<div>", "<div></b>", "<ul>", "<!--", "<!-- >", "<a ", "<a b='", "<script><", "<li><ul><blockquote>", "<body><p>", "</", "<![x>"])
+def test_time_is_linear(part):
+    import time
+
+    began = time.process_time()
+    html_text.main_text("<p>x" + part * (200_000 // len(part)) + ">")
+    assert time.process_time() - began < 8
+
+
+def test_comments_and_tags_cut_off():
+    pages = ("<p>a<!-- x --><p>b", "<p>a<!--><p>b", "<p>a<!-- x><p>b", "<p>a<a href='/x", "<p>a <b", "<p>1 < 2")
+    assert [html_text.main_text(x) for x in pages] == ["a\n\nb", "a\n\nb", "a\n\nb", "a", "a", "1 < 2"]
+
+
+def test_extract_of_repeated_and_long_pages_and_of_nothing(spark):
+    rows = [(1, "<p>same"), (1, "<p>same"), (2, "<article>" + "<p>word " * 50_000)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    got = html_text.extract(pages)
+    assert got.columns == ["page_id", "text", "n_chars"]
+    assert sorted((r.page_id, r.n_chars) for r in got.collect()) == [(1, 4), (1, 4), (2, 50_000 * 6 - 2)]
+    assert html_text.extract(pages.limit(0)).collect() == []
+
+
 def test_extract_keeps_other_columns(spark):
     rows = spark.createDataFrame([(1, "u", PAGE, "old"), (2, None, None, "old")], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.url, r.text, r.n_chars) for r in html_text.extract(rows).collect()}

@@ -3,16 +3,19 @@
 The standard library's parser streams events. Block elements cut the page into lines; each line has its text, its
 number of tags and the region (nearest sectioning ancestor) that it stands in. The ratio of text outside links to tags
 is smoothed along the page with a Gaussian, and a two-means clustering of the logarithms gives the threshold. Regions
-whose text lies above it are the content, with all their lines, so that one-word paragraphs of an article stay. Lines
-inside elements that are never content (menus, headers, footers, asides, forms, scripts, adverts, notices, comments, by
-tag or by class, id or role) take part in the smoothing but are never selected.
+whose text lies above it are the content, with all their lines, so that one-word paragraphs stay; regions below it go,
+also inside an article, such as blocks of links. Where a page has an article or main element, regions outside it are
+not considered. Lines inside elements that are never content (menus, headers, footers, asides, forms, scripts, adverts,
+notices, comments, by tag or by class, id or role) take part in the smoothing but are never selected.
+
+Time is in proportion to the page: the open elements are also kept by name, so no tag makes a search of all of them.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -26,7 +29,10 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-REGION = frozenset("article main section div body td blockquote".split())
+REGION = frozenset("article main section div body td".split())
+#: What an open paragraph, and an open element of CLOSES, cannot be closed through.
+PARAGRAPH_STOPS = ("div", "section", "article", "main", "td", "th", "li", "blockquote", "body", "table")
+LIST_STOPS = ("ul", "ol", "dl", "table")
 NEVER = frozenset(
     "script style noscript template head title nav footer aside form button select option textarea input iframe object svg canvas menu dialog "
     "audio video map".split()
@@ -38,12 +44,28 @@ NEVER_WORDS = frozenset(
     "disqus replies respond reader-comments related recommended share sharing social newsletter subscribe signup login search toolbar pagination "
     "pager complementary contentinfo".split()
 )
+#: Words that may stand beside those of NEVER_WORDS: `site-footer` is a footer, `share-price` is no sharing.
+BESIDE = frozenset(
+    "site page main top bottom left right inner outer wrap wrapper container box block section area list item items bar body content global "
+    "primary secondary mobile desktop sticky fixed reader user post article articles posts links link buttons icons form text label row col "
+    "column group media panel unit slot large small".split()
+)
 #: Elements whose start closes an open one of the same group.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: What may stand in a head; any other element, or text, ends it.
 HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 SIGMA = 1.5
-_KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(5)]
+
+
+def _never(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a class, id or role names what is no content: a word of NEVER_WORDS, alone or with words of BESIDE or digits."""
+    for k, v in attrs:
+        if k in ("class", "id", "role") and v:
+            for name in v.lower().split():
+                words = [w for w in re.split(r"[^a-z]+", name) if w]
+                if any(w in NEVER_WORDS for w in words) and all(w in NEVER_WORDS or w in BESIDE for w in words):
+                    return True
+    return False
 
 
 class _Lines(HTMLParser):
@@ -52,14 +74,29 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int, bool]] = []  # tag, never content, region, in an article
+        self.places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
         self.lines: list[list] = []
         self.regions = [False]  # by number: whether inside an article or main element
         self.links = 0
+        self.comments_end = True  # whether a comment's end may follow
         self._cut()
 
     def _state(self) -> tuple[bool, int, bool]:
         return self.stack[-1][1:] if self.stack else (False, 0, False)
 
+    def _push(self, tag: str, never: bool, region: int, article: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, never, region, article))
+
+    def _pop_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.places[self.stack.pop()[0]].pop()
+        self._cut()
+
+    def _last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element of these tags; -1 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def _cut(self) -> None:
         never, region, _ = self._state()
         if self.lines and not self.lines[-1][0]:
@@ -74,13 +111,19 @@ class _Lines(HTMLParser):
         end = self.rawdata.find(">", i)
         return end + 1 if end >= 0 else len(self.rawdata)
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment that is never closed ends at the next `>`, so that no text after it is lost."""
+        end = self.rawdata.find("-->", i + 2) if self.comments_end else -1
+        if end >= 0:
+            return end + 3
+        self.comments_end = False
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def _leave_head(self, tag: str) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == "head":
-                del self.stack[k:]
-                self._cut()
-            elif tag != "body":
-                return
+        head = self._last(("head",))
+        if head >= 0 and (tag == "body" or head == len(self.stack) - 1):
+            self._pop_to(head)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in HEAD:
@@ -89,52 +132,38 @@ class _Lines(HTMLParser):
             self.handle_data(" ")
         if tag in BLOCK or tag in NEVER:
             if tag in BLOCK:
-                self._close_implied(tag)
+                if tag in CLOSES:
+                    self._close_open(CLOSES[tag], LIST_STOPS)
+                self._close_open(("p",), PARAGRAPH_STOPS)
             never, region, article = self._state()
-            words = {w for k, v in attrs if k in ("class", "id", "role") and v for w in re.split(r"[^a-z0-9]+", v.lower())}
-            never = never or tag in NEVER or not NEVER_WORDS.isdisjoint(words) or (not article and (tag == "header" or "header" in words))
+            header = tag == "header" or any(k in ("class", "id", "role") and v and "header" in v.lower().split() for k, v in attrs)
+            never = never or tag in NEVER or _never(attrs) or (header and not article)
             article = article or tag in ("article", "main")
             if tag in REGION:
-                # All of an article is one region.
-                if not (article and self.regions[region]):
-                    self.regions.append(article)
-                    region = len(self.regions) - 1
+                self.regions.append(article)
+                region = len(self.regions) - 1
             if tag not in VOID:
-                self.stack.append((tag, never, region, article))
+                self._push(tag, never, region, article)
+            self._cut()
+        elif tag not in VOID and _never(attrs):
+            _, region, article = self._state()
+            self._push(tag, True, region, article)
             self._cut()
-        elif tag not in VOID:
-            never, region, article = self._state()
-            words = {w for k, v in attrs if k in ("class", "id", "role") and v for w in re.split(r"[^a-z0-9]+", v.lower())}
-            hidden = not NEVER_WORDS.isdisjoint(words)
-            if hidden:
-                self.stack.append((tag, True, region, article))
-                self._cut()
         self.lines[-1][1] += 1
         self.links += tag == "a"
 
-    def _close_implied(self, tag: str) -> None:
-        if tag in CLOSES:
-            self._close_open(CLOSES[tag], {"ul", "ol", "dl", "table"})
-        self._close_open({"p"}, {"div", "section", "article", "main", "td", "th", "li", "blockquote", "body", "table"})
-
-    def _close_open(self, tags: set[str], stop: set[str]) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] in tags:
-                del self.stack[k:]
-                self._cut()
-                return
-            if self.stack[k][0] in stop:
-                return
+    def _close_open(self, tags: Iterable[str], stop: Iterable[str]) -> None:
+        place = self._last(tags)
+        if place > self._last(stop):
+            self._pop_to(place)
 
     def handle_endtag(self, tag: str) -> None:
         self.links = max(0, self.links - (tag == "a"))
         self.lines[-1][1] += 1
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                self._cut()
-                return
-        if tag in BLOCK:
+        place = self._last((tag,))
+        if place >= 0:
+            self._pop_to(place)
+        elif tag in BLOCK:
             self._cut()
 
     def handle_data(self, data: str) -> None:
@@ -145,7 +174,7 @@ class _Lines(HTMLParser):
         line[2] += len(data.strip()) if self.links else 0
 
 
-def _threshold(values: list[float]) -> float:
+def two_means(values: list[float]) -> float:
     """Middle of the two means of the values; below all of them where they are one cluster."""
     low, high = min(values), max(values)
     if high - low < 0.7:  # within a factor of two
@@ -160,32 +189,42 @@ def _threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def main_text(html: str | None) -> str:
-    """The main text; blocks joined by an empty line. Null, empty and text-free pages give ''."""
+def _whole_tags(html: str) -> str:
+    """The page without a tag that its end cuts off, which the parser would take for text."""
+    end = html.rfind(">") + 1
+    open_ = re.compile("<[a-zA-Z/!?]").search(html, end)
+    return html[: open_.start()] if open_ else html
+
+
+def main_text(html: str | None, sigma: float = SIGMA, threshold: Callable[[list[float]], float] = two_means) -> str:
+    """The main text; blocks joined by an empty line. Null, empty and text-free pages give ''.
+
+    The region with the most text above the threshold is always taken.
+    """
     if not html:
         return ""
     parser = _Lines()
-    parser.feed(html)
+    parser.feed(_whole_tags(html))
     parser.close()
     lines = [(" ".join("".join(parts).split()), tags, linked, region, ok) for parts, tags, linked, region, ok in parser.lines]
     lines = [x for x in lines if x[0]]
     if not any(ok for *_, ok in lines):
         return ""
     ratios = [max(0, len(text) - linked) / tags for text, tags, linked, _, _ in lines]
+    kernel = [math.exp(-(k * k) / (2 * sigma * sigma)) for k in range(5)]
     smooth = []
     for i in range(len(ratios)):
-        near = [(ratios[j], _KERNEL[abs(i - j)]) for j in range(max(0, i - 4), min(len(ratios), i + 5))]
+        near = [(ratios[j], kernel[abs(i - j)]) for j in range(max(0, i - 4), min(len(ratios), i + 5))]
         smooth.append(math.log1p(sum(r * w for r, w in near) / sum(w for _, w in near)))
-    cut = _threshold(smooth)
+    cut = threshold(smooth)
     mass: dict[int, list[float]] = {}
-    for (text, _, linked, region, ok), s, r in zip(lines, smooth, ratios, strict=True):
+    for (text, _, linked, region, ok), x in zip(lines, smooth, strict=True):
         if ok:
             m = mass.setdefault(region, [0.0, 0.0, 0.0])
             m[0] += len(text)
-            m[1] += len(text) * s
+            m[1] += len(text) * x
             m[2] += linked
-    inside = {k for k in mass if parser.regions[k]}
-    pool = inside or set(mass)
+    pool = {k for k in mass if parser.regions[k]} or set(mass)
     best = max(pool, key=lambda k: mass[k][1])
     chosen = {k for k in pool if mass[k][1] / mass[k][0] >= cut and mass[k][2] <= 0.5 * mass[k][0]} | {best}
     return "\n\n".join(text for text, _, _, region, ok in lines if ok and region in chosen)
