@@ -1,10 +1,15 @@
 """Edited copies of pictures by local descriptors, Hamming tables and geometric consensus.
 
-A picture is a binary PGM (P5, 8 bit). Corners are found at several scales, each is turned to the direction of its
-patch's centroid, and 128 comparisons of smoothed pixels give its descriptor. Descriptors within `MAX_BITS` of each other
-are matches: all of them are found, by tables of seven disjoint chunks probed up to two bits away. A match fixes how the query
-lies on the picture (turn, scale, shift); matches vote for overlapping cells of these, and a pair is reported when
-enough corners of the query agree on one cell. Equal pictures are found by digest first and stand for each other.
+A picture is a binary PGM (P5, 8 bit). Corners (maxima of their neighbourhood, as many as the picture has) are found on
+a pyramid of scales down to the smallest usable size; each is turned to the direction of its patch's centroid, and 128
+comparisons of smoothed pixels give its descriptor. Descriptors within `MAX_BITS` of each other are matches: all of them
+are found, by tables of eight disjoint chunks of bits probed up to one bit away. A match says how the query lies on the
+picture (turn, scale, place). Matches of a pair that agree on that refit one similarity transform, and the pair is
+reported when enough corners of the query follow it. Equal pictures are found by digest first and stand for each other.
+
+The corners of the queries go out in blocks of bounded size; a task describes its pictures, matches them with the block
+and settles each pair on the spot, as all corners of a picture and of a query are together there. Nothing but the found
+pairs is shuffled, so that common descriptors and large groups of copies crowd no task.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from __future__ import annotations
 import itertools
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,28 +26,35 @@ from pyspark.sql import functions as F
 
 from vesselflow.llm import _common as C
 
-SCALES = (1.0, 0.75)
-PER_SCALE = 24
+#: Each step of the pyramid is smaller by this.
+STEP = 0.8
 RADIUS = 8
-TURNS = 24
+#: A corner is the strongest within this distance along either axis.
+APART = 4
+TURNS = 36
 TESTS = 128
-MAX_BITS = 20
+MAX_BITS = 15
+#: Corners of the query that must agree: so many, and this share of the corners of the one of the pair that has fewer.
 MIN_AGREE = 6
-CELL = 6.0
-#: Two descriptors at most MAX_BITS apart are at most MAX_BITS // 7 = PROBED apart in one of seven disjoint chunks.
-CHUNKS = (18, 18, 18, 18, 18, 19, 19)
+MIN_SHARE = 0.1
+#: Two descriptors at most MAX_BITS apart are at most MAX_BITS // len(CHUNKS) = PROBED apart in one of the disjoint chunks.
+CHUNKS = (16,) * 8
 PROBED = MAX_BITS // len(CHUNKS)
 _starts = [sum(CHUNKS[:i]) for i in range(len(CHUNKS))]
-#: Asked corners in one block (their probe tables take about 5 kB each), and candidates compared at once.
-QUERY_BLOCK = 1 << 15
+#: Corners of the queries in one block, candidates compared at once, and pictures handled at once.
+QUERY_BLOCK = 1 << 17
 CANDIDATES = 1 << 20
+PICTURES = 100
 
 _rng = np.random.default_rng(20240601)
 _points = np.clip(_rng.normal(0, 3.2, (TESTS, 2, 2)), -RADIUS + 2, RADIUS - 2)
 _angles = 2 * np.pi * np.arange(TURNS) / TURNS
 _turned = np.stack([np.stack([_points[..., 0] * np.cos(a) - _points[..., 1] * np.sin(a), _points[..., 0] * np.sin(a) + _points[..., 1] * np.cos(a)], -1) for a in _angles])
-_turned = np.rint(_turned).astype(np.int64)  # turn, test, end, (dy, dx)
-_disk = np.array([(y, x) for y in range(-7, 8) for x in range(-7, 8) if y * y + x * x <= 49])
+_turned = np.rint(_turned).astype(np.int64)  # turn, test, end, (x, y)
+_disk = np.array([(y, x) for y in range(-6, 7) for x in range(-6, 7) if y * y + x * x <= 36])
+#: Pictures of a smaller side have too little detail to tell corners apart.
+SMALLEST = 30
+CORNER = np.dtype([("x", "<f4"), ("y", "<f4"), ("scale", "<f4"), ("turn", "<i4"), ("d0", "<i8"), ("d1", "<i8")])
 
 
 def to_pgm(pixels: np.ndarray) -> bytes:
@@ -58,69 +70,97 @@ def from_pgm(data: bytes | None) -> np.ndarray | None:
     return np.frombuffer(data, np.uint8, w * h, head.end()).reshape(h, w) if w * h and len(data) >= head.end() + w * h else None
 
 
-def _box(a: np.ndarray, r: int) -> np.ndarray:
-    """Mean over squares of 2r+1, edges repeated."""
-    p = np.pad(a, r + 1, mode="edge")[:-1, :-1].cumsum(0).cumsum(1)
-    k = 2 * r + 1
-    return (p[k:, k:] - p[:-k, k:] - p[k:, :-k] + p[:-k, :-k]) / (k * k)
+def _weights(n: int, scale: float) -> np.ndarray:
+    """Rows of triangle-filter weights that bring n pixels to about n * scale."""
+    at = (np.arange(max(1, round(n * scale))) + 0.5) / scale - 0.5
+    w = np.maximum(0, 1 - np.abs(at[:, None] - np.arange(n)) * min(1.0, scale)).astype(np.float32)
+    return w / np.maximum(w.sum(axis=1, keepdims=True), 1e-6)
 
 
-def _resize(a: np.ndarray, scale: float) -> np.ndarray:
-    if scale == 1.0:
-        return a
-    h, w = max(1, round(a.shape[0] * scale)), max(1, round(a.shape[1] * scale))
-    y, x = (np.arange(h) + 0.5) / scale - 0.5, (np.arange(w) + 0.5) / scale - 0.5
-    y, x = np.clip(y, 0, a.shape[0] - 1), np.clip(x, 0, a.shape[1] - 1)
-    y0, x0 = np.minimum(y.astype(int), max(a.shape[0] - 2, 0)), np.minimum(x.astype(int), max(a.shape[1] - 2, 0))
-    y1, x1 = np.minimum(y0 + 1, a.shape[0] - 1), np.minimum(x0 + 1, a.shape[1] - 1)
-    fy, fx = (y - y0)[:, None], x - x0
-    return (a[y0][:, x0] * (1 - fx) + a[y0][:, x1] * fx) * (1 - fy) + (a[y1][:, x0] * (1 - fx) + a[y1][:, x1] * fx) * fy
+def resize(a: np.ndarray, scale: float) -> np.ndarray:
+    """Picture, or stack of pictures, at another scale."""
+    return a if scale == 1.0 else np.matmul(np.matmul(_weights(a.shape[-2], scale), a), _weights(a.shape[-1], scale).T)
 
 
-def describe(pixels: np.ndarray) -> list[tuple[float, float, float, int, int, int]]:
-    """(x, y, scale, turn, d0, d1) of the corners, in pixels of the whole picture."""
-    out = []
-    for scale in SCALES:
-        a = _resize(pixels.astype(np.float32), scale)
-        if min(a.shape) < 2 * RADIUS + 5:
+def _sum3(a: np.ndarray) -> np.ndarray:
+    """Sums over squares of three; one pixel of border is lost."""
+    a = a[..., :-2, :] + a[..., 1:-1, :] + a[..., 2:, :]
+    return a[..., :-2] + a[..., 1:-1] + a[..., 2:]
+
+
+def _highest(a: np.ndarray, reach: int) -> np.ndarray:
+    """Maximum within `reach` along either axis."""
+    for axis in (-2, -1):
+        pad = [(0, 0)] * (a.ndim - 2) + [(reach, reach) if axis == k else (0, 0) for k in (-2, -1)]
+        p, width = np.pad(a, pad, constant_values=-np.inf), 1
+        cut = lambda x, lo, hi, axis=axis: x[..., lo : x.shape[-2] - hi, :] if axis == -2 else x[..., lo : x.shape[-1] - hi]
+        while width < 2 * reach + 1:
+            step = min(width, 2 * reach + 1 - width)
+            p = np.maximum(cut(p, 0, step), cut(p, step, 0))
+            width += step
+        a = p
+    return a
+
+
+def describe(stack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the picture, CORNER) of the corners of a stack of pictures of one size; places in pixels of the whole picture."""
+    pics, out, scale = [np.zeros(0, np.int64)], [np.zeros(0, CORNER)], 1.0
+    edge = RADIUS + 1
+    whole = stack.astype(np.float32)
+    while True:
+        a = resize(whole, scale)
+        if min(a.shape[-2:]) < SMALLEST:
             break
-        s = _box(a, 1)
-        gy, gx = np.gradient(s)
-        xx, yy, xy = _box(gx * gx, 1), _box(gy * gy, 1), _box(gx * gy, 1)
+        s = _sum3(a)
+        gy, gx = s[:, 2:, 1:-1] - s[:, :-2, 1:-1], s[:, 1:-1, 2:] - s[:, 1:-1, :-2]
+        xx, yy, xy = _sum3(gx * gx), _sum3(gy * gy), _sum3(gx * gy)
         r = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
-        r = r[RADIUS:-RADIUS, RADIUS:-RADIUS]
-        top = np.pad(r, 1, constant_values=-np.inf)
-        top = np.maximum(np.maximum(top[:-2], top[1:-1]), top[2:])
-        top = np.maximum(np.maximum(top[:, :-2], top[:, 1:-1]), top[:, 2:])
-        y, x = np.nonzero((r >= top) & (r > 1e-6))
-        best = np.argsort(-r[y, x], kind="stable")[:PER_SCALE]
-        y, x = y[best] + RADIUS, x[best] + RADIUS
-        patch = s[y[:, None] + _disk[:, 0], x[:, None] + _disk[:, 1]]
-        turn = np.rint(np.arctan2(patch @ _disk[:, 0], patch @ _disk[:, 1]) / (2 * np.pi) * TURNS).astype(int) % TURNS
-        at = _turned[turn]
-        v = s[y[:, None, None] + at[..., 1], x[:, None, None] + at[..., 0]]
+        high = (r >= _highest(r, APART)) & (r > 1.0)
+        m = edge - 3  # r begins three pixels inside
+        pic, y, x = np.nonzero(high[:, m : high.shape[1] - m, m : high.shape[2] - m])
+        y, x = y + edge - 1, x + edge - 1  # in s, which begins one pixel inside
+        flat, width = s.reshape(len(s), -1), s.shape[2]
+        at = y * width + x
+        patch = flat[pic[:, None], at[:, None] + (_disk[:, 0] * width + _disk[:, 1])]
+        turn = np.rint(np.arctan2(patch @ _disk[:, 0].astype(np.float32), patch @ _disk[:, 1].astype(np.float32)) / (2 * np.pi) * TURNS).astype(np.int64) % TURNS
+        ends = (_turned[..., 1] * width + _turned[..., 0])[turn]
+        v = flat[pic[:, None, None], at[:, None, None] + ends]
         bits = np.packbits(v[..., 0] < v[..., 1], axis=1, bitorder="little").view(np.int64)
-        out += [(float(px / scale), float(py / scale), scale, int(t), int(b[0]), int(b[1])) for px, py, t, b in zip(x, y, turn, bits, strict=True)]
-    return out
+        found = np.empty(len(pic), CORNER)
+        found["x"], found["y"], found["scale"], found["turn"] = (x + 1.5) / scale - 0.5, (y + 1.5) / scale - 0.5, scale, turn
+        found["d0"], found["d1"] = bits[:, 0], bits[:, 1]
+        pics.append(pic)
+        out.append(found)
+        scale *= STEP
+    pics, out = np.concatenate(pics), np.concatenate(out)
+    order = np.argsort(pics, kind="stable")
+    return pics[order], out[order]
 
 
 def corners(images: DataFrame) -> DataFrame:
-    """id, kp, x, y, scale, turn, d0, d1, tag (hash of the bytes) of every corner of every picture (id, image); no rows for what is no picture."""
+    """id, tag (hash of the bytes), corners (CORNER items) of every picture (id, image) that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch, rows = whole.slice(at, 200), []
-                for i, data, tag in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    pixels = from_pgm(data)
+            for at in range(0, whole.num_rows, PICTURES):
+                batch = whole.slice(at, PICTURES)
+                by_shape: dict[tuple, list] = {}
+                for k, data in enumerate(batch.column(1)):
+                    pixels = from_pgm(data.as_py())
                     if pixels is not None:
-                        rows += [(i, k, *x, tag) for k, x in enumerate(describe(pixels))]
-                if rows:
-                    kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["id", "kp", "x", "y", "scale", "turn", "d0", "d1", "tag"])
+                        by_shape.setdefault(pixels.shape, []).append((k, pixels))
+                rows, data = [], []
+                for some in by_shape.values():
+                    pic, found = describe(np.stack([p for _, p in some]))
+                    ends = np.searchsorted(pic, np.arange(len(some) + 1))
+                    for (k, _), lo, hi in zip(some, ends[:-1], ends[1:], strict=True):
+                        if hi > lo:
+                            rows.append(k)
+                            data.append(found[lo:hi].tobytes())
+                got = batch.take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([got.column(0), got.column(2), pa.array(data, pa.binary())], ["id", "tag", "corners"])
 
-    tagged = images.select("id", "image", F.xxhash64("image").alias("tag"))
-    return tagged.mapInArrow(run, "id long, kp int, x double, y double, scale double, turn int, d0 long, d1 long, tag long")
+    return images.select("id", "image", F.xxhash64("image").alias("tag")).mapInArrow(run, "id long, tag long, corners binary")
 
 
 def _chunks(d0: np.ndarray, d1: np.ndarray) -> list[np.ndarray]:
@@ -141,16 +181,16 @@ def probe_tables(d0: np.ndarray, d1: np.ndarray) -> list[tuple[np.ndarray, np.nd
         flips = [sum(1 << b for b in some) for k in range(PROBED + 1) for some in itertools.combinations(range(bits), k)]
         near = (chunk[:, None] ^ np.array(flips)).astype(np.int32).ravel()
         rows = (np.argsort(near, kind="stable") // len(flips)).astype(np.int32)
-        out.append((np.concatenate([[0], np.bincount(near, minlength=1 << bits).cumsum()]), rows))
+        out.append((np.concatenate([[0], np.bincount(near, minlength=1 << bits).cumsum()]).astype(np.int32), rows))
     return out
 
 
 def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All (row of d, row of q) at most MAX_BITS apart, each once; the tables are those of q."""
     found = [np.zeros(0, np.int64)]
-    u0, u1, v0, v1 = (x.view(np.uint64) for x in (d0, d1, q0, q1))  # bits of a negative number are those of its absolute value
-    for chunk, (starts, rows) in zip(_chunks(d0, d1), tables, strict=True):
-        first, n = starts[chunk], starts[chunk + 1] - starts[chunk]
+    u0, u1, v0, v1 = (np.ascontiguousarray(x).view(np.uint64) for x in (d0, d1, q0, q1))  # bits of a negative number are those of its absolute value
+    for chunk, (starts, rows) in zip(_chunks(np.ascontiguousarray(d0), np.ascontiguousarray(d1)), tables, strict=True):
+        first, n = starts[chunk].astype(np.int64), (starts[chunk + 1] - starts[chunk]).astype(np.int64)
         ends = n.cumsum()
         # Slices of a bounded number of candidates, whatever the tables hold; one descriptor meets each q once at most.
         lo = 0
@@ -158,51 +198,110 @@ def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1
             done = ends[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(ends, done + CANDIDATES, "right")))
             m = n[lo:hi]
-            a = np.repeat(np.arange(lo, hi), m)
             b = rows[np.arange(m.sum()) + np.repeat(first[lo:hi] - (ends[lo:hi] - m - done), m)]
-            apart = np.bitwise_count(u0[a] ^ v0[b]) + np.bitwise_count(u1[a] ^ v1[b])
-            near = apart <= MAX_BITS
+            apart = np.bitwise_count(np.repeat(u0[lo:hi], m) ^ v0[b])
+            some = np.flatnonzero(apart <= MAX_BITS)
+            a, b = np.repeat(np.arange(lo, hi), m)[some], b[some]
+            near = apart[some] + np.bitwise_count(u1[a] ^ v1[b]) <= MAX_BITS
             found.append(a[near] * len(q0) + b[near])
             lo = hi
     pairs = np.unique(np.concatenate(found))
     return pairs // max(1, len(q0)), pairs % max(1, len(q0))
 
 
+def agreeing(q: np.ndarray, p: np.ndarray) -> int:
+    """Most corners of the query that follow one similarity transform, from the matches q[i], p[i] of a pair.
+
+    Every match is a hypothesis; the matches that lie within its error are refitted by least squares, and those near
+    the fitted transform count.
+    """
+    zq, zp = q["x"] + 1j * q["y"], p["x"] + 1j * p["y"]
+    own = (q["scale"] / p["scale"]) * np.exp(2j * np.pi * (p["turn"] - q["turn"]) / TURNS)
+    best = 0
+    # Hypotheses in slices, so that memory is bounded for pairs with very many matches.
+    for lo in range(0, len(q), 256):
+        h = slice(lo, lo + 256)
+        off = np.abs(zp[h, None] + own[h, None] * (zq[None] - zq[h, None]) - zp[None])
+        reach = 3 + 0.25 * np.abs(zp[None] - zp[h, None])
+        alike = np.abs(np.log(own[None] / own[h, None])) < 0.55
+        close = (off <= reach) & alike
+        for k in np.argsort(-close.sum(axis=1), kind="stable")[:3]:
+            some = close[k]
+            for _ in range(2):
+                if some.sum() < 2:
+                    break
+                cq, cp = zq[some].mean(), zp[some].mean()
+                dq = zq[some] - cq
+                power = (np.abs(dq) ** 2).sum()
+                if not power:
+                    break
+                m = (np.conj(dq) * (zp[some] - cp)).sum() / power
+                some = (np.abs(cp + m * (zq - cq) - zp) <= 2.0 + 0.02 * np.abs(zp - cp)) & (np.abs(np.log(own / m)) < 0.55) if m else np.zeros(len(q), bool)
+            best = max(best, len(np.unique(zq[some])))
+    return best
+
+
+def likely_pairs(pair: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Which pairs (numbers from 0) have MIN_AGREE matches of about the same turn and scale: bins overlap in both."""
+    steps = np.rint(np.log(q["scale"] / p["scale"]) / np.log(STEP)).astype(np.int64) + 64
+    turn = (p["turn"].astype(np.int64) - q["turn"]) % TURNS // 4
+    bins = np.concatenate([(pair * 128 + steps + i) * 16 + (turn + j) % (TURNS // 4) for i in (0, 1) for j in (0, 1)])
+    value, count = np.unique(bins, return_counts=True)
+    return np.unique(value[count >= MIN_AGREE] // (128 * 16))
+
+
 #: Probe tables of the query block that this process works on, by its name.
 _ready: dict[str, list] = {}
 
 
-def descriptor_matches(known: DataFrame, asked: DataFrame) -> DataFrame:
-    """The columns of both sides (asked ones with q_) of all corners at most MAX_BITS apart; staged.
+def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
+    """q_id, id, tag, n_agree of the pairs with MIN_AGREE agreeing corners; both sides as from `corners`, asked staged.
 
-    The asked corners go to the executors in blocks of about QUERY_BLOCK, one pass over the known ones for each. Nothing is
-    shuffled, so that common descriptors crowd no task.
+    The asked corners go to the executors in blocks of about QUERY_BLOCK, one pass over the known ones for each.
     """
     spark = asked.sparkSession
-    n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    total = asked.agg(F.coalesce(F.sum(F.length("corners")), F.lit(0))).first()[0] // CORNER.itemsize
+    n_blocks = max(1, -(-total // QUERY_BLOCK))
     if n_blocks > 1:
         known = C.stage(known)
-    dealt = asked.withColumn("_block", F.pmod(F.xxhash64("id", "kp"), F.lit(n_blocks)))
-    fields = [f for f in asked.schema if f.name != "tag"]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in known.schema] + [f"q_{f.name} {f.dataType.simpleString()}" for f in fields])
+    dealt = asked.withColumn("_block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
     out = None
     for k in range(n_blocks):
-        block = dealt.where(F.col("_block") == k).select(*(f.name for f in fields)).toArrow().combine_chunks()
-        sent, name = spark.sparkContext.broadcast({c: block[c].to_numpy() for c in block.column_names}), uuid.uuid4().hex
+        block = dealt.where(F.col("_block") == k).select("id", "corners").toArrow().combine_chunks()
+        data = block["corners"].to_pylist()
+        q_ids = np.repeat(block["id"].to_numpy().astype(np.int64), [len(x) // CORNER.itemsize for x in data])
+        sent, name = spark.sparkContext.broadcast((q_ids, np.frombuffer(b"".join(data), CORNER))), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
-            q = sent.value
-            for batch in batches:
+            q_ids, q = sent.value
+            q0, q1 = (np.ascontiguousarray(q[c]) for c in ("d0", "d1"))
+            _, which, q_size = np.unique(q_ids, return_inverse=True, return_counts=True)
+            q_size = q_size[which]
+            for whole in batches:
                 if name not in _ready:
                     _ready.clear()
-                    _ready[name] = probe_tables(q["d0"], q["d1"])
-                d0, d1 = (batch.column(c).to_numpy() for c in ("d0", "d1"))
-                a, b = within_bits(d0, d1, _ready[name], q["d0"], q["d1"])
-                if len(a):
-                    got = [*batch.take(pa.array(a)).columns, *(pa.array(v[b]) for v in q.values())]
-                    yield pa.RecordBatch.from_arrays(got, [*batch.schema.names, *(f"q_{c}" for c in q)])
-
-        met = C.stage(known.mapInArrow(run, schema))
+                    _ready[name] = probe_tables(q0, q1)
+                for at in range(0, whole.num_rows, PICTURES):
+                    batch, rows = whole.slice(at, PICTURES), []
+                    data = batch.column(2).to_pylist()
+                    d_size = np.array([len(x) // CORNER.itemsize for x in data])
+                    pic = np.repeat(np.arange(len(data)), d_size)
+                    d = np.frombuffer(b"".join(data), CORNER)
+                    a, b = within_bits(d["d0"], d["d1"], _ready[name], q0, q1)
+                    order = np.lexsort((pic[a], q_ids[b]))
+                    a, b = a[order], b[order]
+                    new = np.flatnonzero((np.diff(pic[a]) != 0) | (np.diff(q_ids[b]) != 0)) + 1
+                    starts, ends = np.concatenate([[0], new]), np.concatenate([new, [len(a)]])
+                    for k in likely_pairs(np.repeat(np.arange(len(starts)), ends - starts), q[b], d[a]):
+                        lo, hi = starts[k], ends[k]
+                        n = agreeing(q[b[lo:hi]], d[a[lo:hi]])
+                        if n >= max(MIN_AGREE, MIN_SHARE * min(q_size[b[lo]], d_size[pic[a[lo]]])):
+                            rows.append((int(q_ids[b[lo]]), int(pic[a[lo]]), n))
+                    if rows:
+                        one = batch.take(pa.array([r[1] for r in rows]))
+                        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), one.column(0), one.column(1), pa.array([r[2] for r in rows])], ["q_id", "id", "tag", "n_agree"])
+
+        met = C.stage(known.mapInArrow(run, "q_id long, id long, tag long, n_agree long"))
         out = met if out is None else out.unionByName(met)
         sent.destroy()
     return out
@@ -213,10 +312,11 @@ def find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
 
     Pictures with equal bytes are one class: id is the least of them and n_copies their number. Null, empty and broken
     pictures match nothing; so do plain ones, which have no corners. Equal queries are answered each.
-    Rows of one id with other bytes count as one picture with the corners of all. The result is a table in the shared folder.
+    Rows of one id with other bytes are judged each, and the best of them counts; pictures and queries without id take no
+    part. The result is a table in the shared folder.
     """
     with C.scratch(images.sparkSession):
-        return C.stage(_find_copies(images, queries), keep=True)
+        return C.stage(_find_copies(images.where("id IS NOT NULL"), queries.where("id IS NOT NULL")), keep=True)
 
 
 def _find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
@@ -225,44 +325,64 @@ def _find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
     asked = C.stage(corners(queries))
     # Pictures are never shuffled: copies go by a bitmap before the corners are sought, the rest of them by the join after.
     firsts = C.maybe_in(images.where("image IS NOT NULL").withColumn("tag", F.xxhash64("image")), classes, "id", "tag")
-    met = descriptor_matches(corners(firsts), asked).join(classes.select("id", "tag"), ["id", "tag"], "left_semi")
-    matches = met.select("q_id", "q_kp", "id", "kp", "q_x", "q_y", "x", "y", "q_scale", "scale", "q_turn", "turn").distinct()
-    # Where the query's origin lies on the picture if the match is right.
-    grow = F.col("q_scale") / F.col("scale")
-    turn = F.pmod(F.col("turn") - F.col("q_turn"), F.lit(TURNS))
-    angle = turn * (2 * np.pi / TURNS)
-    ox = F.col("x") - grow * (F.cos(angle) * F.col("q_x") - F.sin(angle) * F.col("q_y"))
-    oy = F.col("y") - grow * (F.sin(angle) * F.col("q_x") + F.cos(angle) * F.col("q_y"))
-    both = lambda v: F.array(*(F.floor(v / CELL + 0.5 * k) * 2 + k for k in (0, 1)))
-    votes = matches.select("q_id", "id", "q_kp", F.round(F.log(grow) / 0.223).alias("g"), F.floor(F.pmod(turn + 1, F.lit(TURNS)) / 3).alias("t"), F.explode(both(ox)).alias("cx"), oy.alias("oy"))
-    votes = votes.withColumn("cy", F.explode(both(F.col("oy"))))
-    agree = votes.groupBy("q_id", "id", "g", "t", "cx", "cy").agg(F.countDistinct("q_kp").alias("n"))
-    best = agree.groupBy("q_id", "id").agg(F.max("n").alias("n_agree")).where(F.col("n_agree") >= MIN_AGREE)
-    return best.join(classes.groupBy("id").agg(F.sum("n_copies").alias("n_copies")), "id").select(F.col("q_id").alias("query_id"), "id", "n_copies", "n_agree")
+    met = matched_pairs(corners(firsts), asked).join(classes, ["id", "tag"])
+    best = met.groupBy("q_id", "id", "tag").agg(F.max("n_agree").alias("n_agree"), F.max("n_copies").alias("n_copies"))
+    return best.groupBy(F.col("q_id").alias("query_id"), "id").agg(F.sum("n_copies").alias("n_copies"), F.max("n_agree").alias("n_agree"))
 
 
 def rendered(data: bytes, cells: int = 40) -> np.ndarray:
     """A grey picture of all bytes of a page: laid out in rows of cells, further layers added to them."""
-    b = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
-    flat = np.zeros(-(-max(1, len(b)) // (cells * cells)) * cells * cells, dtype=np.int64)
-    flat[: len(b)] = b * 37
-    grey = flat.reshape(-1, cells, cells).sum(axis=0) % 256
-    return np.rint(_box(np.kron(grey, np.ones((2, 2))), 1)).astype(np.uint8)
+    area = cells * cells
+    grey = np.zeros(area, dtype=np.uint8)  # sums are modulo 256
+    for at in range(0, len(data), area):
+        layer = np.frombuffer(data, np.uint8, min(area, len(data) - at), at)
+        grey[: len(layer)] += layer
+    grey = np.repeat(np.repeat((grey * np.uint8(37)).reshape(cells, cells), 2, axis=0), 2, axis=1)
+    return np.rint(_sum3(np.pad(grey.astype(np.float32), 1, mode="edge")) / 9).astype(np.uint8)
 
 
-def edited(pixels: np.ndarray) -> np.ndarray:
+def _cropped(pixels: np.ndarray) -> np.ndarray:
     """A cropped, darker, slightly uneven copy."""
     h, w = pixels.shape
     part = pixels[h // 10 : h - h // 12, w // 8 : w - w // 16].astype(float) * 0.8 + 20
-    part += np.linspace(0, 6, part.shape[1])
-    return np.clip(np.rint(part), 0, 255).astype(np.uint8)
+    return part + np.linspace(0, 6, part.shape[1])
+
+
+def turned(pixels: np.ndarray, degrees: float) -> np.ndarray:
+    """Turned about the middle, as large as before; what was outside is grey."""
+    h, w = pixels.shape
+    y, x = np.mgrid[:h, :w] - np.array([(h - 1) / 2, (w - 1) / 2])[:, None, None]
+    a = np.deg2rad(degrees)
+    y, x = y * np.cos(a) - x * np.sin(a) + (h - 1) / 2, y * np.sin(a) + x * np.cos(a) + (w - 1) / 2
+    y0, x0 = np.clip(np.floor(y).astype(int), 0, h - 2), np.clip(np.floor(x).astype(int), 0, w - 2)
+    fy, fx, p = y - y0, x - x0, pixels.astype(float)
+    out = (p[y0, x0] * (1 - fx) + p[y0, x0 + 1] * fx) * (1 - fy) + (p[y0 + 1, x0] * (1 - fx) + p[y0 + 1, x0 + 1] * fx) * fy
+    return np.where((y < 0) | (x < 0) | (y > h - 1) | (x > w - 1), 128, out)
+
 
+#: How the pictures of the query set are edited, in turn.
+EDITS: tuple[Callable[[np.ndarray], np.ndarray], ...] = (
+    _cropped,
+    lambda p: np.rot90(_cropped(p)),
+    lambda p: resize(p.astype(np.float32), 1.25),
+    lambda p: resize(p.astype(np.float32), 0.75),
+    lambda p: turned(p, 20),
+    lambda p: p[: p.shape[0] * 2 // 3, p.shape[1] // 3 :] * 1.1,
+)
 
-def _pictures(pages: DataFrame, change) -> DataFrame:
+
+def edited(pixels: np.ndarray, number: int) -> np.ndarray:
+    return np.clip(np.rint(EDITS[number % len(EDITS)](pixels)), 0, 255).astype(np.uint8)
+
+
+def _pictures(pages: DataFrame, change: Callable[[int, np.ndarray], np.ndarray]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = [None if x is None else to_pgm(change(rendered(x.encode("utf-8", "replace")))) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "image"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, PICTURES):
+                batch = whole.slice(at, PICTURES)
+                rows = zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+                data = [to_pgm(change(i, rendered(x.as_py().encode("utf-8", "replace")))) if x.is_valid else None for i, x in rows]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "image"])
 
     return pages.select(F.col("page_id").alias("id"), "html").mapInArrow(run, "id long, image binary")
 
@@ -270,4 +390,4 @@ def _pictures(pages: DataFrame, change) -> DataFrame:
 def op6_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edited copies of the pictures of all pages whose id is divisible by 50, searched in the pictures of all pages."""
     pages = C.table(spark, sf_dir, "pages")
-    return find_copies(_pictures(pages, lambda x: x), _pictures(pages.where("page_id % 50 = 0"), edited))
+    return find_copies(_pictures(pages, lambda i, x: x), _pictures(pages.where("page_id % 50 = 0"), lambda i, x: edited(x, i // 50)))
