@@ -2,12 +2,13 @@
 
 Every source has a target number of words. A document of a source is wanted `m = target / source words` times: the
 whole part of `m` copies are certain and its fraction is an inclusion probability. The flight phase moves the
-probabilities of a block of documents through the null space of the two balancing equations (words and documents) until
-at most two of them are still fractions; what is left of all blocks forms the next, far smaller round, until each
-source is one block. There the landing phase settles the last fractions with the least error in words.
+probabilities of a block of documents through the null space of the two balancing equations (words and documents): the
+longest open document goes up or down, all shorter ones give way a little, and each step settles at least one. A block
+keeps its shortest documents open; what is left of all blocks forms the next, far smaller round, until each source is
+one block, where two of the shortest documents stay open. The landing phase settles these with the least error in words.
 
-A block is chosen by a hash of the document, so a source of any size is split evenly, and within a block long documents
-move first, so that short ones are left to land. Random numbers are seeded by source, round and block: reruns agree.
+A block is chosen by a hash of the document, so a source of any size is split evenly. Random numbers are seeded by
+source, round and block: reruns agree.
 """
 
 from __future__ import annotations
@@ -16,42 +17,49 @@ import itertools
 import random
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vesselflow.llm import _common as C
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3.0
-BLOCK = 512
+BLOCK = 4096
+#: Open documents that a block leaves to the next round.
+LEFT = 32
 TINY = 1e-9
 
 
-def flight(sizes: Sequence[float], probs: list[float], rng: random.Random) -> list[int]:
-    """Move `probs` in place, keeping sum(p) and sum(size * p); returns the places (two at most) still fractional."""
-    open_ = [i for i, p in enumerate(probs) if TINY < p < 1 - TINY]
-    held: list[int] = []
-    for i in open_:
-        held.append(i)
-        while len(held) == 3:
-            a, b, c = (sizes[j] for j in held)
-            u = (c - b, a - c, b - a) if not a == b == c else (1.0, -1.0, 0.0)
-            up = down = float("inf")
-            for j, x in zip(held, u, strict=True):
-                if x > 0:
-                    up, down = min(up, (1 - probs[j]) / x), min(down, probs[j] / x)
-                elif x < 0:
-                    up, down = min(up, -probs[j] / x), min(down, (probs[j] - 1) / x)
-            step = up if rng.random() * (up + down) < down else -down
-            for j, x in zip(held, u, strict=True):
-                p = probs[j] + step * x
-                probs[j] = 0.0 if p < TINY else 1.0 if p > 1 - TINY else p
-            held = [j for j in held if 0 < probs[j] < 1]
-    return held
-
-
-def land(sizes: Sequence[float], probs: list[float], held: list[int]) -> None:
+def flight(sizes: np.ndarray, probs: np.ndarray, rng: random.Random, leave: int = 2) -> np.ndarray:
+    """Move `probs` in place, keeping sum(p) and sum(size * p), until at most `leave` are fractional; returns their places.
+
+    sizes is in falling order. Where the open documents can't keep both sums, words alone are kept.
+    """
+    live = np.flatnonzero((probs > TINY) & (probs < 1 - TINY))
+    while len(live) > max(leave, 1):
+        a, p = sizes[live].astype(float), probs[live]
+        u = np.zeros(len(live))
+        u[0], x, w = 1.0, a[1:], p[1:] * (1 - p[1:])
+        s0, s1, s2 = w.sum(), (w * x).sum(), (w * x * x).sum()
+        det = s0 * s2 - s1 * s1
+        if det > 1e-9 * s0 * s2:
+            u[1:] = -w * ((s2 - s1 * a[0]) / det + x * (s0 * a[0] - s1) / det)
+        elif a[0] > 0 and s2 > 0:
+            u[1:] = -w * x * a[0] / s2
+        with np.errstate(divide="ignore"):
+            room = np.where(u > 0, (1 - p) / u, np.where(u < 0, -p / u, np.inf)), np.where(u > 0, p / u, np.where(u < 0, (p - 1) / u, np.inf))
+        up, down = room[0].min(), room[1].min()
+        p += u * (up if rng.random() * (up + down) < down else -down)
+        p[p < TINY], p[p > 1 - TINY] = 0.0, 1.0
+        probs[live] = p
+        live = live[(p > 0) & (p < 1)]
+    return live
+
+
+def land(sizes: np.ndarray, probs: np.ndarray, held: np.ndarray) -> None:
     """Settle the last fractions: of their (at most four) outcomes, that with the least error in words, then in documents."""
     words, docs = sum(sizes[i] * probs[i] for i in held), sum(probs[i] for i in held)
     error = lambda x: (abs(sum(sizes[i] * v for i, v in zip(held, x, strict=True)) - words), abs(sum(x) - docs))
@@ -62,8 +70,8 @@ def land(sizes: Sequence[float], probs: list[float], held: list[int]) -> None:
 def _move(seed: int, last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        sizes, probs = pdf["size"].tolist(), pdf["p"].tolist()
-        held = flight(sizes, probs, random.Random(f"{seed}/{pdf['_rank'].iat[0]}/{pdf['_block'].iat[0]}"))
+        sizes, probs = pdf["size"].to_numpy(), pdf["p"].to_numpy(copy=True)
+        held = flight(sizes, probs, random.Random(f"{seed}/{pdf['_rank'].iat[0]}/{pdf['_block'].iat[0]}"), 2 if last else LEFT)
         if last:
             land(sizes, probs, held)
         pdf["p"] = probs
@@ -80,9 +88,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: f
     """
     spark = sizes.sparkSession
     per = C.stage(sizes.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size")))
-    # A global sort and positions by partition: the number of sources is not bounded by one task.
-    ranked = per.orderBy(F.col("source").asc_nulls_last()).rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    per = C.stage(spark.createDataFrame(ranked, "source string, n_docs long, source_size long, _rank long"))
+    # Places within ranges of sources, after the sources of the ranges before: the number of sources is not bounded by one task.
+    order = F.col("source").asc_nulls_last()
+    dealt = C.stage(per.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).withColumn("_part", F.spark_partition_id()))
+    before = dealt.groupBy("_part").agg(F.count("*").alias("n"))
+    before = before.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
+    per = C.stage(dealt.withColumn("_place", place).join(before, "_part").withColumn("_rank", F.col("_place") + F.col("_before")).drop("_part", "_place", "_before"))
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("_rank") % len(weights) + 1).cast("int"))
     per = per.withColumn("_w", weight)
     total = per.agg(F.sum("source_size")).first()[0] or 0
@@ -136,8 +148,8 @@ def _mix(docs: DataFrame, weights: Sequence[float], most: float, seed: int, bloc
             break
         open_ = (F.col("p") > 0) & (F.col("p") < 1)
         done.append(moved.where(~open_))
-        units = moved.where(open_).withColumn("_blocks", F.ceil(F.col("_blocks") * 2 / block)).drop("_block")
-        most_blocks, rounds = -(-most_blocks * 2 // block), rounds + 1
+        units = moved.where(open_).withColumn("_blocks", F.ceil(F.col("_blocks") * LEFT / block)).drop("_block")
+        most_blocks, rounds = -(-most_blocks * LEFT // block), rounds + 1
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
