@@ -291,17 +291,68 @@ def test_binomial_tail(spark):
         assert abs(p - want) < 1e-9
 
 
-def test_cutoffs_keep_the_risk(spark):
-    good = [(i, " ".join(f"w{(i * 7 + k) % 91}x{k}" for k in range(30)) + (" ***" if i % 50 == 0 else ""), "en") for i in range(3000)]
-    bad = [(i, " ".join(f"w{k}x{i % 97}***" for k in range(30)), "en") for i in range(3000, 3200)]
-    few = [(i, " ".join(f"w{k}x{i % 97}***" for k in range(30)), "xx") for i in range(4000, 4020)]
-    docs = spark.createDataFrame(good + bad + few, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, int(i < 3000 or i >= 4000)) for i, *_ in good + bad + few], "doc_id long, quality int")
+def brute_kept(rows, labels, fit):
+    """doc_id -> verdict, for rows of (doc_id, text, lang) and labels of doc_id -> quality; fit: ids that give the rules."""
+    from math import comb
+
+    def bins(text):
+        text, w = text or "", words(text)
+        n, chars, symbols, dup, rep = brute_counts(text)
+        lines = sum(bool(words(x)) for x in text.split("\n"))
+        parts = ((symbols, chars), (sum(text.count(x) for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), chars), (text.count("!"), chars), (dup, lines), (rep, n))
+        return n < 10 or 100 * rep > 20 * n, [a * quality.BINS // max(1, b) for a, b in parts]
+
+    seen = {doc: (lang, *bins(text)) for doc, text, lang in rows}
+    good = [d for d in seen if labels.get(d) == 1 and not seen[d][1]]
+    langs = {seen[d][0] for d in good}
+    level = quality.LEVEL / (len(langs) + 1)
+    tail = lambda x, n: sum(comb(n, i) * 0.01**i * 0.99 ** (n - i) for i in range(x + 1)) if x < 0.01 * n else 1.0
+    held = collections.Counter(seen[d][0] for d in good if d not in fit)
+    of = {x: x if 0.99 ** held[x] <= level else "" for x in langs}
+    cut = {}
+    for stratum in set(of.values()):
+        a = [seen[d][2] for d in good if of[seen[d][0]] == stratum and d in fit]
+        b = [seen[d][2] for d in good if of[seen[d][0]] == stratum and d not in fit]
+        for j in range(quality.STEPS + 1) if a else ():
+            c = [min(v for v in {x[k] for x in a} if sum(x[k] > v for x in a) <= len(a) * 0.01 * j / quality.STEPS) for k in range(5)]
+            if tail(sum(any(x > y for x, y in zip(r, c)) for r in b), len(b)) > level:
+                break
+            cut[stratum] = c
+    return {d: not failed and not any(x > y for x, y in zip(v, cut.get(of.get(lang), [10**9] * 5))) for d, (lang, failed, v) in seen.items()}
+
+
+def test_kept_against_brute_force(spark):
+    rng = np.random.default_rng(6)
+    text = lambda i, k: " ".join(f"W{(i * 7 + n) % 91}x{n}" if n % k else f"w{n}!*" for n in range(1, 31))
+    sizes = {"en": (2500, 200), "de": (500, 40), "fr": (400, 40), "xx": (0, 30)}
+    rows, labels = [], {}
+    for lang, (n, bad) in sizes.items():
+        for i in range(n + bad):
+            doc = len(rows)
+            rows.append((doc, text(int(rng.integers(0, 90)), int(rng.integers(8, 40)) if i < n and i % 150 else 2 if i < n else 1), lang))
+            labels[doc] = int(i < n)
+    rows += [(len(rows), None, None), (len(rows) + 1, "", "en")]
+    labels |= {0: 0, len(rows) - 1: 1}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([*labels.items(), (0, 1), (None, 1)], "doc_id long, quality int")
+    from pyspark.sql import functions as F
+
+    fit = {r.doc_id for r in docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(quality.FIT)) == 0).collect()}
+    want = brute_kept(rows, labels, fit)
     scored = quality.signals(docs)
-    kept = {r.doc_id for r in quality.judge(scored, quality.certified_cutoffs(scored, labels)).where("kept").collect()}
-    assert sum(i in kept for i in range(3000)) >= 0.95 * 3000
-    assert not any(i in kept for i in range(3000, 3200))
-    assert all(i in kept for i in range(4000, 4020))  # too few labels: nothing is certified
+    with mixing.C.scratch(spark):
+        got = {r.doc_id: r.kept for r in quality.judge(scored, quality.certified_cutoffs(scored, marks)).collect()}
+    assert got == want
+    kept = lambda lang, good: [want[d] for d, _, x in rows if x == lang and labels.get(d) == good]
+    assert all(sum(kept(x, 1)) >= 0.98 * len(kept(x, 1)) and sum(kept(x, 0)) <= 1 for x in ("en", "de", "fr"))
+    assert all(kept("xx", 0))  # no label there is good: nothing is certified
+
+
+def test_signals_keep_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "a b", "mine", 7, None), (1, "a b", "mine", 7, None)], "doc_id long, text string, _w string, n_words int, `a.b` string")
+    got = quality.signals(rows)
+    assert got.columns == ["doc_id", "text", "_w", "a.b", *quality.COUNTS]
+    assert [(r._w, r.n_words) for r in got.collect()] == [("mine", 2)] * 2
 
 
 def test_quality_of_nothing(nothing, spark):

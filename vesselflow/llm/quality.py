@@ -1,14 +1,18 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each signal of a document ("higher is worse") has a fixed sequence of cutoffs from loose to strict. On the labelled
-good documents of a stratum the number that a cutoff rejects is binomial; the exact lower tail at the allowed risk is
-the p-value of "this cutoff rejects more than `risk` of the good documents". Cutoffs are tested in their order and the
-strictest one before the first failure is used (fixed-sequence testing needs no correction along a sequence); over
-the strata and signals the level is divided by their number (Bonferroni). A stratum with too few labels certifies
-nothing, and then only the base rules reject.
-
-Everything is DataFrame code: per document array functions, one partial aggregation of the labelled rows, and a join
-with one row per stratum.
+Each signal of a document ("higher is worse", a share) is counted in fine bins. A fixed part of the labelled good
+documents of a stratum gives a sequence of joint rules from loose to strict: the cutoffs of step j are those that
+j / STEPS of the allowed risk of these documents exceed, in each signal, and a rule rejects what exceeds any of its
+cutoffs. On the other labelled good documents, the holdout, the number that a rule rejects is binomial; the exact lower
+tail at the allowed risk is the p-value of "this rule rejects more than `risk` of the good documents". Rules are tested
+in their order up to the first failure, and the last one before it is used (fixed-sequence testing needs no correction
+along a sequence). The bound holds for all signals of a stratum together; over the strata the level is divided by their
+number (Bonferroni). Strata with too few labels to certify even a rule without false rejections are pooled, and the
+rule of the pool, which is one more test, is certified for the pool as a whole. Where that is too small as well, and in
+strata without labels, only the base rules reject.
+
+Everything is DataFrame code: per document array functions, partial aggregations of the labelled rows, and a join with
+one row per stratum.
 """
 
 from __future__ import annotations
@@ -21,15 +25,18 @@ from pyspark.sql.window import Window
 
 from vesselflow.llm import _common as C
 
-#: Signal: (numerator, denominator, cutoffs from loose to strict).
+#: Signal: (numerator, denominator).
 SIGNALS = {
-    "symbols": ("n_symbols", "word_chars", (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05, 0.04)),
-    "shouting": ("n_upper", "word_chars", (0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4)),
-    "marks": ("n_marks", "word_chars", (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06)),
-    "dup_lines": ("n_dup_lines", "n_lines", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
-    "repeats": ("n_repeat_words", "n_words", (0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15)),
+    "symbols": ("n_symbols", "word_chars"),
+    "shouting": ("n_upper", "word_chars"),
+    "marks": ("n_marks", "word_chars"),
+    "dup_lines": ("n_dup_lines", "n_lines"),
+    "repeats": ("n_repeat_words", "n_words"),
 }
 RISK, LEVEL = 0.01, 0.05
+#: Bins of a signal, joint rules of a stratum, and one in so many labelled documents that gives the rules.
+BINS, STEPS, FIT = 4096, 100, 4
+POOL = "(pool)"
 SYMBOLS = "#*$%&|<>"  # as a class of a regular expression
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "base_failed"]
 WINDOW = 5
@@ -41,9 +48,10 @@ def signals(docs: DataFrame, text: str = "text") -> DataFrame:
     Columns of these names are replaced. Null and empty texts count 0 everywhere and fail the base rule. Work and
     memory are proportional to one text; nothing is shuffled.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
+    # The columns of `docs` are held in one, so that none clashes with those made here.
+    t = F.coalesce(F.col("_doc")[text], F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumn("_w", C.words(t)).withColumn("_l", lines).withColumns(
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")).withColumn("_w", C.words(t)).withColumn("_l", lines).withColumns(
         {
             "n_words": F.size("_w").cast("long"),
             "word_chars": F.length(F.array_join("_w", "")).cast("long"),
@@ -70,12 +78,12 @@ def signals(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("base_failed", failed)
     # `inline` keeps later filters on these columns from being computed a second time below this point.
     rest = [c for c in docs.columns if c not in COUNTS]
-    return out.select(*(F.col(f"`{c}`") for c in rest), F.inline(F.array(F.struct(*COUNTS))))
+    return out.select(*(F.col("_doc")[c].alias(c) for c in rest), F.inline(F.array(F.struct(*COUNTS))))
 
 
-def _value(name: str) -> Column:
-    top, bottom, _ = SIGNALS[name]
-    return F.col(top) / F.greatest(F.col(bottom), F.lit(1))
+def _bin(name: str) -> Column:
+    top, bottom = SIGNALS[name]
+    return F.floor(F.col(top) * BINS / F.greatest(F.col(bottom), F.lit(1)))
 
 
 def _log_gamma(z: Column) -> Column:
@@ -104,30 +112,50 @@ def binomial_tail(x: Column, n: Column, p: float) -> Column:
     return F.when(x < n * p, F.least(tail, F.lit(1.0))).otherwise(F.lit(1.0))
 
 
+def _certifies(n: Column, risk: float, level: Column) -> Column:
+    """Whether n holdout documents of which none is rejected certify a rule."""
+    return n * math.log1p(-risk) <= F.log(level)
+
+
 def certified_cutoffs(scored: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """One row per stratum of the labelled rows: `_stratum` and a cutoff (or null) per signal.
+    """One row per stratum with a certified rule: `_stratum` and the highest bin that is kept per signal (`_cut_<signal>`).
 
     scored: output of `signals`, with doc_id and the stratum's column; labels: doc_id and quality (1 is good). All
-    labelled good documents that pass the base rules are the holdout; documents labelled both ways count as bad.
+    labelled good documents that pass the base rules are used, one in FIT (by a hash of the id) for the rules and the
+    others for the tests; documents labelled both ways count as bad, rows without id are not used.
     """
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("_quality")).where("_quality = 1")
     held = scored.where("NOT base_failed").join(good, "doc_id", "left_semi")
-    held = held.withColumn("_stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
-    counts = {f"{s}:{j}": F.count_if(_value(s) > cut) for s, (_, _, cuts) in SIGNALS.items() for j, cut in enumerate(cuts)}
-    counted = C.stage(held.groupBy("_stratum").agg(F.count("*").alias("n"), *(c.alias(k) for k, c in counts.items())))
-    n_tests = max(1, counted.count() * len(SIGNALS))
-    tests = F.array(
-        *(
-            F.struct(F.lit(s).alias("signal"), F.lit(j).alias("j"), F.lit(cut).alias("cut"), F.col(f"`{s}:{j}`").alias("x"))
-            for s, (_, _, cuts) in SIGNALS.items()
-            for j, cut in enumerate(cuts)
-        )
+    held = held.select(
+        F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("own"), (F.pmod(F.xxhash64("doc_id"), F.lit(FIT)) == 0).alias("fit"), *(_bin(s).alias(s) for s in SIGNALS)
     )
-    rows = counted.select("_stratum", "n", F.inline(tests))
-    rows = rows.withColumn("ok", binomial_tail(F.col("x"), F.col("n"), risk) <= level / n_tests)
-    so_far = F.min("ok").over(Window.partitionBy("_stratum", "signal").orderBy("j"))
-    best = rows.withColumn("ok", so_far).where("ok").groupBy("_stratum")
-    return best.agg(*(F.min(F.when(F.col("signal") == s, F.col("cut"))).alias(f"_cut_{s}") for s in SIGNALS))
+    held = C.stage(held)
+    sizes = held.groupBy("own").agg(F.count_if(~F.col("fit")).alias("n"))
+    tests = sizes.agg((F.lit(level) / (F.count("*") + 1)).alias("level"))
+    sizes = sizes.join(F.broadcast(tests)).withColumn("_stratum", F.when(_certifies(F.col("n"), risk, F.col("level")), F.col("own")).otherwise(F.lit(POOL)))
+    sizes = C.stage(sizes.select("own", "_stratum", "level"))
+    held = held.join(sizes, "own")
+
+    # Bins of the signals among the documents that give the rules, with the number of documents above each.
+    bins = held.where("fit").select("_stratum", F.inline(F.array(*(F.struct(F.lit(s).alias("signal"), F.col(s).alias("bin")) for s in SIGNALS))))
+    bins = bins.groupBy("_stratum", "signal", "bin").agg(F.count("*").alias("c"))
+    down = Window.partitionBy("_stratum", "signal").orderBy(F.desc("bin"))
+    bins = bins.withColumn("above", F.sum("c").over(down) - F.col("c")).withColumn("n", F.sum("c").over(Window.partitionBy("_stratum", "signal")))
+    steps = [F.min(F.when(F.col("above") <= F.col("n") * (risk * j / STEPS), F.col("bin"))) for j in range(STEPS + 1)]
+    cuts = bins.groupBy("_stratum").pivot("signal", list(SIGNALS)).agg(F.array(*steps))
+    cuts = C.stage(cuts)
+
+    # A document is rejected from some step on: cutoffs fall with the steps.
+    passed = lambda s: F.size(F.filter(F.col(f"c.{s}"), lambda c: F.col(f"h.{s}") > c))
+    first = [STEPS + 1 - passed(s) for s in SIGNALS]
+    tested = held.where("NOT fit").alias("h").join(cuts.alias("c"), "_stratum").select("_stratum", "level", F.least(*first).alias("j"))
+    counts = tested.groupBy("_stratum", "level").agg(F.count("*").alias("n"), *(F.count_if(F.col("j") <= j).alias(f"x{j}") for j in range(STEPS + 1)))
+    rows = counts.select("_stratum", "level", "n", F.posexplode(F.array(*(F.col(f"x{j}") for j in range(STEPS + 1)))).alias("j", "x"))
+    rows = rows.withColumn("ok", binomial_tail(F.col("x"), F.col("n"), risk) <= F.col("level"))
+    so_far = F.min("ok").over(Window.partitionBy("_stratum").orderBy("j"))
+    best = rows.withColumn("ok", so_far).where("ok").groupBy("_stratum").agg(F.max("j").alias("j"))
+    best = best.join(cuts, "_stratum").join(sizes, "_stratum")
+    return best.select(F.col("own").alias("_stratum"), *(F.get(F.col(s), F.col("j")).alias(f"_cut_{s}") for s in SIGNALS))
 
 
 def judge(scored: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -136,7 +164,7 @@ def judge(scored: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataF
     out = out.join(cutoffs, "_stratum", "left")
     rejected = F.col("base_failed")
     for s in SIGNALS:
-        rejected = rejected | F.coalesce(_value(s) > F.col(f"_cut_{s}"), F.lit(False))
+        rejected = rejected | F.coalesce(_bin(s) > F.col(f"_cut_{s}"), F.lit(False))
     return out.withColumn("kept", ~rejected).drop("_stratum", *(f"_cut_{s}" for s in SIGNALS))
 
 
@@ -150,9 +178,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the rules keep. The cutoffs come from narrow signals; the verdicts are taken beside the text."""
-    kept = docs.columns
+    """The documents that the rules keep. Texts are scored once, beside which the signals are written."""
     with C.scratch(spark):
-        narrow = C.stage(signals(docs).drop("text", "source", "n_chars"))
-        cutoffs = C.stage(certified_cutoffs(narrow, C.table(spark, sf_dir, "labels")), keep=True)
-    return judge(signals(docs), cutoffs).where("kept").select(*kept)
+        scored = C.stage(signals(docs), keep=True)
+        cutoffs = C.stage(certified_cutoffs(scored, C.table(spark, sf_dir, "labels")), keep=True)
+    return judge(scored, cutoffs).where("kept").select(*docs.columns)
