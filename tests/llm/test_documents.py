@@ -313,8 +313,11 @@ def brute_kept(rows, labels, fit):
     for stratum in set(of.values()):
         a = [seen[d][2] for d in good if of[seen[d][0]] == stratum and d in fit]
         b = [seen[d][2] for d in good if of[seen[d][0]] == stratum and d not in fit]
-        for j in range(quality.STEPS + 1) if a else ():
-            c = [min(v for v in {x[k] for x in a} if sum(x[k] > v for x in a) <= len(a) * 0.01 * j / quality.STEPS) for k in range(5)]
+        top = [max((x[k] for x in a), default=0) for k in range(5)]
+        steps = [[t + (quality.BINS - t) * k * k // quality.ABOVE**2 for t in top] for k in range(quality.ABOVE, 0, -1)]
+        low = lambda k, j: min(v for v in {x[k] for x in a} if sum(x[k] > v for x in a) <= len(a) * 0.01 * j / quality.STEPS)
+        steps += [[low(k, j) for k in range(5)] for j in range(quality.STEPS + 1)]
+        for c in steps if a else ():
             if tail(sum(any(x > y for x, y in zip(r, c)) for r in b), len(b)) > level:
                 break
             cut[stratum] = c

@@ -1,9 +1,9 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each signal of a document ("higher is worse", a share) is counted in fine bins. A fixed part of the labelled good
-documents of a stratum gives a sequence of joint rules from loose to strict: the cutoffs of step j are those that
-j / STEPS of the allowed risk of these documents exceed, in each signal, and a rule rejects what exceeds any of its
-cutoffs. On the other labelled good documents, the holdout, the number that a rule rejects is binomial; the exact lower
+documents of a stratum gives a sequence of joint rules from loose to strict: the first rejects nothing, the next come
+ever closer to the highest value of these documents in each signal, and the cutoffs of the last STEPS are those that
+j / STEPS of the allowed risk of these documents exceed. A rule rejects what exceeds any of its cutoffs. On the other labelled good documents, the holdout, the number that a rule rejects is binomial; the exact lower
 tail at the allowed risk is the p-value of "this rule rejects more than `risk` of the good documents". Rules are tested
 in their order up to the first failure, and the last one before it is used (fixed-sequence testing needs no correction
 along a sequence). The bound holds for all signals of a stratum together; over the strata the level is divided by their
@@ -34,8 +34,8 @@ SIGNALS = {
     "repeats": ("n_repeat_words", "n_words"),
 }
 RISK, LEVEL = 0.01, 0.05
-#: Bins of a signal, joint rules of a stratum, and one in so many labelled documents that gives the rules.
-BINS, STEPS, FIT = 4096, 100, 4
+#: Bins of a signal, joint rules of a stratum above and below the highest value, and one in so many labelled documents that gives the rules.
+BINS, ABOVE, STEPS, FIT = 4096, 100, 100, 3
 POOL = "(pool)"
 SYMBOLS = "#*$%&|<>"  # as a class of a regular expression
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "base_failed"]
@@ -141,16 +141,18 @@ def certified_cutoffs(scored: DataFrame, labels: DataFrame, stratum: str = "lang
     bins = bins.groupBy("_stratum", "signal", "bin").agg(F.count("*").alias("c"))
     down = Window.partitionBy("_stratum", "signal").orderBy(F.desc("bin"))
     bins = bins.withColumn("above", F.sum("c").over(down) - F.col("c")).withColumn("n", F.sum("c").over(Window.partitionBy("_stratum", "signal")))
-    steps = [F.min(F.when(F.col("above") <= F.col("n") * (risk * j / STEPS), F.col("bin"))) for j in range(STEPS + 1)]
+    top = F.max("bin")
+    steps = [top + F.floor((BINS - top) * k * k / (ABOVE * ABOVE)) for k in range(ABOVE, 0, -1)]
+    steps += [F.min(F.when(F.col("above") <= F.col("n") * (risk * j / STEPS), F.col("bin"))) for j in range(STEPS + 1)]
     cuts = bins.groupBy("_stratum").pivot("signal", list(SIGNALS)).agg(F.array(*steps))
     cuts = C.stage(cuts)
 
     # A document is rejected from some step on: cutoffs fall with the steps.
     passed = lambda s: F.size(F.filter(F.col(f"c.{s}"), lambda c: F.col(f"h.{s}") > c))
-    first = [STEPS + 1 - passed(s) for s in SIGNALS]
+    first = [len(steps) - passed(s) for s in SIGNALS]
     tested = held.where("NOT fit").alias("h").join(cuts.alias("c"), "_stratum").select("_stratum", "level", F.least(*first).alias("j"))
-    counts = tested.groupBy("_stratum", "level").agg(F.count("*").alias("n"), *(F.count_if(F.col("j") <= j).alias(f"x{j}") for j in range(STEPS + 1)))
-    rows = counts.select("_stratum", "level", "n", F.posexplode(F.array(*(F.col(f"x{j}") for j in range(STEPS + 1)))).alias("j", "x"))
+    counts = tested.groupBy("_stratum", "level").agg(F.count("*").alias("n"), *(F.count_if(F.col("j") <= j).alias(f"x{j}") for j in range(len(steps))))
+    rows = counts.select("_stratum", "level", "n", F.posexplode(F.array(*(F.col(f"x{j}") for j in range(len(steps))))).alias("j", "x"))
     rows = rows.withColumn("ok", binomial_tail(F.col("x"), F.col("n"), risk) <= F.col("level"))
     so_far = F.min("ok").over(Window.partitionBy("_stratum").orderBy("j"))
     best = rows.withColumn("ok", so_far).where("ok").groupBy("_stratum").agg(F.max("j").alias("j"))
