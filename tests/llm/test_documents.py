@@ -17,6 +17,24 @@ def words(text):
     return WORD.findall(text or "")
 
 
+# Shared helpers
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_without_and_maybe_in(spark, monkeypatch, full):
+    from vesselflow.llm import _common
+
+    if full:
+        monkeypatch.setattr(_common, "MOST_BITS", 4)  # no bitmap
+    rows = spark.createDataFrame([(i if i % 5 else None, f"t{i}") for i in range(100)] + [(7, "again")], "id long, text string")
+    gone = spark.createDataFrame([(i,) for i in range(0, 200, 3)], "id long")
+    want = sorted(r.text for r in rows.collect() if r.id is None or r.id % 3)
+    assert sorted(r.text for r in _common.without(rows, gone, "id").collect()) == want
+    assert _common.without(rows, gone, "id").columns == rows.columns
+    some = {r.text for r in _common.maybe_in(rows, gone, "id").collect()}
+    assert {r.text for r in rows.collect() if r.id is not None and r.id % 3 == 0} <= some and (full or len(some) < 60)
+
+
 # 1: mixing
 
 

@@ -6,7 +6,7 @@ import contextlib
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,17 +105,32 @@ def map_bits(n: int) -> int | None:
     return min(bits, MOST_BITS) if n * 4 <= MOST_BITS else None
 
 
-def maybe_in(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
-    """`rows` without most of those whose key is not in `wanted`: a bitmap of bounded size is broadcast.
-
-    It spares the rows that a join would shuffle for nothing; the join itself must follow. `wanted` is read twice, so it
-    should be a staged table. Beyond 2**25 keys the bitmap would keep nearly all rows, so they go on unfiltered.
-    """
+def _mapped(rows: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame | None:
+    """`rows` with `_in`: whether a bitmap of bounded size, which is broadcast, has the key; None where it would be too full."""
     bits = map_bits(wanted.count())
     if bits is None:
-        return rows
+        return None
     slot = F.pmod(F.xxhash64(*key), F.lit(bits))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
     words = wanted.select(F.shiftright(slot, 6).alias("_m"), bit.alias("_b")).groupBy("_m").agg(F.bit_or("_b").alias("_b"))
-    got = rows.withColumn("_m", F.shiftright(slot, 6)).join(F.broadcast(words), "_m")
-    return got.where(F.col("_b").bitwiseAND(bit) != 0).drop("_m", "_b")
+    got = rows.withColumn("_m", F.shiftright(slot, 6)).join(F.broadcast(words), "_m", "left")
+    return got.withColumn("_in", F.coalesce(F.col("_b").bitwiseAND(bit) != 0, F.lit(False))).drop("_m", "_b")
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """`rows` without most of those whose key is not in `wanted`.
+
+    It spares the rows that a join would shuffle for nothing; the join itself must follow. `wanted` is read twice, so it
+    should be a staged table. Beyond 2**25 keys the bitmap would keep nearly all rows, so they go on unfiltered.
+    """
+    got = _mapped(rows, wanted, key)
+    return rows if got is None else got.where("_in").drop("_in")
+
+
+def without(rows: DataFrame, gone: DataFrame, *key: str) -> DataFrame:
+    """`rows` whose key is not in `gone` (staged): only those that share a bit of the bitmap with a key are shuffled."""
+    got = _mapped(rows, gone, key)
+    if got is None:
+        return rows.join(gone, list(key), "left_anti")
+    unsure = got.where("_in").drop("_in").join(gone, list(key), "left_anti")
+    return got.where("NOT _in").drop("_in").unionByName(unsure.select(*rows.columns))

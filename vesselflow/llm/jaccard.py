@@ -543,5 +543,5 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least doc_id. Shingles of five words, 0.8."""
     found = similar_documents(docs, Rule(5, 80, 100))
-    dropped = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = C.stage(found.where("component_id <> doc_id").select("doc_id").distinct())
+    return C.without(docs, dropped, "doc_id").select(*docs.columns)

@@ -166,4 +166,5 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # The row key is written, so that both readings of the rows agree on it; ids may be null or repeated.
     rows = C.stage(docs.withColumn("_row", F.monotonically_increasing_id()))
     copies = mix(rows, key="_row").where("taken > 0").select("_row", (F.col("taken") / F.col("size")).cast("int").alias("_n"))
-    return rows.join(copies, "_row").withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    # Nearly every row has a count, so that table is no small one at any size.
+    return rows.join(copies.hint("merge"), "_row").withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
