@@ -385,20 +385,59 @@ def test_quality_of_nothing(nothing, spark):
 # 7: licenses
 
 
-def test_license_scan(spark, documents, texts):
-    got = {(r.doc_id, r.license): r.n_found for r in licenses.scan(documents).collect()}
-    assert got == {(i, "all-rights-reserved"): (t or "").count("All rights reserved.") for i, t in texts if "All rights reserved." in (t or "")}
-    full = " ".join(licenses.SENTENCES[k][0] for k in ("apache-1", "apache-2", "apache-3"))
-    bsd = "\n".join(licenses.SENTENCES[k][0] for k in ("bsd-1", "bsd-2", "bsd-3"))
-    rows = [(1, full), (2, full.replace(" ", "\n", 12)), (3, bsd), (4, "LICENSED under the mit license!\nx"), (5, "no license here"), (6, None), (7, bsd + "\n" + bsd)]
-    got = {(r.doc_id, r.license, r.n_found) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {(1, "Apache-2.0", 1), (2, "Apache-2.0", 1), (3, "BSD-2-Clause", 1), (4, "MIT", 1), (7, "BSD-2-Clause", 2)}
-
-
-def test_hint_covers_every_sentence():
-    for some in licenses.SENTENCES.values():
-        for s in some:
-            assert re.search(licenses.HINT, s) or any(re.search(licenses.HINT, x) for x in licenses.SENTENCES), s
+def license_styles(text):
+    """The text as shipped: as it stands, wrapped, and in three kinds of comments, after a copyright line."""
+    import textwrap
+
+    parts = [textwrap.wrap(x, 70) for x in re.split(r"\n\s*\n", text)]
+    lines = "\n\n".join("\n".join(x) for x in parts).split("\n")
+    head = "Copyright (c) 2019-2024 Some Body <some@body.example>"
+    yield text
+    yield f"MY PROJECT\n\n{head}\n\n" + "\n".join(lines)
+    if text[-1] not in ".:/":
+        return  # a title without a full stop ends with its paragraph
+    yield f"{head}\n" + "\r\n".join(lines) + "\r\n\r\nint x;"
+    yield f"# {head}\n#\n" + "\n".join(f"# {x}".rstrip() for x in lines) + "\nimport os"
+    yield "\n".join(f"// {x}".rstrip() for x in lines) + "\n\npackage main"
+    yield f"/*\n * {head}\n *\n" + "\n".join(f" * {x}".rstrip() for x in lines) + "\n */\n#include <x.h>"
+
+
+def test_license_scan(spark):
+    rows, want = [], {}
+    for rule, (name, text) in enumerate(licenses.RULES):
+        for style, own in enumerate(license_styles(text)):
+            rows.append((rule * 10 + style, own))
+            want[rule * 10 + style] = name
+    numbered = "Copyright 2020 X. All rights reserved.\n\n{g}\n\n1. {a}\n\n2. {b}\n\n3. {c}\n".format(g=licenses._BSD_GRANT, a=licenses._BSD_SOURCE, b=licenses._BSD_BINARY, c=licenses._BSD_NAMES)
+    lettered = "{g}\n  (a) {a}\n  (b) {b}\n".format(g=licenses._BSD_GRANT, a=licenses._BSD_SOURCE, b=licenses._BSD_BINARY)
+    rows += [(-1, numbered), (-2, lettered), (-3, lettered + "\n" + lettered), (-4, "// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0+\nx"), (-5, "no license here"), (-6, None), (-7, ""), (-8, "LICENSED under the mit license!\nx")]
+    rows += [(-9, "Released under the MIT License. And more."), (-9, "All rights reserved."), (None, "All rights reserved.")]
+    got = collections.defaultdict(dict)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id][r.license] = r.n_found
+    for doc, name in want.items():
+        assert got[doc] == {name: 1}, (doc, licenses.RULES[doc // 10][1][:60], got[doc])
+    assert got[-1] == {"BSD-3-Clause": 1, "all-rights-reserved": 1} and got[-2] == {"BSD-2-Clause": 1} and got[-3] == {"BSD-2-Clause": 2}
+    assert got[-4] == {"MIT": 1, "Apache-2.0": 1, "GPL-2.0+": 1} and got[-8] == {"MIT": 1} and got[-9] == {"MIT": 1, "all-rights-reserved": 1}
+    assert not any(x in got for x in (-5, -6, -7)) and got[None] == {"all-rights-reserved": 1}
+
+
+def test_licenses_of_the_table_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    plain = lambda x: " ".join(re.findall(r"[^\W_]+", x.lower()))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    single = {plain(text): name for name, text in licenses.RULES}
+    want = set()
+    for doc, text in texts.items():
+        sentences = {plain(x) for line in text.split("\n") for x in re.split(r"(?<=[.!?:;])\s+", line)}
+        want |= {(doc, single[x]) for x in sentences if x in single}
+    got = {(r.doc_id, r.license) for r in licenses.op7_license_scan(spark, sf).collect()}
+    assert got == want and len(want) > 10
+
+
+def test_hint_covers_every_rule():
+    for _, text in licenses.RULES:
+        assert re.search(licenses.HINT.removeprefix("(?i)"), text, re.I), text
 
 
 def test_licenses_of_nothing(nothing):

@@ -1,9 +1,11 @@
 """License scans: known license sentences are mapped to identifiers, and sequences of identifiers to licenses.
 
-A text is cut into sentences twice, by line and with lines joined (wrapped license texts). Sentences are normalised
-(lower case, letters and digits only, single spaces) and joined with the table of known sentences, which is a constant
-of this module and so of fixed size. What a document's sentences are recognised as, in order, is then searched for
-every rule's sequence of identifiers; longer rules win over the rules whose sequence they contain.
+A text is cut into sentences in two views: line by line, and by paragraphs with comment marks and list numbers taken off
+and wrapped lines joined. Copyright lines and addresses stand alone there. Sentences are normalised (lower case, letters
+and digits only, single spaces) and joined with the table of known sentences, which comes from the texts of this module,
+cut in the same way, and so is of fixed size. What a document's sentences are recognised as, in order, is then searched
+for every rule's sequence of identifiers; longer rules win over the rules whose sequence they contain. The licenses
+named by `SPDX-License-Identifier:` are sentences of a view of their own.
 """
 
 from __future__ import annotations
@@ -13,127 +15,177 @@ from pyspark.sql import functions as F
 
 from vesselflow.llm import _common as C
 
-#: Sentences of public licenses and notices, by identifier.
-SENTENCES = {
-    "mit-ref": ["Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the MIT License."],
-    "mit-1": [
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
-        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
-        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
-        "substantial portions of the Software."
-    ],
-    "mit-2": [
-        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
-        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
-    ],
-    "apache-ref": ["Licensed under the Apache License, Version 2.0.", "This project is licensed under the Apache License 2.0."],
-    "apache-1": ['Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'],
-    "apache-2": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
-                 'to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF '
-                 "ANY KIND, either express or implied."],
-    "apache-3": ["See the License for the specific language governing permissions and limitations under the License."],
-    "gpl3-ref": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "Licensed under the GNU General Public License, version 3.",
-        "This program is licensed under the GNU General Public License version 3.",
-    ],
-    "gpl-1": [
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
-    ],
-    "gpl-2": [
-        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
-        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
-    ],
-    "gpl-3": ["See the GNU General Public License for more details."],
-    "bsd-1": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: 1."
-    ],
-    "bsd-2": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."],
-    "bsd-3": [
-        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution."
-    ],
-    "bsd-4": [
-        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
-        "software without specific prior written permission."
-    ],
-    "ccbync-ref": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "ccby-ref": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "ccbysa-ref": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "mpl2": ["This Source Code Form is subject to the terms of the Mozilla Public License, v.", "Licensed under the Mozilla Public License, version 2.0."],
-    "unlicense": ["This is free and unencumbered software released into the public domain."],
-    "reserved": ["All rights reserved."],
-}
-
-#: Rules in their order: (license, sequence of identifiers).
+_MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"""
+_MIT_NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+_MIT_NO_EVENT = "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_SOURCE = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+_BSD_BINARY = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_GNU_HOPE = "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+_GNU_SEE = "See the GNU {0} General Public License for more details."
+
+
+def _gnu(what: str, name: str, version: str, mark: str, later: bool) -> str:
+    """The notice that a GNU license asks for."""
+    which = f"either version {version} of the License, or (at your option) any later version." if later else f"version {version} of the License."
+    terms = f"This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation, {which}"
+    return f"{terms} {_GNU_HOPE.format(what)} {_GNU_SEE.format(name.strip())}"
+
+
+#: What public licenses and notices say, in the rules' order: (license, text that states it).
 RULES = [
-    ("Apache-2.0", ("apache-1", "apache-2", "apache-3")),
-    ("Apache-2.0", ("apache-1",)),
-    ("Apache-2.0", ("apache-ref",)),
-    ("MIT", ("mit-1", "mit-2")),
-    ("MIT", ("mit-1",)),
-    ("MIT", ("mit-ref",)),
-    ("GPL-3.0-or-later", ("gpl-1", "gpl-2", "gpl-3")),
-    ("GPL-3.0-or-later", ("gpl-1",)),
-    ("GPL-3.0-only", ("gpl3-ref",)),
-    ("BSD-3-Clause", ("bsd-1", "bsd-2", "bsd-3", "bsd-4")),
-    ("BSD-2-Clause", ("bsd-1", "bsd-2", "bsd-3")),
-    ("CC-BY-NC-4.0", ("ccbync-ref",)),
-    ("CC-BY-4.0", ("ccby-ref",)),
-    ("CC-BY-SA-4.0", ("ccbysa-ref",)),
-    ("MPL-2.0", ("mpl2",)),
-    ("Unlicense", ("unlicense",)),
-    ("all-rights-reserved", ("reserved",)),
+    ("MIT", f"{_MIT_GRANT} {_MIT_NOTICE} {_AS_IS} {_MIT_NO_EVENT}"),
+    ("MIT", f"{_MIT_GRANT} {_MIT_NOTICE} {_AS_IS}"),
+    ("MIT", f"{_MIT_GRANT} {_MIT_NOTICE}"),
+    ("MIT-0", f"""{_MIT_GRANT.removesuffix(', subject to the following conditions:')}. {_AS_IS}"""),
+    ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Licensed under the MIT license (see LICENSE)."),
+    ("MIT", "This project is licensed under the MIT License."),
+    ("MIT", "This software is released under the MIT License."),
+    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    (
+        "Apache-2.0",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+        http://www.apache.org/licenses/LICENSE-2.0
+
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    ),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License."""),
+    ("Apache-2.0", """The ASF licenses this file to You under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License."""),
+    ("Apache-2.0", """The ASF licenses this file to you under the Apache License, Version 2.0 (the "License");"""),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("Apache-2.0", "This project is licensed under the Apache License 2.0."),
+    ("Apache-2.0", "This project is licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Apache License\n\nVersion 2.0, January 2004\n\nhttp://www.apache.org/licenses/"),
+    ("BSD-3-Clause", f"{_BSD_GRANT} {_BSD_SOURCE} {_BSD_BINARY} {_BSD_NAMES}"),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("BSD-2-Clause", f"{_BSD_GRANT} {_BSD_SOURCE} {_BSD_BINARY}"),
+    *(
+        (f"{short}-{version}-{'or-later' if later else 'only'}", _gnu(what, name, version.removesuffix(".0"), mark, later))
+        for short, name, what, versions in (("GPL", "", "program", ("2.0", "3.0")), ("LGPL", "Lesser ", "library", ("2.1", "3.0")), ("AGPL", "Affero ", "program", ("3.0",)))
+        for version in versions
+        for later in (True, False)
+        for mark in ":;"
+    ),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0-only", "Licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0-only", "This program is licensed under the GNU General Public License version 3."),
+    ("GPL-3.0-only", "GNU GENERAL PUBLIC LICENSE\n\nVersion 3, 29 June 2007"),
+    ("GPL-2.0-only", "GNU GENERAL PUBLIC LICENSE\n\nVersion 2, June 1991"),
+    ("AGPL-3.0-only", "GNU AFFERO GENERAL PUBLIC LICENSE\n\nVersion 3, 19 November 2007"),
+    ("LGPL-3.0-only", "GNU LESSER GENERAL PUBLIC LICENSE\n\nVersion 3, 29 June 2007"),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("WTFPL", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    *(
+        (f"CC-{short}-4.0", text)
+        for short, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+        for text in (
+            f"Licensed under CC {short} 4.0.",
+            f"This work is licensed under CC {short} 4.0.",
+            f"This work is licensed under a Creative Commons {name} 4.0 International License.",
+            f"This work is licensed under the Creative Commons {name} 4.0 International License.",
+            f"Creative Commons {name} 4.0 International",
+        )
+    ),
+    ("all-rights-reserved", "All rights reserved."),
 ]
+#: Names that an SPDX line may give, besides the licenses of RULES.
+SPDX = ("GPL-2.0", "GPL-2.0+", "GPL-3.0", "GPL-3.0+", "LGPL-2.1", "LGPL-2.1+", "LGPL-3.0", "AGPL-3.0", "Apache-1.1", "BSD-4-Clause", "EPL-1.0", "EUPL-1.2", "MPL-1.1", "Artistic-2.0", "PSF-2.0", "CC-BY-3.0", "CC-BY-SA-3.0")
 
-#: Every known sentence has one of these words; texts without any are not cut up.
-HINT = r"(?i)licen[sc]e|warrant|redistribut|permission is hereby|rights\s+reserved|unencumbered|contributors may"
-SENTENCE_END = r"(?<=[.!?])\s+"
+#: Every rule's text has one of these words; texts without any are not cut up.
+HINT = r"(?i)licen[sc]e|permission|warrant|redistribut|rights\s+reserved|unencumbered|CC0|Creative\s+Commons|possible\s+under\s+law"
+SENTENCE_END = r"(?<=[.!?:;])\s+"
+_NAMED = r"(?i)SPDX-License-Identifier:\s*([^\n\r*]+)"
 
 
 def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
 
 
-def known_sentences(spark: SparkSession) -> DataFrame:
-    """sentence (normalised), sid: as many rows as this module lists."""
-    rows = [(s, k) for k, v in SENTENCES.items() for s in v]
-    return spark.createDataFrame(rows, "raw string, sid string").select(normalised(F.col("raw")).alias("sentence"), "sid").distinct()
+def paragraphs(text: Column) -> Column:
+    """Sentences of the paragraphs: comment marks and list numbers off, wrapped lines joined, copyright lines and addresses alone."""
+    for pattern, by in (
+        (r"\r\n?", "\n"),
+        (r"(?m)[ \t]*(?:\*+/|-->)[ \t]*$", ""),
+        (r"(?m)^[ \t]*(?:(?:#+|/{2,}|/\*+|\*+|--+|;+|%+|>+|\.\.|dnl\b|REM\b|<!--)[ \t]*)+", ""),
+        (r"(?m)^[ \t]*(?:\(?(?:\d{1,2}|[a-zA-Z]|[ivx]{1,4})[.)]|[-•])[ \t]+", ""),
+        (r"(?im)^([ \t]*(?:portions )?(?:copyright[ \t]*(?:\(c\)|©|[12]\d{3}|by\b|:|\[|<|\{)|\(c\)|©)[^\n]*)$", "\n\n$1\n\n"),
+        (r"(https?://\S+)", "\n\n$1\n\n"),
+    ):
+        text = F.regexp_replace(text, pattern, by)
+    return F.flatten(F.transform(F.split(text, r"\n[ \t]*\n\s*"), lambda x: F.split(F.btrim(F.regexp_replace(x, r"\s+", " ")), SENTENCE_END)))
+
+
+def _spdx(text: Column) -> Column:
+    """A sentence for each license that the SPDX lines name."""
+    names = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_NAMED), F.lit(1)), lambda x: F.split(x, r"(?i)\s+(?:and|or|with)\s+|[()\s/]+")))
+    return F.transform(F.filter(names, lambda x: x != ""), lambda x: F.concat(F.lit("SPDX license "), F.regexp_replace(x, r"\+$", " plus")))
+
+
+def known_sentences(spark: SparkSession) -> tuple[DataFrame, list[tuple[str, tuple[int, ...]]]]:
+    """(sentence, sid), and the rules as (license, sids): as many rows as this module lists."""
+    names = dict.fromkeys([*(name for name, _ in RULES[:-1]), *SPDX])
+    rows = [(k, name, text, False) for k, (name, text) in enumerate(RULES)] + [(len(RULES) + k, name, f"SPDX-License-Identifier: {name}", True) for k, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, "rule int, license string, raw string, spdx boolean")
+    cut = F.when(F.col("spdx"), _spdx(F.col("raw"))).otherwise(paragraphs(F.col("raw")))
+    found = frame.select("rule", "license", F.posexplode(cut).alias("at", "s")).select("rule", "license", "at", normalised(F.col("s")).alias("s")).where("s <> ''").orderBy("rule", "at").collect()
+    ids: dict[str, int] = {}
+    rules: dict[int, tuple[str, list[int]]] = {}
+    for r in found:
+        rules.setdefault(r.rule, (r.license, []))[1].append(ids.setdefault(r.s, len(ids)))
+    # Longer sequences first; a rule of the table before a later one with the same sequence.
+    ordered: dict[tuple[int, ...], str] = {}
+    for _, (name, sids) in sorted(rules.items(), key=lambda x: (-len(x[1][1]), x[0])):
+        ordered.setdefault(tuple(sids), name)
+    return spark.createDataFrame(list(ids.items()), "sentence string, sid int"), [(name, sids) for sids, name in ordered.items()]
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, license, n_found: a row for every license that a document (doc_id, text) states; none for the others.
 
-    n_found counts the rule's places in the document. Null and empty texts state nothing. Rows with the same doc_id are
-    read one after the other as one document; the order within a view is by place in the text.
+    n_found counts the rule's places in the document, SPDX lines besides. Null and empty texts state nothing. Rows with
+    the same doc_id (or none) are read one after the other as one document; the order within a view is by place.
     """
-    known = F.broadcast(known_sentences(docs.sparkSession))
+    known, rules = known_sentences(docs.sparkSession)
     hinted = docs.select("doc_id", "text").where(F.col("text").rlike(HINT))
-    by_line = F.split("text", "\n")
-    cut = F.flatten(F.transform(by_line, lambda x: F.split(x, SENTENCE_END)))
-    joined = F.split(F.regexp_replace("text", r"\s+", " "), SENTENCE_END)
-    views = hinted.select("doc_id", F.inline(F.array(F.struct(F.lit(0).alias("view"), cut.alias("s")), F.struct(F.lit(1).alias("view"), joined.alias("s")))))
-    placed = views.select("doc_id", "view", F.posexplode("s").alias("at", "raw"))
-    found = placed.select("doc_id", "view", "at", normalised(F.col("raw")).alias("sentence")).join(known, "sentence")
+    lines = F.flatten(F.transform(F.split("text", r"\r?\n"), lambda x: F.split(x, SENTENCE_END)))
+    views = F.array(*(F.struct(F.lit(k).alias("view"), s.alias("s")) for k, s in enumerate((lines, paragraphs(F.col("text")), _spdx(F.col("text"))))))
+    placed = hinted.select("doc_id", F.inline(views)).select("doc_id", "view", F.posexplode("s").alias("at", "raw"))
+    found = placed.select("doc_id", "view", "at", normalised(F.col("raw")).alias("sentence")).where("sentence <> ''").join(F.broadcast(known), "sentence")
     chain = found.groupBy("doc_id", "view").agg(F.sort_array(F.collect_list(F.struct("at", "sid"))).alias("c"))
-    text = chain.select("doc_id", F.concat(F.lit("|"), F.array_join(F.transform("c", lambda x: x["sid"]), "||"), F.lit("|")).alias("chain"))
+    text = chain.select("doc_id", "view", F.concat(F.lit("|"), F.array_join(F.transform("c", lambda x: x["sid"].cast("string")), "||"), F.lit("|")).alias("chain"))
 
-    # What a rule takes is marked as used, so that shorter rules further down don't count it again.
-    counts, left = {}, F.col("chain")
-    for name, ids in RULES:
-        pattern = "".join(f"|{i}|" for i in ids)
-        n = (F.length(left) - F.length(F.replace(left, F.lit(pattern), F.lit("")))) / len(pattern)
-        counts[name] = counts.get(name, F.lit(0)) + n.cast("long")
-        left = F.replace(left, F.lit(pattern), F.lit("|#|"))
-    rows = text.select("doc_id", F.inline(F.array(*(F.struct(F.lit(k).alias("license"), n.alias("n")) for k, n in counts.items()))))
-    # The two views see the same places; the fuller one counts.
-    return rows.where("n > 0").groupBy("doc_id", "license").agg(F.max("n").alias("n_found"))
+    # What a rule takes is marked as used, so that shorter rules don't count it again.
+    step = lambda acc, rule: F.struct(F.replace(acc["left"], rule["ids"], F.lit("|#|")).alias("left"), F.concat(acc["found"], F.array(F.struct(rule["license"].alias("license"), ((F.length(acc["left"]) - F.length(F.replace(acc["left"], rule["ids"], F.lit("")))) / F.length(rule["ids"])).cast("long").alias("n")))).alias("found"))
+    listed = F.array(*(F.struct(F.lit(name).alias("license"), F.lit("".join(f"|{i}|" for i in sids)).alias("ids")) for name, sids in rules))
+    nothing = F.struct(F.col("chain").alias("left"), F.array().cast("array<struct<license:string,n:bigint>>").alias("found"))
+    rows = text.select("doc_id", "view", F.inline(F.aggregate(listed, nothing, step)["found"])).where("n > 0")
+    by_view = rows.groupBy("doc_id", "license", "view").agg(F.sum("n").alias("n"))
+    # The first two views see the same places; the fuller one counts.
+    n = F.coalesce(F.max(F.when(F.col("view") < 2, F.col("n"))), F.lit(0)) + F.coalesce(F.max(F.when(F.col("view") == 2, F.col("n"))), F.lit(0))
+    return by_view.groupBy("doc_id", "license").agg(n.alias("n_found"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(C.table(spark, sf_dir, "documents"))
-
-
