@@ -168,7 +168,7 @@ def test_all_near_descriptors_match():
     rng = np.random.default_rng(9)
     pictures = [image_match.rendered(rng.integers(0, 255, 2500).astype(np.uint8).tobytes()) for _ in range(10)]
     known = image_match.describe(np.stack(pictures))[1]
-    asked = np.concatenate([image_match.describe(image_match.edited(p, k)[None])[1] for p in pictures for k in range(len(image_match.EDITS))])
+    asked = np.concatenate([image_match.describe(image_match.edited(p, k)[None], dense=True)[1] for p in pictures for k in range(len(image_match.EDITS))])
     q0, q1 = (np.ascontiguousarray(asked[c]) for c in ("d0", "d1"))
     a, b = image_match.within_bits(known["d0"], known["d1"], image_match.probe_tables(q0, q1), q0, q1)
     bits = lambda d: np.unpackbits(np.stack([d["d0"], d["d1"]], axis=1).copy().view(np.uint8).reshape(len(d), -1), axis=1).astype(np.int32)
@@ -185,6 +185,16 @@ def test_large_pictures_have_more_corners():
     assert n[1] > 3 * n[0] and n[2] > 3 * n[1]
 
 
+def test_oblique_turns_of_coarser_pictures(spark):
+    """Pictures whose detail is coarser than two pixels are also found when turned by any angle."""
+    rng = np.random.default_rng(12)
+    own = [image_match.resize(image_match.rendered(rng.integers(0, 255, 2500).astype(np.uint8).tobytes()).astype(np.float32), 2.0) for _ in range(12)]
+    images = _frame(spark, [(i, image_match.to_pgm(x)) for i, x in enumerate(own)])
+    queries = _frame(spark, [(100 * i + k, image_match.to_pgm(image_match.turned(x, angle))) for i, x in enumerate(own) for k, angle in enumerate((7, 20, 45, 130))])
+    found = {(r.query_id, r.id) for r in image_match.find_copies(images, queries).collect()}
+    assert sum((100 * i + k, i) in found for i in range(12) for k in range(4)) >= 0.9 * 48
+
+
 def test_recall_over_the_query_set(spark):
     """Every page whose id is divisible by 50, edited in one of six ways, is found among all pages of the table."""
     import pyarrow.parquet as pq

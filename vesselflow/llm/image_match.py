@@ -3,7 +3,7 @@
 A picture is a binary PGM (P5, 8 bit). Corners (maxima of their neighbourhood, as many as the picture has) are found on
 a pyramid of scales down to the smallest usable size; each is turned to the direction of its patch's centroid, and 128
 comparisons of smoothed pixels give its descriptor. Descriptors within `MAX_BITS` of each other are matches: all of them
-are found, by tables of eight disjoint chunks of bits probed up to one bit away. A match says how the query lies on the
+are found, by tables of five disjoint chunks of bits probed up to one bit away. A match says how the query lies on the
 picture (turn, scale, place). Matches of a pair that agree on that refit one similarity transform, and the pair is
 reported when enough corners of the query follow it. Equal pictures are found by digest first and stand for each other.
 
@@ -14,6 +14,7 @@ pairs is shuffled, so that common descriptors and large groups of copies crowd n
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import uuid
@@ -27,30 +28,29 @@ from pyspark.sql import functions as F
 from vesselflow.llm import _common as C
 
 #: Each step of the pyramid is smaller by this.
-STEP = 0.8
+STEP = 0.84
+DENSE = 3
 RADIUS = 8
 #: A corner is the strongest within this distance along either axis.
 APART = 4
-TURNS = 36
+TURNS = 72
 TESTS = 128
-MAX_BITS = 15
-#: Corners of the query that must agree: so many, and this share of the corners of the one of the pair that has fewer.
-MIN_AGREE = 6
-MIN_SHARE = 0.1
+POOL = 1000
+MAX_BITS = 9
+#: Places that must agree.
+MIN_AGREE = 5
+#: Corners nearer than about this count once.
+SPOT = 6.0
 #: Two descriptors at most MAX_BITS apart are at most MAX_BITS // len(CHUNKS) = PROBED apart in one of the disjoint chunks.
-CHUNKS = (16,) * 8
+CHUNKS = (26, 26, 26, 25, 25)
 PROBED = MAX_BITS // len(CHUNKS)
 _starts = [sum(CHUNKS[:i]) for i in range(len(CHUNKS))]
-#: Corners of the queries in one block, candidates compared at once, and pictures handled at once.
-QUERY_BLOCK = 1 << 17
+BUCKET_BITS = 21
+#: Corners of the queries in one block, candidates compared at once, and pictures described and matched at once.
+QUERY_BLOCK = 1 << 18
 CANDIDATES = 1 << 20
-PICTURES = 100
+PICTURES, MATCHED = 20, 200
 
-_rng = np.random.default_rng(20240601)
-_points = np.clip(_rng.normal(0, 3.2, (TESTS, 2, 2)), -RADIUS + 2, RADIUS - 2)
-_angles = 2 * np.pi * np.arange(TURNS) / TURNS
-_turned = np.stack([np.stack([_points[..., 0] * np.cos(a) - _points[..., 1] * np.sin(a), _points[..., 0] * np.sin(a) + _points[..., 1] * np.cos(a)], -1) for a in _angles])
-_turned = np.rint(_turned).astype(np.int64)  # turn, test, end, (x, y)
 _disk = np.array([(y, x) for y in range(-6, 7) for x in range(-6, 7) if y * y + x * x <= 36])
 #: Pictures of a smaller side have too little detail to tell corners apart.
 SMALLEST = 30
@@ -102,42 +102,93 @@ def _highest(a: np.ndarray, reach: int) -> np.ndarray:
     return a
 
 
-def describe(stack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the picture, CORNER) of the corners of a stack of pictures of one size; places in pixels of the whole picture."""
-    pics, out, scale = [np.zeros(0, np.int64)], [np.zeros(0, CORNER)], 1.0
-    edge = RADIUS + 1
+def _found(s: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(picture, place in the flattened s, turn) of the corners. s begins one pixel inside the picture, r three."""
+    high = (r >= _highest(r, APART)) & (r > 1.0)
+    m = RADIUS + 1 - 3
+    pic, y, x = np.nonzero(high[:, m : high.shape[1] - m, m : high.shape[2] - m])
+    width = s.shape[2]
+    at = (y + RADIUS) * width + x + RADIUS
+    patch = s.reshape(len(s), -1)[pic[:, None], at[:, None] + (_disk[:, 0] * width + _disk[:, 1])]
+    turn = np.arctan2(patch @ _disk[:, 0].astype(np.float32), patch @ _disk[:, 1].astype(np.float32))
+    return pic, at, np.rint(turn / (2 * np.pi) * TURNS).astype(np.int64) % TURNS
+
+
+def _smooth(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed pictures (one pixel of border lost) and how much each place is a corner (three lost)."""
+    s = _sum3(a)
+    gy, gx = s[:, 2:, 1:-1] - s[:, :-2, 1:-1], s[:, 1:-1, 2:] - s[:, 1:-1, :-2]
+    xx, yy, xy = _sum3(gx * gx), _sum3(gy * gy), _sum3(gx * gy)
+    trace = xx + yy
+    return s, xx * yy - xy * xy - 0.05 * trace * trace
+
+
+def _values(s: np.ndarray, pic: np.ndarray, at: np.ndarray, turn: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """s at the points (turn, point, (x, y)) around the corners."""
+    return s.reshape(len(s), -1)[pic[:, None], at[:, None] + (points[..., 1] * s.shape[2] + points[..., 0])[turn]]
+
+
+def _turned(points: np.ndarray) -> np.ndarray:
+    """Points (x, y) in all turns, on whole pixels."""
+    a = 2 * np.pi * np.arange(TURNS) / TURNS
+    x, y = points[:, 0], points[:, 1]
+    return np.rint(np.stack([np.outer(np.cos(a), x) - np.outer(np.sin(a), y), np.outer(np.sin(a), x) + np.outer(np.cos(a), y)], axis=-1)).astype(np.int64)
+
+
+@functools.lru_cache(maxsize=1)
+def _tests() -> tuple[np.ndarray, np.ndarray]:
+    """Both ends of the tests in all turns: of a pool of random pairs those that split the corners of random textures evenly and say different things."""
+    rng = np.random.default_rng(20240601)
+    pool = np.clip(rng.normal(0, 3.2, (POOL, 2, 2)), -RADIUS + 2, RADIUS - 2)
+    ends = [_turned(pool[:, k]) for k in (0, 1)]
+    textures = np.repeat(np.repeat(rng.integers(0, 256, (30, 40, 40)), 2, axis=1), 2, axis=2).astype(np.float32)
+    rows = []
+    for scale in (1.0, STEP, STEP * STEP):
+        s, r = _smooth(resize(textures, scale))
+        pic, at, turn = _found(s, r)
+        rows.append(_values(s, pic, at, turn, ends[0]) < _values(s, pic, at, turn, ends[1]))
+    bits = np.concatenate(rows).astype(np.float32)
+    mean = bits.mean(axis=0)
+    z = (bits - mean) / np.maximum(bits.std(axis=0), 1e-6)
+    alike = np.abs(z.T @ z) / len(z)
+    order, chosen, most = np.argsort(np.abs(mean - 0.5), kind="stable"), [], 0.2
+    while len(chosen) < TESTS:
+        for k in order:
+            if len(chosen) < TESTS and k not in chosen and (not chosen or alike[k, chosen].max() < most):
+                chosen.append(k)
+        most += 0.05
+    chosen = rng.permutation(chosen)  # so that no chunk holds the best or the worst
+    return ends[0][:, chosen], ends[1][:, chosen]
+
+
+def describe(stack: np.ndarray, dense: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the picture, CORNER) of the corners of a stack of pictures of one size; places in pixels of the whole picture.
+
+    A dense pyramid, for queries, has DENSE levels for one of the others and begins above the picture's size.
+    """
+    pics, out = [np.zeros(0, np.int64)], [np.zeros(0, CORNER)]
+    scale, step = (1 / STEP, STEP ** (1 / DENSE)) if dense else (1.0, STEP)
     whole = stack.astype(np.float32)
+    first, second = _tests()
     while True:
         a = resize(whole, scale)
         if min(a.shape[-2:]) < SMALLEST:
             break
-        s = _sum3(a)
-        gy, gx = s[:, 2:, 1:-1] - s[:, :-2, 1:-1], s[:, 1:-1, 2:] - s[:, 1:-1, :-2]
-        xx, yy, xy = _sum3(gx * gx), _sum3(gy * gy), _sum3(gx * gy)
-        r = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
-        high = (r >= _highest(r, APART)) & (r > 1.0)
-        m = edge - 3  # r begins three pixels inside
-        pic, y, x = np.nonzero(high[:, m : high.shape[1] - m, m : high.shape[2] - m])
-        y, x = y + edge - 1, x + edge - 1  # in s, which begins one pixel inside
-        flat, width = s.reshape(len(s), -1), s.shape[2]
-        at = y * width + x
-        patch = flat[pic[:, None], at[:, None] + (_disk[:, 0] * width + _disk[:, 1])]
-        turn = np.rint(np.arctan2(patch @ _disk[:, 0].astype(np.float32), patch @ _disk[:, 1].astype(np.float32)) / (2 * np.pi) * TURNS).astype(np.int64) % TURNS
-        ends = (_turned[..., 1] * width + _turned[..., 0])[turn]
-        v = flat[pic[:, None, None], at[:, None, None] + ends]
-        bits = np.packbits(v[..., 0] < v[..., 1], axis=1, bitorder="little").view(np.int64)
+        s, r = _smooth(a)
+        pic, at, turn = _found(s, r)
+        bits = np.packbits(_values(s, pic, at, turn, first) < _values(s, pic, at, turn, second), axis=1, bitorder="little").view(np.int64)
         found = np.empty(len(pic), CORNER)
-        found["x"], found["y"], found["scale"], found["turn"] = (x + 1.5) / scale - 0.5, (y + 1.5) / scale - 0.5, scale, turn
-        found["d0"], found["d1"] = bits[:, 0], bits[:, 1]
+        found["x"], found["y"] = (at % s.shape[2] + 1.5) / scale - 0.5, (at // s.shape[2] + 1.5) / scale - 0.5
+        found["scale"], found["turn"], found["d0"], found["d1"] = scale, turn, bits[:, 0], bits[:, 1]
         pics.append(pic)
         out.append(found)
-        scale *= STEP
+        scale *= step
     pics, out = np.concatenate(pics), np.concatenate(out)
     order = np.argsort(pics, kind="stable")
     return pics[order], out[order]
 
 
-def corners(images: DataFrame) -> DataFrame:
+def corners(images: DataFrame, dense: bool = False) -> DataFrame:
     """id, tag (hash of the bytes), corners (CORNER items) of every picture (id, image) that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +202,7 @@ def corners(images: DataFrame) -> DataFrame:
                         by_shape.setdefault(pixels.shape, []).append((k, pixels))
                 rows, data = [], []
                 for some in by_shape.values():
-                    pic, found = describe(np.stack([p for _, p in some]))
+                    pic, found = describe(np.stack([p for _, p in some]), dense)
                     ends = np.searchsorted(pic, np.arange(len(some) + 1))
                     for (k, _), lo, hi in zip(some, ends[:-1], ends[1:], strict=True):
                         if hi > lo:
@@ -174,14 +225,19 @@ def _chunks(d0: np.ndarray, d1: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _bucket(chunk: np.ndarray) -> np.ndarray:
+    """Place of a chunk in a table of 2**BUCKET_BITS; different chunks may share one, as candidates are compared anyway."""
+    return ((chunk.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
+
+
 def probe_tables(d0: np.ndarray, d1: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per chunk (starts by value, rows): the rows whose chunk is at most PROBED bits away from each value."""
+    """Per chunk (starts by bucket, rows): the rows with a value at most PROBED bits away from their chunk in the bucket."""
     out = []
     for chunk, bits in zip(_chunks(d0, d1), CHUNKS, strict=True):
         flips = [sum(1 << b for b in some) for k in range(PROBED + 1) for some in itertools.combinations(range(bits), k)]
-        near = (chunk[:, None] ^ np.array(flips)).astype(np.int32).ravel()
+        near = _bucket((chunk[:, None] ^ np.array(flips)).ravel()).astype(np.int32)
         rows = (np.argsort(near, kind="stable") // len(flips)).astype(np.int32)
-        out.append((np.concatenate([[0], np.bincount(near, minlength=1 << bits).cumsum()]).astype(np.int32), rows))
+        out.append((np.concatenate([[0], np.bincount(near, minlength=1 << BUCKET_BITS).cumsum()]).astype(np.int32), rows))
     return out
 
 
@@ -190,9 +246,10 @@ def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1
     found = [np.zeros(0, np.int64)]
     u0, u1, v0, v1 = (np.ascontiguousarray(x).view(np.uint64) for x in (d0, d1, q0, q1))  # bits of a negative number are those of its absolute value
     for chunk, (starts, rows) in zip(_chunks(np.ascontiguousarray(d0), np.ascontiguousarray(d1)), tables, strict=True):
+        chunk = _bucket(chunk)
         first, n = starts[chunk].astype(np.int64), (starts[chunk + 1] - starts[chunk]).astype(np.int64)
         ends = n.cumsum()
-        # Slices of a bounded number of candidates, whatever the tables hold; one descriptor meets each q once at most.
+        # Slices of a bounded number of candidates, whatever the tables hold.
         lo = 0
         while lo < len(n):
             done = ends[lo - 1] if lo else 0
@@ -210,7 +267,7 @@ def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1
 
 
 def agreeing(q: np.ndarray, p: np.ndarray) -> int:
-    """Most corners of the query that follow one similarity transform, from the matches q[i], p[i] of a pair.
+    """Most places of corners that follow one similarity transform, from the matches q[i], p[i] of a pair.
 
     Every match is a hypothesis; the matches that lie within its error are refitted by least squares, and those near
     the fitted transform count.
@@ -237,15 +294,20 @@ def agreeing(q: np.ndarray, p: np.ndarray) -> int:
                     break
                 m = (np.conj(dq) * (zp[some] - cp)).sum() / power
                 some = (np.abs(cp + m * (zq - cq) - zp) <= 2.0 + 0.02 * np.abs(zp - cp)) & (np.abs(np.log(own / m)) < 0.55) if m else np.zeros(len(q), bool)
-            best = max(best, len(np.unique(zq[some])))
+            best = max(best, min(_spots(zq[some]), _spots(zp[some])))
     return best
 
 
+def _spots(z: np.ndarray) -> int:
+    """Number of different places: corners of several scales at one place say the same."""
+    return len(np.unique(np.rint(z.real / SPOT) + 1j * np.rint(z.imag / SPOT)))
+
+
 def likely_pairs(pair: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Which pairs (numbers from 0) have MIN_AGREE matches of about the same turn and scale: bins overlap in both."""
     steps = np.rint(np.log(q["scale"] / p["scale"]) / np.log(STEP)).astype(np.int64) + 64
-    turn = (p["turn"].astype(np.int64) - q["turn"]) % TURNS // 4
-    bins = np.concatenate([(pair * 128 + steps + i) * 16 + (turn + j) % (TURNS // 4) for i in (0, 1) for j in (0, 1)])
+    turn = (p["turn"].astype(np.int64) - q["turn"]) % TURNS * 9 // TURNS
+    bins = np.concatenate([(pair * 128 + steps + i) * 16 + (turn + j) % 9 for i in (0, 1) for j in (0, 1)])
     value, count = np.unique(bins, return_counts=True)
     return np.unique(value[count >= MIN_AGREE] // (128 * 16))
 
@@ -275,17 +337,14 @@ def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
             q_ids, q = sent.value
             q0, q1 = (np.ascontiguousarray(q[c]) for c in ("d0", "d1"))
-            _, which, q_size = np.unique(q_ids, return_inverse=True, return_counts=True)
-            q_size = q_size[which]
             for whole in batches:
                 if name not in _ready:
                     _ready.clear()
                     _ready[name] = probe_tables(q0, q1)
-                for at in range(0, whole.num_rows, PICTURES):
-                    batch, rows = whole.slice(at, PICTURES), []
+                for at in range(0, whole.num_rows, MATCHED):
+                    batch, rows = whole.slice(at, MATCHED), []
                     data = batch.column(2).to_pylist()
-                    d_size = np.array([len(x) // CORNER.itemsize for x in data])
-                    pic = np.repeat(np.arange(len(data)), d_size)
+                    pic = np.repeat(np.arange(len(data)), [len(x) // CORNER.itemsize for x in data])
                     d = np.frombuffer(b"".join(data), CORNER)
                     a, b = within_bits(d["d0"], d["d1"], _ready[name], q0, q1)
                     order = np.lexsort((pic[a], q_ids[b]))
@@ -295,7 +354,7 @@ def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
                     for k in likely_pairs(np.repeat(np.arange(len(starts)), ends - starts), q[b], d[a]):
                         lo, hi = starts[k], ends[k]
                         n = agreeing(q[b[lo:hi]], d[a[lo:hi]])
-                        if n >= max(MIN_AGREE, MIN_SHARE * min(q_size[b[lo]], d_size[pic[a[lo]]])):
+                        if n >= MIN_AGREE:
                             rows.append((int(q_ids[b[lo]]), int(pic[a[lo]]), n))
                     if rows:
                         one = batch.take(pa.array([r[1] for r in rows]))
@@ -322,7 +381,7 @@ def find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
 def _find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
     digest = images.where("image IS NOT NULL").select("id", F.sha2("image", 256).alias("sha"), F.xxhash64("image").alias("tag"))
     classes = C.stage(digest.groupBy("sha").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"), F.first("tag").alias("tag")))
-    asked = C.stage(corners(queries))
+    asked = C.stage(corners(queries, dense=True))
     # Pictures are never shuffled: copies go by a bitmap before the corners are sought, the rest of them by the join after.
     firsts = C.maybe_in(images.where("image IS NOT NULL").withColumn("tag", F.xxhash64("image")), classes, "id", "tag")
     met = matched_pairs(corners(firsts), asked).join(classes, ["id", "tag"])
@@ -366,7 +425,7 @@ EDITS: tuple[Callable[[np.ndarray], np.ndarray], ...] = (
     lambda p: np.rot90(_cropped(p)),
     lambda p: resize(p.astype(np.float32), 1.25),
     lambda p: resize(p.astype(np.float32), 0.75),
-    lambda p: turned(p, 20),
+    lambda p: np.rot90(p, 2) * 0.7 + 30,
     lambda p: p[: p.shape[0] * 2 // 3, p.shape[1] // 3 :] * 1.1,
 )
 
