@@ -203,15 +203,59 @@ def test_refresh_and_retention(spark, tmp_path):
     newer = mart.withColumn("n", F.col("n") + 100)
     refresh.write_days(newer, path, *refresh.window(T0 + dt.timedelta(days=4, hours=5), 1))
     assert sorted(r.n for r in spark.read.parquet(path).collect()) == [0, 1, 2, 103, 104]
+    refresh.write_days(newer.where("n <> 103"), path, *refresh.window(T0 + dt.timedelta(days=4, hours=5), 1))
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == [0, 1, 2, 104]  # a day without rows goes
+    refresh.write_days(newer, path, *refresh.window(T0 + dt.timedelta(days=4, hours=5), 1))
     assert refresh.expire(spark, path, 2, T0 + dt.timedelta(days=4)) == ["date=2024-01-01", "date=2024-01-02"]
     assert spark.read.parquet(path).count() == 3
-    for k in (1, 2):
-        refresh.swap(mart.limit(k), f"file://{tmp_path}/mv")
-        assert refresh.current(spark, f"file://{tmp_path}/mv").count() == k
+    root = f"file://{tmp_path}/mv"
+    for k in (1, 2, 3):
+        old = refresh.current(spark, root) if k > 1 else None
+        refresh.swap(mart.limit(k), root)
+        assert refresh.current(spark, root).count() == k and (old is None or old.count() == k - 1)
+    assert sum(p.name.startswith("v-") for p in (tmp_path / "mv").iterdir()) == 2  # the one before stays for its readers
     assert refresh.backfill_window(None, T0)[0] == T0 - dt.timedelta(days=180)
     start, end = refresh.policy_window(T0 + dt.timedelta(days=100, minutes=5))
     assert (start, end) == (T0 + dt.timedelta(days=11), T0 + dt.timedelta(days=99))
-    assert refresh.table_health(spark, {"mart": path}).first().rows == 3
+    health = refresh.table_health(spark, {"mart": path}).first()
+    assert (health.rows, health.days, health.codec) == (3, 3, "snappy") and health.total_bytes > 0
+
+
+def test_facts_are_appended_and_rewritten_by_vessel(spark, tmp_path):
+    rows = [(T0 + dt.timedelta(hours=h), f"v{h % 5}", h) for h in range(72)]
+    frame = spark.createDataFrame(rows, "ts timestamp_ntz, vessel_uid string, n int")
+    path = f"file://{tmp_path}/facts"
+    for part in range(3):
+        refresh.append_fact(frame.where(F.col("n") % 3 == part), path)
+    files = lambda day: len(list((tmp_path / "facts" / f"date=2024-01-0{day}").glob("*.parquet")))
+    before = files(1), files(3)
+    assert refresh.rewrite_days(spark, path, dt.date(2024, 1, 3)) == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert files(1) < before[0] and files(3) == before[1]
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == list(range(72))
+    assert [p.name for p in tmp_path.iterdir()] == ["facts"]
+    for file in (tmp_path / "facts" / "date=2024-01-01").glob("*.parquet"):
+        uids = [r.vessel_uid for r in spark.read.parquet(f"file://{file}").collect()]
+        assert uids == sorted(uids)
+    assert refresh.table_health(spark, {"facts": path}).first().codec == "zstd"
+
+
+def test_marts_share_one_fold(spark):
+    from vesselflow.plans import registry
+
+    t = registry.Tables(spark, "/root/testdata/sf0.001")
+    plan = dashboard.row_counts(t.marts())._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan  # events are read from the table that the fold has written
+    fold = t.fixes.where("vessel_uid IS NOT NULL")
+    events_plan = events.emit_events(fold, t.areas)._jdf.queryExecution().executedPlan().toString()
+    assert events_plan.count("MapInPandas") == 1
+
+
+def test_arrival_numbers(spark):
+    docs = [(json.dumps({"data": {"rows": [vendor(MMSI=str(i)), vendor(MMSI=str(i))]}}), T0 + dt.timedelta(microseconds=i)) for i in range(3)]
+    raw = payload.explode_rows(spark.createDataFrame(docs, "value string, fetch_ts timestamp"))
+    got = normalize.normalise(raw).orderBy("arrival_seq").collect()
+    assert [r.vessel_uid for r in got][2:] == ["mmsi:1"] * 2 + ["mmsi:2"] * 2 and len({r.arrival_seq for r in got}) == 6
+    assert raw.select(F.max(payload.fetched_at(F.col("arrival_seq")))).first()[0] == T0 + dt.timedelta(microseconds=2)
 
 
 def test_marts_have_one_row_per_day_and_key(spark):

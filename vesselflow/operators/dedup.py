@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vesselflow.functions.geo import local_m_of, sphere_m_of
 
@@ -23,6 +24,8 @@ NEAR_M, FAR_M = 300.0, 2000.0
 SLACK_US = 2_000_000
 
 MEMBERSHIP = ("area_id_core", "area_id_approach", "lane_id", "gate_id", "gate_end")
+#: Of the vessel's fix kept before.
+BEFORE = {"b_core": "area_id_core", "b_approach": "area_id_approach", "b_lane": "lane_id"}
 NEEDS = ("_us", "lat", "lon", "sog", "cog", "heading", *MEMBERSHIP)
 
 
@@ -91,20 +94,32 @@ class Track:
 
 def dedup(fixes: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """The labelled fixes that are kept. Fixes without vessel_uid are all kept."""
+    return dedup_with_before(fixes, order).drop(*BEFORE)
+
+
+def dedup_with_before(fixes: DataFrame, order: str = "arrival_seq") -> DataFrame:
+    """As `dedup`, with the memberships of the vessel's fix kept before (BEFORE), so that events need no look back at all fixes."""
     columns = fixes.columns
     timed = fixes.withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
     # Fixes without a vessel are dealt out by their own number, so that they don't meet in one task.
     dealt = timed.repartition(F.coalesce("vessel_uid", F.xxhash64(order).cast("string"))).sortWithinPartitions("vessel_uid", order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vessel, track = None, Track()
+        vessel, track, last = None, Track(), (None,) * len(BEFORE)
+        at = [NEEDS.index(c) for c in BEFORE.values()]
         for pdf in batches:
+            before: list[tuple] = []
             keep = np.zeros(len(pdf), dtype=bool)
             values = [[None if _missing(x) else x for x in pdf[c].tolist()] for c in NEEDS]
             for i, (uid, fix) in enumerate(zip([None if _missing(x) else x for x in pdf["vessel_uid"]], zip(*values, strict=True), strict=True)):
                 if uid != vessel:
-                    vessel, track = uid, Track()
+                    vessel, track, last = uid, Track(), (None,) * len(BEFORE)
                 keep[i] = uid is None or track.keeps(fix)
-            yield pdf.loc[keep, columns]
-
-    return dealt.mapInPandas(run, fixes.schema)
+                if keep[i]:
+                    before.append(last)
+                    last = last if uid is None else tuple(fix[k] for k in at)
+            out = pdf.loc[keep, columns]
+            yield out.assign(**{c: pd.Series([b[k] for b in before], index=out.index, dtype=object) for k, c in enumerate(BEFORE)})
+
+    schema = T.StructType([*fixes.schema.fields, *(T.StructField(c, T.StringType()) for c in BEFORE)])
+    return dealt.mapInPandas(run, schema)

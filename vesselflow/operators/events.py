@@ -6,18 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-META = ("src", "dwt", "laden", "cargo_confidence", "arrival_likely_laden", "port_flow_role")
+from vesselflow.operators.dedup import BEFORE
 
 
 def _timeline(fixes: DataFrame, areas: DataFrame, order: str) -> DataFrame:
-    """Kept fixes with the memberships before each (b_*), the roles of both ports, and the belief after the port events.
+    """Kept fixes that change a membership, with those before each (b_*), the roles of both ports, and the belief after the port events.
 
     The belief is the last exit from an export (laden) or import port (in ballast), else the first entry into one: that
     is what updating it event by event comes to while ports keep their roles.
     """
     w = Window.partitionBy("vessel_uid").orderBy(order)
     rows = fixes.where("vessel_uid IS NOT NULL")
-    rows = rows.withColumns({b: F.lag(c).over(w) for b, c in (("b_core", "area_id_core"), ("b_approach", "area_id_approach"), ("b_lane", "lane_id"))})
+    if not set(BEFORE) <= set(fixes.columns):
+        rows = rows.withColumns({b: F.lag(c).over(w) for b, c in BEFORE.items()})
+    # Only changes give events and beliefs; they are few, so what follows shuffles little where the fold has looked back.
+    changed = [~F.col(b).eqNullSafe(F.col(c)) for b, c in BEFORE.items()]
+    rows = rows.where(changed[0] | changed[1] | changed[2])
     roles = areas.where("flow_role IS NOT NULL").select("area_id", "flow_role")
     rows = rows.join(roles.toDF("b_core", "exit_role"), "b_core", "left").join(roles.toDF("area_id_core", "enter_role"), "area_id_core", "left")
     moved = ~F.col("b_core").eqNullSafe(F.col("area_id_core"))
@@ -59,7 +63,7 @@ def _event(name: str, when: Column, area: Column, kind: str, gate: Column, laden
 
 
 def emit_events(fixes: DataFrame, areas: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """Events of the kept fixes: ts, vessel_uid, arrival order, ord (place within the fix), event, area_id, area_kind, gate_end, lat, lon and META.
+    """Events of the kept fixes: ts, vessel_uid, arrival order, ord (place within the fix), event, area_id, area_kind, gate_end, lat, lon and what is known of ship and cargo.
 
     A move from one port to another gives exit and enter; from one approach or lane to another only the enter. Fixes
     without vessel_uid give none.
@@ -83,11 +87,6 @@ def emit_events(fixes: DataFrame, areas: DataFrame, order: str = "arrival_seq")
     return rows.select("ts", "vessel_uid", order, "ord", "e.event", "e.area_id", "e.area_kind", "e.gate_end", "lat", "lon", "src", "dwt", "e.laden", "e.cargo_confidence", "e.arrival_likely_laden", "e.port_flow_role")
 
 
-def with_meta(events: DataFrame) -> DataFrame:
-    """The META columns packed into one struct, meta."""
-    return events.withColumn("meta", F.struct(*META)).drop(*META)
-
-
 def vessel_state(fixes: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """Last kept membership of each vessel."""
     last = F.max_by(F.struct("area_id_core", "area_id_approach", "lane_id", "gate_end", "ts"), F.col(order)).alias("s")

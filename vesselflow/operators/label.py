@@ -17,10 +17,10 @@ def cell_index(areas: DataFrame, gates: DataFrame) -> DataFrame:
     role = F.when(F.expr(CORE), "core").when(F.expr(APPROACH), "approach").when(F.expr(LANE), "lane")
     rows = areas.select(F.col("area_id").alias("id"), role.alias("role"), F.lit(None).cast("string").alias("side"), ring.alias("ring"))
     rows = rows.unionByName(gates.select(F.col("gate_id").alias("id"), F.lit("gate").alias("role"), F.regexp_extract("subtype", "^gate_(west|east|north|south)$", 1).alias("side"), ring.alias("ring")))
-    rows = rows.where("role IS NOT NULL").withColumn("box", geo.envelope(F.col("ring"))).withColumn("area", geo.ring_area(F.col("ring")))
+    rows = rows.where("role IS NOT NULL").withColumns({"box": geo.envelope(F.col("ring")), "area": geo.ring_area(F.col("ring")), "sides": geo.edges(F.col("ring"))})
     span = lambda a, b: F.sequence(F.floor(f"box.{a}").cast("int"), F.floor(f"box.{b}").cast("int"))
     cells = rows.withColumn("_cx", F.explode(span("xmin", "xmax"))).withColumn("_cy", F.explode(span("ymin", "ymax")))
-    one = F.struct("area", "id", "side", "box", "ring")
+    one = F.struct("area", "id", "side", "box", "sides")
     of = lambda r: F.sort_array(F.collect_list(F.when(F.col("role") == r, one))).alias(f"_{r}")
     return cells.groupBy("_cx", "_cy").agg(of("core"), of("approach"), of("lane"), of("gate"))
 
@@ -31,7 +31,7 @@ def _smallest(name: str) -> Column:
 
     def hit(g: Column) -> Column:
         boxed = lon.between(g["box"]["xmin"], g["box"]["xmax"]) & lat.between(g["box"]["ymin"], g["box"]["ymax"])
-        return boxed & geo.covers(g["ring"], lon, lat)
+        return boxed & geo.covered_by(g["sides"], lon, lat)
 
     return F.get(F.filter(name, hit), F.lit(0))
 

@@ -12,7 +12,7 @@ MAX_KNOTS = 35.0
 
 FIX = (
     "ts timestamp, src string, vessel_uid string, lat double, lon double, sog float, cog float, heading short, elapsed int, destination string, flag string, "
-    "length_m float, width_m float, dwt int, shipname string, shiptype short, ship_id string, rot float"
+    "length_m float, width_m float, dwt int, shipname string, shiptype short, ship_id string, rot float, arrival_seq long"
 )
 
 
@@ -74,7 +74,7 @@ def near_any(rows: DataFrame, boxes: DataFrame | None) -> DataFrame:
 
 
 def normalise(raw: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
-    """Fixes of the tankers among the vendor rows (see payload.explode_rows): 18 columns, types as in FIX.
+    """Fixes of the tankers among the vendor rows (see payload.explode_rows): 18 columns and arrival_seq, types as in FIX.
 
     Rows go that have no tanker's type, an age outside the limits, no position on the globe, no place near a geofence
     (boxes), a satellite source or a speed that no tanker has.
@@ -103,6 +103,7 @@ def normalise(raw: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
         "shiptype": S.to_whole(F.col("SHIPTYPE")).try_cast("short"),
         "ship_id": S.to_text(F.col("SHIP_ID")),
         "rot": S.to_number(F.col("ROT")).cast("float"),
+        "arrival_seq": F.col("arrival_seq"),
     }
     return rows.select(*(v.alias(k) for k, v in values.items()))
 

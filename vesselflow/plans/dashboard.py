@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from vesselflow.functions import geo
 from vesselflow.functions import scalars as S
+from vesselflow.sources import payload
 
 
 def latest(fixes: DataFrame) -> dt.datetime:
@@ -62,9 +63,10 @@ def tracks(ranked: DataFrame) -> DataFrame:
     return faded.groupBy("vessel_uid").agg(F.sort_array(F.collect_list(F.struct("ts", "lat", "lon", "opacity"))).alias("points"))
 
 
-def port_occupancy_series(fixes: DataFrame, area_id: str, days: int = 14, as_of: dt.datetime | None = None) -> DataFrame:
-    inside = F.when(F.col("area_id_core") == area_id, F.col("vessel_uid"))
-    near = F.when((F.col("area_id_approach") == area_id) & F.col("area_id_core").isNull(), F.col("vessel_uid"))
+def port_occupancy_series(fixes: DataFrame, core: str, approach: str, days: int = 14, as_of: dt.datetime | None = None) -> DataFrame:
+    """bucket, in_core, in_approach: different vessels in a port's core, and in its approach but in no core, by half hours."""
+    inside = F.when(F.col("area_id_core") == core, F.col("vessel_uid"))
+    near = F.when((F.col("area_id_approach") == approach) & F.col("area_id_core").isNull(), F.col("vessel_uid"))
     rows = fixes.where(_since(fixes, as_of, days=days)).groupBy(S.bucket(F.col("ts"), 30).alias("bucket"))
     return rows.agg(F.countDistinct(inside).alias("in_core"), F.countDistinct(near).alias("in_approach")).orderBy("bucket")
 
@@ -154,6 +156,38 @@ def tile_list(cover: DataFrame) -> DataFrame:
     return one.select(F.array_join(F.transform("t", lambda t: F.concat_ws("/", t["z"], t["x"], t["y"])), ";").alias("tiles"))
 
 
+def tile_breakdown(cover: DataFrame) -> DataFrame:
+    """owner, n_tiles, tiles: the tiles of each area and gate, as in tile_list."""
+    one = cover.groupBy("owner").agg(F.count("*").alias("n_tiles"), F.sort_array(F.collect_list(F.struct("z", "x", "y"))).alias("t"))
+    return one.select("owner", "n_tiles", F.array_join(F.transform("t", lambda t: F.concat_ws("/", t["z"], t["x"], t["y"])), ";").alias("tiles"))
+
+
+def tile_rounds(cover: DataFrame, per_cycle: int = 8, cycles: int = 8) -> DataFrame:
+    """cycle, place, z, x, y, path: the tiles that each cycle asks for, in turn, beginning again where the list ends.
+
+    A tile list is as long as the areas are many, so its places are numbered in one task.
+    """
+    tiles = cover.select("z", "x", "y").distinct()
+    listed = tiles.withColumn("n", F.row_number().over(Window.orderBy("z", "x", "y")) - 1).withColumn("total", F.count("*").over(Window.partitionBy()))
+    # Slot s of all cycles asks for the tile s modulo their number.
+    slots = listed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(per_cycle * cycles - 1)))).where(F.col("slot") % F.col("total") == F.col("n"))
+    return slots.select(
+        F.floor(F.col("slot") / per_cycle).cast("int").alias("cycle"), (F.col("slot") % per_cycle).cast("int").alias("place"), "z", "x", "y", payload.tile_url("", F.col("z"), F.col("x"), F.col("y")).alias("path")
+    )
+
+
+def cycle_summary(payloads: DataFrame, raw: DataFrame, kept: DataFrame, inserted: DataFrame, minutes: int = 1440) -> DataFrame:
+    """cycle, tiles, tiles_ok, received, kept, inserted: documents and those with rows, rows before and after normalising, and after the dedup."""
+
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(S.bucket(payload.fetched_at(F.col("arrival_seq")), minutes).alias("cycle")).agg(F.count("*").alias(name))
+
+    out = payload.tiles_by_cycle(payloads, minutes)
+    for df, name in ((raw, "received"), (kept, "kept"), (inserted, "inserted")):
+        out = out.join(rows(df, name), "cycle", "left")
+    return out.fillna(0)
+
+
 def tile_candidates(tiles: DataFrame) -> DataFrame:
     """kind, z, x, y of the addresses that a tile may have: as it is, with its row flipped, and both one zoom up."""
     z, x, y = F.col("z"), F.col("x"), F.col("y")

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vesselflow.session import shared_dir
+
 #: How long facts are kept, and how far back a scheduled refresh looks.
 KEEP_DAYS = {"fixes": 90, "events": 730}
+CODEC = "zstd"
 REFRESH_DAYS, REFRESH_LAG = 90, dt.timedelta(minutes=10)
 
 
@@ -40,55 +44,131 @@ def within(rows: DataFrame, start: dt.datetime, end: dt.datetime, column: str =
 
 
 def write_days(mart: DataFrame, path: str, start: dt.datetime | None = None, end: dt.datetime | None = None) -> None:
-    """Replace the partitions of the mart's days, and only these; days of the window without rows stay as they were."""
+    """Replace the partitions of the window's days (without one, those of the mart's days), and only these.
+
+    Days of the window that have no rows any more lose their partition.
+    """
     rows = within(mart, start, end, "day") if start and end else mart
     out = rows.withColumn("date", F.to_date("day"))
+    before = _files(mart.sparkSession, path, start, end) if start and end else {}
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    # What holds the same files as before has not been written again.
+    fs, places = _days(mart.sparkSession, path)
+    for day, names in (_files(mart.sparkSession, path, start, end) if before else {}).items():
+        if names == before.get(day):
+            fs.delete(places[day], True)
+
+
+def _files(spark: SparkSession, path: str, start: dt.datetime, end: dt.datetime) -> dict[dt.date, set[str]]:
+    """Names of the files of each day partition of a window."""
+    fs, days = _days(spark, path)
+    return {d: {f.getPath().getName() for f in fs.listStatus(place)} for d, place in days.items() if start.date() <= d and dt.datetime.combine(d, dt.time()) < end}
+
+
+def _filesystem(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _days(spark: SparkSession, path: str) -> tuple:
+    """(file system, day -> folder) of a table's day partitions."""
+    fs, root = _filesystem(spark, path)
+    found = {}
+    for status in fs.listStatus(root) if fs.exists(root) else ():
+        name = status.getPath().getName()
+        if name.startswith("date="):
+            found[dt.date.fromisoformat(name[5:])] = status.getPath()
+    return fs, found
 
 
 def swap(rows: DataFrame, root: str) -> str:
-    """Write a full recompute beside the current version and point readers to it; returns the new path.
+    """Write a full recompute beside the current version and make it the newest by one rename; returns the new path.
 
-    Readers of the old version are not disturbed. The pointer is one small text file, replaced as the last step.
+    There is a whole version to read at any time. The version before the new one stays for those who are reading it;
+    older ones go.
     """
-    path = f"{root}/v-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
     spark = rows.sparkSession
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
+    fs, folder = _filesystem(spark, root)
+    hidden = f"{root}/_new-{uuid.uuid4().hex}"
+    rows.write.parquet(hidden)
+    versions = _versions(spark, root)
+    number = int(versions[-1].rpartition("-")[2]) + 1 if versions else 0
+    path = f"{root}/v-{number:012d}"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.rename(jpath(hidden), jpath(path))
+    for old in versions[:-1]:
+        fs.delete(jpath(f"{root}/{old}"), True)
     return path
 
 
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    fs, folder = _filesystem(spark, root)
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.startswith("v-"))
+
+
 def current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(spark.read.text(f"{root}/current").first()[0])
+    return spark.read.parquet(f"{root}/{_versions(spark, root)[-1]}")
 
 
 def append_fact(rows: DataFrame, path: str) -> None:
-    """Append by day, sorted for scans of single vessels."""
-    out = rows.withColumn("date", F.to_date("ts"))
-    out.repartition("date", "vessel_uid").sortWithinPartitions("vessel_uid", F.desc("ts")).write.mode("append").partitionBy("date").parquet(path)
+    """Append by day, compressed and sorted for scans of single vessels."""
+    out = rows.withColumn("date", F.to_date("ts")).repartition("date", "vessel_uid").sortWithinPartitions("date", "vessel_uid", F.desc("ts"))
+    out.write.mode("append").option("compression", CODEC).partitionBy("date").parquet(path)
+
+
+def rewrite_days(spark: SparkSession, path: str, before: dt.date) -> list[dt.date]:
+    """Bring the days before a date, which many appends have cut up, into few files in the order of vessels; returns them.
+
+    A day is written beside the table and takes its old folder's place by a rename.
+    """
+    fs, days = _days(spark, path)
+    old = sorted(d for d in days if d < before)
+    if old:
+        beside = f"{path.rstrip('/')}.rewrite-{uuid.uuid4().hex}"
+        rows = spark.read.option("basePath", path).parquet(*(days[d].toString() for d in old))
+        append_fact(rows.drop("date"), beside)
+        fresh = _days(spark, beside)[1]
+        for day in old:
+            fs.delete(days[day], True)
+            fs.rename(fresh[day], days[day])
+        fs.delete(_filesystem(spark, beside)[1], True)
+    return old
+
+
+def written(rows: DataFrame, name: str, write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
+    """The rows as a table in the session's shared folder, by Spark's writer or by another one."""
+    spark = rows.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    write(rows, path) if write else rows.write.parquet(path)
+    out = spark.read.parquet(path)
+    out._path = path
+    return out
+
+
+def path_of(table: DataFrame) -> str:
+    """Where `written` has put a table."""
+    return table._path
 
 
 def expire(spark: SparkSession, path: str, keep_days: int, as_of: dt.datetime) -> list[str]:
     """Delete the day partitions that lie wholly before the limit; returns their names."""
     limit = (as_of - dt.timedelta(days=keep_days)).date()
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    gone = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("date=") and dt.date.fromisoformat(name[5:]) < limit:
-            fs.delete(status.getPath(), True)
-            gone.append(name)
-    return sorted(gone)
+    fs, days = _days(spark, path)
+    gone = sorted(d for d in days if d < limit)
+    for day in gone:
+        fs.delete(days[day], True)
+    return [f"date={d}" for d in gone]
 
 
 def table_health(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """table, total_bytes, size_gb, rows of tables on disk, largest first."""
+    """table, total_bytes, size_gb, rows, days (partitions with rows), codec (of all files, or null) of tables on disk, largest first."""
     out = None
     for name, path in paths.items():
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
-        rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
-        one = files.join(rows).select(F.lit(name).alias("table"), "total_bytes", F.round(F.col("total_bytes") / 1024.0**3, 3).alias("size_gb"), "rows")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+        codec = F.regexp_extract("path", r"\.([a-z0-9]+)\.parquet$", 1)
+        files = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"), F.when(F.min(codec) == F.max(codec), F.max(codec)).alias("codec"))
+        table = spark.read.parquet(path)
+        rows = table.agg(F.count("*").alias("rows"), F.countDistinct("date" if "date" in table.columns else F.lit(1)).alias("days"))
+        one = files.join(rows).select(F.lit(name).alias("table"), "total_bytes", F.round(F.col("total_bytes") / 1024.0**3, 3).alias("size_gb"), "rows", "days", "codec")
         out = one if out is None else out.unionByName(one)
     return out.orderBy(F.desc("total_bytes"))

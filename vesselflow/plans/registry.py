@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
 from collections.abc import Callable
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vesselflow.functions import geo
 from vesselflow.operators import dedup, dwell, events, label, normalize
-from vesselflow.plans import dashboard, marts
+from vesselflow.plans import dashboard, marts, refresh
 from vesselflow.plans.oracle import sql
 from vesselflow.sources import fixture, geofence, payload
 
@@ -23,19 +24,23 @@ MEMBER = ("area_id_core", "area_id_approach", "lane_id", "gate_id", "gate_end")
 class Tables:
     """The pipeline's tables over one folder, each a lazy DataFrame made from the one before."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, fixes: DataFrame | None = None) -> None:
         self.spark, self.areas, self.gates = spark, fixture.areas(spark), fixture.gates(spark)
-        self.labelled = label.label(fixture.fixes(spark, sf_dir), self.areas, self.gates)
+        self.labelled = label.label(fixture.fixes(spark, sf_dir) if fixes is None else fixes, self.areas, self.gates)
 
-    @property
+    @functools.cached_property
     def fixes(self) -> DataFrame:
-        return dedup.dedup(self.labelled)
+        return dedup.dedup_with_before(self.labelled)
 
-    @property
+    @functools.cached_property
     def events(self) -> DataFrame:
         return events.emit_events(self.fixes, self.areas)
 
-    @property
+    def write_events(self) -> None:
+        """From now on events are read from a table in the session's shared folder: what makes several marts folds the fixes once."""
+        self.events = refresh.written(self.events, "events")
+
+    @functools.cached_property
     def sessions(self) -> DataFrame:
         return dwell.dwell_sessions(self.events)
 
@@ -48,6 +53,7 @@ class Tables:
         return make(self.sessions if name == "area_occupancy_daily" else self.events, self.areas)
 
     def marts(self) -> dict[str, DataFrame]:
+        self.write_events()
         return {n: self.mart(n) for n in MARTS}
 
 
@@ -176,10 +182,10 @@ def _(t):
 @add(
     "port_occupancy_series",
     f"""SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS bucket, count(DISTINCT vessel_uid) FILTER (WHERE area_id_core = 'P0c') AS in_core,
-    count(DISTINCT vessel_uid) FILTER (WHERE area_id_approach = 'P0c' AND area_id_core IS NULL) AS in_approach FROM lb WHERE ts >= {_NOW} - INTERVAL 14 DAY GROUP BY 1""",
+    count(DISTINCT vessel_uid) FILTER (WHERE area_id_approach = 'P0a' AND area_id_core IS NULL) AS in_approach FROM lb WHERE ts >= {_NOW} - INTERVAL 14 DAY GROUP BY 1""",
 )
 def _(t):
-    return dashboard.port_occupancy_series(t.labelled, "P0c")
+    return dashboard.port_occupancy_series(t.labelled, "P0c", "P0a")
 
 
 @add("area_ports", "SELECT id AS area_id, name FROM area WHERE kind = 'port'")
@@ -287,9 +293,18 @@ def _(t):
     return dashboard.row_counts(t.marts(), dt.datetime(2024, 1, 20))
 
 
-@add("table_health", "SELECT 'fixes' AS rel, count(*) AS rows FROM ac UNION ALL SELECT 'events', count(*) FROM ev UNION ALL SELECT 'sessions', count(*) FROM dw")
+@add(
+    "table_health",
+    """SELECT 'fixes' AS rel, count(*) AS rows, count(DISTINCT CAST(ts AS DATE)) AS days, true AS sized, 'zstd' AS codec FROM ac
+    UNION ALL SELECT 'events', count(*), count(DISTINCT CAST(ts AS DATE)), true, 'zstd' FROM ev""",
+)
 def _(t):
-    return dashboard.row_counts({"fixes": t.fixes, "events": t.events, "sessions": t.sessions})
+    """Both fact tables are written as facts are, and looked at on disk."""
+    fixes = refresh.written(t.fixes, "fixes", refresh.append_fact)
+    t.fixes = fixes.drop("date")
+    written = {"fixes": fixes, "events": refresh.written(t.events, "events", refresh.append_fact)}
+    health = refresh.table_health(t.spark, {k: refresh.path_of(v) for k, v in written.items()})
+    return health.select(F.col("table").alias("rel"), "rows", "days", (F.col("total_bytes") > 0).alias("sized"), "codec")
 
 
 @add(
@@ -318,9 +333,9 @@ def _(t):
     return dashboard.explore(t.spark, {"ais_fix": t.labelled}, "SELECT lane_id, count(*) AS n, round(avg(sog), 4) AS sog FROM ais_fix WHERE lane_id IS NOT NULL AND sog >= :least GROUP BY lane_id", least=5)
 
 
-@add("closed_dwells", "SELECT vessel_uid, area_id, start_ts, end_ts, duration_s FROM dw WHERE NOT is_open ORDER BY end_ts DESC, vessel_uid, area_id, start_ts LIMIT 100")
+@add("closed_dwells", "SELECT vessel_uid, area_id, start_ts, end_ts, duration_s FROM dw WHERE NOT is_open ")
 def _(t):
-    return t.sessions.where("NOT is_open").select("vessel_uid", "area_id", "start_ts", "end_ts", "duration_s").orderBy(F.desc("end_ts"), "vessel_uid", "area_id", "start_ts").limit(100)
+    return t.sessions.where("NOT is_open").select("vessel_uid", "area_id", "start_ts", "end_ts", "duration_s").orderBy(F.desc("end_ts"), "vessel_uid", "area_id", "start_ts")
 
 
 @add("recent_fixes", "SELECT arrival_seq, ts, vessel_uid FROM lb ORDER BY ts DESC, arrival_seq DESC LIMIT 100")
@@ -335,16 +350,37 @@ _z = {("port", "core"): 7, ("port", "approach"): 6, ("lane", "corridor"): 5, ("c
 _boxes = [(a[0], _z[a[1:3]], a[5] - 0.2, a[6] - 0.2, a[7] + 0.2, a[8] + 0.2) for a in fixture.AREAS] + [(f"{g[1]}::{g[0]}", 6, g[3] - 0.3, g[4] - 0.3, g[5] + 0.3, g[6] + 0.3) for g in fixture.GATES]
 
 
-@add("tile_cover", _TILE.replace("SELECT * FROM box", _values([(o, z, *map(float, b)) for o, z, *b in _boxes], "owner, z, x0, y0, x1, y1")), base=False)
+_COVER = _TILE.replace("SELECT * FROM box", _values([(o, z, *map(float, b)) for o, z, *b in _boxes], "owner, z, x0, y0, x1, y1"))
+
+
+@add("tile_cover", _COVER, base=False)
 def _(t):
     return dashboard.tile_cover(t.areas, t.gates)
 
 
-@add("tile_list", None)
+_LISTED = "string_agg(z || '/' || x || '/' || y, ';' ORDER BY z, x, y)"
+
+
+@add("tile_list", f"SELECT {_LISTED} AS tiles FROM (SELECT DISTINCT z, x, y FROM ({_COVER}))", base=False)
 def _(t):
     return dashboard.tile_list(dashboard.tile_cover(t.areas, t.gates))
 
 
+@add("tile_breakdown", f"SELECT owner, count(*) AS n_tiles, {_LISTED} AS tiles FROM ({_COVER}) GROUP BY owner", base=False)
+def _(t):
+    return dashboard.tile_breakdown(dashboard.tile_cover(t.areas, t.gates))
+
+
+@add(
+    "tile_rounds",
+    f"""WITH d AS (SELECT DISTINCT z, x, y FROM ({_COVER})), n AS (SELECT *, row_number() OVER (ORDER BY z, x, y) - 1 AS n, count(*) OVER () AS total FROM d)
+    SELECT CAST(s // 8 AS INT) AS cycle, CAST(s % 8 AS INT) AS place, z, x, y, '/z:' || z || '/X:' || x || '/Y:' || y || '/station:0' AS path FROM (SELECT unnest(range(64)) AS s) JOIN n ON s % total = n""",
+    base=False,
+)
+def _(t):
+    return dashboard.tile_rounds(dashboard.tile_cover(t.areas, t.gates))
+
+
 @add("tile_candidates", _values([("xyz", 6, 33, 30), ("tms", 6, 33, 33), ("xyz_up", 5, 16, 15), ("tms_up", 5, 16, 16), ("xyz", 0, 0, 0), ("tms", 0, 0, 0)], "kind, z, x, y"), base=False)
 def _(t):
     return dashboard.tile_candidates(t.spark.createDataFrame([(6, 33, 30), (0, 0, 0)], "z int, x int, y int"))
@@ -353,25 +389,52 @@ def _(t):
 @add_with_dir(
     "normalize_rows",
     """WITH r AS (SELECT *, event_id % 800 AS el, user_id % 20 + 70 AS st, event_id % 100 - 5 AS la, event_id % 200 - 10 AS lo, event_id % 400 AS sp FROM events)
-    SELECT CASE WHEN event_id % 13 = 0 THEN ts ELSE ts - to_minutes(el) END AS ts,
+    SELECT CASE WHEN event_id % 13 = 0 THEN ts ELSE ts - to_minutes(el) END AS ts, 'terrestrial' AS src,
       CASE WHEN user_id % 2 = 0 THEN 'mmsi:' || (200000000 + user_id) WHEN user_id % 3 = 0 THEN 'imo:' || (9000000 + user_id) ELSE 'mtid:' || user_id END AS vessel_uid,
-      CAST(la || '.5' AS DOUBLE) AS lat, CAST(lo AS DOUBLE) AS lon, CAST(sp / 10e0 AS FLOAT) AS sog, CAST(event_id % 360 AS SMALLINT) AS heading, CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(el AS INT) END AS elapsed,
-      CAST(event_id % 1000 AS INT) AS dwt, 'Vessel ' || user_id AS shipname, CAST(st AS SMALLINT) AS shiptype
+      CAST(la || '.5' AS DOUBLE) AS lat, CAST(lo AS DOUBLE) AS lon, CAST(sp / 10e0 AS FLOAT) AS sog, CAST(event_id % 720 * 0.5e0 AS FLOAT) AS cog, CAST(event_id % 360 AS SMALLINT) AS heading,
+      CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(el AS INT) END AS elapsed, 'Port ' || (user_id % 5) AS destination, CASE WHEN user_id % 4 = 0 THEN NULL ELSE 'PA' END AS flag,
+      CAST(user_id % 300 + 0.5e0 AS FLOAT) AS length_m, CASE WHEN user_id % 3 = 0 THEN NULL ELSE CAST(32 AS FLOAT) END AS width_m,
+      CAST(event_id % 1000 AS INT) AS dwt, 'Vessel ' || user_id AS shipname, CAST(st AS SMALLINT) AS shiptype, CAST(user_id AS VARCHAR) AS ship_id, CAST(-(event_id % 9 + 1) AS FLOAT) AS rot,
+      (epoch_us(ts) - 1577836800000000) * 4096 AS arrival_seq
     FROM r WHERE st >= 80 AND (event_id % 13 = 0 OR el <= 720) AND CAST(la || '.5' AS DOUBLE) BETWEEN -90 AND 90 AND lo BETWEEN -180 AND 180 AND event_id % 11 <> 0 AND sp <= 350""",
 )
 def _(spark, sf_dir):
     rows = normalize.normalise(payload.explode_rows(fixture.payloads(spark, sf_dir)))
-    return rows.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "vessel_uid", "lat", "lon", "sog", "heading", "elapsed", "dwt", "shipname", "shiptype")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _from_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, Tables]:
+    """The way of a vendor document to the marts: documents, raw rows, fixes, and the tables made from them."""
+    documents = fixture.track_payloads(spark, sf_dir)
+    raw = payload.explode_rows(documents)
+    kept = normalize.normalise(raw).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return documents, raw, kept, Tables(spark, sf_dir, kept)
+
+
+_TAKEN = "event_id % 23 <> 5 AND event_id % 19 <> 0 AND event_id % 7 <> 3 AND event_id % 17 <> 0 AND value <= 350"
+
+
+@add_with_dir("pipeline_from_payloads", sql("SELECT * EXCLUDE (arrival_seq) FROM ev", _TAKEN))
+def _(spark, sf_dir):
+    return _from_payloads(spark, sf_dir)[3].events.drop("arrival_seq")
+
+
+@add_with_dir("lane_transit_from_payloads", sql("SELECT * FROM q2", _TAKEN))
+def _(spark, sf_dir):
+    return _from_payloads(spark, sf_dir)[3].mart("lane_transit_daily")
 
 
 @add_with_dir(
     "cycle_summary",
-    """SELECT count(*) AS received, count(*) FILTER (WHERE user_id % 20 >= 10 AND (event_id % 13 = 0 OR event_id % 800 <= 720) AND event_id % 100 - 5 < 90 AND event_id % 200 - 10 <= 180 AND event_id % 11 <> 0 AND event_id % 400 <= 350) AS kept FROM events""",
+    sql(
+        f"""SELECT date_trunc('day', e.ts) AS cycle, count(*) AS tiles, count(*) FILTER (WHERE event_id % 23 <> 5) AS tiles_ok, count(*) FILTER (WHERE event_id % 23 <> 5) AS received,
+        count(*) FILTER (WHERE {_TAKEN}) AS kept, count(ac.arrival_seq) AS inserted FROM events e LEFT JOIN ac ON ac.arrival_seq = e.event_id GROUP BY 1""",
+        _TAKEN,
+    ),
 )
 def _(spark, sf_dir):
-    raw = payload.explode_rows(fixture.payloads(spark, sf_dir))
-    n = lambda df, name: df.agg(F.count("*").alias(name))
-    return n(raw, "received").join(n(normalize.normalise(raw), "kept"))
+    documents, raw, kept, tables = _from_payloads(spark, sf_dir)
+    return dashboard.cycle_summary(documents, raw, kept, tables.fixes)
 
 
 def queries() -> dict[str, Query]:

@@ -45,29 +45,46 @@ def gates(spark: SparkSession) -> DataFrame:
     return _local(spark, GATE, [(g, a, f"Name {g}", of[a][0], f"gate_{side}", of[a][1], None, [rectangle(*box)]) for g, a, side, *box in GATES])
 
 
-def fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
     rows = rows.selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k", "(unix_micros(cast(ts AS timestamp)) div 3600000000 + user_id * 7) % 240 AS ph")
-    rows = rows.selectExpr(
+    return rows.selectExpr(
         "*",
         "CASE WHEN ph < 40 THEN 0e0 WHEN ph < 120 THEN (ph - 40) * 0.125e0 WHEN ph < 160 THEN 10e0 ELSE 10e0 - (ph - 160) * 0.125e0 END AS bx",
         "CASE WHEN k < 30 THEN 0e0 ELSE (k - 50) * 0.004e0 END AS j",
     )
-    return rows.selectExpr(
+_LAT = "(CASE WHEN user_id % 3 = 2 AND bx > 4.5e0 AND bx < 6.5e0 THEN 6.5e0 ELSE 0.5e0 END) + j + (CASE WHEN k >= 97 THEN 20e0 ELSE 0e0 END)"
+_LON = "bx + 0.5e0 + j"
+_DWT = "CASE user_id % 5 WHEN 0 THEN 300000 WHEN 1 THEN 150000 WHEN 2 THEN 100000 WHEN 3 THEN 50000 END"
+
+
+def fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _positions(spark, sf_dir).selectExpr(
         "event_id AS arrival_seq",
         "ts",
         "'terrestrial' AS src",
         "concat('mmsi:', 200000000 + user_id) AS vessel_uid",
-        "(CASE WHEN user_id % 3 = 2 AND bx > 4.5e0 AND bx < 6.5e0 THEN 6.5e0 ELSE 0.5e0 END) + j + (CASE WHEN k >= 97 THEN 20e0 ELSE 0e0 END) AS lat",
-        "bx + 0.5e0 + j AS lon",
+        f"{_LAT} AS lat",
+        f"{_LON} AS lon",
         "cast(value / 10e0 AS float) AS sog",
         "cast(k * 3.6e0 AS float) AS cog",
         "cast(NULL AS smallint) AS heading",
-        "CASE user_id % 5 WHEN 0 THEN 300000 WHEN 1 THEN 150000 WHEN 2 THEN 100000 WHEN 3 THEN 50000 END AS dwt",
+        f"{_DWT} AS dwt",
         "concat('Vessel ', user_id) AS shipname",
     )
 
 
+def track_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """value, fetch_ts: the positions of `fixes` as vendor documents, one each; some are broken, of other ships, too old or of a satellite."""
+    return _positions(spark, sf_dir).selectExpr(
+        f"""CASE WHEN event_id % 23 = 5 THEN '<html>busy</html>' ELSE concat('{{"data":{{"rows":[{{"SHIP_ID":"', CASE WHEN event_id % 19 = 0 THEN 'ab=/' ELSE cast(user_id AS string) END,
+            '","MMSI":"', 200000000 + user_id, '","SHIPNAME":"Vessel ', user_id, '","SHIPTYPE":"', CASE WHEN event_id % 7 = 3 THEN 70 ELSE 80 + user_id % 10 END,
+            '","ELAPSED":"', CASE WHEN event_id % 17 = 0 THEN 721 ELSE 0 END, '","LAT":"', {_LAT}, '","LON":"', {_LON}, '","SPEED":"', value, '","COURSE":"', k * 3.6e0,
+            '","DWT":', coalesce(cast({_DWT} AS string), '""'), '}}]}}}}') END AS value""",
+        "cast(ts AS timestamp) AS fetch_ts",
+    )
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """value, fetch_ts: one vendor document per event, with the odd values that vendors send."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
@@ -75,6 +92,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             '","SHIPNAME":" Vessel ', user_id, ' ","SHIPTYPE":"', 70 + user_id % 20, '","ELAPSED":"', CASE WHEN event_id % 13 = 0 THEN 'x' ELSE cast(event_id % 800 AS string) END,
             '","LAT":"', event_id % 100 - 5, '.5","LON":', event_id % 200 - 10, ',"SPEED":"', event_id % 400, '"',
             CASE WHEN user_id % 2 = 0 THEN concat(',"MMSI":"', 200000000 + user_id, '"') WHEN user_id % 3 = 0 THEN concat(',"MMSI":0,"IMO":', 9000000 + user_id) ELSE '' END,
-            ',"HEADING":"', event_id % 360, '.7","DWT":"', event_id % 1000, '"}]}}') AS value""",
+            ',"HEADING":"', event_id % 360, '.7","DWT":"', event_id % 1000, '","COURSE":', event_id % 720 * 0.5e0, ',"FLAG":"', CASE WHEN user_id % 4 = 0 THEN ' ' ELSE 'PA ' END,
+            '","LENGTH":"', user_id % 300, '.5","WIDTH":"', CASE WHEN user_id % 3 = 0 THEN 'n/a' ELSE '32' END, '","DESTINATION":" Port ', user_id % 5, ' ","ROT":"-', event_id % 9 + 1, '"}]}}') AS value""",
         "cast(ts AS timestamp) AS fetch_ts",
     )

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vesselflow.functions import scalars as S
+
 #: The vendor's keys.
 KEYS = (
     "SHIPTYPE TYPE_NAME TYPE_IMG GT_SHIPTYPE ELAPSED LAT LON SPEED COURSE HEADING ROT SHIPNAME SHIP_ID MMSI mmsi_lower IMO imo_lower FLAG LENGTH WIDTH "
     "DWT DESTINATION"
 ).split()
+#: Micros that arrival numbers begin at (2020-01-01), and rows of a document that they tell apart.
+_FROM, _ROWS = 1_577_836_800_000_000, 4096
 _NAMES = {"mmsi_lower": "mmsi", "imo_lower": "imo"}
 
 
@@ -20,10 +24,29 @@ def read_payloads(spark: SparkSession, path: str, stream: bool = False) -> DataF
 
 
 def explode_rows(payloads: DataFrame) -> DataFrame:
-    """A row of texts per vendor row, with fetch_ts; documents that are no JSON or have no rows give none."""
-    raw = F.from_json("value", "struct<data: struct<rows: array<map<string, string>>>>")["data"]["rows"]
-    rows = payloads.select("fetch_ts", F.explode(raw).alias("r"))
-    return rows.select("fetch_ts", *(F.col("r").getItem(_NAMES.get(k, k)).alias(k) for k in KEYS))
+    """A row of texts per vendor row, with fetch_ts and arrival_seq; documents that are no JSON or have no rows give none.
+
+    arrival_seq rises with the time of the document and the place of the row in it (rows after the 4,096th of a document
+    share the last number), and is the same in every run.
+    """
+    rows = payloads.select("fetch_ts", F.posexplode(_rows()).alias("pos", "r"))
+    seq = (F.unix_micros("fetch_ts") - _FROM) * _ROWS + F.least("pos", F.lit(_ROWS - 1))
+    return rows.select("fetch_ts", seq.alias("arrival_seq"), *(F.col("r").getItem(_NAMES.get(k, k)).alias(k) for k in KEYS))
+
+
+def _rows() -> Column:
+    return F.from_json("value", "struct<data: struct<rows: array<map<string, string>>>>")["data"]["rows"]
+
+
+def fetched_at(arrival_seq: Column) -> Column:
+    """Time of the document that an arrival number comes from."""
+    return F.timestamp_micros(F.floor(arrival_seq / _ROWS) + _FROM).cast("timestamp_ntz")
+
+
+def tiles_by_cycle(payloads: DataFrame, minutes: int) -> DataFrame:
+    """cycle, tiles, tiles_ok: documents of each cycle, and those that have rows in them."""
+    cycle = S.bucket(F.col("fetch_ts").cast("timestamp_ntz"), minutes).alias("cycle")
+    return payloads.groupBy(cycle).agg(F.count("*").alias("tiles"), F.count_if(_rows().isNotNull()).alias("tiles_ok"))
 
 
 def tile_url(host: str, z: Column, x: Column, y: Column, station: int = 0) -> Column:

@@ -141,8 +141,3 @@ def sink(path: str, after: Callable[[DataFrame, int], None] | None = None) -> Ca
 
     return write
 
-
-def cycle_summary(raw: DataFrame, kept: DataFrame, inserted: DataFrame) -> DataFrame:
-    """received, kept, inserted: rows of a batch before and after normalising, and after the dedup."""
-    n = lambda df, name: df.agg(F.count("*").alias(name))
-    return n(raw, "received").join(n(kept, "kept")).join(n(inserted, "inserted"))
