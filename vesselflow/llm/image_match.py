@@ -38,7 +38,7 @@ TESTS = 128
 POOL = 1000
 MAX_BITS = 9
 #: Places that must agree.
-MIN_AGREE = 5
+MIN_AGREE = 7
 #: Corners nearer than about this count once.
 SPOT = 6.0
 #: Two descriptors at most MAX_BITS apart are at most MAX_BITS // len(CHUNKS) = PROBED apart in one of the disjoint chunks.
@@ -47,9 +47,9 @@ PROBED = MAX_BITS // len(CHUNKS)
 _starts = [sum(CHUNKS[:i]) for i in range(len(CHUNKS))]
 BUCKET_BITS = 21
 #: Corners of the queries in one block, candidates compared at once, and pictures described and matched at once.
-QUERY_BLOCK = 1 << 18
-CANDIDATES = 1 << 20
-PICTURES, MATCHED = 20, 200
+QUERY_BLOCK = 1 << 19
+CANDIDATES = 1 << 17
+PICTURES, MATCHED = 20, 1000
 
 _disk = np.array([(y, x) for y in range(-6, 7) for x in range(-6, 7) if y * y + x * x <= 36])
 #: Pictures of a smaller side have too little detail to tell corners apart.
@@ -109,7 +109,7 @@ def _found(s: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     pic, y, x = np.nonzero(high[:, m : high.shape[1] - m, m : high.shape[2] - m])
     width = s.shape[2]
     at = (y + RADIUS) * width + x + RADIUS
-    patch = s.reshape(len(s), -1)[pic[:, None], at[:, None] + (_disk[:, 0] * width + _disk[:, 1])]
+    patch = s.take((pic * s[0].size + at)[:, None] + (_disk[:, 0] * width + _disk[:, 1]), mode="clip")
     turn = np.arctan2(patch @ _disk[:, 0].astype(np.float32), patch @ _disk[:, 1].astype(np.float32))
     return pic, at, np.rint(turn / (2 * np.pi) * TURNS).astype(np.int64) % TURNS
 
@@ -125,7 +125,7 @@ def _smooth(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _values(s: np.ndarray, pic: np.ndarray, at: np.ndarray, turn: np.ndarray, points: np.ndarray) -> np.ndarray:
     """s at the points (turn, point, (x, y)) around the corners."""
-    return s.reshape(len(s), -1)[pic[:, None], at[:, None] + (points[..., 1] * s.shape[2] + points[..., 0])[turn]]
+    return s.take((pic * s[0].size + at)[:, None] + (points[..., 1] * s.shape[2] + points[..., 0])[turn], mode="clip")
 
 
 def _turned(points: np.ndarray) -> np.ndarray:
@@ -235,9 +235,10 @@ def probe_tables(d0: np.ndarray, d1: np.ndarray) -> list[tuple[np.ndarray, np.nd
     out = []
     for chunk, bits in zip(_chunks(d0, d1), CHUNKS, strict=True):
         flips = [sum(1 << b for b in some) for k in range(PROBED + 1) for some in itertools.combinations(range(bits), k)]
-        near = _bucket((chunk[:, None] ^ np.array(flips)).ravel()).astype(np.int32)
-        rows = (np.argsort(near, kind="stable") // len(flips)).astype(np.int32)
-        out.append((np.concatenate([[0], np.bincount(near, minlength=1 << BUCKET_BITS).cumsum()]).astype(np.int32), rows))
+        near = _bucket(chunk[:, None] ^ np.array(flips))
+        both = np.sort(((near << 32) | np.arange(len(chunk))[:, None]).ravel())
+        starts = np.searchsorted(both, np.arange((1 << BUCKET_BITS) + 1) << 32)
+        out.append((starts.astype(np.int32), (both & 0xFFFFFFFF).astype(np.int32)))
     return out
 
 
@@ -246,7 +247,11 @@ def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1
     found = [np.zeros(0, np.int64)]
     u0, u1, v0, v1 = (np.ascontiguousarray(x).view(np.uint64) for x in (d0, d1, q0, q1))  # bits of a negative number are those of its absolute value
     for chunk, (starts, rows) in zip(_chunks(np.ascontiguousarray(d0), np.ascontiguousarray(d1)), tables, strict=True):
+        # In the order of the buckets, so that the tables are read from front to back.
         chunk = _bucket(chunk)
+        order = np.argsort(chunk, kind="stable")
+        chunk = chunk[order]
+        w0, w1 = u0[order], u1[order]
         first, n = starts[chunk].astype(np.int64), (starts[chunk + 1] - starts[chunk]).astype(np.int64)
         ends = n.cumsum()
         # Slices of a bounded number of candidates, whatever the tables hold.
@@ -256,11 +261,11 @@ def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1
             hi = max(lo + 1, int(np.searchsorted(ends, done + CANDIDATES, "right")))
             m = n[lo:hi]
             b = rows[np.arange(m.sum()) + np.repeat(first[lo:hi] - (ends[lo:hi] - m - done), m)]
-            apart = np.bitwise_count(np.repeat(u0[lo:hi], m) ^ v0[b])
+            apart = np.bitwise_count(np.repeat(w0[lo:hi], m) ^ v0[b])
             some = np.flatnonzero(apart <= MAX_BITS)
-            a, b = np.repeat(np.arange(lo, hi), m)[some], b[some]
-            near = apart[some] + np.bitwise_count(u1[a] ^ v1[b]) <= MAX_BITS
-            found.append(a[near] * len(q0) + b[near])
+            a, b = lo + np.searchsorted(ends[lo:hi] - done, some, "right"), b[some]
+            near = apart[some] + np.bitwise_count(w1[a] ^ v1[b]) <= MAX_BITS
+            found.append(order[a[near]] * len(q0) + b[near])
             lo = hi
     pairs = np.unique(np.concatenate(found))
     return pairs // max(1, len(q0)), pairs % max(1, len(q0))
