@@ -45,7 +45,7 @@ LIST_BLOCK = 2048
 CHUNK = 1 << 20
 DOCS = 500
 #: Words whose hashes a process remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -253,9 +253,8 @@ def _entries(key: np.ndarray, length: np.ndarray, doc: int, n: int, at: np.ndarr
     return key.view(np.int64), part, np.full(len(key), rule.class_of(n), dtype=np.int32), np.full(len(key), doc), np.full(len(key), n), at
 
 
-def heavy_entries(docs: DataFrame, reps: DataFrame, counts, boundary: int, rule: Rule) -> DataFrame:
+def heavy_entries(docs: DataFrame, known: Bitmap, counts, boundary: int, rule: Rule) -> DataFrame:
     """Entries of the inverted lists: key, part (-1: the list is whole), cls, id, n, at (place of the shingle in the set's order)."""
-    known = Bitmap.of(reps, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, out, total = counts.value, [], 0
@@ -310,6 +309,7 @@ def shared_lists(entries: DataFrame) -> DataFrame:
     """The entries of lists of two and more (or of parts of lists), each with its head: the first member of its size class.
 
     A head has the head of the class before, where that is the next smaller one. Lists are streamed in sorted order.
+    settled: the list is whole and has two members, which the head compares (known of lists within a batch only).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,14 +336,19 @@ def shared_lists(entries: DataFrame) -> DataFrame:
             go = shared.copy()
             if held is not None:
                 go[0] &= not sent
+            begins = np.flatnonzero(new_list)
+            two = np.diff(np.append(begins, len(key))) == 2
+            two[-1] = False  # it may go on
+            two[0] &= not sent
+            settled = np.repeat(two, np.diff(np.append(begins, len(key)))) & (part < 0)
             some = np.flatnonzero(go)
             if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*(c[some] for c in cols), id_[to[some]], n[to[some]], at[to[some]])], [*batch.schema.names, "h_id", "h_n", "h_at"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*(c[some] for c in cols), id_[to[some]], n[to[some]], at[to[some]], settled[some])], [*batch.schema.names, "h_id", "h_n", "h_at", "settled"])
             sent = bool(shared[last]) or (held is not None and last == 0 and sent)
             held = pa.RecordBatch.from_arrays([pa.array(c[last : last + 1]) for c in cols], schema=batch.schema)
 
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return entries.repartition(parts, "key", "part").sortWithinPartitions("key", "part", "cls", "id").mapInArrow(run, f"{ENTRY}, h_id long, h_n long, h_at long")
+    return entries.repartition(parts, "key", "part").sortWithinPartitions("key", "part", "cls", "id").mapInArrow(run, f"{ENTRY}, h_id long, h_n long, h_at long, settled boolean")
 
 
 class Bitmap:
@@ -509,11 +514,14 @@ def _similar_documents(docs: DataFrame, rule: Rule) -> DataFrame:
 
     small = known.where("small IS NOT NULL").join(reps, "doc_id", "left_semi").select("doc_id", "n", "small")
     boundary = choose_boundary(measure(small, counts, rule), rule)
-    entries = heavy_entries(docs, reps, counts, boundary, rule).unionByName(light_entries(small, counts, boundary, rule))
+    firsts = Bitmap.of(reps, "doc_id")
+    entries = heavy_entries(docs, firsts, counts, boundary, rule).unionByName(light_entries(small, counts, boundary, rule))
     lists = C.stage(shared_lists(entries))
 
-    # Some ids are not their sets' least ones, where the bitmap of those is full; they have the same lists.
-    members = lists.join(reps, lists["id"] == reps["doc_id"], "left_semi")
+    # Some ids are not their sets' least ones, as they share a bit with one; these have no sketch and link nothing. Where
+    # there is no bitmap, there are too many of them to carry on.
+    members = lists.where("NOT settled")
+    members = members if firsts.bits else members.join(reps, members["id"] == reps["doc_id"], "left_semi")
     room = F.least(F.col("n") - F.col("at"), F.col("h_n") - F.col("h_at"))
     fits = rule.overlap_column(F.col("n"), F.col("h_n")) <= room
     first = lists.where("id <> h_id").where(fits).select(F.col("id").alias("a"), F.col("h_id").alias("b")).distinct()
