@@ -176,6 +176,14 @@ def test_one_word_edits(spark):
     assert {r.doc_id for r in line_dedup.dropped_lines(docs).collect()} == {1, 2, 3, 4}
 
 
+def test_line_dedup_keeps_clashing_columns(spark):
+    rows = [(1, "a b c d e f", "mine", 1), (2, "a b c d e f\nnew words here as well", "mine", 2), (2, "other text of some words", None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone string, `a.b` int")
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[3]) == [rows[0], (2, "new words here as well", "mine", 2), rows[2]]
+
+
 def test_line_dedup_of_nothing(nothing):
     assert line_dedup.dropped_lines(nothing).collect() == []
 

@@ -137,6 +137,14 @@ def test_urls(spark):
     assert all(r.verdict != "block" or r.rule for r in url_filter.filter_urls(pages, listed.limit(0)).collect())
 
 
+def test_urls_keep_clashing_columns(spark):
+    rows = [(1, "http://x.net/de/1", 5, "k"), (1, "http://x.net/de/1", 5, "k"), (2, "http://" + "y" * 100_000 + ".org/", 5, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, _n int, _key string")
+    got = url_filter.filter_urls(pages, pages.limit(1).select("url"))
+    assert got.columns == ["page_id", "url", "_n", "_key", "host", "path", "rule", "verdict"]
+    assert sorted((r.page_id, r._n, r._key or "", r.verdict) for r in got.collect()) == [(1, 5, "k", "block"), (1, 5, "k", "block"), (2, 5, "", "allow")]
+
+
 def _frame(spark, rows):
     return spark.createDataFrame([(i, None if x is None else bytearray(x)) for i, x in rows], "id long, image binary")
 

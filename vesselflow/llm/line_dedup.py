@@ -41,16 +41,20 @@ def _digests() -> tuple[Column, Column]:
     return F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), F.col("w")).alias("h2")
 
 
-def distinct_lines(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """h1, h2, n (words), first (doc_id, line) and keys (halves) of every distinct line."""
+def all_lines(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
+    """doc_id, line, h1, h2 (digest), n (words) and keys (halves) k0 to k3 of every line."""
     n = F.size("w")
     m = F.floor(n / 2).cast("int")
     even = F.array(_half("p", m), _half("s", m))
     odd = F.array(_half("p", m), _half("s", m), _half("p", m + 1), _half("s", m + 1))
     keys = F.when(n < near_words, F.array().cast("array<bigint>")).when(n % 2 == 0, even).otherwise(odd)
-    rows = _lines(docs, min_words).select(*_digests(), n.alias("n"), F.struct("doc_id", "line").alias("at"), F.inline(F.array(F.struct(keys.alias("k")))))
-    k = [F.get("k", i).alias(f"k{i}") for i in range(4)]
-    return rows.select("h1", "h2", "n", "at", *k).groupBy("h1", "h2", "n", "k0", "k1", "k2", "k3").agg(F.min("at").alias("first"))
+    rows = _lines(docs, min_words).select("doc_id", "line", *_digests(), n.alias("n"), F.inline(F.array(F.struct(keys.alias("k")))))
+    return rows.select("doc_id", "line", "h1", "h2", "n", *(F.get("k", i).alias(f"k{i}") for i in range(4)))
+
+
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """h1, h2, n, first (doc_id, line) and keys of every distinct line among `all_lines`."""
+    return rows.groupBy("h1", "h2", "n", "k0", "k1", "k2", "k3").agg(F.min(F.struct("doc_id", "line")).alias("first"))
 
 
 def _block_hash(c: str):
@@ -121,21 +125,25 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int =
     the same places: equal lines there are not earlier than each other and stay.
     """
     with C.scratch(docs.sparkSession):
-        lines = C.stage(distinct_lines(docs, min_words, near_words))
+        rows = C.stage(all_lines(docs, min_words, near_words))
+        lines = C.stage(distinct_lines(rows))
         near = C.stage(near_lines(docs, lines, min_words, near_words))
         verdict = lines.select("h1", "h2", "first").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
-        own = _lines(docs, min_words).select("doc_id", "line", *_digests())
+        own = rows.select("doc_id", "line", "h1", "h2")
         hits = own.join(verdict, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "line") != F.col("first")))
         return C.stage(hits.select("doc_id", "line", "h1"), keep=True)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """`docs` with the dropped lines taken out of `text`; documents stay, a text may become empty. Null texts stay null."""
+    """`docs` with the dropped lines taken out of `text`; documents stay, a text may become empty. Null texts stay null.
+
+    The columns of `docs` are held in one meanwhile, so that none clashes with those made here.
+    """
     gone = dropped_lines(docs, min_words, near_words).groupBy(F.col("doc_id").alias("_d")).agg(F.collect_set(F.struct("line", "h1")).alias("_gone"))
-    out = docs.join(gone, F.col("doc_id") == F.col("_d"), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", F.struct(i.alias("line"), F.xxhash64(C.words(x)).alias("h1"))))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return out.withColumn("text", text).select(*docs.columns)
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")).join(gone, F.col("_doc.doc_id") == F.col("_d"), "left")
+    kept = F.filter(F.split("_doc.text", "\n"), lambda x, i: ~F.array_contains("_gone", F.struct(i.alias("line"), F.xxhash64(C.words(x)).alias("h1"))))
+    text = F.when(F.col("_gone").isNull(), F.col("_doc.text")).otherwise(F.array_join(kept, "\n"))
+    return out.select(*(text.alias(c) if c == "text" else F.col("_doc")[c].alias(c) for c in docs.columns))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,14 +79,16 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     listed: a DataFrame with a column `url`; its canonical URLs are blocked unless a rule decides. Null or host-less
     URLs never match the list. Repeated rows are judged each; an empty list or table gives the plain result.
     """
-    host, path = split_url(F.col(url))
+    host, path = split_url(F.col("_page")[url])
     lhost, lpath = split_url(F.col("url"))
     keys = C.stage(listed.select(canonical(lhost, lpath).alias("key")).where("key <> ''").distinct())
     n_blocks = max(1, -(-keys.count() * BITS_PER_URL // 256))
     blocks = C.stage(bloom_blocks(keys, n_blocks))
 
     # `inline` keeps Spark from copying the parsing into every condition that mentions host or path.
-    out = pages.drop("host", "path", "rule", "verdict")
+    # The other columns are held in one, so that none clashes with those made here.
+    mine = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    out = pages.select(F.struct(*(F.col(f"`{c}`") for c in mine)).alias("_page"))
     out = out.select("*", F.inline(F.array(F.struct(host.alias("host"), path.alias("path")))))
     rule, kind = rule_columns(F.col("host"), F.col("path"), rules)
     # A page that a rule decides, or without a host, needs no look at the list. Its key is no URL but a space and the
@@ -107,7 +109,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     out = out.join(hits, "_key", "left")
     found = F.coalesce(F.col("_hit"), F.lit(False))
     verdict = F.coalesce(F.col("_kind"), F.when(found, F.lit("block")).otherwise(F.lit("allow")))
-    return out.withColumn("verdict", verdict).drop("_key", "_hit", "_kind", "_n")
+    return out.select(*(F.col("_page")[c].alias(c) for c in mine), "host", "path", "rule", verdict.alias("verdict"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
