@@ -263,6 +263,24 @@ def _(t):
     return geofence.geojson(t.gates, 0.01)
 
 
+@add(
+    "geofence_load",
+    _values(
+        [("area", f"Name {a[0]} // {a[1]}", None, f"Name {a[0]}", a[1], a[2], a[3], _polygon(a[5:])) for a in fixture.AREAS]
+        + [("gate", f"Name {g[0]} // {_kinds[g[1]][0]}", f"Name {g[1]} // {_kinds[g[1]][0]}", f"Name {g[0]}", _kinds[g[1]][0], f"gate_{g[2]}", _kinds[g[1]][1], _polygon(g[3:])) for g in fixture.GATES],
+        'what, id, parent, name, kind, subtype, "group", geojson',
+    ),
+    base=False,
+)
+def _(t):
+    """A GeoJSON file read, its gates linked, its polygons simplified."""
+    areas, gates = geofence.load_geofences(t.spark, fixture.geojson_file(t.spark))
+    areas = areas.withColumns({"id": F.col("area_id"), "parent": F.lit(None).cast("string"), "what": F.lit("area")})
+    gates = gates.withColumns({"id": F.col("gate_id"), "parent": F.col("area_id"), "what": F.lit("gate"), "flow_role": F.lit(None).cast("string")})
+    columns = ("what", "id", "parent", "name", "kind", "subtype", "group", "geojson")
+    return geofence.geojson(areas, 0.01).select(*columns).unionByName(geofence.geojson(gates, 0.01).select(*columns))
+
+
 @add("link_gates", "SELECT g.id AS gate_id, a.id AS area_id FROM gate g LEFT JOIN area a ON a.kind = g.kind AND a.subtype = 'corridor' AND a.grp IS NOT DISTINCT FROM g.grp")
 def _(t):
     return geofence.link_gates(t.gates, t.areas).select("gate_id", "area_id")

@@ -5,10 +5,14 @@ The expressions are closed forms that any SQL engine evaluates to the same bits.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from vesselflow.functions.geo import rectangle
+from vesselflow.session import shared_dir
 from vesselflow.sources.geofence import AREA, GATE
 
 #: (area_id, kind, subtype, group, flow_role, xmin, ymin, xmax, ymax)
@@ -45,6 +49,26 @@ def gates(spark: SparkSession) -> DataFrame:
     return _local(spark, GATE, [(g, a, f"Name {g}", of[a][0], f"gate_{side}", of[a][1], None, [rectangle(*box)]) for g, a, side, *box in GATES])
 
 
+def features() -> list[dict]:
+    """The areas and gates as GeoJSON features, with a corner in the middle of each side that a tolerance of 0.01 degrees takes off."""
+
+    def feature(name: str, kind: str, subtype: str, group: str | None, box: tuple) -> dict:
+        ring = rectangle(*box)
+        cut = [p for a, b in zip(ring[:-1], ring[1:], strict=True) for p in (a, [(a[0] + b[0]) / 2 + 0.002, (a[1] + b[1]) / 2 + 0.002])] + [ring[-1]]
+        return {"type": "Feature", "properties": {"name": name, "kind": kind, "subtype": subtype, "group": group}, "geometry": {"type": "Polygon", "coordinates": [cut]}}
+
+    of = {a: (k, g) for a, k, _, g, *_ in AREAS}
+    return [feature(f"Name {a}", k, s, g, box) for a, k, s, g, _, *box in AREAS] + [feature(f"Name {g}", of[a][0], f"gate_{side}", of[a][1], box) for g, a, side, *box in GATES]
+
+
+def geojson_file(spark: SparkSession) -> str:
+    """A folder with the features as one FeatureCollection."""
+    path = f"{shared_dir(spark)}/geofences-{uuid.uuid4().hex}"
+    doc = json.dumps({"type": "FeatureCollection", "features": features()})
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
     rows = rows.selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k", "(unix_micros(cast(ts AS timestamp)) div 3600000000 + user_id * 7) % 240 AS ph")
