@@ -301,6 +301,14 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows_of(read("event")) == rows_of(batch)
     closed = lambda df: sorted((r.vessel_uid, r.area_id, r.start_ts.replace(tzinfo=None), r.duration_s, r.samples) for r in df.where("NOT is_open").collect())
     assert closed(read("session")) == closed(dwell.dwell_sessions(batch)) and len(closed(read("session"))) > 20
+    opened = lambda df: sorted((r.vessel_uid, r.area_id, r.start_ts.replace(tzinfo=None), r.samples) for r in df.where("is_open").collect())
+    assert opened(vessel.newest(read("open"))) == opened(dwell.dwell_sessions(batch))
+    states = {r.vessel_uid: r for r in vessel.newest(read("state")).collect()}
+    for r in events.vessel_state(kept_fixes).collect():
+        s = states[r.vessel_uid]
+        assert (s.core_area_id, s.approach_area_id, s.lane_id, s.gate_end) == (r.core_area_id, r.approach_area_id, r.lane_id, r.gate_end)
+    cargo = {r.vessel_uid: (r.laden, r.confidence) for r in events.cargo_state(kept_fixes, areas).collect()}
+    assert cargo == {k: (s.laden, s.cargo_confidence) for k, s in states.items() if s.laden is not None} and len(states) == 3
 
 
 def test_daily_helpers(spark):

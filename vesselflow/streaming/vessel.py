@@ -14,13 +14,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.window import Window
 
 from vesselflow.operators.dedup import NEEDS, Track, _missing
 
 LATENESS = "12 hours"
 OUT = (
     "what string, vessel_uid string, arrival_seq long, ord int, ts timestamp, event string, area_id string, area_kind string, gate_end string, lat double, lon double, "
-    "dwt long, laden boolean, cargo_confidence string, start_ts timestamp, end_ts timestamp, duration_s long, is_open boolean, samples int"
+    "dwt long, laden boolean, cargo_confidence string, start_ts timestamp, end_ts timestamp, duration_s long, is_open boolean, samples int, "
+    "core_area_id string, approach_area_id string, lane_id string"
 )
 NAMES = [c.split()[0] for c in OUT.split(", ")]
 INPUT = ("ts", "vessel_uid", "arrival_seq", "lat", "lon", "sog", "cog", "heading", "dwt", "area_id_core", "area_id_approach", "lane_id", "gate_id", "gate_end")
@@ -77,8 +79,12 @@ class Sessions:
 
 
 def step(rows: list[dict], state: tuple[Track, Beliefs, Sessions], roles: dict[str, str]) -> Iterator[dict]:
-    """Outputs of a vessel's rows in order of arrival: fix, event and session records."""
+    """Outputs of a vessel's rows in order of arrival: fix, event and session records, then its state and its open sessions.
+
+    The state (memberships and cargo) and the open sessions replace those of the vessel's batch before.
+    """
     track, beliefs, sessions = state
+    base = None
     for row in rows:
         us = round((row["ts"] - dt.datetime(1970, 1, 1)).total_seconds() * 1e6)
         if not track.keeps((us, *(row[c] for c in NEEDS[1:]))):
@@ -91,10 +97,18 @@ def step(rows: list[dict], state: tuple[Track, Beliefs, Sessions], roles: dict[s
             done = sessions.closed_by(e)
             if done:
                 yield {"what": "session", **e, **done}
+    if base:
+        cargo = {"laden": beliefs.laden, "cargo_confidence": beliefs.confidence}
+        yield {"what": "state", **base, **cargo, "core_area_id": beliefs.core, "approach_area_id": beliefs.approach, "lane_id": beliefs.lane}
+        at = {c: base[c] for c in ("vessel_uid", "arrival_seq", "ts")}
+        if not sessions.open:
+            yield {"what": "open", **at, "is_open": False}
+        for area, (start, samples) in sessions.open.items():
+            yield {"what": "open", **at, "area_id": area, "start_ts": start, "is_open": True, "samples": samples}
 
 
 def vessel_stream(labelled: DataFrame, roles: dict[str, str], lateness: str = LATENESS, ttl_days: int = 90) -> DataFrame:
-    """Tagged outputs (`what`: fix, event, session) of a stream of labelled fixes (ts: timestamp).
+    """Tagged outputs (`what`: fix, event, session, state, open) of a stream of labelled fixes (ts: timestamp).
 
     roles: port by flow role, as many as there are ports. A vessel's state is a few fixes, its memberships, its cargo
     and its open sessions; it is forgotten once the
@@ -126,14 +140,14 @@ def vessel_stream(labelled: DataFrame, roles: dict[str, str], lateness: str = LA
 
 
 def sink(path: str, after: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: fixes, events and sessions of a batch go to folders of their own under `path`.
+    """foreachBatch function: fixes, events, sessions, states and open sessions of a batch go to folders of their own under `path`.
 
     Each batch writes a partition named by its number, so that a repeated batch replaces what it wrote before.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        for what in ("fix", "event", "session"):
+        for what in ("fix", "event", "session", "state", "open"):
             batch.where(F.col("what") == what).drop("what").write.mode("overwrite").parquet(f"{path}/{what}/batch={number}")
         if after:
             after(batch, number)
@@ -141,3 +155,8 @@ def sink(path: str, after: Callable[[DataFrame, int], None] | None = None) -> Ca
 
     return write
 
+
+def newest(rows: DataFrame) -> DataFrame:
+    """Of written states or open sessions, those of each vessel's last batch; a vessel without an open session has none."""
+    last = F.max("arrival_seq").over(Window.partitionBy("vessel_uid"))
+    return rows.withColumn("_last", last).where((F.col("arrival_seq") == F.col("_last")) & F.coalesce("is_open", F.lit(True))).drop("_last")
