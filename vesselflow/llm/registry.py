@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from vesselflow.llm import html_text, image_match, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_dedup, url_filter
+from vesselflow.llm import fill_middle, html_text, image_match, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_dedup, url_filter, wavelet, whitening
 
 
 def queries():
@@ -18,9 +18,12 @@ def queries():
         "op8_html_text": html_text.op8_html_text,
         "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op11_embedding_whitening": whitening.op11_embedding_whitening,
+        "op12_token_files": wavelet.op12_token_files,
+        "op13_fill_in_middle": fill_middle.op13_fill_in_middle,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql():
-    return {**url_filter.SQL}
+    return {**url_filter.SQL, **fill_middle.SQL}
