@@ -91,14 +91,20 @@ def tokenizer():
     return str(public_tokenizers.path(wavelet.VOCABULARY)), Tokenizer.from_file(str(public_tokenizers.path(wavelet.VOCABULARY)))
 
 
-def test_ids_are_those_of_the_library(texts):
+def test_ids_are_those_of_the_library(texts, monkeypatch):
     path, plain = tokenizer()
     rng = random.Random(2)
     bits = ["a", "É", "ß", " ", "  ", "\n", "\t", "'s", "'ll", "9", "日本", " ", " ", "<|endoftext|>", "!", "...", "\x1c", "\x85", "ǅ", "🙂", "don't", " the", "́", "\x00"]
     odd = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
     encode = wavelet.Encoder(path)
-    for text in [t for _, t in texts if t] + odd:
-        assert encode(text).tolist() == [*plain.encode(text, add_special_tokens=False).ids, wavelet.END]
+    texts = [t for _, t in texts] + odd
+    want = [[*plain.encode(t or "", add_special_tokens=False).ids, wavelet.END] for t in texts]
+    assert [x.tolist() for x in encode.batch(texts)] == want
+    assert [encode(t).tolist() for t in texts] == want
+    monkeypatch.setattr(wavelet, "SLICE", 500)
+    monkeypatch.setattr(wavelet, "KNOWN", 40)
+    assert [x.tolist() for x in wavelet.Encoder(path).batch(texts)] == want
+    assert wavelet.Encoder(path).batch([]) == []
     assert encode(None).tolist() == encode("").tolist() == [wavelet.END]
 
 

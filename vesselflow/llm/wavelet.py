@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -22,7 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,37 +36,109 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Ids after which a shard is closed (a document is never cut), and bits of a chunk.
 SHARD, CHUNK = 1 << 22, 1 << 17
 MAGIC = b"VFWM0001"
-#: Words that a task remembers the ids of, and their greatest length.
-WORDS, LONGEST = 1 << 17, 48
-#: A space between two of these always begins a token: no token has a space after another character, and what precedes it
-#: isn't white space, so no look at white space crosses it. Ids of the parts are therefore those of the whole.
-_CUT = regex.compile(r"(?<=[\x21-\x7eÀ-ɏ])(?=\x20[\x21-\x7eÀ-ɏ])")
+#: Chunks of text that a task remembers the ids of, their greatest length, and bytes of text encoded at once.
+KNOWN, LONGEST, SLICE = 1 << 18, 48, 1 << 22
+#: One space and then visible characters: in a run of such chunks each begins with a token that begins with a space, and no other token does.
+_WORD = re.compile(r"\x20[\x21-\x7e\u00c0-\u023f]+")
 MANIFEST = "part int, shard int, path string, n_tokens long, n_docs long, n_bytes long"
 
 
+def cut(text: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes where a token begins whatever the rest: at a lone space or line end between visible characters, and after that line end.
+
+    No token has white space after another character, and runs of white space don't reach here, so the ids of the parts
+    are those of the whole. Visible are ASCII from ! to ~ and the letters from U+00C0 to U+023F.
+    """
+    ascii_, lead, tail = (text > 32) & (text < 127), (text >= 0xC3) & (text <= 0xC8), (text & 0xC0) == 0x80
+    ends, begins = ascii_[:-2].copy(), ascii_[2:] | lead[2:]
+    ends[1:] |= tail[1:-2] & lead[:-3]
+    between = ends & begins
+    space, line = text[1:-1] == 32, text[1:-1] == 10
+    mark = np.zeros(len(text), dtype=bool)
+    mark[1:-1] = between & (space | line)
+    mark[2:] |= between & line
+    return np.flatnonzero(mark)
+
+
 class Encoder:
-    """Ids of texts by a tokenizers file, and the end id. Parts that come again are remembered, as most words do."""
+    """Ids of texts by a tokenizers file, and the end id.
+
+    Texts are cut where a token must begin; the distinct chunks of many texts are encoded once and remembered, and the
+    texts' ids are put together from theirs by array lookups, as the library alone takes several times the CPU.
+    """
 
     def __init__(self, path: str, end: int = END) -> None:
         # Spark has a task for each core.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.end, self.known = Tokenizer.from_file(path), end, {}
+        self.tokenizer, self.end = Tokenizer.from_file(path), end
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(tokens.values()) + 1, dtype=bool)
+        self.spaced[[i for t, i in tokens.items() if t.startswith("\u0120")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """known: chunk -> (start, length) in the first `used` of `pool`."""
+        self.known: dict[str, tuple[int, int]] = {}
+        self.pool, self.used = np.empty(1 << 16, dtype="<u4"), 0
+
+    def _learn(self, ids: np.ndarray) -> int:
+        start = self.used
+        self.used += len(ids)
+        if self.used > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty(max(len(self.pool), len(ids)), dtype="<u4")])
+        self.pool[start : self.used] = ids
+        return start
+
+    def _encode(self, chunks: list[str]) -> np.ndarray:
+        """(start, length) in the pool of each of distinct chunks."""
+        if len(self.known) + len(chunks) > KNOWN:
+            self._forget()
+        at = [self.known.get(c) for c in chunks]
+        new = [i for i, x in enumerate(at) if x is None]
+        words = [i for i in new if _WORD.fullmatch(chunks[i])]
+        ids = np.array(self.tokenizer.encode("".join(chunks[i] for i in words), add_special_tokens=False).ids, dtype="<u4")
+        first = np.flatnonzero(self.spaced[ids])
+        start = self._learn(ids)
+        for i, a, n in zip(words, (first + start).tolist(), np.diff(first, append=len(ids)).tolist(), strict=True):
+            at[i] = (a, n)
+        rest = [i for i in new if at[i] is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch([chunks[i] for i in rest], add_special_tokens=False), strict=True):
+            at[i] = (self._learn(np.array(e.ids, dtype="<u4")), len(e.ids))
+        self.known.update((chunks[i], at[i]) for i in new if len(chunks[i]) <= LONGEST)
+        return np.array(at, dtype=np.int64).reshape(-1, 2)
+
+    def batch(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        """Ids of each text, with the end id; about SLICE bytes of text at a time."""
+        out: list[np.ndarray] = []
+        held, size = [], 0
+        for t in texts:
+            held.append((t or "").encode("utf-8", "replace"))
+            size += len(held[-1])
+            if size >= SLICE:
+                out += self._slice(held)
+                held, size = [], 0
+        return out + self._slice(held)
+
+    def _slice(self, texts: list[bytes]) -> list[np.ndarray]:
+        starts = np.cumsum([0, *map(len, texts)])
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        mark = np.zeros(len(data) + 1, dtype=bool)
+        mark[cut(data) if len(data) > 2 else []] = mark[starts] = True
+        places = np.flatnonzero(mark)
+        chunks = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
+        which = chunks.indices.to_numpy()
+        at = self._encode(chunks.dictionary.to_pylist())
+        start, n = at[which, 0], at[which, 1]
+        ends = np.cumsum(n)
+        ids = self.pool[np.repeat(start - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        # The texts' places among the chunks, then among the ids.
+        of = np.concatenate([[0], ends])[np.searchsorted(places, starts)]
+        return [np.append(ids[a:b], np.uint32(self.end)) for a, b in zip(of[:-1].tolist(), of[1:].tolist(), strict=True)]
 
     def __call__(self, text: str | None) -> np.ndarray:
-        text = (text or "").encode("utf-8", "replace").decode("utf-8")
-        parts = _CUT.splititer(text) if text else ()
-        parts, known = list(parts), self.known
-        new = list({p for p in parts if p not in known})
-        if len(known) + len(new) > WORDS:
-            known.clear()
-            new = list(set(parts))
-        got = dict(zip(new, (e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)), strict=True)) if new else {}
-        known.update((p, ids) for p, ids in got.items() if len(p) <= LONGEST)
-        out = [i for p in parts for i in (known.get(p) or got.get(p, ()))]
-        out.append(self.end)
-        return np.array(out, dtype="<u4")
+        return self.batch([text])[0]
 
 
 @functools.lru_cache(maxsize=2)
@@ -77,21 +150,21 @@ def pack(ids: np.ndarray, docs: Sequence[tuple[int | None, int]]) -> bytes:
     """The file of a shard. docs: (doc_id, number of ids) of each document, whose sum is the number of ids."""
     n = len(ids)
     levels = max(1, int(ids.max(initial=0)).bit_length())
-    directory, payload, zeros, at, now = [], [], [], 0, ids
+    directory, payload, zeros, at, now = [], [], [], 0, ids.astype(np.uint16 if levels <= 16 else np.uint32)
     for level in range(levels - 1, -1, -1):
-        bits = (now >> np.uint32(level)) & np.uint32(1)
+        bits = (now & (1 << level)) != 0
+        plane = np.packbits(bits, bitorder="little")
         ones = 0
         for start in range(0, n, CHUNK):
-            raw = np.packbits(bits[start : start + CHUNK].astype(np.uint8), bitorder="little").tobytes()
+            raw = plane[start // 8 : (start + CHUNK) // 8].tobytes()
             data = zlib.compress(raw, 1)
             data = data if len(data) < len(raw) else raw
             directory.append((ones, at, len(data)))
             payload.append(data)
             at += len(data)
-            ones += int(bits[start : start + CHUNK].sum())
+            ones += int(np.count_nonzero(bits[start : start + CHUNK]))
         zeros.append(n - ones)
-        low = bits == 0
-        now = np.concatenate([now[low], now[~low]])
+        now = np.concatenate([now[~bits], now[bits]])
     known = np.array([d is not None for d, _ in docs], dtype=np.uint8)
     index = zlib.compress(known.tobytes() + np.array([d or 0 for d, _ in docs], dtype="<i8").tobytes() + np.array([k for _, k in docs], dtype="<i8").tobytes())
     table = zlib.compress(np.array(directory, dtype="<i8").tobytes())
@@ -194,13 +267,15 @@ class Shard:
 
     def tokens(self) -> np.ndarray:
         """All ids, plane by plane from the last."""
-        now = np.zeros(self.n, dtype="<u4")
+        kind = np.uint16 if self.levels <= 16 else np.uint32
+        now = np.zeros(self.n, dtype=kind)
         for level in range(self.levels - 1, -1, -1):
             bits = self._plane(level)
             out = np.empty_like(now)
-            out[~bits], out[bits] = now[: self.zeros[level]], now[self.zeros[level] :]
-            now = out | (bits.astype("<u4") << np.uint32(self.levels - 1 - level))
-        return now
+            out[~bits] = now[: self.zeros[level]]
+            out[bits] = now[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
+            now = out
+        return now.astype("<u4")
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the shard's k-th document, place by place."""
@@ -237,8 +312,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end: int = END, s
             return pd.DataFrame({"part": [part], "shard": [k], "path": [path], "n_tokens": [size], "n_docs": [len(index)], "n_bytes": [len(data)]})
 
         for pdf in batches:
-            for doc, text in zip(pdf["doc"], pdf["text"], strict=True):
-                ids = encode(text)
+            for doc, ids in zip(pdf["doc"], encode.batch(pdf["text"]), strict=True):
                 if held and size + len(ids) > shard:
                     yield close()
                     k, held, index, size = k + 1, [], [], 0
