@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 import time
 
@@ -150,12 +151,12 @@ def test_normalise(spark, tmp_path):
     raw = payload.explode_rows(payload.read_payloads(spark, str(tmp_path)))
     assert raw.count() == len(rows)
     out = normalize.normalise(raw)
-    assert [f.name for f in out.schema] == [c.split()[0] for c in normalize.FIX.split(", ")]
-    assert [f.dataType.simpleString() for f in out.schema] == [{"long": "bigint", "short": "smallint"}.get(c.split()[1], c.split()[1]) for c in normalize.FIX.split(", ")]
+    assert [f.name for f in out.schema] == [c.split()[0] for c in normalize.FIX.split(", ")] + ["fetch_ts", "path", "place"]
+    assert [f.dataType.simpleString() for f in out.schema][:18] == [{"long": "bigint", "short": "smallint"}.get(c.split()[1], c.split()[1]) for c in normalize.FIX.split(", ")]
     got = {(r.vessel_uid, r.elapsed, r.sog) for r in out.collect()}
     assert got == {("mmsi:123", None, None), ("imo:456", None, None), ("mtid:7", None, None), ("mtid:7", 720, 35.0), ("mtid:7", 5, None)}
     assert out.count() == 8
-    age = out.where("elapsed = 720").join(raw.select("fetch_ts").limit(1)).select((F.unix_seconds("fetch_ts") - F.unix_seconds("ts")).alias("s")).first()
+    age = out.where("elapsed = 720").select((F.unix_seconds("fetch_ts") - F.unix_seconds("ts")).alias("s")).first()
     assert age.s == 720 * 60
     assert normalize.bad_fixes(out).count() == 0
 
@@ -250,12 +251,29 @@ def test_marts_share_one_fold(spark):
     assert events_plan.count("MapInPandas") == 1
 
 
-def test_arrival_numbers(spark):
-    docs = [(json.dumps({"data": {"rows": [vendor(MMSI=str(i)), vendor(MMSI=str(i))]}}), T0 + dt.timedelta(microseconds=i)) for i in range(3)]
-    raw = payload.explode_rows(spark.createDataFrame(docs, "value string, fetch_ts timestamp"))
-    got = normalize.normalise(raw).orderBy("arrival_seq").collect()
-    assert [r.vessel_uid for r in got][2:] == ["mmsi:1"] * 2 + ["mmsi:2"] * 2 and len({r.arrival_seq for r in got}) == 6
-    assert raw.select(F.max(payload.fetched_at(F.col("arrival_seq")))).first()[0] == T0 + dt.timedelta(microseconds=2)
+def test_arrival_numbers(spark, tmp_path):
+    """Documents by time, then path; rows of a document by vessel, then time, then place, however many there are."""
+    doc = lambda *rows: json.dumps({"data": {"rows": list(rows)}})
+    late, early = vendor(MMSI="5", ELAPSED="0", LAT="1"), vendor(MMSI="5", ELAPSED="30", LAT="2")
+    same = [vendor(MMSI="3", ELAPSED="7", DWT=str(i)) for i in range(5000)]
+    docs = [(doc(late, early), T0, "b"), (doc(vendor(MMSI="9")), T0, "a"), (doc(*same), T0 + dt.timedelta(days=1), "0"), ("no json", T0, "c"), (doc(vendor(MMSI="1", ELAPSED="x"), late), T0 + dt.timedelta(days=2), "0")]
+    documents = spark.createDataFrame(docs, "value string, fetch_ts timestamp, path string").repartition(3)
+    rows = payload.with_arrival(normalize.normalise(payload.explode_rows(documents)), documents, first=7)
+    got = rows.orderBy("arrival_seq").collect()
+    assert [r.vessel_uid for r in got] == ["mmsi:9", "mmsi:5", "mmsi:5"] + ["mmsi:3"] * 5000 + ["mmsi:1", "mmsi:5"]
+    assert [r.lat for r in got[1:3]] == [2.0, 1.0] and [r.dwt for r in got[3:5003]] == list(range(5000))
+    assert len({r.arrival_seq for r in got}) == 5005 and [r.arrival_seq >> payload.PLACE_BITS for r in got[:4]] == [7, 8, 8, 10]
+    # The vessel's older fix comes first and both are kept.
+    area = spark.createDataFrame([], geofence.AREA)
+    labelled = label.label(rows.where("vessel_uid = 'mmsi:5'").limit(2), area, spark.createDataFrame([], geofence.GATE))
+    assert dedup.dedup(labelled.withColumn("lat", F.col("lat") / 100)).count() == 2
+    for i in (2, 1):  # files of one time are told apart by their paths
+        (tmp_path / f"{i}.json").write_text(doc(vendor(MMSI=str(i))))
+        os.utime(tmp_path / f"{i}.json", (1.7e9, 1.7e9))
+    files = payload.read_payloads(spark, str(tmp_path))
+    got = payload.with_arrival(normalize.normalise(payload.explode_rows(files)), files).orderBy("arrival_seq").collect()
+    assert [(r.vessel_uid, r.arrival_seq) for r in got] == [("mmsi:1", 0), ("mmsi:2", 1 << payload.PLACE_BITS)]
+    assert payload.number_documents(documents.where("false")).count() == 0
 
 
 def test_marts_have_one_row_per_day_and_key(spark):

@@ -13,7 +13,7 @@ def dwell_sessions(events: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """Sessions per vessel and area, from events in order of arrival.
 
     A session runs from an enter to the next exit; more enters in between only count as samples. An exit without an
-    enter is a closed session of one second. Number of exits before an event = number of its session.
+    enter is a closed session of one second. It starts with its earliest enter. Number of exits before an event = number of its session.
     """
     w = Window.partitionBy("vessel_uid", "area_id").orderBy(order, "ord").rowsBetween(Window.unboundedPreceding, -1)
     leaves = F.col("event").endswith("_exit")
@@ -22,7 +22,7 @@ def dwell_sessions(events: DataFrame, order: str = "arrival_seq") -> DataFrame:
     known = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("at")))
     out = rows.groupBy("vessel_uid", "area_id", "n").agg(
         F.min_by("area_kind", "at").alias("area_kind"),
-        F.min("ts").alias("start_ts"),
+        F.coalesce(F.min(F.when(~leaves, F.col("ts"))), F.min("ts")).alias("start_ts"),
         F.max("left_ts").alias("left_ts"),
         F.count("*").cast("int").alias("samples"),
         F.min_by("lat", "at").alias("first_lat"),

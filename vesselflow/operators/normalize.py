@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ MAX_KNOTS = 35.0
 
 FIX = (
     "ts timestamp, src string, vessel_uid string, lat double, lon double, sog float, cog float, heading short, elapsed int, destination string, flag string, "
-    "length_m float, width_m float, dwt int, shipname string, shiptype short, ship_id string, rot float, arrival_seq long"
+    "length_m float, width_m float, dwt int, shipname string, shiptype short, ship_id string, rot float"
 )
 
 
@@ -30,19 +32,19 @@ def is_tanker() -> Column:
     return yes
 
 
-def vessel_uid() -> Column:
-    """First that there is of MMSI, IMO, numeric id, opaque id, digest of what else is known."""
+def vessel_uid(of: Callable[[str], Column] = F.col) -> Column:
+    """First that there is of MMSI, IMO, numeric id, opaque id, digest of what else is known. of: the value of a vendor's key."""
 
     def numbered(name: str, *keys: str) -> Column:
-        given = F.coalesce(*(F.nullif(F.col(k), F.lit("")) for k in keys))
+        given = F.coalesce(*(F.nullif(of(k), F.lit("")) for k in keys))
         whole = F.when(F.trim(given).rlike(r"^[+-]?[0-9]+$"), F.trim(given).try_cast("bigint"))
         return F.when(whole != 0, F.concat(F.lit(f"{name}:"), whole.cast("string")))
 
-    ship = F.trim(F.coalesce("SHIP_ID", F.lit("")))
-    name = S.for_hash(F.col("SHIPNAME"))
+    ship = F.trim(F.coalesce(of("SHIP_ID"), F.lit("")))
+    name = S.for_hash(of("SHIPNAME"))
     name = F.when(name.isin("[SAT-AIS]", "UNKNOWN"), F.lit("")).otherwise(name)
-    kind = F.coalesce(F.nullif(F.col("SHIPTYPE"), F.lit("")), F.col("TYPE_NAME"))
-    parts = [name, *(S.for_hash(F.col(k)) for k in ("FLAG", "LENGTH", "WIDTH")), S.for_hash(kind)]
+    kind = F.coalesce(F.nullif(of("SHIPTYPE"), F.lit("")), of("TYPE_NAME"))
+    parts = [name, *(S.for_hash(of(k)) for k in ("FLAG", "LENGTH", "WIDTH")), S.for_hash(kind)]
     return F.coalesce(
         numbered("mmsi", "MMSI", "mmsi_lower"),
         numbered("imo", "IMO", "imo_lower"),
@@ -52,9 +54,9 @@ def vessel_uid() -> Column:
     )
 
 
-def observed_at() -> Column:
+def observed_at(of: Callable[[str], Column] = F.col) -> Column:
     """fetch_ts less the whole minutes of ELAPSED; fetch_ts where that is no whole number; null beyond the limits."""
-    minutes = S.to_strict_whole(F.col("ELAPSED"))
+    minutes = S.to_strict_whole(of("ELAPSED"))
     return F.when(minutes.isNull(), F.col("fetch_ts")).when(minutes.between(0, MAX_AGE_MIN), F.col("fetch_ts") - F.make_interval(mins=minutes))
 
 
@@ -74,7 +76,7 @@ def near_any(rows: DataFrame, boxes: DataFrame | None) -> DataFrame:
 
 
 def normalise(raw: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
-    """Fixes of the tankers among the vendor rows (see payload.explode_rows): 18 columns and arrival_seq, types as in FIX.
+    """Fixes of the tankers among the vendor rows (see payload.explode_rows): 18 columns, types as in FIX, and where each comes from (fetch_ts, path, place).
 
     Rows go that have no tanker's type, an age outside the limits, no position on the globe, no place near a geofence
     (boxes), a satellite source or a speed that no tanker has.
@@ -103,9 +105,8 @@ def normalise(raw: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
         "shiptype": S.to_whole(F.col("SHIPTYPE")).try_cast("short"),
         "ship_id": S.to_text(F.col("SHIP_ID")),
         "rot": S.to_number(F.col("ROT")).cast("float"),
-        "arrival_seq": F.col("arrival_seq"),
     }
-    return rows.select(*(v.alias(k) for k, v in values.items()))
+    return rows.select(*(v.alias(k) for k, v in values.items()), "fetch_ts", "path", "place")
 
 
 def bad_fixes(fixes: DataFrame) -> DataFrame:

@@ -180,7 +180,7 @@ def cycle_summary(payloads: DataFrame, raw: DataFrame, kept: DataFrame, inserted
     """cycle, tiles, tiles_ok, received, kept, inserted: documents and those with rows, rows before and after normalising, and after the dedup."""
 
     def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(S.bucket(payload.fetched_at(F.col("arrival_seq")), minutes).alias("cycle")).agg(F.count("*").alias(name))
+        return df.groupBy(S.bucket(F.col("fetch_ts"), minutes).alias("cycle")).agg(F.count("*").alias(name))
 
     out = payload.tiles_by_cycle(payloads, minutes)
     for df, name in ((raw, "received"), (kept, "kept"), (inserted, "inserted")):

@@ -98,6 +98,6 @@ q6 AS (SELECT date_trunc('day', ts) AS day, area_id AS lane_id, CAST(sum(dwt) FI
 """
 
 
-def sql(select: str, fixes: str = "true") -> str:
-    """The statement with the common tables that it needs, over the events that meet a condition; later tables are not evaluated."""
-    return f"WITH RECURSIVE {BASE.replace('AS shipname FROM e1)', f'AS shipname FROM e1 WHERE {fixes})')}{select}"
+def sql(select: str, fixes: str = "true", tables: str = "") -> str:
+    """The statement with the common tables that it needs and some of its own, over the events that meet a condition; later tables are not evaluated."""
+    return f"WITH RECURSIVE {BASE.replace('AS shipname FROM e1)', f'AS shipname FROM e1 WHERE {fixes})')}{', ' if tables else ''}{tables} {select}"

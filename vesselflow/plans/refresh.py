@@ -101,6 +101,38 @@ def swap(rows: DataFrame, root: str) -> str:
     return path
 
 
+def replace(spark: SparkSession, fresh: str, place: str) -> None:
+    """Put a whole folder in the place of another: the old one steps aside, the new one moves in, then the old one goes.
+
+    Readers of the old files can go on until it is deleted. Where a run was lost between the two renames, the old folder
+    is back by `repair`.
+    """
+    fs, folder = _filesystem(spark, place)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    aside = jpath(folder.getParent(), f".old-{folder.getName()}")
+    repair(spark, folder.getParent().toString())
+    if fs.exists(folder):
+        fs.rename(folder, aside)
+    fs.rename(jpath(fresh), folder)
+    fs.delete(aside, True)
+
+
+def repair(spark: SparkSession, root: str) -> list[str]:
+    """Finish what a lost `replace` has left in a folder: old ones whose place is empty move back, others go. Returns those moved back."""
+    fs, folder = _filesystem(spark, root)
+    back = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
+        name = status.getPath().getName()
+        if name.startswith(".old-"):
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, name.removeprefix(".old-"))
+            if fs.exists(place):
+                fs.delete(status.getPath(), True)
+            else:
+                fs.rename(status.getPath(), place)
+                back.append(place.getName())
+    return back
+
+
 def _versions(spark: SparkSession, root: str) -> list[str]:
     fs, folder = _filesystem(spark, root)
     return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.startswith("v-"))
@@ -119,8 +151,10 @@ def append_fact(rows: DataFrame, path: str) -> None:
 def rewrite_days(spark: SparkSession, path: str, before: dt.date) -> list[dt.date]:
     """Bring the days before a date, which many appends have cut up, into few files in the order of vessels; returns them.
 
-    A day is written beside the table and takes its old folder's place by a rename.
+    A day is written beside the table and takes its old folder's place by renames (`replace`), so it must be closed: rows
+    that are appended meanwhile would go.
     """
+    repair(spark, path)
     fs, days = _days(spark, path)
     old = sorted(d for d in days if d < before)
     if old:
@@ -129,16 +163,25 @@ def rewrite_days(spark: SparkSession, path: str, before: dt.date) -> list[dt.dat
         append_fact(rows.drop("date"), beside)
         fresh = _days(spark, beside)[1]
         for day in old:
-            fs.delete(days[day], True)
-            fs.rename(fresh[day], days[day])
+            replace(spark, fresh[day].toString(), days[day].toString())
         fs.delete(_filesystem(spark, beside)[1], True)
     return old
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the session's shared folder, which goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, place = _filesystem(spark, path)
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)
+    fs.delete(place, True)
+    return path
+
+
 def written(rows: DataFrame, name: str, write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
     """The rows as a table in the session's shared folder, by Spark's writer or by another one."""
     spark = rows.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     write(rows, path) if write else rows.write.parquet(path)
     out = spark.read.parquet(path)
     out._path = path

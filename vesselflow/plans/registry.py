@@ -406,26 +406,40 @@ def _(t):
 
 @add_with_dir(
     "normalize_rows",
-    """WITH r AS (SELECT *, event_id % 800 AS el, user_id % 20 + 70 AS st, event_id % 100 - 5 AS la, event_id % 200 - 10 AS lo, event_id % 400 AS sp FROM events)
+    """WITH r AS (SELECT *, event_id % 800 AS el, user_id % 20 + 70 AS st, event_id % 100 - 5 AS la, event_id % 200 - 10 AS lo, event_id % 400 AS sp, dense_rank() OVER (ORDER BY ts, event_id) - 1 AS doc FROM events)
     SELECT CASE WHEN event_id % 13 = 0 THEN ts ELSE ts - to_minutes(el) END AS ts, 'terrestrial' AS src,
       CASE WHEN user_id % 2 = 0 THEN 'mmsi:' || (200000000 + user_id) WHEN user_id % 3 = 0 THEN 'imo:' || (9000000 + user_id) ELSE 'mtid:' || user_id END AS vessel_uid,
       CAST(la || '.5' AS DOUBLE) AS lat, CAST(lo AS DOUBLE) AS lon, CAST(sp / 10e0 AS FLOAT) AS sog, CAST(event_id % 720 * 0.5e0 AS FLOAT) AS cog, CAST(event_id % 360 AS SMALLINT) AS heading,
       CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(el AS INT) END AS elapsed, 'Port ' || (user_id % 5) AS destination, CASE WHEN user_id % 4 = 0 THEN NULL ELSE 'PA' END AS flag,
       CAST(user_id % 300 + 0.5e0 AS FLOAT) AS length_m, CASE WHEN user_id % 3 = 0 THEN NULL ELSE CAST(32 AS FLOAT) END AS width_m,
       CAST(event_id % 1000 AS INT) AS dwt, 'Vessel ' || user_id AS shipname, CAST(st AS SMALLINT) AS shiptype, CAST(user_id AS VARCHAR) AS ship_id, CAST(-(event_id % 9 + 1) AS FLOAT) AS rot,
-      (epoch_us(ts) - 1577836800000000) * 4096 AS arrival_seq
+      doc * 1073741824 AS arrival_seq
     FROM r WHERE st >= 80 AND (event_id % 13 = 0 OR el <= 720) AND CAST(la || '.5' AS DOUBLE) BETWEEN -90 AND 90 AND lo BETWEEN -180 AND 180 AND event_id % 11 <> 0 AND sp <= 350""",
 )
 def _(spark, sf_dir):
-    rows = normalize.normalise(payload.explode_rows(fixture.payloads(spark, sf_dir)))
-    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    documents = fixture.payloads(spark, sf_dir)
+    rows = payload.with_arrival(normalize.normalise(payload.explode_rows(documents)), documents)
+    return rows.drop("fetch_ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+#: Crowded documents: an event's document, its vessel, the time that it is observed at, and its place among the document's rows.
+_CROWD = f"""cr AS (SELECT e1.*, event_id // {fixture.CROWD} AS doc, TIMESTAMP '2024-01-01' + to_days(CAST(event_id // {2 * fixture.CROWD} AS INT)) AS fetch_ts FROM e1),
+co AS (SELECT *, fetch_ts - to_minutes(event_id * 37 % 700) AS seen FROM cr),
+cs AS (SELECT *, (dense_rank() OVER (ORDER BY fetch_ts, doc) - 1) * 1073741824 + row_number() OVER (PARTITION BY doc ORDER BY 'mmsi:' || (200000000 + user_id), seen, event_id * 7919 % 4993, event_id) - 1 AS seq FROM co)"""
+
+
+@add_with_dir("arrival_order", sql(f"SELECT seq AS arrival_seq, 'mmsi:' || (200000000 + user_id) AS vessel_uid, seen AS ts FROM cs WHERE event_id % 31 <> 0 AND event_id % 29 <> 3 AND value <= 350", tables=_CROWD))
+def _(spark, sf_dir):
+    documents = fixture.crowded_payloads(spark, sf_dir)
+    rows = payload.with_arrival(normalize.normalise(payload.explode_rows(documents)), documents)
+    return rows.select("arrival_seq", "vessel_uid", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 def _from_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, Tables]:
     """The way of a vendor document to the marts: documents, raw rows, fixes, and the tables made from them."""
     documents = fixture.track_payloads(spark, sf_dir)
     raw = payload.explode_rows(documents)
-    kept = normalize.normalise(raw).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    kept = payload.with_arrival(normalize.normalise(raw), documents).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return documents, raw, kept, Tables(spark, sf_dir, kept)
 
 

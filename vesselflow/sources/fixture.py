@@ -10,6 +10,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import expr
 
 from vesselflow.functions.geo import rectangle
 from vesselflow.session import shared_dir
@@ -79,6 +80,7 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 _LAT = "(CASE WHEN user_id % 3 = 2 AND bx > 4.5e0 AND bx < 6.5e0 THEN 6.5e0 ELSE 0.5e0 END) + j + (CASE WHEN k >= 97 THEN 20e0 ELSE 0e0 END)"
 _LON = "bx + 0.5e0 + j"
+_PATH = "concat('tile-', lpad(cast(event_id AS string), 12, '0')) AS path"
 _DWT = "CASE user_id % 5 WHEN 0 THEN 300000 WHEN 1 THEN 150000 WHEN 2 THEN 100000 WHEN 3 THEN 50000 END"
 
 
@@ -106,6 +108,7 @@ def track_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             '","ELAPSED":"', CASE WHEN event_id % 17 = 0 THEN 721 ELSE 0 END, '","LAT":"', {_LAT}, '","LON":"', {_LON}, '","SPEED":"', value, '","COURSE":"', k * 3.6e0,
             '","DWT":', coalesce(cast({_DWT} AS string), '""'), '}}]}}}}') END AS value""",
         "cast(ts AS timestamp) AS fetch_ts",
+        _PATH,
     )
 
 
@@ -119,4 +122,26 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             ',"HEADING":"', event_id % 360, '.7","DWT":"', event_id % 1000, '","COURSE":', event_id % 720 * 0.5e0, ',"FLAG":"', CASE WHEN user_id % 4 = 0 THEN ' ' ELSE 'PA ' END,
             '","LENGTH":"', user_id % 300, '.5","WIDTH":"', CASE WHEN user_id % 3 = 0 THEN 'n/a' ELSE '32' END, '","DESTINATION":" Port ', user_id % 5, ' ","ROT":"-', event_id % 9 + 1, '"}]}}') AS value""",
         "cast(ts AS timestamp) AS fetch_ts",
+        _PATH,
     )
+
+
+#: Rows of one document of `crowded_payloads`.
+CROWD = 5000
+
+
+def crowded_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """value, fetch_ts, path: documents of up to CROWD positions, a vessel's several times and in no order of time; each two documents have one time.
+
+    An event is observed whole minutes before its document; a few are of no tanker or of a satellite.
+    """
+    rows = _positions(spark, sf_dir).selectExpr(
+        f"event_id div {CROWD} AS doc",
+        "event_id * 7919 % 4993 AS at",
+        "event_id",
+        f"""named_struct('SHIP_ID', CASE WHEN event_id % 31 = 0 THEN 'ab=/' ELSE cast(user_id AS string) END, 'MMSI', cast(200000000 + user_id AS string), 'SHIPNAME', concat('Vessel ', user_id),
+            'SHIPTYPE', CASE WHEN event_id % 29 = 3 THEN '70' ELSE '80' END, 'ELAPSED', cast(event_id * 37 % 700 AS string), 'LAT', cast({_LAT} AS string), 'LON', cast({_LON} AS string),
+            'SPEED', cast(value AS string), 'COURSE', cast(k * 3.6e0 AS string), 'DWT', cast({_DWT} AS string)) AS r""",
+    )
+    docs = rows.groupBy("doc").agg(expr("to_json(named_struct('data', named_struct('rows', transform(array_sort(collect_list(struct(at, event_id, r))), s -> s.r))))").alias("value"))
+    return docs.selectExpr("value", "timestamp_seconds(1704067200 + doc div 2 * 86400) AS fetch_ts", "concat('tile-', lpad(cast(doc AS string), 12, '0')) AS path")

@@ -4,43 +4,79 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vesselflow.functions import scalars as S
+from vesselflow.operators import normalize
+from vesselflow.plans import refresh
 
 #: The vendor's keys.
 KEYS = (
     "SHIPTYPE TYPE_NAME TYPE_IMG GT_SHIPTYPE ELAPSED LAT LON SPEED COURSE HEADING ROT SHIPNAME SHIP_ID MMSI mmsi_lower IMO imo_lower FLAG LENGTH WIDTH "
     "DWT DESTINATION"
 ).split()
-#: Micros that arrival numbers begin at (2020-01-01), and rows of a document that they tell apart.
-_FROM, _ROWS = 1_577_836_800_000_000, 4096
+#: Bits of an arrival number that are the place in the document. A document is a value of less than 2**31 bytes and a row
+#: has two of them at least, so that no place needs more; 2**33 documents are told apart.
+PLACE_BITS = 30
 _NAMES = {"mmsi_lower": "mmsi", "imo_lower": "imo"}
 
 
 def read_payloads(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """value (the document), fetch_ts (time of the file). A file is a document."""
+    """value (the document), fetch_ts (time of the file), path. A file is a document."""
     reader = spark.readStream if stream else spark.read
-    return reader.format("text").option("wholetext", True).load(path).select("value", F.col("_metadata.file_modification_time").alias("fetch_ts"))
+    found = reader.format("text").option("wholetext", True).load(path)
+    return found.select("value", F.col("_metadata.file_modification_time").alias("fetch_ts"), F.col("_metadata.file_path").alias("path"))
 
 
 def explode_rows(payloads: DataFrame) -> DataFrame:
-    """A row of texts per vendor row, with fetch_ts and arrival_seq; documents that are no JSON or have no rows give none.
+    """A row of texts per vendor row, with fetch_ts, path and place; documents that are no JSON or have no rows give none.
 
-    arrival_seq rises with the time of the document and the place of the row in it (rows after the 4,096th of a document
-    share the last number), and is the same in every run.
+    place counts a document's rows in the order of vessel and time (rows without a time first), equal ones as they come:
+    the order that they are inserted in. Rows are sorted within their document, so nothing is shuffled.
     """
-    rows = payloads.select("fetch_ts", F.posexplode(_rows()).alias("pos", "r"))
-    seq = (F.unix_micros("fetch_ts") - _FROM) * _ROWS + F.least("pos", F.lit(_ROWS - 1))
-    return rows.select("fetch_ts", seq.alias("arrival_seq"), *(F.col("r").getItem(_NAMES.get(k, k)).alias(k) for k in KEYS))
+
+    def sortable(r: Column, i: Column) -> Column:
+        of = lambda k: r.getItem(_NAMES.get(k, k))
+        texts = F.struct(*(of(k).alias(k) for k in KEYS))
+        return F.struct(normalize.vessel_uid(of).alias("uid"), normalize.observed_at(of).alias("ts"), i.alias("i"), texts.alias("r"))
+
+    rows = payloads.select("fetch_ts", "path", F.posexplode(F.array_sort(F.transform(_rows(), sortable))).alias("place", "s"))
+    return rows.select("fetch_ts", "path", "place", "s.r.*")
 
 
 def _rows() -> Column:
     return F.from_json("value", "struct<data: struct<rows: array<map<string, string>>>>")["data"]["rows"]
 
 
-def fetched_at(arrival_seq: Column) -> Column:
-    """Time of the document that an arrival number comes from."""
-    return F.timestamp_micros(F.floor(arrival_seq / _ROWS) + _FROM).cast("timestamp_ntz")
+def number_documents(documents: DataFrame, first: int = 0) -> DataFrame:
+    """fetch_ts, path, doc: documents (fetch_ts, path) counted from `first` in the order of time, then path; repeated ones once.
+
+    They are dealt out by ranges of that order, sorted and counted within each, and the ranges' counts are added up: no
+    task sees them all. The table is written, as ranges are drawn anew each time that a plan runs.
+    """
+    keys = documents.select("fetch_ts", "path").distinct().repartitionByRange("fetch_ts", "path").sortWithinPartitions("fetch_ts", "path")
+    # The id has the range in its upper bits, and the place within it in the lower 33.
+    table = refresh.written(keys.withColumn("_id", F.monotonically_increasing_id()), "documents")
+    ranges = table.groupBy(F.shiftright("_id", 33).alias("_range")).agg(F.count("*").alias("_n"))
+    before = ranges.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n") + first).alias("_before"))
+    numbered = table.withColumn("_range", F.shiftright("_id", 33)).join(before, "_range")
+    return numbered.select("fetch_ts", "path", (F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).alias("doc"))
+
+
+def arrival_seq(doc: Column, place: Column) -> Column:
+    """The order in which rows arrive as one number: by document, then by place in it."""
+    return F.shiftleft(doc.cast("long"), PLACE_BITS) + place
+
+
+def with_arrival(rows: DataFrame, documents: DataFrame, first: int = 0) -> DataFrame:
+    """Rows with a place in a document (fetch_ts, path, place), with arrival_seq in place of path and place.
+
+    `first` goes on from the documents that came before. Numbers are looked up by document after the rows of other ships
+    have gone, so that documents themselves are never shuffled.
+    """
+    numbered = rows.join(number_documents(documents, first), ["fetch_ts", "path"])
+    kept = [c for c in rows.columns if c not in ("path", "place")]
+    return numbered.select(*kept, arrival_seq(F.col("doc"), F.col("place")).alias("arrival_seq"))
 
 
 def tiles_by_cycle(payloads: DataFrame, minutes: int) -> DataFrame:
