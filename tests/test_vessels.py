@@ -3,8 +3,6 @@
 import datetime as dt
 import json
 import os
-import random
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +10,6 @@ from pyspark.sql import functions as F
 from vesselflow.operators import dedup, dwell, events, label, normalize
 from vesselflow.plans import dashboard, marts, refresh
 from vesselflow.sources import fixture, geofence, payload
-from vesselflow.streaming import vessel
 
 T0 = dt.datetime(2024, 1, 1)
 FIX = (
@@ -287,48 +284,6 @@ def test_marts_have_one_row_per_day_and_key(spark):
     assert rows.where("end_ts < start_ts OR duration_s < 1 OR is_open <> (end_ts IS NULL)").count() == 0
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    rng = random.Random(3)
-    areas = ports(spark)
-    rows = []
-    for uid in ("a", "b", "c"):
-        second = 0
-        for i in range(120):
-            second += rng.choice([-1, 0, 30, 600, 600, 3600])
-            core = rng.choice([None, None, "X", "I", "M"])
-            rows.append(fix(0, second, rng.choice([0.0, 0.0001, 0.02, 0.2, 3.0]), rng.choice([0.0, 0.0001, 0.02, 0.1]), uid, core=core, approach=rng.choice([None, "A", "B"]), lane=rng.choice([None, None, "L"]), sog=rng.choice([1.0, 1.2, 5.0])))
-    rng.shuffle(rows)
-    rows.sort(key=lambda r: r[1] + dt.timedelta(seconds=rng.choice([0, 1])))
-    frame = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)], FIX)
-    kept_fixes = dedup.dedup(frame)
-    batch = events.emit_events(kept_fixes, areas)
-    for part in range(3):
-        frame.where(F.floor(F.col("arrival_seq") / 120) == part).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(f"{tmp_path}/in/{part}")
-    schema = FIX.replace("timestamp_ntz", "timestamp")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
-    out = vessel.vessel_stream(stream, {"X": "export", "I": "import"}, lateness="90 days")
-    query = out.writeStream.foreachBatch(vessel.sink(f"{tmp_path}/out")).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
-    deadline = time.time() + 300
-    while query.isActive and time.time() < deadline:
-        query.awaitTermination(5)
-    assert not query.isActive and query.exception() is None
-    read = lambda what: spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/out/{what}")
-    assert sorted(r.arrival_seq for r in read("fix").collect()) == sorted(r.arrival_seq for r in kept_fixes.collect())
-    pick = ["arrival_seq", "ord", "event", "area_id", "area_kind", "laden", "cargo_confidence"]
-    rows_of = lambda df: sorted(map(repr, df.select(*pick).collect()))
-    assert rows_of(read("event")) == rows_of(batch)
-    closed = lambda df: sorted((r.vessel_uid, r.area_id, r.start_ts.replace(tzinfo=None), r.duration_s, r.samples) for r in df.where("NOT is_open").collect())
-    assert closed(read("session")) == closed(dwell.dwell_sessions(batch)) and len(closed(read("session"))) > 20
-    opened = lambda df: sorted((r.vessel_uid, r.area_id, r.start_ts.replace(tzinfo=None), r.samples) for r in df.where("is_open").collect())
-    assert opened(vessel.newest(read("open"))) == opened(dwell.dwell_sessions(batch))
-    states = {r.vessel_uid: r for r in vessel.newest(read("state")).collect()}
-    for r in events.vessel_state(kept_fixes).collect():
-        s = states[r.vessel_uid]
-        assert (s.core_area_id, s.approach_area_id, s.lane_id, s.gate_end) == (r.core_area_id, r.approach_area_id, r.lane_id, r.gate_end)
-    cargo = {r.vessel_uid: (r.laden, r.confidence) for r in events.cargo_state(kept_fixes, areas).collect()}
-    assert cargo == {k: (s.laden, s.cargo_confidence) for k, s in states.items() if s.laden is not None} and len(states) == 3
-
-
 def test_daily_helpers(spark):
     frame = spark.createDataFrame([("a", T0 + dt.timedelta(days=i), x) for i, x in enumerate([10.0, None, 20.0])], "k string, day timestamp_ntz, v double")
     assert [r.ewma for r in marts.ewma(frame, "k", "v", 0.5).orderBy("day").collect()] == [10.0, 5.0, 12.5]

@@ -98,6 +98,39 @@ q6 AS (SELECT date_trunc('day', ts) AS day, area_id AS lane_id, CAST(sum(dwt) FI
 """
 
 
+def labelled(name: str, fixes: str) -> str:
+    """A common table: the rows of another one with what they are in."""
+    return f"""{name} AS (SELECT k.*, {_pick("area", "id", "a.kind = 'port' AND a.subtype = 'core'")} AS area_id_core, {_pick("area", "id", "a.kind = 'port' AND a.subtype = 'approach'")} AS area_id_approach,
+  {_pick("area", "id", "a.subtype = 'corridor'")} AS lane_id, {_pick("gate", "id", "true")} AS gate_id FROM {fixes} k)"""
+
+
+#: The fixes of fixture.echoed_fixes, and a fold that carries all that it has kept, as rows don't come in the order of time.
+ECHOED = f"""fe AS (SELECT arrival_seq * 2 AS arrival_seq, ts, vessel_uid, lat, lon, sog, cog FROM fx
+  UNION ALL SELECT arrival_seq * 2 + 1, ts - to_seconds(CASE arrival_seq % 5 WHEN 2 THEN 3 WHEN 3 THEN 0 ELSE 1 END), vessel_uid,
+    lat + CASE arrival_seq % 5 WHEN 1 THEN 0.000001e0 ELSE 0.02e0 END, lon, sog, cog FROM fx WHERE arrival_seq % 5 < 4),
+{labelled("le", "fe")},
+re AS (SELECT *, row_number() OVER (PARTITION BY vessel_uid ORDER BY arrival_seq) AS rn,
+  struct_pack(us := epoch_us(ts), lat := lat, lon := lon, sog := sog, cog := cog, a := area_id_core, b := area_id_approach, l := lane_id, g := gate_id) AS c FROM le),
+fk AS (
+  SELECT vessel_uid, rn, arrival_seq, 0 AS rule, [c] AS kept FROM re WHERE rn = 1
+  UNION ALL
+  SELECT vessel_uid, rn, arrival_seq, rule, CASE WHEN rule = 0 THEN list_sort(list_append(kept, c)) ELSE kept END FROM (
+    SELECT r.vessel_uid, r.rn, r.arrival_seq, r.c AS c, d.kept AS kept, CASE
+      WHEN d.kept[-1].us - x.c.us > 2000000 THEN 1
+      WHEN x.p IS NULL THEN 0
+      WHEN x.c.lat = x.p.lat AND x.c.lon = x.p.lon THEN 2
+      WHEN {_NEAR} AND abs(x.c.sog - x.p.sog) <= 0.3e0 AND least(abs(x.c.cog - x.p.cog), 360 - abs(x.c.cog - x.p.cog)) <= 1e0
+        AND x.c.a IS NOT DISTINCT FROM x.p.a AND x.c.b IS NOT DISTINCT FROM x.p.b AND x.c.l IS NOT DISTINCT FROM x.p.l AND x.c.g IS NOT DISTINCT FROM x.p.g THEN 4
+      WHEN x.c.us <= x.p.us THEN 5
+      WHEN {_m("x.p", "x.c")} / 1852.0 / ((x.c.us - x.p.us) / 3.6e9) > 30 THEN 6
+      WHEN x.n IS NOT NULL AND {_m("x.n", "x.c")} / 1852.0 / ((x.n.us - x.c.us) / 3.6e9) > 30 THEN 7
+      WHEN x.q IS NOT NULL AND {_m("x.q", "x.c")} <= 300 AND {_m("x.p", "x.c")} >= 2000 THEN 8
+      ELSE 0 END AS rule
+    FROM fk d JOIN re r ON r.vessel_uid = d.vessel_uid AND r.rn = d.rn + 1,
+      LATERAL (SELECT r.c AS c, list_filter(d.kept, lambda k: k.us <= r.c.us)[-1] AS p, list_filter(d.kept, lambda k: k.us > r.c.us)[1] AS n,
+        list_filter(d.kept, lambda k: k.us < list_filter(d.kept, lambda m: m.us <= r.c.us)[-1].us)[-1] AS q) x))"""
+
+
 def sql(select: str, fixes: str = "true", tables: str = "") -> str:
     """The statement with the common tables that it needs and some of its own, over the events that meet a condition; later tables are not evaluated."""
     return f"WITH RECURSIVE {BASE.replace('AS shipname FROM e1)', f'AS shipname FROM e1 WHERE {fixes})')}{', ' if tables else ''}{tables} {select}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,26 +43,31 @@ def within(rows: DataFrame, start: dt.datetime, end: dt.datetime, column: str =
     return rows.where((F.col(column) >= lit(start)) & (F.col(column) < lit(end)))
 
 
-def write_days(mart: DataFrame, path: str, start: dt.datetime | None = None, end: dt.datetime | None = None) -> None:
-    """Replace the partitions of the window's days (without one, those of the mart's days), and only these.
+def write_days(mart: DataFrame, path: str, start: dt.datetime | None = None, end: dt.datetime | None = None, days: Collection[dt.date] | None = None) -> None:
+    """Replace the partitions of the window's days or of the days named (without either, those of the mart's days), and only these.
 
-    Days of the window that have no rows any more lose their partition.
+    Days of the window, or named, that have no rows any more lose their partition.
     """
-    rows = within(mart, start, end, "day") if start and end else mart
-    out = rows.withColumn("date", F.to_date("day"))
-    before = _files(mart.sparkSession, path, start, end) if start and end else {}
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    asked = (lambda d: d in days) if days is not None else (lambda d: start.date() <= d and dt.datetime.combine(d, dt.time()) < end)
+    bound = days is not None or (start and end)
+    rows = mart.withColumn("date", F.to_date("day"))
+    if days is not None:
+        rows = rows.where(F.col("date").isin(sorted(days)))
+    elif bound:
+        rows = within(rows, start, end, "day")
+    before = _files(mart.sparkSession, path, asked) if bound else {}
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     # What holds the same files as before has not been written again.
     fs, places = _days(mart.sparkSession, path)
-    for day, names in (_files(mart.sparkSession, path, start, end) if before else {}).items():
+    for day, names in (_files(mart.sparkSession, path, asked) if before else {}).items():
         if names == before.get(day):
             fs.delete(places[day], True)
 
 
-def _files(spark: SparkSession, path: str, start: dt.datetime, end: dt.datetime) -> dict[dt.date, set[str]]:
-    """Names of the files of each day partition of a window."""
+def _files(spark: SparkSession, path: str, asked: Callable[[dt.date], bool]) -> dict[dt.date, set[str]]:
+    """Names of the files of each day partition asked for."""
     fs, days = _days(spark, path)
-    return {d: {f.getPath().getName() for f in fs.listStatus(place)} for d, place in days.items() if start.date() <= d and dt.datetime.combine(d, dt.time()) < end}
+    return {d: {f.getPath().getName() for f in fs.listStatus(place)} for d, place in days.items() if asked(d)}
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -81,23 +86,24 @@ def _days(spark: SparkSession, path: str) -> tuple:
     return fs, found
 
 
-def swap(rows: DataFrame, root: str) -> str:
+def swap(rows: DataFrame, root: str, number: int | None = None) -> str:
     """Write a full recompute beside the current version and make it the newest by one rename; returns the new path.
 
     There is a whole version to read at any time. The version before the new one stays for those who are reading it;
-    older ones go.
+    older ones go. A version of the same number is replaced.
     """
     spark = rows.sparkSession
     fs, folder = _filesystem(spark, root)
     hidden = f"{root}/_new-{uuid.uuid4().hex}"
     rows.write.parquet(hidden)
     versions = _versions(spark, root)
-    number = int(versions[-1].rpartition("-")[2]) + 1 if versions else 0
+    number = number if number is not None else int(versions[-1].rpartition("-")[2]) + 1 if versions else 0
     path = f"{root}/v-{number:012d}"
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs.rename(jpath(hidden), jpath(path))
+    replace(spark, hidden, path)
     for old in versions[:-1]:
-        fs.delete(jpath(f"{root}/{old}"), True)
+        if old != f"v-{number:012d}":
+            fs.delete(jpath(f"{root}/{old}"), True)
     return path
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from vesselflow.functions import geo
 from vesselflow.operators import dedup, dwell, events, label, normalize
-from vesselflow.plans import dashboard, marts, refresh
-from vesselflow.plans.oracle import sql
+from vesselflow.plans import dashboard, days, invalidation, marts, refresh
+from vesselflow.plans.oracle import ECHOED, sql
 from vesselflow.sources import fixture, geofence, payload
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,56 @@ def _(t):
     return t.fixes.select("arrival_seq", "ts", "vessel_uid", "lat", "lon", "sog", "cog", "dwt")
 
 
+@add_with_dir("dedup_out_of_order", sql("SELECT le.arrival_seq, le.ts, le.vessel_uid, lat, lon FROM le JOIN fk USING (arrival_seq) WHERE rule = 0", tables=ECHOED))
+def _(spark, sf_dir):
+    t = Tables(spark, sf_dir, fixture.echoed_fixes(spark, sf_dir))
+    return dedup.dedup(t.labelled).select("arrival_seq", "ts", "vessel_uid", "lat", "lon")
+
+
+def _folded(t: Tables) -> str:
+    """The labelled fixes written by day and folded a week at a time, each week onto the state that the one before has left."""
+    facts, root = refresh.scratch(t.spark, "facts"), refresh.scratch(t.spark, "folded")
+    refresh.append_fact(t.labelled, facts)
+    days.fold_by_days(t.spark, facts, root, days.roles_of(t.areas), every=7)
+    return root
+
+
+@add("events_by_days", "SELECT * FROM ev")
+def _(t):
+    return days.events(t.spark, _folded(t))
+
+
+@add("sessions_by_days", "SELECT * FROM dw")
+def _(t):
+    return days.sessions(t.spark, _folded(t))
+
+
+def _refreshed(t: Tables, name: str) -> DataFrame:
+    """A mart after two batches of facts, the second of a seventh of the vessels, each followed by a refresh of what it has touched."""
+    root = refresh.scratch(t.spark, "live")
+    t.write_events()
+    second, opened = F.pmod(F.xxhash64("vessel_uid"), F.lit(7)) == 3, t.sessions.where("is_open")
+
+    def facts(kind: str, some: list[dt.date]) -> DataFrame:
+        rows = invalidation.on_days(t.spark.read.parquet(f"{root}/{kind}"), some)
+        return rows if kind == "event" else rows.unionByName(opened.where(F.to_date("start_ts").isin(some)))
+
+    for number, of in enumerate((~second, second)):
+        invalidation.append(root, number, t.events.where(of), t.sessions.where(of & ~F.col("is_open")))
+        invalidation.refresh_pending(t.spark, root, t.areas, facts, which={name: invalidation.MARTS[name]})
+    return invalidation.mart(t.spark, root, name)
+
+
+@add("lane_transit_by_refresh", "SELECT * FROM q2")
+def _(t):
+    return _refreshed(t, "lane_transit_daily")
+
+
+@add("area_occupancy_by_refresh", "SELECT * REPLACE (round(avg_open_sessions, 6) AS avg_open_sessions) FROM q4")
+def _(t):
+    return _refreshed(t, "area_occupancy_daily").withColumn("avg_open_sessions", F.round("avg_open_sessions", 6))
+
+
 for _kind in ("port", "approach", "lane"):
     add(f"{_kind}_events", f"SELECT * FROM ev WHERE area_kind = '{_kind}'")(lambda t, kind=_kind: t.events.where(F.col("area_kind") == kind))
 

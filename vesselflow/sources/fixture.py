@@ -145,3 +145,15 @@ def crowded_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     docs = rows.groupBy("doc").agg(expr("to_json(named_struct('data', named_struct('rows', transform(array_sort(collect_list(struct(at, event_id, r))), s -> s.r))))").alias("value"))
     return docs.selectExpr("value", "timestamp_seconds(1704067200 + doc div 2 * 86400) AS fetch_ts", "concat('tile-', lpad(cast(doc AS string), 12, '0')) AS path")
+
+
+def echoed_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixes, four of five followed by one more of the same vessel that isn't newer: a second or three before or at the same time, next to it or 2 km away."""
+    rows = fixes(spark, sf_dir)
+    echo = rows.where("arrival_seq % 5 < 4").selectExpr(
+        "arrival_seq * 2 + 1 AS arrival_seq",
+        "ts - make_dt_interval(0, 0, 0, CASE arrival_seq % 5 WHEN 2 THEN 3 WHEN 3 THEN 0 ELSE 1 END) AS ts",
+        *(c for c in rows.columns if c not in ("arrival_seq", "ts", "lat")),
+        "lat + CASE arrival_seq % 5 WHEN 1 THEN 0.000001e0 ELSE 0.02e0 END AS lat",
+    )
+    return rows.withColumn("arrival_seq", expr("arrival_seq * 2")).unionByName(echo)
