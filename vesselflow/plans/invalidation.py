@@ -88,10 +88,10 @@ def refresh_pending(
         by.setdefault(r["kind"], []).append(r["day"])
     for kind, days in by.items():
         days.sort()
-        these = facts(kind, days)
-        for name, (of, make) in which.items():
-            if of == kind:
-                refresh.write_days(make(these, areas), f"{root}/marts/{name}", days=days)
+        makes = {name: make for name, (of, make) in which.items() if of == kind}
+        these = facts(kind, days) if makes else None
+        for name, make in makes.items():
+            refresh.write_days(make(these, areas), f"{root}/marts/{name}", days=days)
     if rows:
         spark.createDataFrame([tuple(r) for r in rows], f"{LOG}, batch long").coalesce(1).write.mode("append").parquet(f"{root}/done")
     return by
