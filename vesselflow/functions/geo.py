@@ -27,6 +27,25 @@ def edges(ring: Column) -> Column:
     return F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
+def all_edges(rings: Column) -> Column:
+    """Sides of all rings of a polygon: by the even-odd rule over them, what lies in a hole lies outside."""
+    return F.flatten(F.transform(rings, edges))
+
+
+def area(rings: Column) -> Column:
+    """Planar area in square degrees: the first ring's less the holes'."""
+    return F.aggregate(rings, F.lit(0.0), lambda s, r: s - ring_area(r)) + 2 * ring_area(F.get(rings, F.lit(0)))
+
+
+def touches(e: Column, box: Column) -> Column:
+    """Whether a side meets a box (struct<xmin, ymin, xmax, ymax>), borders included."""
+    ax, ay, bx, by = _x(e["a"]), _y(e["a"]), _x(e["b"]), _y(e["b"])
+    over = (F.greatest(ax, bx) >= box["xmin"]) & (F.least(ax, bx) <= box["xmax"]) & (F.greatest(ay, by) >= box["ymin"]) & (F.least(ay, by) <= box["ymax"])
+    # The corners aren't all on one side of the line.
+    turns = [(bx - ax) * (box[y] - ay) - (by - ay) * (box[x] - ax) for x in ("xmin", "xmax") for y in ("ymin", "ymax")]
+    return over & (F.least(*turns) <= 0) & (F.greatest(*turns) >= 0)
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
 
@@ -76,6 +95,38 @@ def covered_by(sides: Column, lon: Column, lat: Column) -> Column:
     return F.when(lon.isNotNull() & lat.isNotNull(), F.aggregate(sides, F.lit(0), step) > 0)
 
 
+def mean_radius_m(ring: Column) -> Column:
+    """Mean great-circle distance of the ring's corners from the mean of the corners."""
+    lon, lat = _centre(ring)
+    return _mean(F.transform(_corners(ring), lambda p: sphere_m(lon, lat, _x(p), _y(p))))
+
+
+def resampled(ring: Column, sides: int) -> Column:
+    """Ring of so many corners (3 to 200) around the mean of the ring's corners, at their mean distance from it."""
+    lon, lat = _centre(ring)
+    d, phi, steps = mean_radius_m(ring) / EARTH_M, F.radians(lat), max(3, min(200, sides))
+
+    def corner(k: Column) -> Column:
+        t = 2 * math.pi * k / steps
+        y = F.asin(F.sin(phi) * F.cos(d) + F.cos(phi) * F.sin(d) * F.cos(t))
+        x = F.atan2(F.sin(t) * F.sin(d) * F.cos(phi), F.cos(d) - F.sin(phi) * F.sin(y))
+        return F.array(lon + F.degrees(x), F.degrees(y))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: corner(F.pmod(k, F.lit(steps))))
+
+
+def _corners(ring: Column) -> Column:
+    return F.slice(ring, 1, F.size(ring) - 1)
+
+
+def _mean(values: Column) -> Column:
+    return _sum(values) / F.size(values)
+
+
+def _centre(ring: Column) -> tuple[Column, Column]:
+    return _mean(F.transform(_corners(ring), _x)), _mean(F.transform(_corners(ring), _y))
+
+
 def sphere_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Great-circle distance in metres."""
     a, b = F.radians(lat1), F.radians(lat2)
@@ -139,6 +190,16 @@ def rectangle(xmin: float, ymin: float, xmax: float, ymax: float) -> list[list[f
     return [[float(x), float(y)] for x, y in ((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin))]
 
 
+def slab_at_lon(lon: float, south: float, north: float, width: float) -> list[list[float]]:
+    """Thin rectangle along a meridian, such as a gate."""
+    return rectangle(lon - width / 2, south, lon + width / 2, north)
+
+
+def slab_at_lat(lat: float, west: float, east: float, height: float) -> list[list[float]]:
+    """Thin rectangle along a parallel."""
+    return rectangle(west, lat - height / 2, east, lat + height / 2)
+
+
 def circle(lon: float, lat: float, radius_nm: float, steps: int = 48) -> list[list[float]]:
     """Ring of points at a great-circle distance from the centre."""
     d, phi, lam = radius_nm * 1852 / EARTH_M, math.radians(lat), math.radians(lon)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vesselflow.functions import geo
 from vesselflow.functions import scalars as S
+from vesselflow.operators import normalize
 from vesselflow.sources import payload
 
 
@@ -188,6 +190,19 @@ def cycle_summary(payloads: DataFrame, raw: DataFrame, kept: DataFrame, inserted
     return out.fillna(0)
 
 
+def observed_run(payloads: DataFrame, follow: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Write what `follow` makes of the normalised rows, and count on the way: tiles, tiles_ok, received, kept, inserted of the run.
+
+    Rows are counted as they pass, by observations, so the run is one job over one scan of the documents.
+    """
+    seen = {name: Observation(name) for name in ("tiles", "received", "kept", "inserted")}
+    documents = payloads.observe(seen["tiles"], F.count(F.lit(1)).alias("tiles"), F.count_if(payload._rows().isNotNull()).alias("tiles_ok"))
+    one = lambda rows, name: rows.observe(seen[name], F.count(F.lit(1)).alias(name))
+    raw = one(payload.explode_rows(documents), "received")
+    write(one(follow(one(normalize.normalise(raw), "kept")), "inserted"))
+    return {k: v for o in seen.values() for k, v in o.get.items()}
+
+
 def tile_candidates(tiles: DataFrame) -> DataFrame:
     """kind, z, x, y of the addresses that a tile may have: as it is, with its row flipped, and both one zoom up."""
     z, x, y = F.col("z"), F.col("x"), F.col("y")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Iterator
 
+import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,15 +212,49 @@ def expire(spark: SparkSession, path: str, keep_days: int, as_of: dt.datetime) -
     return [f"date={d}" for d in gone]
 
 
+def footers(spark: SparkSession, path: str) -> DataFrame:
+    """path, length, rows, codec (null where columns differ) of each Parquet file below a folder, from the files' footers: no rows are read."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for pdf in batches:
+            out = []
+            for place in pdf["path"]:
+                store, name = fs.FileSystem.from_uri(place)
+                with store.open_input_file(name) as file:
+                    meta = pq.read_metadata(file)
+                groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+                codecs = {g.column(j).compression.lower() for g in groups for j in range(g.num_columns)}
+                out.append((meta.num_rows, codecs.pop() if len(codecs) == 1 else None))
+            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "rows": [r for r, _ in out], "codec": pd.Series([c for _, c in out], dtype=object)})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "length").mapInPandas(run, "path string, length long, rows long, codec string")
+
+
+def _sized(files: DataFrame) -> DataFrame:
+    day = F.when(F.col("rows") > 0, F.coalesce(F.nullif(F.regexp_extract("path", "/date=([^/]+)/", 1), F.lit("")), F.lit("all")))
+    sized = files.groupBy("table").agg(
+        F.sum("length").alias("total_bytes"),
+        F.round(F.sum("length") / 1024.0**3, 3).alias("size_gb"),
+        F.sum("rows").alias("rows"),
+        F.countDistinct(day).alias("days"),
+        F.when((F.min("codec") == F.max("codec")) & (F.count("codec") == F.count("*")), F.max("codec")).alias("codec"),
+    )
+    return sized.orderBy(F.desc("total_bytes"))
+
+
+def catalog(spark: SparkSession, root: str) -> DataFrame:
+    """table, total_bytes, size_gb, rows, days (partitions with rows), codec (of all files, or null) of all tables in a folder, largest first.
+
+    A table is a folder with Parquet files in it, at any depth of partitions; its name is the first part of the path.
+    """
+    fs, folder = _filesystem(spark, root)
+    base = fs.makeQualified(folder).toString().rstrip("/")
+    return _sized(footers(spark, root).withColumn("table", F.substring_index(F.expr(f"substring(path, {len(base) + 2})"), "/", 1)))
+
+
 def table_health(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """table, total_bytes, size_gb, rows, days (partitions with rows), codec (of all files, or null) of tables on disk, largest first."""
-    out = None
-    for name, path in paths.items():
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-        codec = F.regexp_extract("path", r"\.([a-z0-9]+)\.parquet$", 1)
-        files = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"), F.when(F.min(codec) == F.max(codec), F.max(codec)).alias("codec"))
-        table = spark.read.parquet(path)
-        rows = table.agg(F.count("*").alias("rows"), F.countDistinct("date" if "date" in table.columns else F.lit(1)).alias("days"))
-        one = files.join(rows).select(F.lit(name).alias("table"), "total_bytes", F.round(F.col("total_bytes") / 1024.0**3, 3).alias("size_gb"), "rows", "days", "codec")
-        out = one if out is None else out.unionByName(one)
-    return out.orderBy(F.desc("total_bytes"))
+    """As `catalog`, of some tables, wherever they are."""
+    return _sized(functools.reduce(DataFrame.unionByName, [footers(spark, p).withColumn("table", F.lit(name)) for name, p in paths.items()]))

@@ -519,6 +519,25 @@ def _(spark, sf_dir):
     return dashboard.cycle_summary(documents, raw, kept, tables.fixes)
 
 
+@add_with_dir(
+    "run_summary",
+    sql(
+        f"""SELECT count(*) AS tiles, count(*) FILTER (WHERE event_id % 23 <> 5) AS tiles_ok, count(*) FILTER (WHERE event_id % 23 <> 5) AS received, count(*) FILTER (WHERE {_TAKEN}) AS kept,
+        count(ac.arrival_seq) AS inserted FROM events e LEFT JOIN ac ON ac.arrival_seq = e.event_id""",
+        _TAKEN,
+    ),
+)
+def _(spark, sf_dir):
+    """All documents as one run that writes its fixes, counted as they pass."""
+    documents = fixture.track_payloads(spark, sf_dir)
+
+    def follow(rows: DataFrame) -> DataFrame:
+        return Tables(spark, sf_dir, payload.with_arrival(rows, documents).withColumn("ts", F.col("ts").cast("timestamp_ntz"))).fixes
+
+    counts = dashboard.observed_run(documents, follow, lambda rows: refresh.append_fact(rows, refresh.scratch(spark, "fixes")))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts))
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 
