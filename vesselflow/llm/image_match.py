@@ -38,7 +38,7 @@ TESTS = 128
 POOL = 1000
 MAX_BITS = 9
 #: Places that must agree.
-MIN_AGREE = 8
+MIN_AGREE = 5
 #: Corners nearer than about this count once.
 SPOT = 6.0
 #: Two descriptors at most MAX_BITS apart are at most MAX_BITS // len(CHUNKS) = PROBED apart in one of the disjoint chunks.
