@@ -47,9 +47,9 @@ PROBED = MAX_BITS // len(CHUNKS)
 _starts = [sum(CHUNKS[:i]) for i in range(len(CHUNKS))]
 BUCKET_BITS = 21
 #: Corners of the queries in one block, candidates compared at once, and pictures described and matched at once.
-QUERY_BLOCK = 1 << 19
+QUERY_BLOCK = 1 << 18
 CANDIDATES = 1 << 17
-PICTURES, MATCHED = 20, 1000
+PICTURES, MATCHED = 20, 500
 
 _disk = np.array([(y, x) for y in range(-6, 7) for x in range(-6, 7) if y * y + x * x <= 36])
 #: Pictures of a smaller side have too little detail to tell corners apart.
