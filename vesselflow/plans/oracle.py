@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vesselflow.sources.fixture import AREAS, GATES
+from vesselflow.sources.fixture import AREAS, GATES, LEG
 
 
 def _v(x) -> str:
@@ -104,6 +104,14 @@ def labelled(name: str, fixes: str) -> str:
   {_pick("area", "id", "a.subtype = 'corridor'")} AS lane_id, {_pick("gate", "id", "true")} AS gate_id FROM {fixes} k)"""
 
 
+#: fixture.leg_areas and fixture.leg_gates.
+LEGS = f"""da AS (SELECT 'A' || user_id || '-' || (ph // {LEG}) AS id, 'Name ' || user_id || '-' || (ph // {LEG}) AS name, CASE user_id % 4 WHEN 2 THEN 'lane' WHEN 3 THEN 'chokepoint' ELSE 'port' END AS kind,
+  CASE user_id % 4 WHEN 0 THEN 'core' WHEN 1 THEN 'approach' ELSE 'corridor' END AS subtype, 'G' || user_id || '-' || (ph // {LEG}) AS grp, ph // {LEG} AS leg,
+  floor(min(lon)) AS xmin, floor(min(lat)) AS ymin, floor(max(lon)) + 1 AS xmax, floor(max(lat)) + 1 AS ymax
+  FROM (SELECT *, bx + 0.5e0 + j AS lon, (CASE WHEN user_id % 3 = 2 AND bx > 4.5e0 AND bx < 6.5e0 THEN 6.5e0 ELSE 0.5e0 END) + j AS lat FROM e1 WHERE k < 97) GROUP BY user_id, ph // {LEG}),
+dg AS (SELECT 'W' || id AS id, CASE WHEN subtype = 'corridor' THEN id END AS area_id, 'Gate ' || id AS name, kind, CASE WHEN leg % 4 = 0 THEN 'gate_west' ELSE 'gate_east' END AS subtype, grp,
+  xmin - 0.5e0 AS xmin, ymin, xmin + 0.5e0 AS xmax, ymax FROM da WHERE leg % 2 = 0)"""
+
 #: The fixes of fixture.echoed_fixes, and a fold that carries all that it has kept, as rows don't come in the order of time.
 ECHOED = f"""fe AS (SELECT arrival_seq * 2 AS arrival_seq, ts, vessel_uid, lat, lon, sog, cog FROM fx
   UNION ALL SELECT arrival_seq * 2 + 1, ts - to_seconds(CASE arrival_seq % 5 WHEN 2 THEN 3 WHEN 3 THEN 0 ELSE 1 END), vessel_uid,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vesselflow.functions import geo
 from vesselflow.operators import dedup, dwell, events, label, normalize
 from vesselflow.plans import dashboard, days, invalidation, marts, refresh
-from vesselflow.plans.oracle import ECHOED, sql
+from vesselflow.plans.oracle import ECHOED, LEGS, sql
 from vesselflow.sources import fixture, geofence, payload
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,8 @@ class Tables:
 MARTS = ("port_lifts_daily", "lane_transit_daily", "ballast_return_daily", "class_mix_daily", "lane_transit_time_daily", "area_occupancy_daily")
 _queries: dict[str, Query] = {}
 _oracle: dict[str, str] = {}
+#: Functions of Tables by the name of their query.
+_made: dict[str, Callable] = {}
 
 
 def add(name: str, oracle: str | None, base: bool = True):
@@ -67,6 +69,7 @@ def add(name: str, oracle: str | None, base: bool = True):
 
     def wrap(f: Callable[[Tables], DataFrame]):
         _queries[name] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        _made[name] = f
         if oracle:
             _oracle[name] = sql(oracle) if base else oracle
         return f
@@ -454,6 +457,55 @@ def _(t):
     return dashboard.tile_candidates(t.spark.createDataFrame([(6, 33, 30), (0, 0, 0)], "z int, x int, y int"))
 
 
+class Legs:
+    """Geofences made of the events, as many as vessels have legs."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        areas = fixture.leg_areas(spark, sf_dir)
+        self.spark, self.gates = spark, fixture.leg_gates(areas)
+        self.areas = areas.drop("leg", "xmin", "ymin", "ymax")
+
+
+def _grown(c: float, table: str, owner: str, z: str) -> str:
+    return f"SELECT {owner} AS owner, {z} AS z, xmin - {c}e0 AS x0, ymin - {c}e0 AS y0, xmax + {c}e0 AS x1, ymax + {c}e0 AS y1 FROM {table}"
+
+
+_Z = f"CASE WHEN kind = 'lane' THEN {_z['lane', 'corridor']} WHEN subtype = 'core' THEN {_z['port', 'core']} ELSE {_z['port', 'approach']} END"
+_LEG_COVER = _TILE.replace("SELECT * FROM box", f"{_grown(0.2, 'da', 'id', _Z)} UNION ALL {_grown(0.3, 'dg', chr(39).join(('area_id || ', '::', ' || id')), '6')}")
+_RING = "'{\"type\":\"Polygon\",\"coordinates\":[[[' || xmin || ',' || ymin || '],[' || xmax || ',' || ymin || '],[' || xmax || ',' || ymax || '],[' || xmin || ',' || ymax || '],[' || xmin || ',' || ymin || ']]]}'"
+for _name, _select in {
+    "area_ports": "SELECT id AS area_id, name FROM da WHERE kind = 'port'",
+    "lanes": "SELECT id AS lane_id, name FROM da WHERE kind IN ('lane', 'chokepoint')",
+    "approaches": "SELECT id AS area_id, name FROM da WHERE subtype = 'approach'",
+    "areas_geojson": f'SELECT id AS area_id, name, kind, subtype, grp AS "group", {_RING} AS geojson FROM da',
+    "gates_geojson": f'SELECT id AS gate_id, area_id, name, kind, subtype, grp AS "group", {_RING} AS geojson FROM dg',
+    "link_gates": "SELECT g.id AS gate_id, a.id AS area_id FROM dg g LEFT JOIN da a ON a.kind = g.kind AND a.subtype = 'corridor' AND a.grp IS NOT DISTINCT FROM g.grp",
+    "seed_summary": """SELECT 'areas_inserted' AS what, count(*) AS num FROM da UNION ALL SELECT 'gates_total', count(*) FROM dg
+        UNION ALL SELECT 'gates_linked', count(area_id) FROM dg UNION ALL SELECT 'gates_unmatched', count(*) - count(area_id) FROM dg""",
+    "map_centre": "SELECT round(avg((xmin + xmax) / 2), 6) AS lon, round(avg((ymin + ymax) / 2), 6) AS lat FROM da",
+    "geofence_envelopes": "SELECT round(xmin - 0.15e0, 6) AS xmin, round(ymin - 0.15e0, 6) AS ymin, round(xmax + 0.15e0, 6) AS xmax, round(ymax + 0.15e0, 6) AS ymax FROM (SELECT xmin, ymin, xmax, ymax FROM da UNION ALL SELECT xmin, ymin, xmax, ymax FROM dg)",
+    "tile_cover": f"SELECT * FROM ({_LEG_COVER})",
+    "tile_list": f"SELECT {_LISTED} AS tiles FROM (SELECT DISTINCT z, x, y FROM ({_LEG_COVER}))",
+    "tile_breakdown": f"SELECT owner, count(*) AS n_tiles, {_LISTED} AS tiles FROM ({_LEG_COVER}) GROUP BY owner",
+    "tile_rounds": f"""SELECT CAST(s // 8 AS INT) AS cycle, CAST(s % 8 AS INT) AS place, z, x, y, '/z:' || z || '/X:' || x || '/Y:' || y || '/station:0' AS path FROM (SELECT unnest(range(64)) AS s)
+        JOIN (SELECT *, row_number() OVER (ORDER BY z, x, y) - 1 AS n, count(*) OVER () AS total FROM (SELECT DISTINCT z, x, y FROM ({_LEG_COVER}))) ON s % total = n""",
+}.items():
+    add_with_dir(f"leg_{_name}", sql(_select, tables=LEGS))(lambda spark, sf_dir, f=_made[_name]: f(Legs(spark, sf_dir)))
+
+
+@add_with_dir(
+    "leg_tile_candidates",
+    sql(
+        f"""SELECT * FROM (WITH t AS (SELECT DISTINCT z, x, y FROM ({_LEG_COVER})) SELECT 'xyz' AS kind, z, x, y FROM t UNION ALL SELECT 'tms', z, x, CAST(pow(2, z) AS INT) - 1 - y FROM t
+        UNION ALL SELECT 'xyz_up', z - 1, CAST(x // 2 AS INT), CAST(y // 2 AS INT) FROM t UNION ALL SELECT 'tms_up', z - 1, CAST(x // 2 AS INT), CAST(CAST(pow(2, z - 1) AS INT) - 1 - y // 2 AS INT) FROM t)""",
+        tables=LEGS,
+    ),
+)
+def _(spark, sf_dir):
+    t = Legs(spark, sf_dir)
+    return dashboard.tile_candidates(dashboard.tile_cover(t.areas, t.gates).select("z", "x", "y").distinct())
+
+
 @add_with_dir(
     "normalize_rows",
     """WITH r AS (SELECT *, event_id % 800 AS el, user_id % 20 + 70 AS st, event_id % 100 - 5 AS la, event_id % 200 - 10 AS lo, event_id % 400 AS sp, dense_rank() OVER (ORDER BY ts, event_id) - 1 AS doc FROM events)

@@ -100,6 +100,48 @@ def fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Hours of the round trip that one leg has.
+LEG = 24
+
+
+def leg_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geofences that grow with the events: whole-degree boxes around each vessel's positions of each leg, spikes left out."""
+    at = _positions(spark, sf_dir).where("k < 97").selectExpr("user_id", f"ph div {LEG} AS leg", f"{_LON} AS lon", f"{_LAT} AS lat")
+    boxes = at.groupBy("user_id", "leg").agg(*(expr(f"cast(floor({f}({c})) + {d} AS double)").alias(n) for n, f, c, d in (("xmin", "min", "lon", 0), ("ymin", "min", "lat", 0), ("xmax", "max", "lon", 1), ("ymax", "max", "lat", 1))))
+    return boxes.selectExpr(
+        "concat('A', user_id, '-', leg) AS area_id",
+        "concat('Name ', user_id, '-', leg) AS name",
+        "CASE user_id % 4 WHEN 2 THEN 'lane' WHEN 3 THEN 'chokepoint' ELSE 'port' END AS kind",
+        "CASE user_id % 4 WHEN 0 THEN 'core' WHEN 1 THEN 'approach' ELSE 'corridor' END AS subtype",
+        "concat('G', user_id, '-', leg) AS group",
+        "cast(NULL AS string) AS notes",
+        f"array({_BOX}) AS rings",
+        "CASE user_id % 3 WHEN 0 THEN 'export' WHEN 1 THEN 'import' END AS flow_role",
+        "leg",
+        "xmin",
+        "ymin",
+        "ymax",
+    )
+
+
+_BOX = "array(array(xmin, ymin), array(xmax, ymin), array(xmax, ymax), array(xmin, ymax), array(xmin, ymin))"
+
+
+def leg_gates(areas: DataFrame) -> DataFrame:
+    """Gates of every other leg: slabs of a degree along the west side of its box; those of ports have no corridor to belong to."""
+    rows = areas.where("leg % 2 = 0").selectExpr("*", "xmin + 0.5e0 AS xmax", "xmin - 0.5e0 AS west")
+    return rows.selectExpr(
+        "concat('W', area_id) AS gate_id",
+        "CASE WHEN subtype = 'corridor' THEN area_id END AS area_id",
+        "concat('Gate ', area_id) AS name",
+        "kind",
+        "CASE WHEN leg % 4 = 0 THEN 'gate_west' ELSE 'gate_east' END AS subtype",
+        "group",
+        "notes",
+        f"array({_BOX.replace('xmin', 'west')}) AS rings",
+    )
+
+
 def track_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """value, fetch_ts: the positions of `fixes` as vendor documents, one each; some are broken, of other ships, too old or of a satellite."""
     return _positions(spark, sf_dir).selectExpr(
