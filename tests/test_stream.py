@@ -186,3 +186,32 @@ def test_refresh_follows_the_log(spark, two_batches, tmp_path):
         query.stop()
     got = invalidation.mart(spark, root, "lane_transit_daily")
     assert rows_of(got) == rows_of(marts.lane_transit_daily(first.unionByName(late), areas))
+
+
+def test_policy_force_and_backfill(spark, two_batches, tmp_path):
+    first, late = two_batches
+    areas, root = places(spark), f"file://{tmp_path}"
+    nothing = dwell.dwell_sessions(first).where("false")
+    facts = lambda kind, days: invalidation.on_days(spark.read.parquet(f"{root}/{kind}"), days)
+    which = {"lane_transit_daily": invalidation.MARTS["lane_transit_daily"]}
+    day = lambda d: T0.date() + dt.timedelta(days=d)
+    of = lambda: {r.day.date() for r in invalidation.mart(spark, root, "lane_transit_daily").collect()}
+    left = lambda: {r.day for r in invalidation.pending(spark, root).where("kind = 'event'").collect()}
+    assert invalidation.first_day(spark, root) is None
+    invalidation.append(root, 0, first, nothing)
+    clock = [T0 + dt.timedelta(days=2, hours=5)]  # the third day isn't over: it isn't the policy's yet
+    query = invalidation.policy(spark, root, f"{tmp_path}/cp", areas, facts, lambda: clock[0], "1 second", which)
+    try:
+        for want in ({day(2)}, set()):
+            deadline = time.time() + 60
+            while left() != want and time.time() < deadline:
+                query.awaitTermination(1)
+            assert left() == want and query.exception() is None
+            clock[0] += dt.timedelta(days=1)
+    finally:
+        query.stop()
+    assert of() == {day(0), day(1), day(2)}
+    invalidation.append(root, 1, late, nothing)
+    assert invalidation.force(spark, root, areas, facts, refresh.window(T0 + dt.timedelta(days=2, hours=1), 0), which) == [day(2)] and left() == {day(1)}
+    assert invalidation.backfill(spark, root, areas, facts, T0 + dt.timedelta(days=2), which) == [day(d) for d in range(-1, 3)]
+    assert left() == set() and rows_of(invalidation.mart(spark, root, "lane_transit_daily")) == rows_of(marts.lane_transit_daily(first.unionByName(late), areas))

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -87,14 +87,65 @@ def refresh_pending(
     for r in rows:
         by.setdefault(r["kind"], []).append(r["day"])
     for kind, days in by.items():
-        days.sort()
-        makes = {name: make for name, (of, make) in which.items() if of == kind}
-        these = facts(kind, days) if makes else None
-        for name, make in makes.items():
-            refresh.write_days(make(these, areas), f"{root}/marts/{name}", days=days)
+        _compute(root, areas, facts, kind, sorted(days), which)
+    _note(spark, root, rows)
+    return {kind: sorted(days) for kind, days in by.items()}
+
+
+def _compute(root: str, areas: DataFrame, facts: Callable[[str, list[dt.date]], DataFrame], kind: str, days: list[dt.date], which: Mapping[str, Mart]) -> None:
+    makes = {name: make for name, (of, make) in which.items() if of == kind}
+    these = facts(kind, days) if makes else None
+    for name, make in makes.items():
+        refresh.write_days(make(these, areas), f"{root}/marts/{name}", days=days)
+
+
+def _note(spark: SparkSession, root: str, rows: list[Row]) -> None:
     if rows:
         spark.createDataFrame([tuple(r) for r in rows], f"{LOG}, batch long").coalesce(1).write.mode("append").parquet(f"{root}/done")
-    return by
+
+
+def force(
+    spark: SparkSession, root: str, areas: DataFrame, facts: Callable[[str, list[dt.date]], DataFrame], window: tuple[dt.datetime, dt.datetime], which: Mapping[str, Mart] = MARTS
+) -> list[dt.date]:
+    """Compute the marts of all days of a window again, changed or not (`refresh.window`, `refresh.backfill_window`); returns the days.
+
+    What was pending of these days when it began is done then.
+    """
+    start, end = window[0].date(), window[1]
+    days = [d for k in range((end.date() - start).days + 1) if dt.datetime.combine(d := start + dt.timedelta(days=k), dt.time()) < end]
+    rows = [r for r in pending(spark, root).collect() if r["day"] in days]
+    for kind in sorted({of for of, _ in which.values()}):
+        _compute(root, areas, facts, kind, days, which)
+    _note(spark, root, rows)
+    return days
+
+
+def first_day(spark: SparkSession, root: str) -> dt.datetime | None:
+    """Midnight of the day of the first event, from the folders' names; where a backfill begins."""
+    fs, place = refresh._filesystem(spark, f"{root}/event")
+    found = [d for s in (fs.listStatus(place) if fs.exists(place) else ()) for d in refresh._days(spark, s.getPath().toString())[1]]
+    return dt.datetime.combine(min(found), dt.time()) if found else None
+
+
+def backfill(spark: SparkSession, root: str, areas: DataFrame, facts: Callable[[str, list[dt.date]], DataFrame], as_of: dt.datetime, which: Mapping[str, Mart] = MARTS) -> list[dt.date]:
+    """All days from the day before the first event to today; half a year without events."""
+    return force(spark, root, areas, facts, refresh.backfill_window(first_day(spark, root), as_of), which)
+
+
+def policy(
+    spark: SparkSession,
+    root: str,
+    checkpoint: str,
+    areas: DataFrame,
+    facts: Callable[[str, list[dt.date]], DataFrame],
+    now: Callable[[], dt.datetime],
+    every: str = EVERY,
+    which: Mapping[str, Mart] = MARTS,
+) -> StreamingQuery:
+    """The scheduled refresh: every so often, the pending days of the policy's window. The clock is a stream of its own, as days come into the window without new rows."""
+    act = lambda batch, number: refresh_pending(spark, root, areas, facts, refresh.policy_window(now()), which) and None
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return clock.writeStream.foreachBatch(act).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
 def on_days(rows: DataFrame, days: list[dt.date]) -> DataFrame:
