@@ -15,7 +15,7 @@ from vesselflow.plans import registry
 HEADLINE = (
     "label_fixes dedup_fixes port_events lane_events dwell_sessions port_lifts_daily lane_transit_daily lane_transit_time_daily area_occupancy_daily "
     "ballast_return_daily class_mix_daily overview ingest_rate occupancy_snapshot latest_n_fixes port_occupancy_series normalize_rows tile_cover aggregate_row_counts ml_features_daily "
-    "pipeline_from_payloads"
+    "pipeline_from_payloads dedup_out_of_order run_summary leg_tile_cover"
 ).split()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,10 +82,9 @@ def ml_features_daily(marts: dict[str, DataFrame]) -> DataFrame:
         total("ballast_return_daily", ballast_dwt="ballast_dwt"),
         total("class_mix_daily", vlcc_dwt="dwt_vlcc", suezmax_dwt="dwt_suezmax", aframax_dwt="dwt_aframax", other_dwt="dwt_other"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, "day", "full_outer")
-    return out
+    # Each part has a row a day at most, so one grouping brings them together.
+    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.groupBy("day").agg(*(F.max(c).alias(c) for c in rows.columns if c != "day"))
 
 
 def ewma(daily: DataFrame, key: str, value: str, alpha: float = 0.3) -> DataFrame:
