@@ -70,6 +70,74 @@ def test_words_of_classes():
     assert not any(map(text, ("ad", "box ad-slot", "site-footer", "reader_comments", "Cookie-Notice", "sidebar2")))
 
 
+def _article(rng):
+    """(html, blocks): an article of paragraphs, lists, tables, sections, figures and quotes in random order."""
+    word = lambda: "".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randint(1, 9)))
+    some = lambda n: " ".join(word() for _ in range(rng.randint(1, n)))
+    html, blocks = [], []
+
+    def block(tag, text, shown=None):
+        html.append(f"<{tag}>{shown or text}</{tag}>")
+        blocks.append(text)
+
+    for _ in range(rng.randint(3, 9)):
+        kind = rng.choice(("p", "p", "list", "table", "section", "figure", "blockquote", "pre", "div"))
+        if kind == "list":
+            html.append("<ul>")
+            for _ in range(rng.randint(1, 6)):
+                block("li", some(4))
+            html.append("</ul>")
+        elif kind == "table":
+            html.append("<table><caption>Figures</caption>")
+            blocks.append("Figures")
+            for i in range(rng.randint(2, 6)):
+                html.append("<tr>")
+                for _ in range(3):
+                    block("td" if i else "th", some(2))
+                html.append("</tr>")
+            html.append("</table>")
+        elif kind == "section":
+            html.append("<section>")
+            block("h2", some(2))
+            html.append("<ol>")
+            for _ in range(5):
+                title = some(5)
+                block("li", title, f'<a href="/{word()}">{title}</a>')
+            html.append("</ol></section>")
+        elif kind == "figure":
+            html.append('<figure><img src="x.png">')
+            block("figcaption", some(5))
+            html.append("</figure>")
+        else:
+            block(kind, some(3) if rng.random() < 0.3 else some(90))
+    return "".join(html), blocks
+
+
+@pytest.mark.parametrize("frame", ["<article>%s</article>", "<main><div>%s</div></main>", "<div id=wrap><article><div class=body>%s</div></article></div>"])
+def test_nothing_of_an_article_is_dropped(frame):
+    import random
+
+    rng = random.Random(31)
+    around = '<header>Site</header><nav><a href="/">Home</a></nav>%s<aside><p>Also of note</aside><footer>Imprint</footer>'
+    for _ in range(150):
+        html, blocks = _article(rng)
+        assert html_text.main_text(around % (frame % html)) == "\n\n".join(blocks)
+
+
+def test_tables_and_references():
+    rows = (("City", "Year", "Population"), ("A", "1990", "14 million"), ("B", "2001", "9"), ("C", "2010", "6 km2"))
+    table = "<table>" + "".join("<tr>" + "".join(f"<td>{x}</td>" for x in row) + "</tr>" for row in rows) + "</table>"
+    cells = "\n\n".join(x for row in rows for x in row)
+    story = LONG.strip()
+    assert html_text.main_text(f"<article><p>{LONG}{table}<p>{LONG}</article>") == f"{story}\n\n{cells}\n\n{story}"
+    assert html_text.main_text(f"<body><div><p>{LONG}<p>{LONG}{table}<p>{LONG}</div></body>") == f"{story}\n\n{story}\n\n{cells}\n\n{story}"
+    references = "<section><h2>References</h2><ol>" + "".join(f'<li><a href="/{i}">Title {i}</a></li>' for i in range(5)) + "</ol></section>"
+    assert html_text.main_text(f"<div><h1>On A</h1><p>{LONG}<p>{LONG}{references}</div>").endswith("References\n\nTitle 0\n\nTitle 1\n\nTitle 2\n\nTitle 3\n\nTitle 4")
+    # A page laid out by a table: the cell of links goes.
+    layout = f"""<body><table><tr><td>{''.join(f'<p><a href="/{i}">Part {i}</a>' for i in range(9))}</td><td><p>{LONG}<p>{LONG}<p>{LONG}</td></tr></table></body>"""
+    assert html_text.main_text(layout) == "\n\n".join([story] * 3)
+
+
 def test_pages_of_the_table_against_a_second_implementation():
     import html as entities
     import re

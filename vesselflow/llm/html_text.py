@@ -3,9 +3,12 @@
 The standard library's parser streams events. Block elements cut the page into lines; each line has its text, its
 number of tags and the region (nearest sectioning ancestor) that it stands in. The ratio of text outside links to tags
 is smoothed along the page with a Gaussian, and a two-means clustering of the logarithms gives the threshold. Regions
-whose text lies above it are the content, with all their lines, so that one-word paragraphs stay; regions below it go,
-also inside an article, such as blocks of links. Where a page has an article or main element, regions outside it are
-not considered. Lines inside elements that are never content (menus, headers, footers, asides, forms, scripts, adverts,
+whose text lies above it are the content, with all their lines, so that one-word paragraphs stay. Where a page has an
+article or main element, regions outside it are not considered; inside it a region goes if it lies below the threshold
+and is made of links or of other marked-up bits. Tables, and sections of an article or of a region that has begun, belong
+to the region around them and are judged with it as a whole (in an article, links in them count as text, as references
+are no menu); elsewhere a table's cell is a region of its own only if
+it holds several lines, as in pages laid out by tables. Lines inside elements that are never content (menus, headers, footers, asides, forms, scripts, adverts,
 notices, comments, by tag or by class, id or role) take part in the smoothing but are never selected.
 
 Time is in proportion to the page: the open elements are also kept by name, so no tag makes a search of all of them.
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -69,7 +73,7 @@ def _never(attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """lines: [text parts, tags, characters in links, region, selectable]."""
+    """lines: [text parts, tags, characters in links, region, selectable, tags inside the line]."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -77,6 +81,9 @@ class _Lines(HTMLParser):
         self.places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
         self.lines: list[list] = []
         self.regions = [False]  # by number: whether inside an article or main element
+        self.parents = [0]  # by number: the region around it
+        self.cells: set[int] = set()  # regions that are cells of tables
+        self.begun: set[int] = set()  # regions inside the body that have text of their own
         self.links = 0
         self.comments_end = True  # whether a comment's end may follow
         self._cut()
@@ -100,9 +107,9 @@ class _Lines(HTMLParser):
     def _cut(self) -> None:
         never, region, _ = self._state()
         if self.lines and not self.lines[-1][0]:
-            self.lines[-1][3:] = [region, not never]
+            self.lines[-1][3:5] = [region, not never]
             return
-        self.lines.append([[], 1, 0, region, not never])
+        self.lines.append([[], 1, 0, region, not never, 0])
 
     def parse_html_declaration(self, i: int) -> int:
         """As in browsers, `<![` is a comment up to the next `>`, or to the end of the page (which is fed whole)."""
@@ -139,9 +146,12 @@ class _Lines(HTMLParser):
             header = tag == "header" or any(k in ("class", "id", "role") and v and "header" in v.lower().split() for k, v in attrs)
             never = never or tag in NEVER or _never(attrs) or (header and not article)
             article = article or tag in ("article", "main")
-            if tag in REGION:
+            if self._opens_region(tag, region, article):
                 self.regions.append(article)
+                self.parents.append(region)
                 region = len(self.regions) - 1
+                if tag == "td":
+                    self.cells.add(region)
             if tag not in VOID:
                 self._push(tag, never, region, article)
             self._cut()
@@ -150,8 +160,18 @@ class _Lines(HTMLParser):
             self._push(tag, True, region, article)
             self._cut()
         self.lines[-1][1] += 1
+        self.lines[-1][5] += self._inside(tag)
         self.links += tag == "a"
 
+    @staticmethod
+    def _inside(tag: str) -> bool:
+        return tag not in BLOCK and tag not in NEVER and tag not in VOID
+
+    def _opens_region(self, tag: str, region: int, article: bool) -> bool:
+        if tag not in REGION or (article and tag in ("section", "td")):
+            return False
+        return tag != "section" or region not in self.begun
+
     def _close_open(self, tags: Iterable[str], stop: Iterable[str]) -> None:
         place = self._last(tags)
         if place > self._last(stop):
@@ -160,6 +180,7 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self.links = max(0, self.links - (tag == "a"))
         self.lines[-1][1] += 1
+        self.lines[-1][5] += self._inside(tag)
         place = self._last((tag,))
         if place >= 0:
             self._pop_to(place)
@@ -170,8 +191,11 @@ class _Lines(HTMLParser):
         if data.strip():
             self._leave_head("")
         line = self.lines[-1]
+        if line[3] not in self.begun and data.strip() and self.places.get("body", [0])[-1:] != [len(self.stack) - 1]:
+            self.begun.add(line[3])
         line[0].append(data)
-        line[2] += len(data.strip()) if self.links else 0
+        if self.links and not (self._state()[2] and self._last(("section", "table")) > self._last(("div", "article", "main"))):
+            line[2] += len(data.strip())
 
 
 def two_means(values: list[float]) -> float:
@@ -206,28 +230,41 @@ def main_text(html: str | None, sigma: float = SIGMA, threshold: Callable[[list[
     parser = _Lines()
     parser.feed(_whole_tags(html))
     parser.close()
-    lines = [(" ".join("".join(parts).split()), tags, linked, region, ok) for parts, tags, linked, region, ok in parser.lines]
+    lines = [(" ".join("".join(parts).split()), *rest) for parts, *rest in parser.lines]
     lines = [x for x in lines if x[0]]
-    if not any(ok for *_, ok in lines):
+    if not any(ok for _, _, _, _, ok, _ in lines):
         return ""
-    ratios = [max(0, len(text) - linked) / tags for text, tags, linked, _, _ in lines]
+    ratios = [max(0, len(text) - linked) / tags for text, tags, linked, _, _, _ in lines]
     kernel = [math.exp(-(k * k) / (2 * sigma * sigma)) for k in range(5)]
     smooth = []
     for i in range(len(ratios)):
         near = [(ratios[j], kernel[abs(i - j)]) for j in range(max(0, i - 4), min(len(ratios), i + 5))]
         smooth.append(math.log1p(sum(r * w for r, w in near) / sum(w for _, w in near)))
     cut = threshold(smooth)
+    held = Counter(region for _, _, _, region, ok, _ in lines if ok)
+    # Cells of one line are judged with what is around them; a region's parent has the lesser number.
+    whole = list(range(len(parser.regions)))
+    for k in sorted(parser.cells):
+        if held[k] < 2:
+            whole[k] = whole[parser.parents[k]]
     mass: dict[int, list[float]] = {}
-    for (text, _, linked, region, ok), x in zip(lines, smooth, strict=True):
+    for (text, _, linked, region, ok, inside), x in zip(lines, smooth, strict=True):
         if ok:
-            m = mass.setdefault(region, [0.0, 0.0, 0.0])
-            m[0] += len(text)
-            m[1] += len(text) * x
-            m[2] += linked
+            m = mass.setdefault(whole[region], [0.0, 0.0, 0.0, 0.0, 0.0])
+            for i, v in enumerate((len(text), len(text) * x, linked, inside, text.count(" ") + 1)):
+                m[i] += v
     pool = {k for k in mass if parser.regions[k]} or set(mass)
     best = max(pool, key=lambda k: mass[k][1])
-    chosen = {k for k in pool if mass[k][1] / mass[k][0] >= cut and mass[k][2] <= 0.5 * mass[k][0]} | {best}
-    return "\n\n".join(text for text, _, _, region, ok in lines if ok and region in chosen)
+
+    def stays(k: int) -> bool:
+        size, weighed, linked, inside, words = mass[k]
+        above, links = weighed / size >= cut, linked > 0.5 * size
+        if parser.regions[k]:
+            return above or not (links or inside >= words)
+        return above and not links
+
+    chosen = {k for k in pool if stays(k)} | {best}
+    return "\n\n".join(text for text, _, _, region, ok, _ in lines if ok and whole[region] in chosen)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
