@@ -1,7 +1,8 @@
 """License scans: known license sentences are mapped to identifiers, and sequences of identifiers to licenses.
 
 A text is cut into sentences in two views: line by line, and by paragraphs with comment marks and list numbers taken off
-and wrapped lines joined. Copyright lines and addresses stand alone there. Sentences are normalised (lower case, letters
+and wrapped lines joined. Copyright lines and addresses stand alone there, and names that a license leaves to its user
+(the holder, the program) are put in one form. Several wordings may stand for one identifier. Sentences are normalised (lower case, letters
 and digits only, single spaces) and joined with the table of known sentences, which comes from the texts of this module,
 cut in the same way, and so is of fixed size. What a document's sentences are recognised as, in order, is then searched
 for every rule's sequence of identifiers; longer rules win over the rules whose sequence they contain. The licenses
@@ -23,19 +24,22 @@ _BSD_GRANT = "Redistribution and use in source and binary forms, with or without
 _BSD_SOURCE = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
 _BSD_BINARY = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 _BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
-_GNU_HOPE = "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+_BSD_AUTHOR = "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_ADVERTS = "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the holder."
+_X11_NAMES = "Except as contained in this notice, the name of the holder shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the holder."
+_GNU_HOPE = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
 _GNU_SEE = "See the GNU {0} General Public License for more details."
 
 
-def _gnu(what: str, name: str, version: str, mark: str, later: bool) -> str:
-    """The notice that a GNU license asks for."""
-    which = f"either version {version} of the License, or (at your option) any later version." if later else f"version {version} of the License."
-    terms = f"This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation, {which}"
-    return f"{terms} {_GNU_HOPE.format(what)} {_GNU_SEE.format(name.strip())}"
+def _gnu(name: str, which: str, notice: bool) -> str:
+    """The notice that a GNU license asks for, or only its first sentence."""
+    terms = f"This program is free software; you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation; {which}"
+    return f"{terms} {_GNU_HOPE} {_GNU_SEE.format(name.strip())}" if notice else terms
 
 
 #: What public licenses and notices say, in the rules' order: (license, text that states it).
 RULES = [
+    ("X11", f"{_MIT_GRANT} {_MIT_NOTICE} {_AS_IS} {_MIT_NO_EVENT} {_X11_NAMES}"),
     ("MIT", f"{_MIT_GRANT} {_MIT_NOTICE} {_AS_IS} {_MIT_NO_EVENT}"),
     ("MIT", f"{_MIT_GRANT} {_MIT_NOTICE} {_AS_IS}"),
     ("MIT", f"{_MIT_GRANT} {_MIT_NOTICE}"),
@@ -65,15 +69,22 @@ RULES = [
     ("Apache-2.0", "This project is licensed under the Apache License 2.0."),
     ("Apache-2.0", "This project is licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Apache License\n\nVersion 2.0, January 2004\n\nhttp://www.apache.org/licenses/"),
+    ("BSD-4-Clause", f"{_BSD_GRANT} {_BSD_SOURCE} {_BSD_BINARY} {_BSD_ADVERTS} {_BSD_NAMES}"),
+    ("BSD-4-Clause", f"{_BSD_GRANT} {_BSD_SOURCE} {_BSD_BINARY} {_BSD_ADVERTS} {_BSD_AUTHOR}"),
     ("BSD-3-Clause", f"{_BSD_GRANT} {_BSD_SOURCE} {_BSD_BINARY} {_BSD_NAMES}"),
+    ("BSD-3-Clause", f"{_BSD_GRANT} {_BSD_SOURCE} {_BSD_BINARY} {_BSD_AUTHOR}"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-2-Clause", f"{_BSD_GRANT} {_BSD_SOURCE} {_BSD_BINARY}"),
     *(
-        (f"{short}-{version}-{'or-later' if later else 'only'}", _gnu(what, name, version.removesuffix(".0"), mark, later))
-        for short, name, what, versions in (("GPL", "", "program", ("2.0", "3.0")), ("LGPL", "Lesser ", "library", ("2.1", "3.0")), ("AGPL", "Affero ", "program", ("3.0",)))
+        (f"{short}-{version}-{'or-later' if later else 'only'}", _gnu(name, which.format(version.removesuffix(".0")), notice))
+        for short, name, versions in (("GPL", "", ("2.0", "3.0")), ("LGPL", "Library ", ("2.0",)), ("LGPL", "Lesser ", ("2.1", "3.0")), ("AGPL", "Affero ", ("3.0",)))
         for version in versions
-        for later in (True, False)
-        for mark in ":;"
+        for later, which in (
+            (True, "either version {} of the License, or (at your option) any later version."),
+            (False, "version {} of the License."),
+            (False, "version {}."),
+        )
+        for notice in (True, False)
     ),
     ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0-only", "Licensed under the GNU General Public License, version 3."),
@@ -110,12 +121,42 @@ RULES = [
     ),
     ("all-rights-reserved", "All rights reserved."),
 ]
+#: Names that licenses go by in short statements, and the statements; all wordings of a license have one identifier.
+NAMES = {
+    "MIT": ("MIT License", "MIT"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD-3-Clause"),
+    "ISC": ("ISC License", "ISC"),
+    "GPL-2.0-only": ("GNU General Public License v2.0", "GNU General Public License, version 2", "GNU GPL v2", "GPLv2"),
+    "GPL-3.0-only": ("GNU General Public License v3.0", "GNU General Public License, version 3", "GNU GPL v3", "GPLv3"),
+    "LGPL-2.1-only": ("GNU Lesser General Public License v2.1", "GNU Lesser General Public License, version 2.1", "LGPLv2.1"),
+    "LGPL-3.0-only": ("GNU Lesser General Public License v3.0", "GNU Lesser General Public License, version 3", "LGPLv3"),
+    "AGPL-3.0-only": ("GNU Affero General Public License v3.0", "GNU Affero General Public License, version 3", "AGPLv3"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0", "MPL-2.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License, version 2.0", "EPL-2.0"),
+    "BSL-1.0": ("Boost Software License 1.0", "Boost Software License, Version 1.0", "BSL-1.0"),
+    "Unlicense": ("Unlicense",),
+}
+STATEMENTS = ("License: {0}", "{1} licensed under {0}", "{1} released under {0}", "{1} distributed under {0}", "{1} available under {0}", "{1} made available under {0}")
+#: What a license leaves to its user to name, and the form it takes here.
+SLOTS = (
+    (r"(?i)\bneither the names? of .{1,300}? nor the names? of .{0,200}?contributors may be used", "Neither the name of the copyright holder nor the names of its contributors may be used"),
+    (r"(?i)\bfollowing acknowledge?ment:", "following acknowledgement:"),
+    (r"(?i)\bthis product includes software developed by .{1,300}?\.(?=\W|$)", "This product includes software developed by the holder."),
+    (r"(?i)\bin no event shall .{1,200}? be liable for any claim", "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM"),
+    (r"(?i)\bexcept as contained in this notice,? the names? of .{1,200}? shall not be used in advertising", "Except as contained in this notice, the name of the holder shall not be used in advertising"),
+    (r"(?i)\bwithout prior written authorization from .{1,200}?\.(?=\W|$)", "without prior written authorization from the holder."),
+    (r"(?i)\b(?:this )?[\w.-]+ is free software(?=[,:;])", "This program is free software"),
+    (r"(?i)\b(?:this )?[\w.-]+ is distributed in the hope that", "This program is distributed in the hope that"),
+)
 #: Names that an SPDX line may give, besides the licenses of RULES.
 SPDX = ("GPL-2.0", "GPL-2.0+", "GPL-3.0", "GPL-3.0+", "LGPL-2.1", "LGPL-2.1+", "LGPL-3.0", "AGPL-3.0", "Apache-1.1", "BSD-4-Clause", "EPL-1.0", "EUPL-1.2", "MPL-1.1", "Artistic-2.0", "PSF-2.0", "CC-BY-3.0", "CC-BY-SA-3.0")
 
 #: Every rule's text has one of these words; texts without any are not cut up.
-HINT = r"(?i)licen[sc]e|permission|warrant|redistribut|rights\s+reserved|unencumbered|CC0|Creative\s+Commons|possible\s+under\s+law"
-SENTENCE_END = r"(?<=[.!?:;])\s+"
+HINT = r"(?i)licen[sc]e|(?:released|distributed|available)\s+under|permission|warrant|redistribut|rights\s+reserved|unencumbered|CC0|Creative\s+Commons|possible\s+under\s+law"
+#: A colon or semicolon ends a sentence only before a capital letter: terms of one sentence are kept together, however marked.
+SENTENCE_END = r"(?<=[.!?])\s+|(?<=[:;])(?<!(?i:licen[sc]e):)\s+(?=[\"“]?\p{Lu})"
 _NAMED = r"(?i)SPDX-License-Identifier:\s*([^\n\r*]+)"
 
 
@@ -134,7 +175,28 @@ def paragraphs(text: Column) -> Column:
         (r"(https?://\S+)", "\n\n$1\n\n"),
     ):
         text = F.regexp_replace(text, pattern, by)
-    return F.flatten(F.transform(F.split(text, r"\n[ \t]*\n\s*"), lambda x: F.split(F.btrim(F.regexp_replace(x, r"\s+", " ")), SENTENCE_END)))
+
+    def sentences(x: Column) -> Column:
+        x = F.btrim(F.regexp_replace(x, r"\s+", " "))
+        for pattern, by in SLOTS:
+            x = F.regexp_replace(x, pattern, by)
+        return F.split(x, SENTENCE_END)
+
+    return F.flatten(F.transform(F.split(text, r"\n[ \t]*\n\s*"), sentences))
+
+
+def stated() -> list[tuple[str, str]]:
+    """(license, short statement that names it)."""
+    who = ("This project is", "This software is", "This work is", "This program is", "The code is", "It is", "")
+    how = ("the {}", "the terms of the {}", "the terms and conditions of the {}", "{}", "a {}")
+    out = {}
+    for name, names in NAMES.items():
+        for own in names:
+            for form in STATEMENTS:
+                for subject in who if "{1}" in form else ("",):
+                    for by in how if "{1}" in form else ("{}", "the {}"):
+                        out.setdefault(form.format(by.format(own), subject).strip(), name)
+    return [(name, text) for text, name in out.items()]
 
 
 def _spdx(text: Column) -> Column:
@@ -146,14 +208,19 @@ def _spdx(text: Column) -> Column:
 def known_sentences(spark: SparkSession) -> tuple[DataFrame, list[tuple[str, tuple[int, ...]]]]:
     """(sentence, sid), and the rules as (license, sids): as many rows as this module lists."""
     names = dict.fromkeys([*(name for name, _ in RULES[:-1]), *SPDX])
+    wordings = stated()
+    first = len(RULES) + len(names)
     rows = [(k, name, text, False) for k, (name, text) in enumerate(RULES)] + [(len(RULES) + k, name, f"SPDX-License-Identifier: {name}", True) for k, name in enumerate(names)]
+    rows += [(first + k, name, text, False) for k, (name, text) in enumerate(wordings)]
     frame = spark.createDataFrame(rows, "rule int, license string, raw string, spdx boolean")
     cut = F.when(F.col("spdx"), _spdx(F.col("raw"))).otherwise(paragraphs(F.col("raw")))
     found = frame.select("rule", "license", F.posexplode(cut).alias("at", "s")).select("rule", "license", "at", normalised(F.col("s")).alias("s")).where("s <> ''").orderBy("rule", "at").collect()
     ids: dict[str, int] = {}
     rules: dict[int, tuple[str, list[int]]] = {}
+    one: dict[str, int] = {}  # identifier of a license's short statements
     for r in found:
-        rules.setdefault(r.rule, (r.license, []))[1].append(ids.setdefault(r.s, len(ids)))
+        new = one.setdefault(r.license, len(ids)) if r.rule >= first else len(ids)
+        rules.setdefault(r.rule, (r.license, []))[1].append(ids.setdefault(r.s, new))
     # Longer sequences first; a rule of the table before a later one with the same sequence.
     ordered: dict[tuple[int, ...], str] = {}
     for _, (name, sids) in sorted(rules.items(), key=lambda x: (-len(x[1][1]), x[0])):
