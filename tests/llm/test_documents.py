@@ -217,6 +217,30 @@ def test_hot_windows_agree_with_the_merge(documents, monkeypatch):
     assert {tuple(r)[:5] for r in suffix_dedup.clean(documents).drop("kept").collect()} == a
 
 
+@pytest.mark.parametrize(("hot", "frequent"), [(3, 2.0), (3, 0.0), (20_000, 0.05)])
+def test_groups_split_by_halves_and_frequent_keys(spark, monkeypatch, hot, frequent):
+    """One passage in many surroundings, of which some are shared in part: groups of many distinct strings."""
+    rng = np.random.default_rng(8)
+    some = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    passage, shared = some(190), [some(60) for _ in range(4)]
+    rows = [(i, some(40 + i) + shared[i % 4][i % 7 :] + passage + shared[(i // 4) % 4][: 60 - i % 5] + some(30)) for i in range(40)]
+    rows += [(100 + i, "a" * (198 + i)) for i in range(6)] + [(200, passage), (201, None), (202, "x" + passage * 3)]
+    want = brute_repeats(rows, 200)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", frequent)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.clean(frame).collect()}
+    assert got == want and sum(x[1] > 0 for x in want.values()) > 20
+
+
+def test_suffix_dedup_with_repeated_and_missing_ids(spark):
+    rng = np.random.default_rng(2)
+    t, u, v = ("".join(chr(97 + x) for x in rng.integers(0, 26, n)) for n in (250, 309, 280))
+    rows = [(1, t, 5), (1, u, 5), (2, t, 5), (None, v, 5), (None, v + "x", 5), (None, None, 5)]
+    got = suffix_dedup.clean(spark.createDataFrame(rows, "doc_id long, text string, key int")).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in got) == [(0, 0, 0), (0, 280, 280), (0, 281, 280), (1, 250, 250), (1, 309, 0), (2, 250, 250)]
+
+
 @pytest.mark.parametrize("shards", [1, 2, 5])
 def test_merged_transforms(shards):
     rng = np.random.default_rng(3)

@@ -8,8 +8,9 @@ surroundings, the runs' bytes are dealt out by their common core, and each group
 Burrows-Wheeler transforms: one per shard, merged by interleave refinement. A pass of the refinement stably sorts the
 interleave by the symbols that the transforms hold, which orders the suffixes by one symbol more and splits the
 intervals of equal prefixes; after `length` passes, the intervals of two or more suffixes are the repeated strings.
-No suffix of one shard is sorted again with those of others. Groups too large for a task are settled by digests of
-their windows, aggregated before they are dealt out.
+No suffix of one shard is sorted again with those of others. Groups too large for a task are dealt out again by halves
+of their starts, which share a longer core, as often as needed; where one start is left, the core is the whole string,
+and equal ones are counted. Pieces, strings and cores that very many rows hold are joined by broadcast, apart from others.
 """
 
 from __future__ import annotations
@@ -32,7 +33,10 @@ SEGMENT = 1 << 20
 OFFSETS = 64
 SHARDS = 4
 BATCH = 50_000
+#: Strings of a group that one task settles.
 HOT = 20_000
+#: A key is frequent if it has more than this fraction of all rows: there can't be more such keys than its inverse.
+FREQUENT = 1 / 2000
 BASE = 0x9E3779B97F4A7C55 | 1
 _tables: dict[str, np.ndarray] = {}
 
@@ -188,7 +192,10 @@ def repeated_starts(strings: list[bytes], length: int = LENGTH, shards: int = SH
 
 
 def cut_runs(found: DataFrame, length: int) -> DataFrame:
-    """key, doc_id, start, bytes, multi of the parts of the runs in `runs` (found: doc_id, text, runs), by blocks of offsets."""
+    """key, doc_id, start, bytes, multi, rel of the parts of the runs in `runs` (found: doc_id, text, runs), by blocks of offsets.
+
+    rel: the place of the part's first start in its block.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +209,7 @@ def cut_runs(found: DataFrame, length: int) -> DataFrame:
                         if a > b or b + length > len(data):
                             continue
                         core = hashlib.blake2b(data[last : one + length], digest_size=8, salt=block.to_bytes(4, "little")).digest()
-                        out.append((int.from_bytes(core, "little", signed=True), doc, a, data[a : b + length], r["multi"]))
+                        out.append((int.from_bytes(core, "little", signed=True), doc, a, data[a : b + length], r["multi"], a - one))
                 if len(out) > 5_000:
                     yield _parts(out)
                     out = []
@@ -212,12 +219,12 @@ def cut_runs(found: DataFrame, length: int) -> DataFrame:
     return found.select("doc_id", "text", "runs").mapInArrow(scan, PARTS)
 
 
-PARTS = "key long, doc_id long, start long, bytes binary, multi boolean"
+PARTS = "key long, doc_id long, start long, bytes binary, multi boolean, rel int"
 
 
 def _parts(rows: list[tuple]) -> pa.RecordBatch:
-    key, doc, start, data, multi = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(data, pa.binary()), pa.array(multi, pa.bool_())], ["key", "doc_id", "start", "bytes", "multi"])
+    key, doc, start, data, multi, rel = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(data, pa.binary()), pa.array(multi, pa.bool_()), pa.array(rel, pa.int32())], ["key", "doc_id", "start", "bytes", "multi", "rel"])
 
 
 def _spans(starts: np.ndarray, often: np.ndarray) -> list[tuple[int, int]]:
@@ -272,47 +279,88 @@ def merge_groups(parts: DataFrame, length: int) -> DataFrame:
     return parts.repartition(n, "key").sortWithinPartitions("key").select("key", "doc_id", "start", "bytes", "multi").mapInArrow(run, "doc_id long, lo long, hi long")
 
 
-def hot_windows(parts: DataFrame, length: int) -> DataFrame:
-    """doc_id, lo, hi as from merge_groups: every window's digest is counted."""
-    windows = parts.withColumn("i", F.explode(F.sequence(F.lit(0), F.length("bytes") - length)))
-    data = F.substring(F.col("bytes"), F.col("i") + 1, F.lit(length))
-    windows = windows.select("doc_id", (F.col("start") + F.col("i")).alias("lo"), F.xxhash64(data).alias("w1"), F.xxhash64(F.lit(1), data).alias("w2"), "multi")
-    often = windows.groupBy("w1", "w2").agg(F.count("*").alias("c"), F.max("multi").alias("m")).where("c > 1 OR m").select("w1", "w2")
-    return windows.join(often, ["w1", "w2"], "left_semi").select("doc_id", "lo", F.col("lo").alias("hi"))
+def joined(rows: DataFrame, keyed: DataFrame, key: list[str], count: str) -> DataFrame:
+    """Inner join of staged `rows` with staged `keyed`: one row a key, with the number of `rows` that hold it.
+
+    Frequent keys are broadcast, so that their rows stay where they are; the others are shuffled.
+    """
+    often = F.col(count) > FREQUENT * rows.count()
+    hot = F.broadcast(keyed.where(often))
+    rare = rows.join(F.broadcast(keyed.where(often).select(*key)), key, "left_anti").join(keyed.where(~often), key)
+    return rows.join(hot, key).unionByName(rare)
+
+
+def halves(parts: DataFrame, length: int, width: int) -> DataFrame:
+    """`parts` of groups of `width` starts, cut into two groups of half as many, by cores that are longer by as much."""
+    half, o, n = width // 2, F.col("o"), F.length("bytes") - length
+    cut = parts.withColumn("o", F.explode(F.array(F.lit(0), F.lit(half))))
+    cut = cut.withColumn("a", F.greatest("rel", o)).withColumn("b", F.least(F.col("rel") + n, o + half - 1)).where("a <= b")
+    core = F.substring(F.col("bytes"), o + half - F.col("rel"), F.lit(length - half + 1))
+    return cut.select(
+        F.xxhash64("key", "o", core).alias("key"),
+        "doc_id",
+        (F.col("start") + F.col("a") - F.col("rel")).alias("start"),
+        F.substring(F.col("bytes"), F.col("a") - F.col("rel") + 1, F.col("b") - F.col("a") + length).alias("bytes"),
+        "multi",
+        (F.col("a") - o).alias("rel"),
+    )
+
+
+def settled_ranges(parts: DataFrame, length: int) -> DataFrame:
+    """doc_id, lo, hi: ranges of repeated starts of the strings in `parts` (staged), whatever the size of their groups."""
+    out, width = None, OFFSETS
+    while True:
+        groups = C.stage(parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+        placed = joined(parts, groups, ["key"], "n")
+        some = merge_groups(placed.where(F.col("n") <= HOT), length)
+        out = some if out is None else out.unionByName(some)
+        if (groups.agg(F.max("n")).first()[0] or 0) <= HOT:
+            return out
+        parts, width = C.stage(halves(placed.where(F.col("n") > HOT), length, width)), width // 2
+        if width == 1:  # of equal cores only equal strings are left
+            same = C.stage(parts.groupBy("bytes").agg(F.count("*").alias("n"), F.max("multi").alias("many")).where("n > 1 OR many"))
+            last = joined(parts, same, ["bytes"], "n")
+            return out.unionByName(last.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi")))
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, lo, hi: ranges of starts whose `length` bytes start anywhere else too."""
+    """doc_id, lo, hi: ranges of starts whose `length` bytes start anywhere else too. doc_id must be unique."""
     found = C.stage(all_runs(docs, length))
-    pieces = found.groupBy("h").agg(F.count("*").alias("c"), F.min("digest").alias("a"), F.max("digest").alias("b")).where("c > 1")
-    shared = C.stage(found.join(pieces.select("h", (F.col("a") == F.col("b")).alias("one")), "h"))
+    pieces = found.groupBy("h").agg(F.count("*").alias("c"), (F.min("digest") == F.max("digest")).alias("one"))
+    shared = C.stage(joined(found, C.stage(pieces.where("c > 1")), ["h"], "c").drop("c"))
     mixed = shared.where("NOT one")
-    strings = mixed.groupBy("h", "digest").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "lo", "hi", "place")).alias("r"))
-    strings = C.stage(strings)
-    whole = shared.where("one").select("doc_id", "lo", "hi").unionByName(mixed.join(strings.where("c > 1").select("h", "digest"), ["h", "digest"], "left_semi").select("doc_id", "lo", "hi"))
+    strings = C.stage(mixed.groupBy("h", "digest").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "lo", "hi", "place")).alias("r")))
+    copies = joined(mixed, strings.where("c > 1").select("h", "digest", "c"), ["h", "digest"], "c")
+    whole = shared.where("one").select("doc_id", "lo", "hi").unionByName(copies.select("doc_id", "lo", "hi"))
 
     asked = strings.select("r.doc_id", F.struct("r.lo", "r.hi", "r.place", (F.col("c") > 1).alias("multi")).alias("run"))
     asked = asked.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
     texts = C.maybe_in(docs.select("doc_id", "text"), asked, "doc_id").join(asked, "doc_id")
-    parts = C.stage(cut_runs(texts.dropDuplicates(["doc_id"]), length))
-    groups = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    parts = parts.join(groups, "key")
-    settled = merge_groups(parts.where(F.col("n") <= HOT), length).unionByName(hot_windows(parts.where(F.col("n") > HOT), length))
-    return whole.unionByName(settled)
+    return whole.unionByName(settled_ranges(C.stage(cut_runs(texts, length)), length))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """key, doc_id, text: the key is doc_id where that tells all rows apart, else a number given to each row."""
+    told = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    rows = docs.select("doc_id", "text")
+    if told.isEmpty():
+        return rows.select(F.col("doc_id").alias("key"), "doc_id", "text")
+    # Written, so that all readings of the rows agree on their numbers.
+    return C.stage(rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"), keep=True)
 
 
 def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary) of every row of `docs` (doc_id, text).
 
-    A null text is empty; texts shorter than `length` bytes keep all. doc_id is the key: equal rows are copies of each
-    other only through another doc_id, and of rows with one doc_id but different texts none is cleaned reliably. A row
-    without doc_id takes no part and keeps all.
+    A null text is empty; texts shorter than `length` bytes keep all. Each row is a text of its own: equal rows, rows with
+    one doc_id and rows without are copies of each other like any others.
     """
     with C.scratch(docs.sparkSession):
-        ranges = repeated_ranges(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+        mine = keyed(docs)
+        ranges = repeated_ranges(mine.select(F.col("key").alias("doc_id"), "text"), length)
+        ranges = ranges.groupBy(F.col("doc_id").alias("key")).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
         ranges = C.stage(ranges, keep=True)
-    mine = docs.select("doc_id", "text")
-    out = mine.join(ranges, "doc_id", "left")
+    out = mine.join(ranges, "key", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
