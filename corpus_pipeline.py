@@ -25,8 +25,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the whole of documents, each one's result written before the next reads it."""
-    docs = C.table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = C.stage(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The stages over the whole of documents, each one's result written before the next reads it.
+
+    What a stage leaves behind goes when its result is written, and that when the next one's is.
+    """
+    docs, before = C.table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES:
+        with C.scratch(spark):
+            docs = C.stage(stage(spark, docs, sf_dir), keep=True)
+        if before is not None:
+            C.drop(before)
+        before = docs
+    return docs

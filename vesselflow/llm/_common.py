@@ -44,12 +44,12 @@ _scratches = _Scratches()
 def stage(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write to a new table in the shared folder and read it back: lineage is cut, sizes are known to the planner.
 
-    Within a `scratch` the table goes when that ends, unless it is kept.
+    Within a `scratch` the table goes when that ends; one that is kept goes when the scratch around that ends, if any.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
-    if _scratches.open and not keep:
-        _scratches.open[-1].append(path)
+    if len(_scratches.open) > keep:
+        _scratches.open[-1 - keep].append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
@@ -105,16 +105,25 @@ def map_bits(n: int) -> int | None:
     return min(bits, MOST_BITS) if n * 4 <= MOST_BITS else None
 
 
+def fresh(rows: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as make it a column that `rows` doesn't have."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def _mapped(rows: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame | None:
-    """`rows` with `_in`: whether a bitmap of bounded size, which is broadcast, has the key; None where it would be too full."""
+    """`rows` with one more column, the last: whether a bitmap of bounded size, which is broadcast, has the key; None where it would be too full."""
     bits = map_bits(wanted.count())
     if bits is None:
         return None
     slot = F.pmod(F.xxhash64(*key), F.lit(bits))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
-    words = wanted.select(F.shiftright(slot, 6).alias("_m"), bit.alias("_b")).groupBy("_m").agg(F.bit_or("_b").alias("_b"))
-    got = rows.withColumn("_m", F.shiftright(slot, 6)).join(F.broadcast(words), "_m", "left")
-    return got.withColumn("_in", F.coalesce(F.col("_b").bitwiseAND(bit) != 0, F.lit(False))).drop("_m", "_b")
+    m, b, held = (fresh(rows, name) for name in ("_m", "_b", "_in"))
+    words = wanted.select(F.shiftright(slot, 6).alias(m), bit.alias(b)).groupBy(m).agg(F.bit_or(b).alias(b))
+    got = rows.withColumn(m, F.shiftright(slot, 6)).join(F.broadcast(words), m, "left")
+    return got.select(*(F.col(f"`{c}`") for c in rows.columns), F.coalesce(F.col(b).bitwiseAND(bit) != 0, F.lit(False)).alias(held))
 
 
 def maybe_in(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
@@ -124,7 +133,7 @@ def maybe_in(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
     should be a staged table. Beyond 2**25 keys the bitmap would keep nearly all rows, so they go on unfiltered.
     """
     got = _mapped(rows, wanted, key)
-    return rows if got is None else got.where("_in").drop("_in")
+    return rows if got is None else got.where(F.col(got.columns[-1])).drop(got.columns[-1])
 
 
 def without(rows: DataFrame, gone: DataFrame, *key: str) -> DataFrame:
@@ -132,5 +141,6 @@ def without(rows: DataFrame, gone: DataFrame, *key: str) -> DataFrame:
     got = _mapped(rows, gone, key)
     if got is None:
         return rows.join(gone, list(key), "left_anti")
-    unsure = got.where("_in").drop("_in").join(gone, list(key), "left_anti")
-    return got.where("NOT _in").drop("_in").unionByName(unsure.select(*rows.columns))
+    held = got.columns[-1]
+    unsure = got.where(F.col(held)).drop(held).join(gone, list(key), "left_anti")
+    return got.where(~F.col(held)).drop(held).unionByName(unsure.select(*(F.col(f"`{c}`") for c in rows.columns)))

@@ -5,7 +5,8 @@ whole part of `m` copies are certain and its fraction is an inclusion probabilit
 probabilities of a block of documents through the null space of the two balancing equations (words and documents): the
 longest open document goes up or down, all shorter ones give way a little, and each step settles at least one. A block
 keeps its shortest documents open; what is left of all blocks forms the next, far smaller round, until each source is
-one block, where two of the shortest documents stay open. The landing phase settles these with the least error in words.
+one block, where a dozen of the shortest documents stay open. The landing phase settles these with the least error in
+words of all their outcomes.
 
 A block is chosen by a hash of the document, so a source of any size is split evenly. Random numbers are seeded by
 source, round and block: reruns agree.
@@ -13,7 +14,6 @@ source, round and block: reruns agree.
 
 from __future__ import annotations
 
-import itertools
 import random
 from collections.abc import Sequence
 
@@ -30,6 +30,8 @@ MOST = 3.0
 BLOCK = 4096
 #: Open documents that a block leaves to the next round.
 LEFT = 32
+#: Open documents of a source that the landing settles: all their outcomes are compared.
+LANDED = 12
 TINY = 1e-9
 
 
@@ -60,18 +62,18 @@ def flight(sizes: np.ndarray, probs: np.ndarray, rng: random.Random, leave: int
 
 
 def land(sizes: np.ndarray, probs: np.ndarray, held: np.ndarray) -> None:
-    """Settle the last fractions: of their (at most four) outcomes, that with the least error in words, then in documents."""
-    words, docs = sum(sizes[i] * probs[i] for i in held), sum(probs[i] for i in held)
-    error = lambda x: (abs(sum(sizes[i] * v for i, v in zip(held, x, strict=True)) - words), abs(sum(x) - docs))
-    for i, v in zip(held, min(itertools.product((0.0, 1.0), repeat=len(held)), key=error), strict=True):
-        probs[i] = v
+    """Settle the last fractions: of all their outcomes, that with the least error in words, then in documents."""
+    outcomes = (np.arange(1 << len(held))[:, None] >> np.arange(len(held)) & 1).astype(float)
+    words = np.abs(outcomes @ sizes[held] - sizes[held] @ probs[held])
+    docs = np.abs(outcomes.sum(axis=1) - probs[held].sum())
+    probs[held] = outcomes[np.lexsort((docs, np.round(words, 6)))[0]]
 
 
 def _move(seed: int, last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
         sizes, probs = pdf["size"].to_numpy(), pdf["p"].to_numpy(copy=True)
-        held = flight(sizes, probs, random.Random(f"{seed}/{pdf['_rank'].iat[0]}/{pdf['_block'].iat[0]}"), 2 if last else LEFT)
+        held = flight(sizes, probs, random.Random(f"{seed}/{pdf['_rank'].iat[0]}/{pdf['_block'].iat[0]}"), LANDED if last else LEFT)
         if last:
             land(sizes, probs, held)
         pdf["p"] = probs
@@ -164,7 +166,9 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the mix, each as often as it is taken (documents without words are not taken)."""
     # The row key is written, so that both readings of the rows agree on it; ids may be null or repeated.
-    rows = C.stage(docs.withColumn("_row", F.monotonically_increasing_id()))
-    copies = mix(rows, key="_row").where("taken > 0").select("_row", (F.col("taken") / F.col("size")).cast("int").alias("_n"))
+    # The columns of `docs` are held in one, so that none clashes with those made here.
+    rows = C.stage(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")))
+    mixed = mix(rows.select("_row", "_doc.doc_id", "_doc.text", "_doc.source"), key="_row")
+    copies = mixed.where("taken > 0").select("_row", (F.col("taken") / F.col("size")).cast("int").alias("_n"))
     # Nearly every row has a count, so that table is no small one at any size.
-    return rows.join(copies.hint("merge"), "_row").withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    return rows.join(copies.hint("merge"), "_row").withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_doc.*")

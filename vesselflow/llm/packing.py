@@ -114,36 +114,38 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, max_docs: int = MAX_DOCS, max_
     """`pieces` (with `length` and an identifying doc_id, piece) with sequence_id and offset added.
 
     Every piece must fit an empty bin. Rows with the same doc_id and piece are separate pieces. An empty table gives
-    an empty result.
+    an empty result. Columns named sequence_id and offset are replaced.
     """
+    pieces = pieces.drop("sequence_id", "offset")
+    level, number = C.fresh(pieces, "fill"), C.fresh(pieces, "_block")
     n = pieces.where(F.col("length") < size).count()
     # A piece that fills a bin has a negative id; others have round, block and bin in theirs.
     full = pieces.where(F.col("length") == size).withColumn("sequence_id", -F.monotonically_increasing_id() - 1).withColumn("offset", F.lit(0).cast("long"))
     rest, done, rounds = pieces.where(F.col("length") < size), [full], 0
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}, sequence_id long, offset long, fill long"
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}, sequence_id long, offset long, `{level}` long"
 
     def run(rounds: int):
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
             bins, offsets, fill = pack_block(pdf["length"].to_numpy(), size, max_docs, max_cost)
-            base = (rounds << 58) + (int(pdf["_block"].iat[0]) << 24)
-            return pdf.drop(columns="_block").assign(sequence_id=bins + base, offset=offsets, fill=fill[bins])
+            base = (rounds << 58) + (int(pdf[number].iat[0]) << 24)
+            return pdf.drop(columns=number).assign(**{"sequence_id": bins + base, "offset": offsets, level: fill[bins]})
 
         return one
 
     while True:
         n_blocks = max(1, -(-n // block))
-        dealt = rest.withColumn("_block", F.pmod(F.xxhash64("doc_id", "piece", F.lit(rounds)), F.lit(n_blocks)))
-        packed = C.stage(dealt.groupBy("_block").applyInPandas(run(rounds), schema))
+        dealt = rest.withColumn(number, F.pmod(F.xxhash64("doc_id", "piece", F.lit(rounds)), F.lit(n_blocks)))
+        packed = C.stage(dealt.groupBy(number).applyInPandas(run(rounds), schema))
         if n_blocks == 1 or rounds == 7:
-            done.append(packed.drop("fill"))
+            done.append(packed.drop(level))
             break
-        roomy = F.col("fill") < F.lit(int(FULL * size))
+        roomy = F.col(level) < F.lit(int(FULL * size))
         left = packed.where(roomy).count()
         if left in (0, n):
-            done.append(packed.drop("fill"))
+            done.append(packed.drop(level))
             break
-        done.append(packed.where(~roomy).drop("fill"))
+        done.append(packed.where(~roomy).drop(level))
         rest, n, rounds = packed.where(roomy).select(*pieces.columns), left, rounds + 1
     out = done[0]
     for more in done[1:]:

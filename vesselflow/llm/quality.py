@@ -161,13 +161,15 @@ def certified_cutoffs(scored: DataFrame, labels: DataFrame, stratum: str = "lang
 
 
 def judge(scored: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """`scored` with `kept`: false where the base rules fail or a signal exceeds its stratum's cutoff."""
-    out = scored.withColumn("_stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
-    out = out.join(cutoffs, "_stratum", "left")
+    """`scored` with `kept`: false where the base rules fail or a signal exceeds its stratum's cutoff; a column of this name is replaced."""
+    names = {c: C.fresh(scored, c) for c in cutoffs.columns}
+    key = names["_stratum"]
+    out = scored.drop("kept").withColumn(key, F.coalesce(F.col(stratum).cast("string"), F.lit("")))
+    out = out.join(cutoffs.withColumnsRenamed(names), key, "left")
     rejected = F.col("base_failed")
     for s in SIGNALS:
-        rejected = rejected | F.coalesce(_bin(s) > F.col(f"_cut_{s}"), F.lit(False))
-    return out.withColumn("kept", ~rejected).drop("_stratum", *(f"_cut_{s}" for s in SIGNALS))
+        rejected = rejected | F.coalesce(_bin(s) > F.col(names[f"_cut_{s}"]), F.lit(False))
+    return out.withColumn("kept", ~rejected).drop(*names.values())
 
 
 COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -181,7 +183,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep. Texts are scored once, beside which the signals are written."""
+    # The columns of `docs` are held in one, so that none is replaced by a signal.
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("text", "lang"))).alias("_rest")
     with C.scratch(spark):
-        scored = C.stage(signals(docs), keep=True)
+        scored = C.stage(signals(docs.select(doc, "doc_id", "text", "lang")), keep=True)
         cutoffs = C.stage(certified_cutoffs(scored, C.table(spark, sf_dir, "labels")), keep=True)
-    return judge(scored, cutoffs).where("kept").select(*docs.columns)
+    return judge(scored, cutoffs).where("kept").select(*(F.col(c) if c in ("text", "lang") else F.col("_rest")[c].alias(c) for c in docs.columns))
