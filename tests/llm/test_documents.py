@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vesselflow.llm import jaccard, licenses, line_dedup, mixing, packing, quality, suffix_dedup
 
@@ -332,8 +333,6 @@ def test_quality_counts(documents, texts):
 def test_binomial_tail(spark):
     from math import comb
 
-    from pyspark.sql import functions as F
-
     cases = [(x, n) for n in (1, 10, 700, 5000) for x in (0, 1, 3, 20) if x <= n]
     got = spark.createDataFrame(cases, "x long, n long").select(quality.binomial_tail(F.col("x"), F.col("n"), 0.01)).collect()
     for (x, n), (p,) in zip(cases, got):
@@ -388,8 +387,6 @@ def test_kept_against_brute_force(spark):
     labels |= {0: 0, len(rows) - 1: 1}
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     marks = spark.createDataFrame([*labels.items(), (0, 1), (None, 1)], "doc_id long, quality int")
-    from pyspark.sql import functions as F
-
     fit = {r.doc_id for r in docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(quality.FIT)) == 0).collect()}
     want = brute_kept(rows, labels, fit)
     scored = quality.signals(docs)
@@ -454,6 +451,13 @@ def test_license_scan(spark):
     assert not any(x in got for x in (-5, -6, -7)) and got[None] == {"all-rights-reserved": 1}
 
 
+def test_licenses_are_found_row_by_row(spark):
+    mit, half = licenses.RULES[1][1], licenses._MIT_GRANT
+    rows = [(1, mit), (1, mit), (1, "no license"), (None, mit), (None, mit), (None, mit), (2, half), (2, licenses._MIT_NOTICE), (3, f"{mit}\n\nAll rights reserved.")]
+    got = {(r.doc_id, r.license, r.n_found) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x"))).collect()}
+    assert got == {(1, "MIT", 2), (None, "MIT", 3), (3, "MIT", 1), (3, "all-rights-reserved", 1)}
+
+
 def test_licenses_of_the_table_against_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     plain = lambda x: " ".join(re.findall(r"[^\W_]+", x.lower()))

@@ -231,27 +231,31 @@ def known_sentences(spark: SparkSession) -> tuple[DataFrame, list[tuple[str, tup
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, license, n_found: a row for every license that a document (doc_id, text) states; none for the others.
 
-    n_found counts the rule's places in the document, SPDX lines besides. Null and empty texts state nothing. Rows with
-    the same doc_id (or none) are read one after the other as one document; the order within a view is by place.
+    n_found counts the rule's places in the document, SPDX lines besides. Null and empty texts state nothing. Every row is
+    read by itself: no rule spans two rows, and what rows with the same doc_id (or none) state is added up.
     """
-    known, rules = known_sentences(docs.sparkSession)
-    hinted = docs.select("doc_id", "text").where(F.col("text").rlike(HINT))
+    spark = docs.sparkSession
+    known, rules = known_sentences(spark)
+    hinted = docs.select("doc_id", "text").where(F.col("text").rlike(HINT)).withColumn("row", F.monotonically_increasing_id())
     lines = F.flatten(F.transform(F.split("text", r"\r?\n"), lambda x: F.split(x, SENTENCE_END)))
     views = F.array(*(F.struct(F.lit(k).alias("view"), s.alias("s")) for k, s in enumerate((lines, paragraphs(F.col("text")), _spdx(F.col("text"))))))
-    placed = hinted.select("doc_id", F.inline(views)).select("doc_id", "view", F.posexplode("s").alias("at", "raw"))
-    found = placed.select("doc_id", "view", "at", normalised(F.col("raw")).alias("sentence")).where("sentence <> ''").join(F.broadcast(known), "sentence")
-    chain = found.groupBy("doc_id", "view").agg(F.sort_array(F.collect_list(F.struct("at", "sid"))).alias("c"))
-    text = chain.select("doc_id", "view", F.concat(F.lit("|"), F.array_join(F.transform("c", lambda x: x["sid"].cast("string")), "||"), F.lit("|")).alias("chain"))
+    placed = hinted.select("row", "doc_id", F.inline(views)).select("row", "doc_id", "view", F.posexplode("s").alias("at", "raw"))
+    found = placed.select("row", "doc_id", "view", "at", normalised(F.col("raw")).alias("sentence")).where("sentence <> ''").join(F.broadcast(known), "sentence")
+    # Few bytes, but work for each row: by size alone all of them would be one task. All groups of a row follow this one shuffle.
+    found = found.select("row", "doc_id", "view", "at", "sid").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row")
+    chain = found.groupBy("row", "doc_id", "view").agg(F.sort_array(F.collect_list(F.struct("at", "sid"))).alias("c"))
+    text = chain.select("row", "doc_id", "view", F.concat(F.lit("|"), F.array_join(F.transform("c", lambda x: x["sid"].cast("string")), "||"), F.lit("|")).alias("chain"))
 
     # What a rule takes is marked as used, so that shorter rules don't count it again.
     step = lambda acc, rule: F.struct(F.replace(acc["left"], rule["ids"], F.lit("|#|")).alias("left"), F.concat(acc["found"], F.array(F.struct(rule["license"].alias("license"), ((F.length(acc["left"]) - F.length(F.replace(acc["left"], rule["ids"], F.lit("")))) / F.length(rule["ids"])).cast("long").alias("n")))).alias("found"))
     listed = F.array(*(F.struct(F.lit(name).alias("license"), F.lit("".join(f"|{i}|" for i in sids)).alias("ids")) for name, sids in rules))
     nothing = F.struct(F.col("chain").alias("left"), F.array().cast("array<struct<license:string,n:bigint>>").alias("found"))
-    rows = text.select("doc_id", "view", F.inline(F.aggregate(listed, nothing, step)["found"])).where("n > 0")
-    by_view = rows.groupBy("doc_id", "license", "view").agg(F.sum("n").alias("n"))
+    rows = text.select("row", "doc_id", "view", F.inline(F.aggregate(listed, nothing, step)["found"])).where("n > 0")
+    by_view = rows.groupBy("row", "doc_id", "license", "view").agg(F.sum("n").alias("n"))
     # The first two views see the same places; the fuller one counts.
     n = F.coalesce(F.max(F.when(F.col("view") < 2, F.col("n"))), F.lit(0)) + F.coalesce(F.max(F.when(F.col("view") == 2, F.col("n"))), F.lit(0))
-    return by_view.groupBy("doc_id", "license").agg(n.alias("n_found"))
+    by_row = by_view.groupBy("row", "doc_id", "license").agg(n.alias("n"))
+    return by_row.groupBy("doc_id", "license").agg(F.sum("n").alias("n_found"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
