@@ -440,7 +440,9 @@ def other_pairs(members: DataFrame, sketches: DataFrame, rule: Rule) -> DataFram
     its blocks meet once.
     """
     tests = members.groupBy("key").agg(F.count("*").alias("c"), F.max("part").alias("p"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = members.join(tests.where("lo <> hi AND (c > 2 OR p >= 0)").select("key", "c"), "key")
+    # Staged, so that no aggregate stands between the join and its shuffles: Spark can then split the rows of a long list.
+    tests = C.stage(tests.where("lo <> hi AND (c > 2 OR p >= 0)").select("key", "c"))
+    open_ = members.join(tests, "key")
     n_blocks = F.ceil(F.col("c") / LIST_BLOCK)
     own = F.pmod(F.xxhash64("id"), n_blocks)
     open_ = open_.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)))
