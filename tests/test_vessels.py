@@ -289,3 +289,16 @@ def test_daily_helpers(spark):
     assert [r.ewma for r in marts.ewma(frame, "k", "v", 0.5).orderBy("day").collect()] == [10.0, 5.0, 12.5]
     got = dashboard.explore(spark, {"t": frame}, "SELECT count(*) AS n FROM t WHERE v > :least", least=5).first()
     assert got.n == 2
+
+
+def test_rows_of_documents_are_not_broadcast(spark):
+    """Rows made from documents are taken for few; their numbers are joined by merge, and each task puts few documents together."""
+    from vesselflow.plans import registry
+    from vesselflow.sources import fixture
+
+    for name in ("arrival_order", "normalize_rows", "pipeline_from_payloads"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [fetch_ts" in plan and "BuildLeft" not in plan, name
+    documents = fixture.crowded_payloads(spark, "/root/testdata/sf0.1")
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc") == 1 and "REPARTITION_BY_NUM" in plan and documents.count() == 20

@@ -168,17 +168,20 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Rows of one document of `crowded_payloads`.
-CROWD = 5000
+#: Rows of one document of `crowded_payloads`, and documents that a task puts together.
+CROWD, DEALT = 5000, 16
 
 
 def crowded_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """value, fetch_ts, path: documents of up to CROWD positions, a vessel's several times and in no order of time; each two documents have one time.
 
-    An event is observed whole minutes before its document; a few are of no tanker or of a satellite.
+    An event is observed whole minutes before its document; a few are of no tanker or of a satellite. Tasks grow in number
+    with the events and not in size: positions are dealt out by document before they are grouped.
     """
-    rows = _positions(spark, sf_dir).selectExpr(
-        f"event_id div {CROWD} AS doc",
+    at = _positions(spark, sf_dir).withColumn("doc", expr(f"event_id div {CROWD}"))
+    n = at.agg(expr("coalesce(max(doc), 0) + 1")).first()[0]
+    rows = at.repartition(-(-n // DEALT), "doc").selectExpr(
+        "doc",
         "event_id * 7919 % 4993 AS at",
         "event_id",
         f"""named_struct('SHIP_ID', CASE WHEN event_id % 31 = 0 THEN 'ab=/' ELSE cast(user_id AS string) END, 'MMSI', cast(200000000 + user_id AS string), 'SHIPNAME', concat('Vessel ', user_id),

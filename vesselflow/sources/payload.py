@@ -72,9 +72,10 @@ def with_arrival(rows: DataFrame, documents: DataFrame, first: int = 0) -> DataF
     """Rows with a place in a document (fetch_ts, path, place), with arrival_seq in place of path and place.
 
     `first` goes on from the documents that came before. Numbers are looked up by document after the rows of other ships
-    have gone, so that documents themselves are never shuffled.
+    have gone, so that documents themselves are never shuffled. The join is by merge: Spark takes rows that come out of
+    texts for few, and would broadcast them all.
     """
-    numbered = rows.join(number_documents(documents, first), ["fetch_ts", "path"])
+    numbered = rows.hint("merge").join(number_documents(documents, first), ["fetch_ts", "path"])
     kept = [c for c in rows.columns if c not in ("path", "place")]
     return numbered.select(*kept, arrival_seq(F.col("doc"), F.col("place")).alias("arrival_seq"))
 
