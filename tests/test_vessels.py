@@ -302,3 +302,14 @@ def test_rows_of_documents_are_not_broadcast(spark):
     documents = fixture.crowded_payloads(spark, "/root/testdata/sf0.1")
     plan = documents._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(doc") == 1 and "REPARTITION_BY_NUM" in plan and documents.count() == 20
+
+
+def test_fixes_are_compiled(spark):
+    """Times and identities are worked out once, so that the method that makes fixes is below the 8,000 bytes that the JVM compiles."""
+    import re
+
+    documents = spark.createDataFrame([("{}", T0, "a")], "value string, fetch_ts timestamp, path string")
+    plan = normalize.normalise(payload.explode_rows(documents))._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) < 8000

@@ -82,14 +82,14 @@ def normalise(raw: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
     (boxes), a satellite source or a speed that no tanker has.
     """
     speed = S.to_number(F.col("SPEED")) / 10.0
-    rows = raw.where(is_tanker()).withColumns({"ts": observed_at(), "lat": S.to_number(F.col("LAT")), "lon": S.to_number(F.col("LON")), "src": source_class(), "_sog": speed})
+    rows = raw.where(is_tanker()).withColumns({"ts": F.col("observed"), "lat": S.to_number(F.col("LAT")), "lon": S.to_number(F.col("LON")), "src": source_class(), "_sog": speed})
     rows = rows.where(F.col("ts").isNotNull() & F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180) & (F.col("src") != "sat"))
     rows = rows.where(F.col("_sog").isNull() | F.isnan("_sog") | (F.col("_sog") <= MAX_KNOTS))
     rows = near_any(rows, boxes)
     values = {
         "ts": F.col("ts"),
         "src": F.col("src"),
-        "vessel_uid": vessel_uid(),
+        "vessel_uid": F.col("uid"),
         "lat": F.col("lat"),
         "lon": F.col("lon"),
         "sog": F.col("_sog").cast("float"),

@@ -29,10 +29,11 @@ def read_payloads(spark: SparkSession, path: str, stream: bool = False) -> DataF
 
 
 def explode_rows(payloads: DataFrame) -> DataFrame:
-    """A row of texts per vendor row, with fetch_ts, path and place; documents that are no JSON or have no rows give none.
+    """A row of texts per vendor row, with fetch_ts, path, place, uid and observed; documents that are no JSON or have no rows give none.
 
     place counts a document's rows in the order of vessel and time (rows without a time first), equal ones as they come:
-    the order that they are inserted in. Rows are sorted within their document, so nothing is shuffled.
+    the order that they are inserted in. Rows are sorted within their document, so nothing is shuffled. uid and observed
+    (the time, null beyond the limits) are what they are sorted by, so that nobody needs to work them out again.
     """
 
     def sortable(r: Column, i: Column) -> Column:
@@ -41,7 +42,7 @@ def explode_rows(payloads: DataFrame) -> DataFrame:
         return F.struct(normalize.vessel_uid(of).alias("uid"), normalize.observed_at(of).alias("ts"), i.alias("i"), texts.alias("r"))
 
     rows = payloads.select("fetch_ts", "path", F.posexplode(F.array_sort(F.transform(_rows(), sortable))).alias("place", "s"))
-    return rows.select("fetch_ts", "path", "place", "s.r.*")
+    return rows.select("fetch_ts", "path", "place", F.col("s.uid").alias("uid"), F.col("s.ts").alias("observed"), "s.r.*")
 
 
 def _rows() -> Column:
