@@ -255,6 +255,25 @@ def test_all_near_descriptors_match():
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 1000
 
 
+def test_tables_of_a_block_need_little_memory_beside_themselves():
+    """A block's tables are 173 MB; made by way of several copies they took over 400."""
+    import tracemalloc
+
+    q0, q1 = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, (2, image_match.QUERY_BLOCK))
+    tracemalloc.start()
+    try:
+        tables = image_match.probe_tables(q0, q1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    size = sum(starts.nbytes + rows.nbytes for starts, rows in tables)
+    assert peak < size + 110e6
+    for (starts, rows), chunk in zip(tables, image_match._chunks(q0, q1), strict=True):
+        assert starts[0] == 0 and starts[-1] == len(rows) and (np.diff(starts) >= 0).all()
+        at = image_match._bucket(chunk[:50])
+        assert all(i in rows[starts[b] : starts[b + 1]] for i, b in enumerate(at))
+
+
 def test_large_pictures_have_more_corners():
     rng = np.random.default_rng(1)
     n = [len(image_match.describe(image_match.resize(rng.integers(0, 255, (k, k)).astype(np.float32), 2.0)[None])[1]) for k in (40, 80, 160)]

@@ -17,7 +17,6 @@ from __future__ import annotations
 import functools
 import itertools
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +48,8 @@ BUCKET_BITS = 21
 #: Corners of the queries in one block, candidates compared at once, and pictures described and matched at once.
 QUERY_BLOCK = 1 << 18
 CANDIDATES = 1 << 17
+#: Entries of a table counted at once.
+COUNTED = 1 << 20
 PICTURES, MATCHED = 20, 500
 
 _disk = np.array([(y, x) for y in range(-6, 7) for x in range(-6, 7) if y * y + x * x <= 36])
@@ -235,10 +236,18 @@ def probe_tables(d0: np.ndarray, d1: np.ndarray) -> list[tuple[np.ndarray, np.nd
     out = []
     for chunk, bits in zip(_chunks(d0, d1), CHUNKS, strict=True):
         flips = [sum(1 << b for b in some) for k in range(PROBED + 1) for some in itertools.combinations(range(bits), k)]
-        near = _bucket(chunk[:, None] ^ np.array(flips))
-        both = np.sort(((near << 32) | np.arange(len(chunk))[:, None]).ravel())
-        starts = np.searchsorted(both, np.arange((1 << BUCKET_BITS) + 1) << 32)
-        out.append((starts.astype(np.int32), (both & 0xFFFFFFFF).astype(np.int32)))
+        # (bucket, row) in one array that is filled and sorted in place, as a task has little memory beside its tables.
+        both = np.empty((len(flips), len(chunk)), dtype="<i8")
+        for place, flip in zip(both, flips, strict=True):
+            np.left_shift(_bucket(chunk ^ flip), 32, out=place)
+            place |= np.arange(len(chunk))
+        both = both.reshape(-1)
+        both.sort()
+        starts = np.zeros((1 << BUCKET_BITS) + 1, dtype=np.int32)
+        for at in range(0, len(both), COUNTED):
+            bucket = both[at : at + COUNTED] >> 32
+            starts[bucket[0] + 1 : bucket[-1] + 2] += np.bincount(bucket - bucket[0]).astype(np.int32)
+        out.append((np.cumsum(starts, out=starts), both.view("<i4")[::2].copy()))
     return out
 
 
@@ -317,14 +326,12 @@ def likely_pairs(pair: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.unique(value[count >= MIN_AGREE] // (128 * 16))
 
 
-#: Probe tables of the query block that this process works on, by its name.
-_ready: dict[str, list] = {}
-
-
 def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
     """q_id, id, tag, n_agree of the pairs with MIN_AGREE agreeing corners; both sides as from `corners`, asked staged.
 
-    The asked corners go to the executors in blocks of about QUERY_BLOCK, one pass over the known ones for each.
+    The asked corners go to the executors in blocks of about QUERY_BLOCK, one pass over the known ones for each. A task
+    makes the block's tables and lets them go: an executor keeps more Python processes than it runs tasks, and they would
+    all hold tables in the end.
     """
     spark = asked.sparkSession
     total = asked.agg(F.coalesce(F.sum(F.length("corners")), F.lit(0))).first()[0] // CORNER.itemsize
@@ -337,21 +344,20 @@ def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
         block = dealt.where(F.col("_block") == k).select("id", "corners").toArrow().combine_chunks()
         data = block["corners"].to_pylist()
         q_ids = np.repeat(block["id"].to_numpy().astype(np.int64), [len(x) // CORNER.itemsize for x in data])
-        sent, name = spark.sparkContext.broadcast((q_ids, np.frombuffer(b"".join(data), CORNER))), uuid.uuid4().hex
+        sent = spark.sparkContext.broadcast((q_ids, np.frombuffer(b"".join(data), CORNER)))
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             q_ids, q = sent.value
             q0, q1 = (np.ascontiguousarray(q[c]) for c in ("d0", "d1"))
+            tables = None
             for whole in batches:
-                if name not in _ready:
-                    _ready.clear()
-                    _ready[name] = probe_tables(q0, q1)
+                tables = tables or probe_tables(q0, q1)
                 for at in range(0, whole.num_rows, MATCHED):
                     batch, rows = whole.slice(at, MATCHED), []
                     data = batch.column(2).to_pylist()
                     pic = np.repeat(np.arange(len(data)), [len(x) // CORNER.itemsize for x in data])
                     d = np.frombuffer(b"".join(data), CORNER)
-                    a, b = within_bits(d["d0"], d["d1"], _ready[name], q0, q1)
+                    a, b = within_bits(d["d0"], d["d1"], tables, q0, q1)
                     order = np.lexsort((pic[a], q_ids[b]))
                     a, b = a[order], b[order]
                     new = np.flatnonzero((np.diff(pic[a]) != 0) | (np.diff(q_ids[b]) != 0)) + 1
