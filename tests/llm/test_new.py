@@ -156,6 +156,21 @@ def test_token_files(spark, documents, nothing, texts, tmp_path):
     assert empty.count() == 0 and wavelet.read_documents(empty).count() == 0 and wavelet.count_tokens(empty, [1]).count() == 0
 
 
+def test_ids_are_asked_for_without_places(texts):
+    """Places in the text are half of the library's work and no one needs them."""
+    path, plain = tokenizer()
+    encode, asked = wavelet.Encoder(path), []
+
+    class Fast:
+        def encode_batch_fast(self, some, add_special_tokens):
+            asked.extend(some)
+            return plain.encode_batch_fast(some, add_special_tokens=add_special_tokens)
+
+    encode.tokenizer = Fast()
+    got = encode.batch([t for _, t in texts])
+    assert asked and [x.tolist() for x in got] == [[*plain.encode(t or "", add_special_tokens=False).ids, wavelet.END] for _, t in texts]
+
+
 def test_token_files_of_repeated_and_null_ids(spark, tmp_path):
     path, _ = tokenizer()
     rows = [(None, "a b"), (5, "same"), (5, "same"), (5, "other words"), (None, None), (-3, "x")] * 3

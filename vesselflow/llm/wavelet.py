@@ -98,13 +98,15 @@ class Encoder:
         at = [self.known.get(c) for c in chunks]
         new = [i for i, x in enumerate(at) if x is None]
         words = [i for i in new if _WORD.fullmatch(chunks[i])]
-        ids = np.array(self.tokenizer.encode("".join(chunks[i] for i in words), add_special_tokens=False).ids, dtype="<u4")
+        # The fast call gives the same ids and spares the places in the text, which are half of the work.
+        (together,) = self.tokenizer.encode_batch_fast(["".join(chunks[i] for i in words)], add_special_tokens=False)
+        ids = np.array(together.ids, dtype="<u4")
         first = np.flatnonzero(self.spaced[ids])
         start = self._learn(ids)
         for i, a, n in zip(words, (first + start).tolist(), np.diff(first, append=len(ids)).tolist(), strict=True):
             at[i] = (a, n)
         rest = [i for i in new if at[i] is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch([chunks[i] for i in rest], add_special_tokens=False), strict=True):
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False), strict=True):
             at[i] = (self._learn(np.array(e.ids, dtype="<u4")), len(e.ids))
         self.known.update((chunks[i], at[i]) for i in new if len(chunks[i]) <= LONGEST)
         return np.array(at, dtype=np.int64).reshape(-1, 2)
