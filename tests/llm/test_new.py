@@ -171,6 +171,32 @@ def test_ids_are_asked_for_without_places(texts):
     assert asked and [x.tolist() for x in got] == [[*plain.encode(t or "", add_special_tokens=False).ids, wavelet.END] for _, t in texts]
 
 
+def test_words_reach_the_library_once_and_in_pieces():
+    """A word with marks behind it is the word; letters, digits and other characters need no search for pieces."""
+    path, plain = tokenizer()
+    encode, asked = wavelet.Encoder(path), []
+
+    class Pieces:
+        def encode_batch_fast(self, some, add_special_tokens):
+            asked.extend(some)
+            return pieces.encode_batch_fast(some, add_special_tokens=add_special_tokens)
+
+    pieces, encode.pieces = encode.pieces, Pieces()
+    texts = ["a zorbel, zorbel. zorbel! zorbel? zorbel; zorbel: (zorbel) zorbel\n" * 3, "b torvel9x, Éclatéȿ ×÷ q×r it's, |<|endoftext|> <|endoftext|>, ok."]
+    want = [[*plain.encode(t, add_special_tokens=False).ids, wavelet.END] for t in texts]
+    assert [x.tolist() for x in encode.batch(texts)] == want
+    assert asked and "".join(asked).split().count("Ġzorbel") == 1 and "Ġtorvel\n9\nx" in asked[0] and "'" not in asked[0] and "endoftext" not in asked[0]
+    rng = random.Random(8)
+    bits = [" ", " ", "\n", "\r", "\x7f", "\u00a0", ",", ".", "?", "!", ")", "'", "|", "_", "s", "ll", "Ab", "7", "×", "÷", "é", "ɐ", "ƻ", "ȿ", "̀", "<|endoftext|>"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 40))) for _ in range(4000)]
+    want = [[*plain.encode(t, add_special_tokens=False).ids, wavelet.END] for t in texts]
+    assert [x.tolist() for x in wavelet.Encoder(path).batch(texts)] == want
+    import pyarrow as pa
+
+    whole = pa.array(["x", None, *texts, "y"])
+    assert [x.tolist() for x in wavelet.Encoder(path).batch(whole[1:-1])] == [[wavelet.END], *want]
+
+
 def test_token_files_of_repeated_and_null_ids(spark, tmp_path):
     path, _ = tokenizer()
     rows = [(None, "a b"), (5, "same"), (5, "same"), (5, "other words"), (None, None), (-3, "x")] * 3

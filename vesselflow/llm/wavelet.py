@@ -15,7 +15,6 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -24,6 +23,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +37,22 @@ VOCABULARY = "byte_bpe_50k.json"
 SHARD, CHUNK = 1 << 22, 1 << 17
 MAGIC = b"VFWM0001"
 #: Chunks of text that a task remembers the ids of, their greatest length, and bytes of text encoded at once.
-KNOWN, LONGEST, SLICE = 1 << 18, 48, 1 << 22
-#: One space and then visible characters: in a run of such chunks each begins with a token that begins with a space, and no other token does.
-_WORD = re.compile(r"\x20[\x21-\x7e\u00c0-\u023f]+")
+KNOWN, LONGEST, SLICE = 1 << 19, 48, 1 << 22
+#: The vocabulary's character for each byte; and whether a byte is (of) a letter, a digit, or else, where `_is_word` is true.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_CHARACTERS = np.zeros(256, dtype="<u4")
+_CHARACTERS[_PRINTED] = _PRINTED
+_CHARACTERS[np.setdiff1d(np.arange(256), _PRINTED)] = 256 + np.arange(256 - len(_PRINTED))
+_KIND = np.array([1 if chr(b).isalpha() or b > 127 else 2 if chr(b).isdigit() else 3 for b in range(256)], dtype=np.uint8)
+#: Bytes that a word has none of after its space: white space and controls, the apostrophe, and what begins no letter from U+00C0 to U+023F.
+_STRANGE = np.array([b <= 32 or b in (39, 127) or 0xC0 <= b < 0xC3 or b > 0xC8 for b in range(256)])
+#: Marks that stand behind words and begin a token there.
+_MARK = np.isin(np.arange(256), list(b"!),.:;?"))
 MANIFEST = "part int, shard int, path string, n_tokens long, n_docs long, n_bytes long"
 
 
 def cut(text: np.ndarray) -> np.ndarray:
-    """Places in UTF-8 bytes where a token begins whatever the rest: at a lone space or line end between visible characters, and after that line end.
+    """Places in UTF-8 bytes where a token begins whatever the rest: at a lone space or line end between visible characters, after that line end, and at a mark between a letter and white space, so that words are the same with and without one.
 
     No token has white space after another character, and runs of white space don't reach here, so the ids of the parts
     are those of the whole. Visible are ASCII from ! to ~ and the letters from U+00C0 to U+023F.
@@ -57,86 +65,129 @@ def cut(text: np.ndarray) -> np.ndarray:
     mark = np.zeros(len(text), dtype=bool)
     mark[1:-1] = between & (space | line)
     mark[2:] |= between & line
+    letter = ((text[:-2] | 32) >= 97) & ((text[:-2] | 32) <= 122)
+    mark[1:-1] |= letter & _MARK[text[1:-1]] & ((text[2:] == 32) | (text[2:] == 10))
     return np.flatnonzero(mark)
 
 
+def _octets(texts: pa.Array) -> np.ndarray:
+    """All bytes of strings."""
+    ends = texts.buffers()[1]
+    at = np.frombuffer(ends, dtype="<i8")[texts.offset :] if ends else [0, 0]
+    return np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[len(texts)]] if len(texts) else np.zeros(0, dtype=np.uint8)
+
+
+def _lists(ends: np.ndarray, ids: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(ends.astype(np.int64)), pa.array(ids))
+
+
+def _is_word(chunks: pa.Array) -> np.ndarray:
+    """Which chunks (none empty) are one space and then visible characters without apostrophe.
+
+    In a run of such chunks each begins with a token that begins with a space, and no other token does. With no
+    contractions a piece ends where letters, digits and other characters meet. The signs U+00D7 and U+00F7, which lie
+    among the letters and are none, make no word.
+    """
+    text, n = _octets(chunks), pc.binary_length(chunks).to_numpy()
+    if not len(n):
+        return np.zeros(0, dtype=bool)
+    strange = _STRANGE[text]
+    strange[1:] |= (text[:-1] == 0xC3) & ((text[1:] == 0x97) | (text[1:] == 0xB7))
+    start = np.cumsum(n) - n
+    return (text[start] == 32) & (np.add.reduceat(strange, start, dtype=np.int64) == 1) & (n > 1)
+
+
 class Encoder:
     """Ids of texts by a tokenizers file, and the end id.
 
     Texts are cut where a token must begin; the distinct chunks of many texts are encoded once and remembered, and the
-    texts' ids are put together from theirs by array lookups, as the library alone takes several times the CPU.
+    texts' ids are put together from theirs by Arrow, as the library alone takes several times the CPU. A word's pieces
+    are plain from its characters, so words go to the library's model already cut, without the search for pieces.
     """
 
     def __init__(self, path: str, end: int = END) -> None:
         # Spark has a task for each core.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.end = Tokenizer.from_file(path), end
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         tokens = self.tokenizer.get_vocab(with_added_tokens=True)
         self.spaced = np.zeros(max(tokens.values()) + 1, dtype=bool)
         self.spaced[[i for t, i in tokens.items() if t.startswith("\u0120")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        """known: chunk -> (start, length) in the first `used` of `pool`."""
-        self.known: dict[str, tuple[int, int]] = {}
-        self.pool, self.used = np.empty(1 << 16, dtype="<u4"), 0
-
-    def _learn(self, ids: np.ndarray) -> int:
-        start = self.used
-        self.used += len(ids)
-        if self.used > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty(max(len(self.pool), len(ids)), dtype="<u4")])
-        self.pool[start : self.used] = ids
-        return start
-
-    def _encode(self, chunks: list[str]) -> np.ndarray:
-        """(start, length) in the pool of each of distinct chunks."""
+        """Remembered chunks and their ids."""
+        self.known, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_list(pa.uint32()))
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of chunks of which `_is_word` is true: the library's model gets letters, digits and other characters apart."""
+        text = _octets(words)
+        space, kind = text == 32, _KIND[text]
+        piece = space.copy()
+        piece[1:] |= (kind[1:] != kind[:-1]) & ~space[:-1]
+        cut = np.full(len(text) + int(np.count_nonzero(piece)), 10, dtype="<u4")
+        cut[np.arange(len(text)) + np.cumsum(piece)] = _CHARACTERS[text]
+        # The fast call gives the same ids and spares the places in the text.
+        (together,) = self.pieces.encode_batch_fast([cut.tobytes().decode("utf-32-le")], add_special_tokens=False)
+        ids = np.array(together.ids, dtype="<u4")
+        return _lists(np.append(np.flatnonzero(self.spaced[ids]), len(ids)), ids)
+
+    def _new(self, chunks: pa.Array) -> pa.Array:
+        """Ids of each of distinct chunks."""
+        word = _is_word(chunks)
+        for t in self.added:
+            word &= ~pc.match_substring(chunks, t).to_numpy(zero_copy_only=False)
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(chunks.filter(pa.array(~word)).to_pylist(), add_special_tokens=False)]
+        rest = _lists(np.cumsum([0, *map(len, got)]), np.array([i for ids in got for i in ids], dtype="<u4"))
+        if not word.any():
+            return rest
+        place = np.empty(len(chunks), dtype=np.int64)
+        place[word], place[~word] = np.arange(len(chunks) - len(rest)), np.arange(len(chunks) - len(rest), len(chunks))
+        return pa.concat_arrays([self._words(chunks.filter(pa.array(word))), rest]).take(pa.array(place))
+
+    def _encode(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Lists of ids, and which of them is that of each of distinct chunks."""
         if len(self.known) + len(chunks) > KNOWN:
             self._forget()
-        at = [self.known.get(c) for c in chunks]
-        new = [i for i, x in enumerate(at) if x is None]
-        words = [i for i in new if _WORD.fullmatch(chunks[i])]
-        # The fast call gives the same ids and spares the places in the text, which are half of the work.
-        (together,) = self.tokenizer.encode_batch_fast(["".join(chunks[i] for i in words)], add_special_tokens=False)
-        ids = np.array(together.ids, dtype="<u4")
-        first = np.flatnonzero(self.spaced[ids])
-        start = self._learn(ids)
-        for i, a, n in zip(words, (first + start).tolist(), np.diff(first, append=len(ids)).tolist(), strict=True):
-            at[i] = (a, n)
-        rest = [i for i in new if at[i] is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False), strict=True):
-            at[i] = (self._learn(np.array(e.ids, dtype="<u4")), len(e.ids))
-        self.known.update((chunks[i], at[i]) for i in new if len(chunks[i]) <= LONGEST)
-        return np.array(at, dtype=np.int64).reshape(-1, 2)
-
-    def batch(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        at = pc.index_in(chunks, value_set=self.known)
+        fresh = at.is_null()
+        new = chunks.filter(fresh)
+        which = at.fill_null(0).to_numpy().astype(np.int64)
+        which[fresh.to_numpy(zero_copy_only=False)] = np.arange(len(self.known), len(self.known) + len(new))
+        found = self._new(new)
+        ids = pa.concat_arrays([self.ids, found])
+        short = pc.less_equal(pc.binary_length(new), LONGEST)
+        self.known, self.ids = pa.concat_arrays([self.known, new.filter(short)]), pa.concat_arrays([self.ids, found.filter(short)])
+        return ids, which
+
+    def batch(self, texts: Sequence[str | None] | pa.Array) -> list[np.ndarray]:
         """Ids of each text, with the end id; about SLICE bytes of text at a time."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([(t or "").encode("utf-8", "replace") for t in texts], pa.large_binary())
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        ends = np.frombuffer(texts.buffers()[1] or bytes(8), dtype="<i8")[texts.offset :][: len(texts) + 1]
         out: list[np.ndarray] = []
-        held, size = [], 0
-        for t in texts:
-            held.append((t or "").encode("utf-8", "replace"))
-            size += len(held[-1])
-            if size >= SLICE:
-                out += self._slice(held)
-                held, size = [], 0
-        return out + self._slice(held)
-
-    def _slice(self, texts: list[bytes]) -> list[np.ndarray]:
-        starts = np.cumsum([0, *map(len, texts)])
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        lo = 0
+        while lo < len(texts):
+            hi = min(len(texts), max(lo + 1, int(np.searchsorted(ends, ends[lo] + SLICE))))
+            out += self._slice(np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo])
+            lo = hi
+        return out
+
+    def _slice(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         mark = np.zeros(len(data) + 1, dtype=bool)
         mark[cut(data) if len(data) > 2 else []] = mark[starts] = True
         places = np.flatnonzero(mark)
         chunks = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
-        which = chunks.indices.to_numpy()
-        at = self._encode(chunks.dictionary.to_pylist())
-        start, n = at[which, 0], at[which, 1]
-        ends = np.cumsum(n)
-        ids = self.pool[np.repeat(start - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ids, which = self._encode(chunks.dictionary)
+        laid = ids.take(pa.array(which[chunks.indices.to_numpy()]))
         # The texts' places among the chunks, then among the ids.
-        of = np.concatenate([[0], ends])[np.searchsorted(places, starts)]
+        of = laid.offsets.to_numpy()[np.searchsorted(places, starts)]
+        ids = laid.values.to_numpy()
         return [np.append(ids[a:b], np.uint32(self.end)) for a, b in zip(of[:-1].tolist(), of[1:].tolist(), strict=True)]
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -166,7 +217,7 @@ def pack(ids: np.ndarray, docs: Sequence[tuple[int | None, int]]) -> bytes:
             at += len(data)
             ones += int(np.count_nonzero(bits[start : start + CHUNK]))
         zeros.append(n - ones)
-        now = np.concatenate([now[~bits], now[bits]])
+        now = np.concatenate([now.compress(~bits), now.compress(bits)])
     known = np.array([d is not None for d, _ in docs], dtype=np.uint8)
     index = zlib.compress(known.tobytes() + np.array([d or 0 for d, _ in docs], dtype="<i8").tobytes() + np.array([k for _, k in docs], dtype="<i8").tobytes())
     table = zlib.compress(np.array(directory, dtype="<i8").tobytes())
@@ -274,8 +325,8 @@ class Shard:
         for level in range(self.levels - 1, -1, -1):
             bits = self._plane(level)
             out = np.empty_like(now)
-            out[~bits] = now[: self.zeros[level]]
-            out[bits] = now[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
+            out[np.flatnonzero(~bits)] = now[: self.zeros[level]]
+            out[np.flatnonzero(bits)] = now[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
             now = out
         return now.astype("<u4")
 
@@ -305,29 +356,29 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end: int = END, s
     No documents make no files. Other columns of `docs` are not read.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, k, held, index, size = encoder(tokenizer, end), TaskContext.get().partitionId(), 0, [], [], 0
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             data = pack(np.concatenate(held), index)
             path = _put(folder, f"part-{part:06d}-{k:06d}-{uuid.uuid4().hex}.wm", data)
-            return pd.DataFrame({"part": [part], "shard": [k], "path": [path], "n_tokens": [size], "n_docs": [len(index)], "n_bytes": [len(data)]})
+            row = {"part": part, "shard": k, "path": path, "n_tokens": size, "n_docs": len(index), "n_bytes": len(data)}
+            return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("path", pa.string()), *((c, pa.int64()) for c in ("n_tokens", "n_docs", "n_bytes"))]))
 
-        for pdf in batches:
-            for doc, ids in zip(pdf["doc"], encode.batch(pdf["text"]), strict=True):
+        for batch in batches:
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.batch(batch.column(1)), strict=True):
                 if held and size + len(ids) > shard:
                     yield close()
                     k, held, index, size = k + 1, [], [], 0
                 held.append(ids)
-                index.append((None if doc is None else int(doc), len(ids)))
+                index.append((doc, len(ids)))
                 size += len(ids)
         if held:
             yield close()
 
-    # Ids go as text: pandas would make floats of longs where some are null.
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc"), "text")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), "text")
     rows = rows.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row")
-    return C.stage(rows.select("doc", "text").mapInPandas(run, MANIFEST), keep=True)
+    return C.stage(rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, MANIFEST), keep=True)
 
 
 def starts(manifest: DataFrame) -> DataFrame:
