@@ -71,6 +71,7 @@ def from_pgm(data: bytes | None) -> np.ndarray | None:
     return np.frombuffer(data, np.uint8, w * h, head.end()).reshape(h, w) if w * h and len(data) >= head.end() + w * h else None
 
 
+@functools.lru_cache(maxsize=1024)
 def _weights(n: int, scale: float) -> np.ndarray:
     """Rows of triangle-filter weights that bring n pixels to about n * scale."""
     at = (np.arange(max(1, round(n * scale))) + 0.5) / scale - 0.5
@@ -85,29 +86,30 @@ def resize(a: np.ndarray, scale: float) -> np.ndarray:
 
 def _sum3(a: np.ndarray) -> np.ndarray:
     """Sums over squares of three; one pixel of border is lost."""
-    a = a[..., :-2, :] + a[..., 1:-1, :] + a[..., 2:, :]
-    return a[..., :-2] + a[..., 1:-1] + a[..., 2:]
+    high = a[..., :-2, :] + a[..., 1:-1, :]
+    high += a[..., 2:, :]
+    wide = high[..., :-2] + high[..., 1:-1]
+    wide += high[..., 2:]
+    return wide
 
 
 def _highest(a: np.ndarray, reach: int) -> np.ndarray:
-    """Maximum within `reach` along either axis."""
+    """Maximum within `reach` along either axis; so many pixels of border are lost."""
     for axis in (-2, -1):
-        pad = [(0, 0)] * (a.ndim - 2) + [(reach, reach) if axis == k else (0, 0) for k in (-2, -1)]
-        p, width = np.pad(a, pad, constant_values=-np.inf), 1
+        width = 1
         cut = lambda x, lo, hi, axis=axis: x[..., lo : x.shape[-2] - hi, :] if axis == -2 else x[..., lo : x.shape[-1] - hi]
         while width < 2 * reach + 1:
             step = min(width, 2 * reach + 1 - width)
-            p = np.maximum(cut(p, 0, step), cut(p, step, 0))
+            a = np.maximum(cut(a, 0, step), cut(a, step, 0))
             width += step
-        a = p
     return a
 
 
 def _found(s: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(picture, place in the flattened s, turn) of the corners. s begins one pixel inside the picture, r three."""
-    high = (r >= _highest(r, APART)) & (r > 1.0)
     m = RADIUS + 1 - 3
-    pic, y, x = np.nonzero(high[:, m : high.shape[1] - m, m : high.shape[2] - m])
+    inner, near = (r[:, k : r.shape[1] - k, k : r.shape[2] - k] for k in (m, m - APART))
+    pic, y, x = np.nonzero((inner >= _highest(near, APART)) & (inner > 1.0))
     width = s.shape[2]
     at = (y + RADIUS) * width + x + RADIUS
     patch = s.take((pic * s[0].size + at)[:, None] + (_disk[:, 0] * width + _disk[:, 1]), mode="clip")
@@ -120,8 +122,15 @@ def _smooth(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     s = _sum3(a)
     gy, gx = s[:, 2:, 1:-1] - s[:, :-2, 1:-1], s[:, 1:-1, 2:] - s[:, 1:-1, :-2]
     xx, yy, xy = _sum3(gx * gx), _sum3(gy * gy), _sum3(gx * gy)
-    trace = xx + yy
-    return s, xx * yy - xy * xy - 0.05 * trace * trace
+    # In place, as fresh arrays cost more than the sums.
+    r = xx * yy
+    xy *= xy
+    r -= xy
+    trace = np.add(xx, yy, out=xx)
+    np.multiply(trace, 0.05, out=yy)
+    yy *= trace
+    r -= yy
+    return s, r
 
 
 def _values(s: np.ndarray, pic: np.ndarray, at: np.ndarray, turn: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -190,12 +199,14 @@ def describe(stack: np.ndarray, dense: bool = False) -> tuple[np.ndarray, np.nda
 
 
 def corners(images: DataFrame, dense: bool = False) -> DataFrame:
-    """id, tag (hash of the bytes), corners (CORNER items) of every picture (id, image) that has any."""
+    """id, tag and sha (hash and digest of the bytes), corners (CORNER items) of every picture (id, image) that has any."""
+    # Edited pictures have many sizes and only those of one size are described at once.
+    n = PICTURES * (len(EDITS) if dense else 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, PICTURES):
-                batch = whole.slice(at, PICTURES)
+            for at in range(0, whole.num_rows, n):
+                batch = whole.slice(at, n)
                 by_shape: dict[tuple, list] = {}
                 for k, data in enumerate(batch.column(1)):
                     pixels = from_pgm(data.as_py())
@@ -210,9 +221,10 @@ def corners(images: DataFrame, dense: bool = False) -> DataFrame:
                             rows.append(k)
                             data.append(found[lo:hi].tobytes())
                 got = batch.take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([got.column(0), got.column(2), pa.array(data, pa.binary())], ["id", "tag", "corners"])
+                yield pa.RecordBatch.from_arrays([got.column(0), got.column(2), got.column(3), pa.array(data, pa.binary())], ["id", "tag", "sha", "corners"])
 
-    return images.select("id", "image", F.xxhash64("image").alias("tag")).mapInArrow(run, "id long, tag long, corners binary")
+    hashed = images.select("id", "image", F.xxhash64("image").alias("tag"), F.unhex(F.sha2("image", 256)).alias("sha"))
+    return hashed.mapInArrow(run, "id long, tag long, sha binary, corners binary")
 
 
 def _chunks(d0: np.ndarray, d1: np.ndarray) -> list[np.ndarray]:
@@ -255,12 +267,13 @@ def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1
     """All (row of d, row of q) at most MAX_BITS apart, each once; the tables are those of q."""
     found = [np.zeros(0, np.int64)]
     u0, u1, v0, v1 = (np.ascontiguousarray(x).view(np.uint64) for x in (d0, d1, q0, q1))  # bits of a negative number are those of its absolute value
-    for chunk, (starts, rows) in zip(_chunks(np.ascontiguousarray(d0), np.ascontiguousarray(d1)), tables, strict=True):
+    for at, chunk, (starts, rows) in zip(_starts, _chunks(np.ascontiguousarray(d0), np.ascontiguousarray(d1)), tables, strict=True):
         # In the order of the buckets, so that the tables are read from front to back.
         chunk = _bucket(chunk)
         order = np.argsort(chunk, kind="stable")
         chunk = chunk[order]
-        w0, w1 = u0[order], u1[order]
+        # That half first which holds less of the chunk, as the chunk's bits are alike in all candidates.
+        (w0, x0), (w1, x1) = ((u1[order], v1), (u0[order], v0)) if at < 64 else ((u0[order], v0), (u1[order], v1))
         first, n = starts[chunk].astype(np.int64), (starts[chunk + 1] - starts[chunk]).astype(np.int64)
         ends = n.cumsum()
         # Slices of a bounded number of candidates, whatever the tables hold.
@@ -269,11 +282,15 @@ def within_bits(d0: np.ndarray, d1: np.ndarray, tables: list, q0: np.ndarray, q1
             done = ends[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(ends, done + CANDIDATES, "right")))
             m = n[lo:hi]
-            b = rows[np.arange(m.sum()) + np.repeat(first[lo:hi] - (ends[lo:hi] - m - done), m)]
-            apart = np.bitwise_count(np.repeat(w0[lo:hi], m) ^ v0[b])
+            place = np.repeat(first[lo:hi] - (ends[lo:hi] - m - done), m)
+            place += np.arange(len(place))
+            b = rows.take(place)
+            half = x0.take(b)
+            half ^= np.repeat(w0[lo:hi], m)
+            apart = np.bitwise_count(half)
             some = np.flatnonzero(apart <= MAX_BITS)
             a, b = lo + np.searchsorted(ends[lo:hi] - done, some, "right"), b[some]
-            near = apart[some] + np.bitwise_count(w1[a] ^ v1[b]) <= MAX_BITS
+            near = apart[some] + np.bitwise_count(w1[a] ^ x1[b]) <= MAX_BITS
             found.append(order[a[near]] * len(q0) + b[near])
             lo = hi
     pairs = np.unique(np.concatenate(found))
@@ -318,16 +335,23 @@ def _spots(z: np.ndarray) -> int:
 
 
 def likely_pairs(pair: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Which pairs (numbers from 0) have MIN_AGREE matches of about the same turn and scale: bins overlap in both."""
+    """Which pairs (numbers from 0) can agree: MIN_AGREE matches of about the same turn and scale (bins overlap in both), and as many places in both pictures."""
     steps = np.rint(np.log(q["scale"] / p["scale"]) / np.log(STEP)).astype(np.int64) + 64
     turn = (p["turn"].astype(np.int64) - q["turn"]) % TURNS * 9 // TURNS
     bins = np.concatenate([(pair * 128 + steps + i) * 16 + (turn + j) % 9 for i in (0, 1) for j in (0, 1)])
     value, count = np.unique(bins, return_counts=True)
-    return np.unique(value[count >= MIN_AGREE] // (128 * 16))
+    likely = np.unique(value[count >= MIN_AGREE] // (128 * 16))
+    for side in (q, p):
+        own = np.isin(pair, likely)
+        number = np.searchsorted(likely, pair[own])
+        x, y = (np.rint(side[c][own] / SPOT).astype(np.int64) for c in ("x", "y"))
+        spots = np.unique(np.stack([number, x, y]), axis=1)[0]
+        likely = likely[np.bincount(spots, minlength=len(likely)) >= MIN_AGREE]
+    return likely
 
 
 def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
-    """q_id, id, tag, n_agree of the pairs with MIN_AGREE agreeing corners; both sides as from `corners`, asked staged.
+    """q_id, id, tag, n_agree of the pairs with MIN_AGREE agreeing corners; both sides as from `corners`, staged.
 
     The asked corners go to the executors in blocks of about QUERY_BLOCK, one pass over the known ones for each. A task
     makes the block's tables and lets them go: an executor keeps more Python processes than it runs tasks, and they would
@@ -336,8 +360,6 @@ def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
     spark = asked.sparkSession
     total = asked.agg(F.coalesce(F.sum(F.length("corners")), F.lit(0))).first()[0] // CORNER.itemsize
     n_blocks = max(1, -(-total // QUERY_BLOCK))
-    if n_blocks > 1:
-        known = C.stage(known)
     dealt = asked.withColumn("_block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
     out = None
     for k in range(n_blocks):
@@ -371,7 +393,7 @@ def matched_pairs(known: DataFrame, asked: DataFrame) -> DataFrame:
                         one = batch.take(pa.array([r[1] for r in rows]))
                         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), one.column(0), one.column(1), pa.array([r[2] for r in rows])], ["q_id", "id", "tag", "n_agree"])
 
-        met = C.stage(known.mapInArrow(run, "q_id long, id long, tag long, n_agree long"))
+        met = C.stage(known.select("id", "tag", "corners").mapInArrow(run, "q_id long, id long, tag long, n_agree long"))
         out = met if out is None else out.unionByName(met)
         sent.destroy()
     return out
@@ -390,25 +412,31 @@ def find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def _find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
-    digest = images.where("image IS NOT NULL").select("id", F.sha2("image", 256).alias("sha"), F.xxhash64("image").alias("tag"))
-    classes = C.stage(digest.groupBy("sha").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"), F.first("tag").alias("tag")))
+    # One pass over the pictures: what is equal is known from its result, which is read again by each block.
+    known = C.stage(corners(images))
+    classes = C.stage(known.groupBy("sha").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"), F.first("tag").alias("tag")))
     asked = C.stage(corners(queries, dense=True))
-    # Pictures are never shuffled: copies go by a bitmap before the corners are sought, the rest of them by the join after.
-    firsts = C.maybe_in(images.where("image IS NOT NULL").withColumn("tag", F.xxhash64("image")), classes, "id", "tag")
-    met = matched_pairs(corners(firsts), asked).join(classes, ["id", "tag"])
+    # Corners are never shuffled: those of copies go by a bitmap before they are matched, the rest of them by the join after.
+    met = matched_pairs(C.maybe_in(known, classes, "id", "tag"), asked).join(classes, ["id", "tag"])
     best = met.groupBy("q_id", "id", "tag").agg(F.max("n_agree").alias("n_agree"), F.max("n_copies").alias("n_copies"))
     return best.groupBy(F.col("q_id").alias("query_id"), "id").agg(F.sum("n_copies").alias("n_copies"), F.max("n_agree").alias("n_agree"))
 
 
 def rendered(data: bytes, cells: int = 40) -> np.ndarray:
     """A grey picture of all bytes of a page: laid out in rows of cells, further layers added to them."""
+    return _rendered([data], cells)[0]
+
+
+def _rendered(pages: list[bytes], cells: int = 40) -> np.ndarray:
     area = cells * cells
-    grey = np.zeros(area, dtype=np.uint8)  # sums are modulo 256
-    for at in range(0, len(data), area):
-        layer = np.frombuffer(data, np.uint8, min(area, len(data) - at), at)
-        grey[: len(layer)] += layer
-    grey = np.repeat(np.repeat((grey * np.uint8(37)).reshape(cells, cells), 2, axis=0), 2, axis=1)
-    return np.rint(_sum3(np.pad(grey.astype(np.float32), 1, mode="edge")) / 9).astype(np.uint8)
+    grey = np.zeros((len(pages), area), dtype=np.uint8)  # sums are modulo 256
+    for data, own in zip(pages, grey, strict=True):
+        layers = np.frombuffer(data, np.uint8, len(data) // area * area).reshape(-1, area)
+        rest = np.frombuffer(data, np.uint8, offset=layers.size) if layers.size < len(data) else own[:0]
+        np.add.reduce(layers, axis=0, dtype=np.uint8, out=own)
+        own[: len(rest)] += rest
+    grey = np.repeat(np.repeat((grey * np.uint8(37)).reshape(-1, cells, cells), 2, axis=1), 2, axis=2)
+    return np.rint(_sum3(np.pad(grey.astype(np.float32), ((0, 0), (1, 1), (1, 1)), mode="edge")) / 9).astype(np.uint8)
 
 
 def _cropped(pixels: np.ndarray) -> np.ndarray:
@@ -450,8 +478,10 @@ def _pictures(pages: DataFrame, change: Callable[[int, np.ndarray], np.ndarray])
         for whole in batches:
             for at in range(0, whole.num_rows, PICTURES):
                 batch = whole.slice(at, PICTURES)
-                rows = zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                data = [to_pgm(change(i, rendered(x.as_py().encode("utf-8", "replace")))) if x.is_valid else None for i, x in rows]
+                rows = [(k, i, x.as_py()) for k, (i, x) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)) if x.is_valid]
+                data: list[bytes | None] = [None] * len(batch)
+                for (k, i, _), pixels in zip(rows, _rendered([x.encode("utf-8", "replace") for _, _, x in rows]), strict=True):
+                    data[k] = to_pgm(change(i, pixels))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "image"])
 
     return pages.select(F.col("page_id").alias("id"), "html").mapInArrow(run, "id long, image binary")
