@@ -215,9 +215,10 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def shingle_counts(described: DataFrame) -> np.ndarray:
     """Count by slot; SLOTS numbers, whatever the input."""
-    got = described.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("count").alias("count")).toPandas()
+    # As Arrow columns: rows of Python objects, and those that the JVM makes of them, take many times the driver's memory.
+    got = described.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
     out = np.zeros(SLOTS, dtype=np.int64)
-    out[got["slot"].to_numpy(dtype=np.int64)] = got["count"].to_numpy()
+    out[got["slot"].to_numpy()] = got["count"].to_numpy()
     return out
 
 
@@ -365,9 +366,9 @@ class Bitmap:
             return cls(None, None)
         slot = F.pmod(F.xxhash64(name), F.lit(bits))
         word = ids.select(F.shiftright(slot, 5).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(32)).cast("int")).alias("b"))
-        got = word.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+        got = word.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
         out = np.zeros(bits >> 5, dtype=np.uint32)
-        out[got["w"].to_numpy(dtype=np.int64)] = got["b"].to_numpy(dtype=np.int64)
+        out[got["w"].to_numpy()] = got["b"].to_numpy()
         return cls(ids.sparkSession.sparkContext.broadcast(out), bits)
 
     def slot(self, rows: DataFrame, name: str) -> DataFrame:

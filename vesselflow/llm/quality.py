@@ -141,18 +141,25 @@ def certified_cutoffs(scored: DataFrame, labels: DataFrame, stratum: str = "lang
     bins = bins.groupBy("_stratum", "signal", "bin").agg(F.count("*").alias("c"))
     down = Window.partitionBy("_stratum", "signal").orderBy(F.desc("bin"))
     bins = bins.withColumn("above", F.sum("c").over(down) - F.col("c")).withColumn("n", F.sum("c").over(Window.partitionBy("_stratum", "signal")))
-    top = F.max("bin")
-    steps = [top + F.floor((BINS - top) * k * k / (ABOVE * ABOVE)) for k in range(ABOVE, 0, -1)]
-    steps += [F.min(F.when(F.col("above") <= F.col("n") * (risk * j / STEPS), F.col("bin"))) for j in range(STEPS + 1)]
-    cuts = bins.groupBy("_stratum").pivot("signal", list(SIGNALS)).agg(F.array(*steps))
+    # Steps are made and counted in arrays: a column for each would make plans of megabytes, all of which the driver keeps.
+    runs = bins.groupBy("_stratum", "signal").agg(F.max("bin").alias("top"), F.max("n").alias("n"), F.collect_list(F.struct("bin", "above")).alias("bins"))
+    near = F.transform(F.sequence(F.lit(ABOVE), F.lit(1), F.lit(-1)), lambda k: F.col("top") + F.floor((BINS - F.col("top")) * k * k / (ABOVE * ABOVE)))
+    risked = lambda j: F.filter("bins", lambda b: b["above"] <= F.col("n") * (F.lit(risk) * j / STEPS))
+    within = F.transform(F.sequence(F.lit(0), F.lit(STEPS)), lambda j: F.array_min(F.transform(risked(j), lambda b: b["bin"])))
+    runs = runs.select("_stratum", "signal", F.concat(near, within).alias("cuts"))
+    cuts = runs.groupBy("_stratum").agg(*(F.first(F.when(F.col("signal") == s, F.col("cuts")), ignorenulls=True).alias(s) for s in SIGNALS))
     cuts = C.stage(cuts)
 
     # A document is rejected from some step on: cutoffs fall with the steps.
+    n_steps = ABOVE + STEPS + 1
     passed = lambda s: F.size(F.filter(F.col(f"c.{s}"), lambda c: F.col(f"h.{s}") > c))
-    first = [len(steps) - passed(s) for s in SIGNALS]
-    tested = held.where("NOT fit").alias("h").join(cuts.alias("c"), "_stratum").select("_stratum", "level", F.least(*first).alias("j"))
-    counts = tested.groupBy("_stratum", "level").agg(F.count("*").alias("n"), *(F.count_if(F.col("j") <= j).alias(f"x{j}") for j in range(len(steps))))
-    rows = counts.select("_stratum", "level", "n", F.posexplode(F.array(*(F.col(f"x{j}") for j in range(len(steps))))).alias("j", "x"))
+    first = [n_steps - passed(s) for s in SIGNALS]
+    tested = held.where("NOT fit").alias("h").join(cuts.alias("c"), "_stratum").select("_stratum", "level", F.least(*first).alias("from"))
+    counts = tested.groupBy("_stratum", "level", "from").agg(F.count("*").alias("c")).groupBy("_stratum", "level")
+    counts = counts.agg(F.sum("c").alias("n"), F.collect_list(F.struct("from", "c")).alias("rejected"))
+    rows = counts.select("_stratum", "level", "n", "rejected", F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1))).alias("j"))
+    so_far = F.aggregate(F.filter("rejected", lambda r: r["from"] <= F.col("j")), F.lit(0).cast("long"), lambda x, r: x + r["c"])
+    rows = rows.select("_stratum", "level", "n", "j", so_far.alias("x"))
     rows = rows.withColumn("ok", binomial_tail(F.col("x"), F.col("n"), risk) <= F.col("level"))
     so_far = F.min("ok").over(Window.partitionBy("_stratum").orderBy("j"))
     best = rows.withColumn("ok", so_far).where("ok").groupBy("_stratum").agg(F.max("j").alias("j"))
