@@ -357,3 +357,41 @@ def test_pipeline_runs_and_obeys_its_contract(spark):
         assert docs.count() > 0
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert packed.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
+
+
+def test_image_copies_have_a_row_for_each_page(spark, tmp_path):
+    """Links of near copies grow with the square of their number, rows with the pages; every link is counted."""
+    rng = np.random.default_rng(15)
+    text = lambda n: "".join(map(chr, rng.integers(32, 126, n)))
+    base, rest = text(1400), [text(1400) for _ in range(6)]
+    near = [base[:-12] + text(12) for _ in range(18)]
+    rows = [(50 * i, x) for i, x in enumerate(near[:9], 1)] + [(50 * i + 1, x) for i, x in enumerate(near[9:], 1)]
+    rows += [(600 + 50 * i, x) for i, x in enumerate(rest)]
+    # Equal pages, a page of its own, no page, no id, one id with two pages, another with one twice.
+    rows += [(651, rest[1]), (701, text(1400)), (702, None), (703, ""), (None, base), (7, rest[2]), (7, rest[3]), (8, rest[0]), (8, rest[0])]
+    path = str(tmp_path / "pages.parquet")
+    spark.createDataFrame([(i, "u", x) for i, x in rows], "page_id long, url string, html string").write.parquet(path)
+    pages = spark.read.parquet(path)
+    pairs = image_match.find_copies(
+        image_match._pictures(pages, lambda i, x: x),
+        image_match._pictures(pages.where("page_id % 50 = 0"), lambda i, x: image_match.edited(x, i // 50)),
+    ).collect()
+    got = image_match.op6_image_copies(spark, str(tmp_path)).collect()
+    assert sorted(r.page_id for r in got) == sorted([*{i for i, _ in rows if i is not None}, 7])
+    of = {r.page_id: r for r in got if r.page_id != 7}
+    assert len(pairs) >= 9 * 18 > 4 * len(got)
+    # The links of each page's own query and of each class are those of the pairs.
+    assert all(r.n_found == sum(p.n_copies for p in pairs if p.query_id == r.page_id) for r in got)
+    classes = {p.id for p in pairs} - {7}
+    assert len(classes) >= 20
+    for i in classes:
+        own = [p for p in pairs if p.id == i]
+        r = next(r for r in got if r.id == i)
+        assert r.n_links == len(own)
+        assert (r.n_agree, r.query_id) == max(((p.n_agree, p.query_id) for p in own), key=lambda x: (x[0], -x[1]))
+    assert {r.component_id for i, r in of.items() if 50 <= i <= 451} == {50}
+    # Page 7 has the pictures of 700 and 750, which it joins; 8 has that of 600 twice.
+    assert {r.component_id for r in got if r.page_id in (7, 700, 750)} == {7} and [r.n_copies for r in got if r.page_id == 7] == [2, 2]
+    assert (of[600].id, of[600].n_copies, of[600].component_id) == (8, 3, 8) and of[651].id == of[650].id == 650
+    for i in (701, 702, 703):
+        assert tuple(of[i]) == (i, i, 1, None, None, 0, 0, i)

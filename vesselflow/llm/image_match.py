@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vesselflow.llm import _common as C
+from vesselflow.llm.components import components
 
 #: Each step of the pyramid is smaller by this.
 STEP = 0.84
@@ -408,18 +409,62 @@ def find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
     part. The result is a table in the shared folder.
     """
     with C.scratch(images.sparkSession):
-        return C.stage(_find_copies(images.where("id IS NOT NULL"), queries.where("id IS NOT NULL")), keep=True)
+        found, _ = _find_copies(images.where("id IS NOT NULL"), queries.where("id IS NOT NULL"))
+        found = found.groupBy("query_id", "id").agg(F.sum("n_copies").alias("n_copies"), F.max("n_agree").alias("n_agree"))
+        return C.stage(found, keep=True)
 
 
-def _find_copies(images: DataFrame, queries: DataFrame) -> DataFrame:
+def _find_copies(images: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (query_id, id, tag, n_copies, n_agree) of a query and a class, and the class (id, tag, n_copies) of every member that has corners."""
     # One pass over the pictures: what is equal is known from its result, which is read again by each block.
     known = C.stage(corners(images))
     classes = C.stage(known.groupBy("sha").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"), F.first("tag").alias("tag")))
     asked = C.stage(corners(queries, dense=True))
     # Corners are never shuffled: those of copies go by a bitmap before they are matched, the rest of them by the join after.
     met = matched_pairs(C.maybe_in(known, classes, "id", "tag"), asked).join(classes, ["id", "tag"])
-    best = met.groupBy("q_id", "id", "tag").agg(F.max("n_agree").alias("n_agree"), F.max("n_copies").alias("n_copies"))
-    return best.groupBy(F.col("q_id").alias("query_id"), "id").agg(F.sum("n_copies").alias("n_copies"), F.max("n_agree").alias("n_agree"))
+    members = C.stage(known.select(F.col("id").alias("member"), "sha").distinct().join(classes, "sha").select("member", "id", "tag", "n_copies"))
+    C.drop(known)  # the corners are most of what is staged, and what follows grows with the links
+    C.drop(asked)
+    found = met.groupBy(F.col("q_id").alias("query_id"), "id", "tag").agg(F.max("n_copies").alias("n_copies"), F.max("n_agree").alias("n_agree"))
+    return found, members
+
+
+def count_copies(ids: DataFrame, images: DataFrame, queries: DataFrame) -> DataFrame:
+    """One row for every id of `ids` with the number of its links, where a query bears the id of the picture it was made from.
+
+    The links are those of `find_copies`, none left out: n_links queries are linked to the picture's class (id, n_copies),
+    query_id is the one with the most agreeing places (n_agree; the least of equal ones), n_found pictures are linked to
+    the picture's own query, and component_id is the least id that links and equal bytes reach. A picture that nothing is
+    linked to, or that can't be read, is a class of its own. An id with several pictures has a row for each of their classes.
+    `ids` are those of `images`, from a table that is cheaper to read than the pictures are to make.
+    """
+    with C.scratch(images.sparkSession):
+        known = ids.where("id IS NOT NULL").select(F.col("id").alias("member")).distinct()
+        return C.stage(_count_copies(known, images.where("id IS NOT NULL"), queries.where("id IS NOT NULL")), keep=True)
+
+
+def _count_copies(ids: DataFrame, images: DataFrame, queries: DataFrame) -> DataFrame:
+    found, members = _find_copies(images, queries)
+    found = C.stage(found)
+    asked = found.groupBy(F.col("query_id").alias("member")).agg(F.sum("n_copies").alias("n_found"))
+    named = found.groupBy("id", "tag").agg(F.count("*").alias("n_links"), F.min(F.struct((-F.col("n_agree")).alias("less"), "query_id")).alias("best"))
+    # Copies share their class's component, so only ids that links start from, or that are in several classes, are nodes beside the classes.
+    nodes = asked.select("member").unionByName(members.groupBy("member").agg(F.count("*").alias("n")).where("n > 1").select("member")).distinct()
+    parts = components(found.select(F.col("query_id").alias("a"), F.col("id").alias("b")).unionByName(members.join(nodes, "member").select(F.col("member").alias("a"), F.col("id").alias("b"))))
+    every = ids.join(members, "member", "left")
+    every = every.select("member", F.coalesce("id", "member").alias("id"), "tag", F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    every = every.join(named, ["id", "tag"], "left").join(parts, "id", "left").join(asked, "member", "left")
+    none = F.lit(0).cast("long")
+    return every.select(
+        "member",
+        "id",
+        "n_copies",
+        F.col("best.query_id").alias("query_id"),
+        (-F.col("best.less")).alias("n_agree"),
+        F.coalesce("n_links", none).alias("n_links"),
+        F.coalesce("n_found", none).alias("n_found"),
+        F.coalesce("component", "id").alias("component_id"),
+    )
 
 
 def rendered(data: bytes, cells: int = 40) -> np.ndarray:
@@ -488,6 +533,11 @@ def _pictures(pages: DataFrame, change: Callable[[int, np.ndarray], np.ndarray])
 
 
 def op6_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edited copies of the pictures of all pages whose id is divisible by 50, searched in the pictures of all pages."""
+    """Edited copies of the pictures of all pages whose id is divisible by 50, searched in the pictures of all pages: every page with its class, its component and the number of its links.
+
+    The pairs themselves are many (about as many of all pairs are linked at any size) and are what `find_copies` returns.
+    """
     pages = C.table(spark, sf_dir, "pages")
-    return find_copies(_pictures(pages, lambda i, x: x), _pictures(pages.where("page_id % 50 = 0"), lambda i, x: edited(x, i // 50)))
+    ids = pages.select(F.col("page_id").alias("id"))
+    found = count_copies(ids, _pictures(pages, lambda i, x: x), _pictures(pages.where("page_id % 50 = 0"), lambda i, x: edited(x, i // 50)))
+    return found.withColumnRenamed("member", "page_id")
