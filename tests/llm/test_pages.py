@@ -395,3 +395,5 @@ def test_image_copies_have_a_row_for_each_page(spark, tmp_path):
     assert (of[600].id, of[600].n_copies, of[600].component_id) == (8, 3, 8) and of[651].id == of[650].id == 650
     for i in (701, 702, 703):
         assert tuple(of[i]) == (i, i, 1, None, None, 0, 0, i)
+    pages.limit(0).write.parquet(str(tmp_path / "none" / "pages.parquet"))
+    assert image_match.op6_image_copies(spark, str(tmp_path / "none")).collect() == []
